@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions import columns as X
-from shoplens.operators import area
+from shoplens.operators import area, categories, funnel, sampling, sessions
+from shoplens.plans import defaults as D
 from shoplens.plans.defaults import QUERY_PARAMS as P
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
 
@@ -55,3 +56,195 @@ def q_area_product_info(spark, sf_dir):
 def q_area_top3_product(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return area.area_top3_job(t.actions(), t.cities(), t.products(), P, TESTDATA_AREA_LEVELS)
+
+
+# ------------------------------------------------------------------ sessions
+def _filtered(spark, sf_dir, p=P, mode="B1"):
+    t = Tables(spark, sf_dir)
+    return sessions.filtered_sessions(t.actions(mode), t.users(), p)
+
+
+@register("actions_by_date")
+def q_actions_by_date(spark, sf_dir):
+    return sessions.select_actions(sessions.actions_by_date(Tables(spark, sf_dir).actions(), P))
+
+
+@register("session_profile")
+def q_session_profile(spark, sf_dir):
+    acts = sessions.actions_by_date(Tables(spark, sf_dir).actions(), P)
+    return sessions.select_profile(sessions.session_profile(acts))
+
+
+@register("session_full_info")
+def q_session_full_info(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    prof = sessions.session_profile(sessions.actions_by_date(t.actions(), P))
+    return sessions.select_profile(sessions.session_full_info(prof, t.users()), full=True)
+
+
+@register("session_filter")
+def q_session_filter(spark, sf_dir):
+    return sessions.select_profile(_filtered(spark, sf_dir), full=True)
+
+
+_NO_AGE = P.with_(start_age=None, end_age=None)
+
+
+@register("session_filter_age")
+def q_session_filter_age(spark, sf_dir):
+    return _filtered(spark, sf_dir).select("session_id", "age")
+
+
+@register("session_filter_members")
+def q_session_filter_members(spark, sf_dir):
+    p = _NO_AGE.with_(professionals=D.FILTER_PROFESSIONALS, cities=D.FILTER_CITIES)
+    return _filtered(spark, sf_dir, p).select("session_id", "professional", "city")
+
+
+@register("session_filter_sex")
+def q_session_filter_sex(spark, sf_dir):
+    return _filtered(spark, sf_dir, _NO_AGE.with_(sex=D.FILTER_SEX)).select("session_id", "sex")
+
+
+@register("session_filter_keywords")
+def q_session_filter_keywords(spark, sf_dir):
+    p = _NO_AGE.with_(keywords=D.FILTER_KEYWORDS)
+    return _filtered(spark, sf_dir, p).select("session_id", "search_keywords")
+
+
+@register("session_filter_categories")
+def q_session_filter_categories(spark, sf_dir):
+    p = _NO_AGE.with_(category_ids=D.FILTER_CATEGORIES)
+    return _filtered(spark, sf_dir, p).select("session_id", "click_category_ids")
+
+
+def _filtered_actions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    acts = t.actions()
+    return sessions.filtered_actions(acts, sessions.filtered_sessions(acts, t.users(), P), P)
+
+
+@register("filtered_actions")
+def q_filtered_actions(spark, sf_dir):
+    return sessions.select_actions(_filtered_actions(spark, sf_dir))
+
+
+@register("session_visit_buckets")
+def q_session_visit_buckets(spark, sf_dir):
+    return sessions.bucket_counts(_filtered(spark, sf_dir, mode="B2"), "visit")
+
+
+@register("session_step_buckets")
+def q_session_step_buckets(spark, sf_dir):
+    return sessions.bucket_counts(_filtered(spark, sf_dir), "step")
+
+
+@register("session_aggr_stat")
+def q_session_aggr_stat(spark, sf_dir):
+    return sessions.session_aggr_stat(_filtered(spark, sf_dir, mode="B2"), P)
+
+
+# ------------------------------------------------------------------ sampling
+_LR = P.with_(allocation="largest_remainder")
+
+
+@register("session_hourly_count")
+def q_session_hourly_count(spark, sf_dir):
+    return sampling.hourly_counts(_filtered(spark, sf_dir))
+
+
+@register("session_sample_quota")
+def q_session_sample_quota(spark, sf_dir):
+    return sampling.sample_quota(sampling.hourly_counts(_filtered(spark, sf_dir)), P)
+
+
+@register("session_sample_quota_lr")
+def q_session_sample_quota_lr(spark, sf_dir):
+    return sampling.sample_quota(sampling.hourly_counts(_filtered(spark, sf_dir)), _LR)
+
+
+@register("session_random_extract")
+def q_session_random_extract(spark, sf_dir):
+    return sampling.random_extract(_filtered(spark, sf_dir), P)
+
+
+@register("session_random_extract_lr")
+def q_session_random_extract_lr(spark, sf_dir):
+    return sampling.random_extract(_filtered(spark, sf_dir), _LR)
+
+
+@register("session_detail")
+def q_session_detail(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    acts = t.actions()
+    sample = sampling.random_extract(sessions.filtered_sessions(acts, t.users(), _LR), _LR)
+    return sampling.session_detail(sessions.actions_by_date(acts, _LR), sample, _LR)
+
+
+# ------------------------------------------------------------------ categories
+@register("category_ids")
+def q_category_ids(spark, sf_dir):
+    return categories.category_ids(_filtered_actions(spark, sf_dir))
+
+
+@register("category_click_count")
+def q_category_click_count(spark, sf_dir):
+    return categories.category_kind_count(_filtered_actions(spark, sf_dir), "click")
+
+
+@register("category_order_count")
+def q_category_order_count(spark, sf_dir):
+    return categories.category_kind_count(_filtered_actions(spark, sf_dir), "order")
+
+
+@register("category_pay_count")
+def q_category_pay_count(spark, sf_dir):
+    return categories.category_kind_count(_filtered_actions(spark, sf_dir), "pay")
+
+
+@register("category_full_count")
+def q_category_full_count(spark, sf_dir):
+    return categories.category_full_count(_filtered_actions(spark, sf_dir))
+
+
+@register("top10_category")
+def q_top10_category(spark, sf_dir):
+    return categories.top_categories(categories.category_full_count(_filtered_actions(spark, sf_dir)), P)
+
+
+@register("top10_session")
+def q_top10_session(spark, sf_dir):
+    fa = _filtered_actions(spark, sf_dir)
+    top = categories.top_categories(categories.category_full_count(fa), P)
+    return categories.top_sessions(fa, top, P)
+
+
+# ------------------------------------------------------------------ funnel
+def _range_actions(spark, sf_dir):
+    return sessions.actions_by_date(Tables(spark, sf_dir).actions(), P)
+
+
+@register("page_pairs")
+def q_page_pairs(spark, sf_dir):
+    return funnel.page_pairs(_range_actions(spark, sf_dir), P)
+
+
+@register("page_pair_count")
+def q_page_pair_count(spark, sf_dir):
+    acts = _range_actions(spark, sf_dir)
+    return funnel.page_pair_count(funnel.page_pairs(acts, P), funnel.target_steps(spark, P))
+
+
+@register("page_start_count")
+def q_page_start_count(spark, sf_dir):
+    return funnel.page_start_count(_range_actions(spark, sf_dir), P)
+
+
+@register("page_convert_rate")
+def q_page_convert_rate(spark, sf_dir):
+    return funnel.page_convert_rate(_range_actions(spark, sf_dir), P, spark)
+
+
+@register("page_convert_rate_packed")
+def q_page_convert_rate_packed(spark, sf_dir):
+    return funnel.pack_convert_rate(funnel.page_convert_rate(_range_actions(spark, sf_dir), P, spark), P)

@@ -120,3 +120,213 @@ SELECT '{P.task_id}' AS taskid, area, {AREA_LEVEL_SQL} AS areaLevel, pid AS prod
        city_infos AS cityInfos, click_count AS clickCount, product_name AS productName,
        product_status AS productStatus
 FROM ranked WHERE rn <= {P.top_products}"""
+
+
+# ------------------------------------------------------------------ sessions
+def _profile_cte(src: str = "actions_r", name: str = "profile") -> str:
+    t = "strptime(action_time, '%Y-%m-%d %H:%M:%S')"
+    kw = "CASE WHEN search_keyword <> '' THEN search_keyword END"
+    cat = "CASE WHEN click_category_id <> -1 THEN click_category_id END"
+    return f"""
+{name} AS (
+  SELECT session_id, min(user_id) AS user_id,
+         array_to_string(list_sort(list_distinct(list({kw}))), ',') AS search_keywords,
+         array_to_string(list_sort(list_distinct(list({cat}))), ',') AS click_category_ids,
+         CAST(epoch(max({t})) - epoch(min({t})) AS BIGINT) AS visit_length,
+         CAST(count(*) AS BIGINT) AS step_length,
+         strftime(min({t}), '%Y-%m-%d %H:%M:%S') AS start_time,
+         list_distinct(list({kw})) AS kw_list,
+         list_distinct(list({cat})) AS cat_list
+  FROM {src} GROUP BY session_id
+)"""
+
+
+_RANGE = f"""
+actions_r AS (SELECT * FROM actions WHERE date BETWEEN '{START}' AND '{END}')"""
+
+_FULL = """
+full_info AS (
+  SELECT p.*, u.age, u.professional, u.sex, u.city FROM profile p JOIN users u ON p.user_id = u.user_id
+)"""
+
+PROFILE_COLS = "session_id, user_id, search_keywords, click_category_ids, visit_length, step_length, start_time"
+FULL_COLS = PROFILE_COLS + ", age, professional, sex, city"
+ACTION_COLS = ("date, user_id, session_id, page_id, action_time, search_keyword, click_category_id, "
+               "click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids, city_id")
+
+
+def _sessions(mode: str = "B1", where: str = "age BETWEEN 20 AND 50") -> str:
+    """CTEs up to ``fs`` (filtered sessions) for one binding mode."""
+    return with_(_actions_cte(mode), USERS, _RANGE, _profile_cte(), _FULL) + f""",
+fs AS (SELECT * FROM full_info WHERE {where})"""
+
+
+SQL["actions_by_date"] = with_(_actions_cte(), _RANGE) + f"\nSELECT {ACTION_COLS} FROM actions_r"
+SQL["session_profile"] = with_(_actions_cte(), _RANGE, _profile_cte()) + f"\nSELECT {PROFILE_COLS} FROM profile"
+SQL["session_full_info"] = with_(_actions_cte(), USERS, _RANGE, _profile_cte(), _FULL) + f"\nSELECT {FULL_COLS} FROM full_info"
+SQL["session_filter"] = _sessions() + f"\nSELECT {FULL_COLS} FROM fs"
+SQL["session_filter_age"] = _sessions() + "\nSELECT session_id, age FROM fs"
+SQL["session_filter_members"] = _sessions(
+    "B1", "professional IN ('AUTOMOBILE', 'MACHINERY') AND city IN ('NATION_1', 'NATION_3', 'NATION_5', 'NATION_7')"
+) + "\nSELECT session_id, professional, city FROM fs"
+SQL["session_filter_sex"] = _sessions("B1", "sex = 'female'") + "\nSELECT session_id, sex FROM fs"
+SQL["session_filter_keywords"] = _sessions("B1", "list_has_any(kw_list, ['kw1', 'kw4'])") + \
+    "\nSELECT session_id, search_keywords FROM fs"
+SQL["session_filter_categories"] = _sessions("B1", "list_has_any(cat_list, [3, 17, 44, 48, 57, 90]::BIGINT[])") + \
+    "\nSELECT session_id, click_category_ids FROM fs"
+SQL["filtered_actions"] = _sessions() + f"""
+SELECT {ACTION_COLS} FROM actions_r WHERE session_id IN (SELECT session_id FROM fs)"""
+
+# visit buckets (seconds) and step buckets (actions), restated for the oracle
+_VISIT = [("1s_3s", "BETWEEN 1 AND 3"), ("4s_6s", "BETWEEN 4 AND 6"), ("7s_9s", "BETWEEN 7 AND 9"),
+          ("10s_30s", "BETWEEN 10 AND 30"), ("30s_60s", "BETWEEN 31 AND 60"), ("1m_3m", "BETWEEN 61 AND 180"),
+          ("3m_10m", "BETWEEN 181 AND 600"), ("10m_30m", "BETWEEN 601 AND 1800"), ("30m", ">= 1801")]
+_STEP = [("1_3", "BETWEEN 1 AND 3"), ("4_6", "BETWEEN 4 AND 6"), ("7_9", "BETWEEN 7 AND 9"),
+         ("10_30", "BETWEEN 10 AND 30"), ("30_60", "BETWEEN 31 AND 60"), ("60", ">= 61")]
+
+
+def _bucket_union(col: str, buckets) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{label}' AS bucket, CAST(count(*) FILTER (WHERE {col} {cond}) AS BIGINT) AS session_count FROM fs"
+        for label, cond in buckets
+    )
+
+
+SQL["session_visit_buckets"] = _sessions("B2") + "\n" + _bucket_union("visit_length", _VISIT)
+SQL["session_step_buckets"] = _sessions("B1") + "\n" + _bucket_union("step_length", _STEP)
+SQL["session_aggr_stat"] = _sessions("B2") + f""",
+c AS (SELECT CAST(count(*) AS BIGINT) AS n,
+  {", ".join(f"count(*) FILTER (WHERE visit_length {cond}) AS v_{label}" for label, cond in _VISIT)},
+  {", ".join(f"count(*) FILTER (WHERE step_length {cond}) AS s_{label}" for label, cond in _STEP)}
+  FROM fs)
+SELECT '{P.task_id}' AS taskid, n AS session_count,
+  {", ".join(f"{_half_up(f'v_{label}', 'n')} AS visit_length_{label}_ratio" for label, _ in _VISIT)},
+  {", ".join(f"{_half_up(f's_{label}', 'n')} AS step_length_{label}_ratio" for label, _ in _STEP)}
+FROM c"""
+
+# ------------------------------------------------------------------ sampling
+_HOURLY = """,
+sh AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS hour FROM fs),
+hourly AS (SELECT date, hour, CAST(count(*) AS BIGINT) AS session_count FROM sh GROUP BY date, hour)"""
+
+
+def _quota(allocation: str) -> str:
+    q = f""",
+q0 AS (
+  SELECT date, hour, session_count,
+         CAST(floor({P.sample_size} / (SELECT count(DISTINCT date) FROM hourly)) AS BIGINT) AS per_day,
+         CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_total
+  FROM hourly),
+q1 AS (SELECT *, (session_count / day_total) * per_day AS exact FROM q0),
+q2 AS (SELECT *, CAST(floor(exact) AS BIGINT) AS base FROM q1)"""
+    if allocation == "floor":
+        return q + """,
+quota AS (SELECT date, hour, session_count, CAST(least(base, session_count) AS BIGINT) AS quota FROM q2)"""
+    return q + """,
+q3 AS (SELECT *, row_number() OVER (PARTITION BY date ORDER BY exact - base DESC, hour ASC) AS rk,
+              per_day - sum(base) OVER (PARTITION BY date) AS short FROM q2),
+quota AS (SELECT date, hour, session_count,
+                 CAST(least(base + CASE WHEN rk <= short THEN 1 ELSE 0 END, session_count) AS BIGINT) AS quota FROM q3)"""
+
+
+def _extract(allocation: str) -> str:
+    return _sessions() + _HOURLY + _quota(allocation) + f""",
+ranked AS (
+  SELECT sh.*, row_number() OVER (PARTITION BY date, hour ORDER BY md5('{P.sample_seed}' || session_id), session_id) AS rn
+  FROM sh),
+extract AS (
+  SELECT '{P.task_id}' AS taskid, r.session_id AS sessionid, r.start_time AS startTime,
+         r.search_keywords AS searchKeywords, r.click_category_ids AS clickCategoryIds
+  FROM ranked r JOIN quota q ON r.date = q.date AND r.hour = q.hour WHERE r.rn <= q.quota)"""
+
+
+SQL["session_hourly_count"] = _sessions() + _HOURLY + "\nSELECT date, hour, session_count FROM hourly"
+SQL["session_sample_quota"] = _sessions() + _HOURLY + _quota("floor") + \
+    "\nSELECT date, hour, session_count, quota FROM quota"
+SQL["session_sample_quota_lr"] = _sessions() + _HOURLY + _quota("largest_remainder") + \
+    "\nSELECT date, hour, session_count, quota FROM quota"
+SQL["session_random_extract"] = _extract("floor") + "\nSELECT * FROM extract"
+SQL["session_random_extract_lr"] = _extract("largest_remainder") + "\nSELECT * FROM extract"
+SQL["session_detail"] = _extract("largest_remainder") + f"""
+SELECT '{P.task_id}' AS taskid, user_id AS userid, session_id AS sessionid, page_id AS pageid,
+       action_time AS actionTime, search_keyword AS searchKeyword, click_category_id AS clickCategoryId,
+       click_product_id AS clickProductId, order_category_ids AS orderCategoryIds,
+       order_product_ids AS orderProductIds, pay_category_ids AS payCategoryIds, pay_product_ids AS payProductIds
+FROM actions_r WHERE session_id IN (SELECT sessionid FROM extract)"""
+
+# ------------------------------------------------------------------ categories
+_CATS = """,
+fa AS (SELECT * FROM actions_r WHERE session_id IN (SELECT session_id FROM fs)),
+cev AS (
+  SELECT click_category_id AS category_id, 0 AS kind FROM fa WHERE click_category_id <> -1
+  UNION ALL
+  SELECT CAST(x AS BIGINT), 1 FROM (
+    SELECT unnest(string_split(order_category_ids, ',')) AS x FROM fa
+    WHERE order_category_ids IS NOT NULL AND trim(order_category_ids) <> '')
+  UNION ALL
+  SELECT CAST(x AS BIGINT), 2 FROM (
+    SELECT unnest(string_split(pay_category_ids, ',')) AS x FROM fa
+    WHERE pay_category_ids IS NOT NULL AND trim(pay_category_ids) <> '')
+),
+full_count AS (
+  SELECT category_id,
+         CAST(count(*) FILTER (WHERE kind = 0) AS BIGINT) AS click_count,
+         CAST(count(*) FILTER (WHERE kind = 1) AS BIGINT) AS order_count,
+         CAST(count(*) FILTER (WHERE kind = 2) AS BIGINT) AS pay_count
+  FROM cev GROUP BY category_id
+),
+top AS (
+  SELECT * FROM full_count
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id ASC LIMIT """ + str(P.top_categories) + ")"
+
+SQL["category_ids"] = _sessions() + _CATS + "\nSELECT DISTINCT category_id FROM cev"
+for _kind, _code in (("click", 0), ("order", 1), ("pay", 2)):
+    SQL[f"category_{_kind}_count"] = _sessions() + _CATS + \
+        f"\nSELECT category_id, CAST(count(*) AS BIGINT) AS n FROM cev WHERE kind = {_code} GROUP BY category_id"
+SQL["category_full_count"] = _sessions() + _CATS + \
+    "\nSELECT category_id, click_count, order_count, pay_count FROM full_count"
+SQL["top10_category"] = _sessions() + _CATS + f"""
+SELECT '{P.task_id}' AS taskid, category_id AS categoryid, click_count AS clickCount,
+       order_count AS orderCount, pay_count AS payCount FROM top"""
+SQL["top10_session"] = _sessions() + _CATS + f""",
+sc AS (
+  SELECT click_category_id AS category_id, session_id, CAST(count(*) AS BIGINT) AS click_count FROM fa
+  WHERE click_category_id IN (SELECT category_id FROM top) GROUP BY click_category_id, session_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id ASC) AS rn FROM sc)
+SELECT '{P.task_id}' AS taskid, category_id AS categoryid, session_id AS sessionid, click_count AS clickCount
+FROM r WHERE rn <= {P.top_sessions}"""
+
+# ------------------------------------------------------------------ funnel
+_FLOW = list(P.target_page_flow)
+_STEPS_VALUES = ", ".join(
+    f"({i + 1}, {a}, {b}, '{a}_{b}')" for i, (a, b) in enumerate(zip(_FLOW, _FLOW[1:]))
+)
+_FUNNEL = with_(_actions_cte(), _RANGE) + f""",
+ordered AS (
+  SELECT session_id, page_id,
+         lead(page_id) OVER (PARTITION BY session_id
+                             ORDER BY epoch(strptime(action_time, '%Y-%m-%d %H:%M:%S')), event_id) AS to_page
+  FROM actions_r),
+pairs AS (SELECT session_id, page_id AS from_page, to_page FROM ordered WHERE to_page IS NOT NULL),
+steps(step_no, from_page, to_page, step) AS (VALUES {_STEPS_VALUES}),
+pc AS (
+  SELECT s.step, CAST(count(*) AS BIGINT) AS n FROM pairs p
+  JOIN (SELECT DISTINCT from_page, to_page, step FROM steps) s
+    ON p.from_page = s.from_page AND p.to_page = s.to_page
+  GROUP BY s.step),
+start_n AS (SELECT CAST(count(*) FILTER (WHERE page_id = {_FLOW[0]}) AS BIGINT) AS n FROM actions_r),
+per_step AS (
+  SELECT CAST(s.step_no AS BIGINT) AS step_no, s.step, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+  FROM steps s LEFT JOIN pc c ON s.step = c.step),
+chain AS (SELECT step_no, step, n FROM per_step UNION ALL SELECT CAST(0 AS BIGINT), NULL, n FROM start_n),
+lagged AS (SELECT step_no, step, n, lag(n) OVER (ORDER BY step_no) AS prev FROM chain),
+rates AS (SELECT step_no, step, n, {_half_up('n', 'prev')} AS rate FROM lagged WHERE step_no > 0)"""
+
+SQL["page_pairs"] = _FUNNEL + "\nSELECT session_id, from_page, to_page FROM pairs"
+SQL["page_pair_count"] = _FUNNEL + "\nSELECT step, n FROM pc"
+SQL["page_start_count"] = _FUNNEL + "\nSELECT n FROM start_n"
+SQL["page_convert_rate"] = _FUNNEL + "\nSELECT step_no, step, n, rate FROM rates"
+SQL["page_convert_rate_packed"] = _FUNNEL + f"""
+SELECT '{P.task_id}' AS taskid,
+       string_agg(step || '=' || coalesce(printf('%.2f', rate), 'null'), '|' ORDER BY step_no) AS convertRate
+FROM rates"""
