@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions import columns as X
-from shoplens.operators import area, categories, funnel, sampling, sessions
+from shoplens.operators import ads, area, categories, funnel, sampling, sessions
 from shoplens.plans import defaults as D
 from shoplens.plans.defaults import QUERY_PARAMS as P
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
+from shoplens.spark import shared_dir
+from shoplens.streaming import ad_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -248,3 +250,56 @@ def q_page_convert_rate(spark, sf_dir):
 @register("page_convert_rate_packed")
 def q_page_convert_rate_packed(spark, sf_dir):
     return funnel.pack_convert_rate(funnel.page_convert_rate(_range_actions(spark, sf_dir), P, spark), P)
+
+
+# ------------------------------------------------------------------ ads (batch)
+def _ad_tables(spark, sf_dir):
+    return ads.ad_tables(Tables(spark, sf_dir).ad_lines(), P)
+
+
+for _name in ("ad_log_parse", "ad_user_click_count", "ad_blacklist", "ad_clean_clicks", "ad_stat",
+              "ad_province_top3", "ad_click_trend"):
+    def _q(spark, sf_dir, _name=_name):
+        t = _ad_tables(spark, sf_dir)[_name]
+        return t.select("ts_ms", "province", "city", "userid", "adid") if _name in ("ad_log_parse", "ad_clean_clicks") else t
+    _q.__name__ = f"q_{_name}"
+    register(_name)(_q)
+
+
+# ------------------------------------------------------------------ ads (Structured Streaming)
+_STREAM_RUNS: dict[tuple, str] = {}
+
+
+def _stream_out(spark, sf_dir):
+    """Run the streaming ad job once per session and data folder (availableNow)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STREAM_RUNS:
+        base = shared_dir(spark, "ad_stream")
+        ad_stream.run_available_now(lambda: ad_stream.testdata_lines(spark, sf_dir), f"{base}/out", f"{base}/ckpt", P)
+        _STREAM_RUNS[key] = f"{base}/out"
+    return _STREAM_RUNS[key]
+
+
+@register("ad_user_click_count_stream")
+def q_ad_user_click_count_stream(spark, sf_dir):
+    return ad_stream.read_user_click_count(spark, _stream_out(spark, sf_dir))
+
+
+@register("ad_blacklist_stream")
+def q_ad_blacklist_stream(spark, sf_dir):
+    return ad_stream.read_blacklist(spark, _stream_out(spark, sf_dir))
+
+
+@register("ad_stat_stream")
+def q_ad_stat_stream(spark, sf_dir):
+    return ad_stream.read_ad_stat(spark, _stream_out(spark, sf_dir))
+
+
+@register("ad_province_top3_stream")
+def q_ad_province_top3_stream(spark, sf_dir):
+    return ad_stream.read_province_top(spark, _stream_out(spark, sf_dir), P)
+
+
+@register("ad_click_trend_stream")
+def q_ad_click_trend_stream(spark, sf_dir):
+    return ad_stream.read_click_trend(spark, _stream_out(spark, sf_dir))

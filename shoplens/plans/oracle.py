@@ -330,3 +330,44 @@ SQL["page_convert_rate_packed"] = _FUNNEL + f"""
 SELECT '{P.task_id}' AS taskid,
        string_agg(step || '=' || coalesce(printf('%.2f', rate), 'null'), '|' ORDER BY step_no) AS convertRate
 FROM rates"""
+
+# ------------------------------------------------------------------ ads
+_ADS = with_(CITIES) + f""",
+ad_lines AS (
+  SELECT CAST(epoch_us(e.ts) // 1000 AS VARCHAR) || ' ' || replace(ci.area, ' ', '_') || ' ' || ci.city_name || ' ' ||
+         CAST(e.user_id AS VARCHAR) || ' ' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 20 AS VARCHAR) AS value
+  FROM events e JOIN cities ci ON e.user_id % 25 = ci.city_id
+  WHERE e.event_type = 'click'),
+parsed AS (SELECT string_split(value, ' ') AS p FROM ad_lines),
+clicks AS (
+  SELECT TRY_CAST(p[1] AS BIGINT) AS ts_ms, p[2] AS province, p[3] AS city,
+         TRY_CAST(p[4] AS BIGINT) AS userid, TRY_CAST(p[5] AS BIGINT) AS adid
+  FROM parsed WHERE len(p) = 5),
+clicks_t AS (
+  SELECT *, strftime(epoch_ms(ts_ms), '%Y%m%d') AS date, strftime(epoch_ms(ts_ms), '%H') AS hour,
+         strftime(epoch_ms(ts_ms), '%M') AS minute
+  FROM clicks WHERE ts_ms IS NOT NULL AND userid IS NOT NULL AND adid IS NOT NULL),
+user_counts AS (
+  SELECT date, userid, adid, CAST(count(*) AS BIGINT) AS clickCount FROM clicks_t GROUP BY date, userid, adid),
+black AS (SELECT DISTINCT userid FROM user_counts WHERE clickCount >= {P.blacklist_threshold}),
+clean AS (SELECT * FROM clicks_t WHERE userid NOT IN (SELECT userid FROM black)),
+stat AS (
+  SELECT date, province, city, adid, CAST(count(*) AS BIGINT) AS clickCount FROM clean
+  GROUP BY date, province, city, adid),
+prov AS (
+  SELECT date, province, adid, CAST(sum(clickCount) AS BIGINT) AS clickCount FROM stat GROUP BY date, province, adid),
+prov_r AS (
+  SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY clickCount DESC, adid ASC) AS rn FROM prov),
+trend AS (
+  SELECT date, hour, minute, adid, CAST(count(*) AS BIGINT) AS clickCount FROM clean GROUP BY date, hour, minute, adid)"""
+
+SQL["ad_log_parse"] = _ADS + "\nSELECT ts_ms, province, city, userid, adid FROM clicks_t"
+SQL["ad_user_click_count"] = _ADS + "\nSELECT date, userid, adid, clickCount FROM user_counts"
+SQL["ad_blacklist"] = _ADS + "\nSELECT userid FROM black"
+SQL["ad_clean_clicks"] = _ADS + "\nSELECT ts_ms, province, city, userid, adid FROM clean"
+SQL["ad_stat"] = _ADS + "\nSELECT date, province, city, adid, clickCount FROM stat"
+SQL["ad_province_top3"] = _ADS + f"\nSELECT date, province, adid, clickCount FROM prov_r WHERE rn <= {P.top_ads}"
+SQL["ad_click_trend"] = _ADS + "\nSELECT date, hour, minute, adid, clickCount FROM trend"
+# the streaming job, run to completion, must equal the batch tables
+for _k in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
+    SQL[f"{_k}_stream"] = SQL[_k]
