@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.functions import columns as X
-from shoplens.operators import ads, area, categories, funnel, sampling, sessions
+from shoplens.functions.sql import GROUP_CONCAT_DISTINCT, register_sql_functions
+from shoplens.operators import ads, area, categories, funnel, sampling, scalars, sessions
 from shoplens.plans import defaults as D
 from shoplens.plans.defaults import QUERY_PARAMS as P
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
+from shoplens.sinks import register_views, write_task_result
 from shoplens.spark import shared_dir
 from shoplens.streaming import ad_stream
 
@@ -303,3 +305,82 @@ def q_ad_province_top3_stream(spark, sf_dir):
 @register("ad_click_trend_stream")
 def q_ad_click_trend_stream(spark, sf_dir):
     return ad_stream.read_click_trend(spark, _stream_out(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ scalars and packed records
+@register("time_scalars")
+def q_time_scalars(spark, sf_dir):
+    return scalars.time_scalars(_range_actions(spark, sf_dir))
+
+
+@register("string_scalars")
+def q_string_scalars(spark, sf_dir):
+    return scalars.string_scalars(_range_actions(spark, sf_dir))
+
+
+def _packed(spark, sf_dir):
+    return scalars.pack_profile(sessions.session_profile(_range_actions(spark, sf_dir)))
+
+
+@register("packed_field_read")
+def q_packed_field_read(spark, sf_dir):
+    return scalars.packed_field_read(_packed(spark, sf_dir), "searchKeywords")
+
+
+@register("packed_field_write")
+def q_packed_field_write(spark, sf_dir):
+    return scalars.packed_field_write(_packed(spark, sf_dir), "clickCategoryIds", "none")
+
+
+# ------------------------------------------------------------------ SQL surface and sinks
+AREA_TOP3_SQL = """
+WITH clicks AS (
+  SELECT city_id, click_product_id FROM user_visit_action
+  WHERE date >= '{start}' AND date <= '{end}' AND click_product_id != -1),
+basic AS (
+  SELECT c.city_id, ci.city_name, ci.area, c.click_product_id AS pid
+  FROM clicks c JOIN city_info ci ON c.city_id = ci.city_id),
+counts AS (
+  SELECT area, pid, count(*) AS click_count,
+         {group_concat} AS city_infos
+  FROM basic GROUP BY area, pid),
+info AS (
+  SELECT t.area, t.city_infos, t.pid, p.product_name,
+         if(get_json_field(p.extend_info, 'product_status') = '0', 'Self', 'Third Party') AS product_status,
+         t.click_count
+  FROM counts t JOIN product_info p ON t.pid = p.product_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid ASC) AS rn FROM info)
+SELECT '{task}' AS taskid, area, {level} AS areaLevel, pid AS productid, city_infos AS cityInfos,
+       click_count AS clickCount, product_name AS productName, product_status AS productStatus
+FROM ranked WHERE rn <= {k}
+"""
+
+
+def _level_sql(levels) -> str:
+    whens = " ".join(
+        "WHEN area IN (" + ", ".join(f"'{a}'" for a in areas) + f") THEN '{level}'" for level, areas in levels.items()
+    )
+    return f"CASE {whens} ELSE '{X.DEFAULT_AREA_LEVEL}' END"
+
+
+@register("area_top3_product_sql")
+def q_area_top3_product_sql(spark, sf_dir):
+    """The area job through the SQL surface: views (K8) + SQL functions."""
+    t = Tables(spark, sf_dir)
+    register_sql_functions(spark)
+    register_views({"user_visit_action": t.actions(), "product_info": t.products(), "city_info": t.cities()})
+    return spark.sql(AREA_TOP3_SQL.format(
+        start=P.start_date, end=P.end_date, task=P.task_id, k=P.top_products,
+        group_concat=GROUP_CONCAT_DISTINCT("concat_long_string(city_id, city_name, ':')"),
+        level=_level_sql(TESTDATA_AREA_LEVELS),
+    ))
+
+
+@register("sink_roundtrip")
+def q_sink_roundtrip(spark, sf_dir):
+    """K1-K7: write the top-10 categories with the task-partitioned sink, read back."""
+    path = shared_dir(spark, "sink_roundtrip")
+    result = q_top10_category(spark, sf_dir)
+    write_task_result(result, path)
+    return spark.read.parquet(path).select("taskid", "categoryid", "clickCount", "orderCount", "payCount")

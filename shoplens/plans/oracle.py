@@ -371,3 +371,48 @@ SQL["ad_click_trend"] = _ADS + "\nSELECT date, hour, minute, adid, clickCount FR
 # the streaming job, run to completion, must equal the batch tables
 for _k in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
     SQL[f"{_k}_stream"] = SQL[_k]
+
+# ------------------------------------------------------------------ scalars, packed records, SQL surface, sinks
+_TS = "strptime(action_time, '%Y-%m-%d %H:%M:%S')"
+SQL["time_scalars"] = with_(_actions_cte(), _RANGE) + f"""
+SELECT event_id,
+       strftime({_TS}, '%Y-%m-%d') AS date_str,
+       strftime({_TS}, '%Y-%m-%d_%H') AS date_hour,
+       strftime({_TS}, '%Y%m%d') AS date_key,
+       strftime(strptime(strftime({_TS}, '%Y%m%d'), '%Y%m%d'), '%Y-%m-%d') AS date_key_parsed,
+       strftime({_TS}, '%Y%m%d%H%M') AS minute_key,
+       strftime({_TS}, '%Y-%m-%d %H:%M:%S') AS time_str,
+       {_TS} < TIMESTAMP '2024-01-15 12:00:00' AS before_ref,
+       {_TS} > TIMESTAMP '2024-01-15 12:00:00' AS after_ref,
+       CAST(epoch({_TS}) - epoch(TIMESTAMP '2024-01-01 00:00:00') AS BIGINT) AS seconds_since_start
+FROM actions_r"""
+
+SQL["string_scalars"] = with_(_actions_cte(), _RANGE) + """
+SELECT event_id,
+       (order_category_ids IS NULL OR order_category_ids = '') AS order_blank,
+       NOT (search_keyword IS NULL OR search_keyword = '') AS keyword_set,
+       regexp_replace(',' || coalesce(order_category_ids, '') || ',', '^,|,$', '', 'g') AS order_trimmed,
+       regexp_replace(coalesce(order_category_ids, ''), '^,|,$', '', 'g') AS order_trimmed_plain,
+       lpad(CAST(page_id AS VARCHAR), 2, '0') AS page_padded,
+       CAST(CASE WHEN order_category_ids IS NULL OR trim(order_category_ids) = '' THEN 0
+                 ELSE len(string_split(order_category_ids, ',')) END AS BIGINT) AS order_id_count
+FROM actions_r"""
+
+_PACKED = with_(_actions_cte(), _RANGE, _profile_cte()) + """,
+packed AS (
+  SELECT session_id AS id,
+         'sessionid=' || session_id || '|searchKeywords=' || search_keywords ||
+         '|clickCategoryIds=' || click_category_ids || '|visitLength=' || CAST(visit_length AS VARCHAR) ||
+         '|stepLength=' || CAST(step_length AS VARCHAR) || '|startTime=' || start_time AS packed
+  FROM profile)"""
+SQL["packed_field_read"] = _PACKED + """
+SELECT id, list_filter(list_transform(string_split(packed, '|'), lambda x: string_split(x, '=')),
+                       lambda kv: len(kv) = 2 AND kv[1] = 'searchKeywords' AND kv[2] <> '')[1][2] AS value
+FROM packed"""
+SQL["packed_field_write"] = _PACKED + """
+SELECT id, array_to_string(list_transform(string_split(packed, '|'),
+         lambda x: CASE WHEN string_split(x, '=')[1] = 'clickCategoryIds' THEN 'clickCategoryIds=none' ELSE x END), '|')
+       AS value
+FROM packed"""
+SQL["area_top3_product_sql"] = SQL["area_top3_product"]
+SQL["sink_roundtrip"] = SQL["top10_category"]
