@@ -1,10 +1,11 @@
 """Top products per area.
 
 Plan at scale: the click scan is pruned to two columns with the date and
-``click_product_id != -1`` predicates pushed into the parquet reader; the city
-dimension is broadcast after a size check, so clicks reach the (area, product)
-aggregate without a shuffle and the aggregate combines map-side (a hot product
-is collapsed per task before the exchange). The per-area top-k is a
+``click_product_id != -1`` predicates pushed into the parquet reader; clicks
+are reduced per (city, product) with a map-side partial aggregate before the
+only exchange of raw data, so a hot product is collapsed inside each scan task;
+the city dimension then joins the reduced table (broadcast when the planner's
+size check allows it). The per-area top-k is a
 ``row_number`` filter with a literal bound, which Spark plans as a partial
 ``WindowGroupLimit`` before the exchange, so even an area holding most
 products ships only k rows per task.
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import columns as X
-from shoplens.operators.common import BROADCAST_MAX_ROWS, sized_broadcast
 from shoplens.params import TaskParams
 
 
@@ -32,8 +32,7 @@ def product_clicks(actions: DataFrame, p: TaskParams) -> DataFrame:
 
 def area_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """Clicks joined to the city dimension -> ``city_id, city_name, area, pid``."""
-    c = sized_broadcast(cities.select("city_id", "city_name", "area"))
-    return clicks.join(c, "city_id", "inner").select(
+    return clicks.join(cities.select("city_id", "city_name", "area"), "city_id", "inner").select(
         "city_id", "city_name", "area", F.col("click_product_id").alias("pid")
     )
 
@@ -41,21 +40,14 @@ def area_clicks(clicks: DataFrame, cities: DataFrame) -> DataFrame:
 def area_product_click_count(clicks: DataFrame, cities: DataFrame) -> DataFrame:
     """A16 + G1 + G2: clicks and the distinct ``id:name`` city list per (area, pid).
 
-    With a broadcastable city dimension the join happens map-side and the
-    aggregate follows directly. Otherwise clicks are first reduced to one row
-    per (city, product) so that only that reduced table is shuffled for the join.
+    Clicks are first reduced to one row per (city, product) (map-side partial
+    aggregate), so the dimension join and the (area, product) aggregate work on
+    that reduced table whatever the size of the city dimension.
     """
-    dim = cities.select("city_id", "city_name", "area")
-    small = dim.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
-    if small:
-        base = area_clicks(clicks, dim).select(
-            "area", "pid", X.concat_long_string("city_id", "city_name", ":").alias("city_info"), F.lit(1).alias("n")
-        )
-    else:
-        per_city = clicks.groupBy("city_id", F.col("click_product_id").alias("pid")).agg(F.count(F.lit(1)).alias("n"))
-        base = per_city.join(dim, "city_id", "inner").select(
-            "area", "pid", X.concat_long_string("city_id", "city_name", ":").alias("city_info"), "n"
-        )
+    per_city = clicks.groupBy("city_id", F.col("click_product_id").alias("pid")).agg(F.count(F.lit(1)).alias("n"))
+    base = per_city.join(cities.select("city_id", "city_name", "area"), "city_id", "inner").select(
+        "area", "pid", X.concat_long_string("city_id", "city_name", ":").alias("city_info"), "n"
+    )
     return base.groupBy("area", "pid").agg(
         F.sum("n").cast("bigint").alias("click_count"),
         X.group_concat_distinct(F.col("city_info")).alias("city_infos"),

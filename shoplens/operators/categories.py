@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import columns as X
+from shoplens.operators.common import bounded_broadcast
 from shoplens.params import TaskParams
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -78,7 +79,7 @@ def top_categories(full_count: DataFrame, p: TaskParams) -> DataFrame:
 def top_sessions(actions: DataFrame, top: DataFrame, p: TaskParams) -> DataFrame:
     """Per top category, the k sessions with most clicks on it
     (ties by session id)."""
-    ids = F.broadcast(top.select(F.col("categoryid").alias("category_id")))  # at most top_categories rows
+    ids = bounded_broadcast(top.select(F.col("categoryid").alias("category_id")), p.top_categories)
     clicks = actions.where(F.col("click_category_id") != -1).select(
         F.col("click_category_id").alias("category_id"), "session_id"
     )

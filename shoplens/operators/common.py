@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (in rows) that is shipped to every executor. Above it the
-# join stays a shuffle join and AQE may still convert it from runtime sizes.
+# Largest table (in rows) that a broadcast hint may ship to every executor.
 BROADCAST_MAX_ROWS = 200_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking that it has at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, row_bound: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only for a side whose row count is *proven* to be at most
+    ``row_bound`` (derived from parameters: flow length, k of a top-k, days of a
+    date range), and only when that bound is below ``max_rows``.
 
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the side turns out to be large; a large side is returned unchanged.
+    Data-dependent sides (dimensions, blacklists, session sets) get no hint: the
+    planner broadcasts them only when its size estimate is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-decides from runtime
+    sizes, falling back to a shuffle join beyond it.
     """
-    if df.isStreaming:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if int(row_bound) <= max_rows else df
 
 
 def with_task_id(df: DataFrame, task_id: str, name: str = "taskid") -> DataFrame:

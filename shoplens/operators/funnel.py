@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions import columns as X
+from shoplens.operators.common import bounded_broadcast
 from shoplens.params import TaskParams
 
 STEPS_SCHEMA = T.StructType([
@@ -70,10 +71,10 @@ def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
     return inner.unionByName(cross).select("session_id", "from_page", F.col("nxt.p").alias("to_page"))
 
 
-def page_pair_count(pairs: DataFrame, steps: DataFrame) -> DataFrame:
+def page_pair_count(pairs: DataFrame, steps: DataFrame, steps_bound: int = 1000) -> DataFrame:
     """``step, n`` for target pairs that occur (a pair listed twice in
     the flow is counted once)."""
-    want = F.broadcast(steps.select("from_page", "to_page", "step").distinct())  # flow-sized
+    want = bounded_broadcast(steps.select("from_page", "to_page", "step").distinct(), max(steps_bound, 1))
     hit = pairs.join(want, ["from_page", "to_page"], "inner")
     return hit.groupBy("step").agg(F.count(F.lit(1)).alias("n"))
 
@@ -90,7 +91,7 @@ def page_convert_rate(actions: DataFrame, p: TaskParams, spark: SparkSession | N
     counts 0; a zero denominator gives a NULL rate."""
     spark = spark or actions.sparkSession
     steps = target_steps(spark, p)
-    counts = page_pair_count(page_pairs(actions, p), steps)
+    counts = page_pair_count(page_pairs(actions, p), steps, len(p.target_page_flow))
     per_step = steps.join(counts, "step", "left").select(
         "step_no", "step", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")
     )

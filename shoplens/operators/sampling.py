@@ -22,7 +22,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.operators.common import BROADCAST_MAX_ROWS
+from shoplens.operators.common import bounded_broadcast
 from shoplens.params import TaskParams
 
 
@@ -64,10 +64,9 @@ def sample_quota(hourly: DataFrame, p: TaskParams) -> DataFrame:
 def random_extract(sessions: DataFrame, p: TaskParams) -> DataFrame:
     """The sampled sessions with the reference's output columns."""
     s = with_date_hour(sessions)
-    quota = sample_quota(hourly_counts(sessions), p).select("date", "hour", "quota")
     # at most 24 rows per day of the parameter's date range: a proven bound
-    if _days_in_range(p) * 24 <= BROADCAST_MAX_ROWS:
-        quota = F.broadcast(quota)
+    quota = bounded_broadcast(sample_quota(hourly_counts(sessions), p).select("date", "hour", "quota"),
+                              _days_in_range(p) * 24)
     order = F.md5(F.concat(F.lit(p.sample_seed), F.col("session_id")))
     w = Window.partitionBy("date", "hour").orderBy(order, F.col("session_id"))
     ranked = s.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.sample_size))
@@ -84,9 +83,7 @@ def random_extract(sessions: DataFrame, p: TaskParams) -> DataFrame:
 def session_detail(actions: DataFrame, sample: DataFrame, p: TaskParams) -> DataFrame:
     """Every action of the sampled sessions (declared-only table in the reference)."""
     # the sample holds at most sample_size sessions (per_day * days <= sample_size)
-    keep = sample.select(F.col("sessionid").alias("session_id"))
-    if p.sample_size <= BROADCAST_MAX_ROWS:
-        keep = F.broadcast(keep)
+    keep = bounded_broadcast(sample.select(F.col("sessionid").alias("session_id")), p.sample_size)
     picked = actions.join(keep, "session_id", "left_semi")
     return picked.select(
         F.lit(p.task_id).alias("taskid"),

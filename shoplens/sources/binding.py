@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.columns import DATE_FORMAT, TIME_FORMAT
-from shoplens.operators.common import sized_broadcast
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -74,7 +73,7 @@ def actions_from_events(events: DataFrame, session_mode: str = "B1", keep_event_
 
 def users_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """``customer`` (+ nation name as the user's city) -> ``user_info``."""
-    n = sized_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city")))
+    n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"))
     c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     return c.join(n, "c_nationkey", "left").select(
         F.col("c_custkey").cast("bigint").alias("user_id"),
@@ -98,7 +97,7 @@ def products_from_part(part: DataFrame) -> DataFrame:
 
 def cities_from_nation_region(nation: DataFrame, region: DataFrame) -> DataFrame:
     """``nation`` joined to ``region`` -> city dimension (city, name, area)."""
-    r = sized_broadcast(region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name"))
+    r = region.select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return nation.join(r, "n_regionkey", "left").select(
         F.col("n_nationkey").cast("bigint").alias("city_id"),
         F.col("n_name").alias("city_name"),
@@ -126,8 +125,7 @@ def ad_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
         F.col("user_id"),
         (_k() % 20).alias("adid"),
     )
-    c = sized_broadcast(cities)
-    joined = clicks.join(c, "city_id", "inner")
+    joined = clicks.join(cities, "city_id", "inner")
     return joined.select(
         F.concat_ws(
             " ",
@@ -141,26 +139,43 @@ def ad_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
 
 
 class Tables:
-    """Lazy access to the bound inputs of one test-data directory."""
+    """Lazy access to the bound inputs of one test-data directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
+    Instances are shared per (session, folder) and memoise the *plans* of the
+    bound inputs (no data is cached), so repeated queries skip re-reading
+    parquet footers and re-building the binding expressions on the driver.
+    """
+
+    _shared: dict[tuple, "Tables"] = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+        inst = cls._shared.get(key)
+        if inst is None:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst._plans = spark, sf_dir, {}
+            cls._shared[key] = inst
+        return inst
+
+    def _memo(self, key, build):
+        if key not in self._plans:
+            self._plans[key] = build()
+        return self._plans[key]
 
     def raw(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        return self._memo(("raw", name), lambda: read_table(self.spark, self.sf_dir, name))
 
     def actions(self, session_mode: str = "B1") -> DataFrame:
-        return actions_from_events(self.raw("events"), session_mode)
+        return self._memo(("actions", session_mode), lambda: actions_from_events(self.raw("events"), session_mode))
 
     def users(self) -> DataFrame:
-        return users_from_customer(self.raw("customer"), self.raw("nation"))
+        return self._memo("users", lambda: users_from_customer(self.raw("customer"), self.raw("nation")))
 
     def products(self) -> DataFrame:
-        return products_from_part(self.raw("part"))
+        return self._memo("products", lambda: products_from_part(self.raw("part")))
 
     def cities(self) -> DataFrame:
-        return cities_from_nation_region(self.raw("nation"), self.raw("region"))
+        return self._memo("cities", lambda: cities_from_nation_region(self.raw("nation"), self.raw("region")))
 
     def ad_lines(self) -> DataFrame:
-        return ad_lines_from_events(self.raw("events"), self.cities())
+        return self._memo("ad_lines", lambda: ad_lines_from_events(self.raw("events"), self.cities()))
