@@ -77,6 +77,8 @@ class TaskParams:
         def num(v):
             return None if v in (None, "") else int(v)
 
+        flow = obj.get("targetPageFlow")
+        extra = {"target_page_flow": flow} if flow else {}
         return cls(
             start_date=obj.get("startDate"),
             end_date=obj.get("endDate"),
@@ -87,5 +89,5 @@ class TaskParams:
             sex=obj.get("sex") or None,
             keywords=obj.get("keywords") or (),
             category_ids=obj.get("categoryIds") or (),
-            target_page_flow=obj.get("targetPageFlow") or (),
+            **extra,
         )
