@@ -4,7 +4,13 @@ Plan at scale: each action contributes (category, kind) entries for its click,
 its ordered ids and its paid ids; one ``inline`` expands them inside the scan
 stage and one hash aggregate with a map-side partial phase counts all three
 kinds at once, replacing the reference's three counts plus three joins. A hot
-category is therefore collapsed per task before the only exchange. The top-k
+category is therefore collapsed per task before the only exchange.
+
+For the session job the actions are first reduced to one row per (session,
+category) with click / order / pay counts (``session_category_counts``); the
+join to the filtered sessions, the category totals and the per-category
+session ranking all read that reduced table, so raw action rows are never
+shuffled for the session filter. The top-k
 categories are a ``TakeOrderedAndProject`` (k rows reach the driver side of the
 plan, nothing else). The per-category session ranking is a semi-join against
 those k ids (broadcast, bounded by k) followed by a literal-bounded
@@ -40,6 +46,61 @@ def category_events(actions: DataFrame) -> DataFrame:
     return actions.select(F.inline(entries))
 
 
+def session_category_counts(actions: DataFrame) -> DataFrame:
+    """``session_id, category_id, click_count, order_count, pay_count`` per touched pair."""
+    click = F.col("click_category_id")
+    click_arr = F.when(click.isNotNull() & (click != -1), F.array(click)).otherwise(F.array().cast("array<bigint>"))
+    entries = F.concat(
+        _entries(click_arr, CLICK),
+        _entries(X.split_ids(F.col("order_category_ids")), ORDER),
+        _entries(X.split_ids(F.col("pay_category_ids")), PAY),
+    ).cast(f"array<{_ENTRY}>")
+    k = F.col("kind")
+    return actions.select("session_id", F.inline(entries)).groupBy("session_id", "category_id").agg(
+        F.count_if(k == CLICK).alias("click_count"),
+        F.count_if(k == ORDER).alias("order_count"),
+        F.count_if(k == PAY).alias("pay_count"),
+    )
+
+
+def for_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
+    """J2 on the reduced table: keep (session, category) rows of the given sessions."""
+    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+
+
+def category_totals(counts: DataFrame) -> DataFrame:
+    """J3 from per-session counts: ``category_id, click_count, order_count, pay_count``."""
+    return counts.groupBy("category_id").agg(
+        F.sum("click_count").cast("bigint").alias("click_count"),
+        F.sum("order_count").cast("bigint").alias("order_count"),
+        F.sum("pay_count").cast("bigint").alias("pay_count"),
+    )
+
+
+def kind_totals(counts: DataFrame, kind: str) -> DataFrame:
+    """A9-A11 from per-session counts: ``category_id, n`` (categories with n > 0)."""
+    col = F.col(f"{kind}_count")
+    return counts.where(col > 0).groupBy("category_id").agg(F.sum(col).cast("bigint").alias("n"))
+
+
+def top_sessions_from_counts(counts: DataFrame, top: DataFrame, p: TaskParams) -> DataFrame:
+    """W2 from per-session counts: per top category, the k sessions with most clicks."""
+    ids = bounded_broadcast(top.select(F.col("categoryid").alias("category_id")), p.top_categories)
+    clicks = counts.where(F.col("click_count") > 0).join(ids, "category_id", "left_semi")
+    return _rank_sessions(clicks.select("category_id", "session_id", "click_count"), p)
+
+
+def _rank_sessions(counts: DataFrame, p: TaskParams) -> DataFrame:
+    w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id").asc())
+    ranked = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.top_sessions))
+    return ranked.select(
+        F.lit(p.task_id).alias("taskid"),
+        F.col("category_id").alias("categoryid"),
+        F.col("session_id").alias("sessionid"),
+        F.col("click_count").alias("clickCount"),
+    )
+
+
 def category_ids(actions: DataFrame) -> DataFrame:
     """Every category id that was clicked, ordered or paid (distinct)."""
     return category_events(actions).select("category_id").distinct()
@@ -86,11 +147,4 @@ def top_sessions(actions: DataFrame, top: DataFrame, p: TaskParams) -> DataFrame
     counts = clicks.join(ids, "category_id", "left_semi").groupBy("category_id", "session_id").agg(
         F.count(F.lit(1)).alias("click_count")
     )
-    w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id").asc())
-    ranked = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.top_sessions))
-    return ranked.select(
-        F.lit(p.task_id).alias("taskid"),
-        F.col("category_id").alias("categoryid"),
-        F.col("session_id").alias("sessionid"),
-        F.col("click_count").alias("clickCount"),
-    )
+    return _rank_sessions(counts, p)

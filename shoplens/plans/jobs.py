@@ -51,10 +51,11 @@ def session_job(actions: DataFrame, users: DataFrame, p: TaskParams, write: Writ
     sample = sampling.random_extract(filtered, p)
     write(sample, "session_random_extract")
     write(sampling.session_detail(sessions.actions_by_date(actions, p), sample, p), "session_detail")
-    fa = sessions.filtered_actions(actions, filtered, p)
-    top = categories.top_categories(categories.category_full_count(fa), p)
+    sc = categories.for_sessions(
+        categories.session_category_counts(sessions.actions_by_date(actions, p)), filtered)
+    top = categories.top_categories(categories.category_totals(sc), p)
     write(top, "top10_category")
-    write(categories.top_sessions(fa, top, p), "top10_session")
+    write(categories.top_sessions_from_counts(sc, top, p), "top10_session")
 
 
 def page_job(actions: DataFrame, p: TaskParams, write: Writer) -> None:

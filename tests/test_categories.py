@@ -36,3 +36,25 @@ def test_top_sessions_per_category(spark):
     got = [(r.categoryid, r.sessionid, r.clickCount)
            for r in C.top_sessions(acts, top, P.with_(top_sessions=3)).orderBy("categoryid", "clickCount").collect()]
     assert sorted(got) == sorted([(c, s, n) for c in (1, 2) for s, n in (("s2", 3), ("s3", 3), ("s4", 2))])
+
+
+def test_reduced_path_equals_action_path(spark):
+    import random
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        kind = rnd.randrange(4)
+        rows.append(dict(session_id=f"s{rnd.randrange(30)}",
+                         click_category_id=rnd.randrange(8) if kind == 0 else -1,
+                         order_category_ids=f"{rnd.randrange(8)},{rnd.randrange(8)}" if kind == 1 else None,
+                         pay_category_ids=str(rnd.randrange(8)) if kind == 2 else None))
+    acts = actions_df(spark, rows)
+    keep = acts.select("session_id").distinct().where(F.col("session_id") < "s2")
+    sc = C.for_sessions(C.session_category_counts(acts), keep)
+    fa = acts.join(keep, "session_id", "left_semi")
+    assert sorted(C.category_totals(sc).collect()) == sorted(C.category_full_count(fa).collect())
+    for kind in ("click", "order", "pay"):
+        assert sorted(C.kind_totals(sc, kind).collect()) == sorted(C.category_kind_count(fa, kind).collect())
+    top = C.top_categories(C.category_totals(sc), P)
+    assert sorted(C.top_sessions_from_counts(sc, top, P).collect()) == sorted(C.top_sessions(fa, top, P).collect())
