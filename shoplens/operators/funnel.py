@@ -54,21 +54,28 @@ def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
     ).withColumn("slice", F.floor(F.col("t") / width))
 
     w = Window.partitionBy("session_id", "slice").orderBy("t", "tie")
-    nxt = F.lead(F.struct(F.col("page_id").alias("p"))).over(w)
-    inner = a.select("session_id", F.col("page_id").alias("from_page"), nxt.alias("nxt")).where(
-        F.col("nxt").isNotNull()
+    win = a.select(
+        "session_id",
+        "slice",
+        "page_id",
+        F.lead(F.struct(F.col("page_id").alias("p"))).over(w).alias("nxt"),
+        F.row_number().over(w).alias("rn"),
     )
-
-    key = F.struct("t", "tie")
-    ends = a.groupBy("session_id", "slice").agg(
-        F.min_by("page_id", key).alias("first_page"), F.max_by("page_id", key).alias("last_page")
+    inner = win.where(F.col("nxt").isNotNull()).select(
+        "session_id", F.col("page_id").alias("from_page"), F.col("nxt.p").alias("to_page")
+    )
+    # first and last page of every slice, from the same windowed pass (the
+    # aggregate keeps the (session, slice) partitioning: no extra exchange)
+    edges = win.where((F.col("rn") == 1) | F.col("nxt").isNull()).groupBy("session_id", "slice").agg(
+        F.first(F.when(F.col("rn") == 1, F.col("page_id")), ignorenulls=True).alias("first_page"),
+        F.first(F.when(F.col("nxt").isNull(), F.col("page_id")), ignorenulls=True).alias("last_page"),
     )
-    w2 = Window.partitionBy("session_id").orderBy("slice")
+    w2 = Window.partitionBy("session_id").orderBy("slice")  # one row per slice
     nxt2 = F.lead(F.struct(F.col("first_page").alias("p"))).over(w2)
-    cross = ends.select("session_id", F.col("last_page").alias("from_page"), nxt2.alias("nxt")).where(
+    cross = edges.select("session_id", F.col("last_page").alias("from_page"), nxt2.alias("nxt")).where(
         F.col("nxt").isNotNull()
-    )
-    return inner.unionByName(cross).select("session_id", "from_page", F.col("nxt.p").alias("to_page"))
+    ).select("session_id", "from_page", F.col("nxt.p").alias("to_page"))
+    return inner.unionByName(cross)
 
 
 def page_pair_count(pairs: DataFrame, steps: DataFrame, steps_bound: int = 1000) -> DataFrame:
