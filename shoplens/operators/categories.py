@@ -31,32 +31,29 @@ _ENTRY = "struct<category_id:bigint,kind:int>"
 
 
 def _entries(ids, kind: int):
-    return F.transform(ids, lambda c: F.struct(c.alias("category_id"), F.lit(kind).alias("kind")))
+    # (id, kind) pairs without a lambda, so the expression stays in generated code
+    return F.arrays_zip(ids, F.array_repeat(F.lit(kind), F.size(ids))).cast(f"array<{_ENTRY}>")
 
 
-def category_events(actions: DataFrame) -> DataFrame:
-    """One row per (action, touched category, kind): clicks, orders and payments."""
+def _all_entries():
     click = F.col("click_category_id")
     click_arr = F.when(click.isNotNull() & (click != -1), F.array(click)).otherwise(F.array().cast("array<bigint>"))
-    entries = F.concat(
+    return F.concat(
         _entries(click_arr, CLICK),
         _entries(X.split_ids(F.col("order_category_ids")), ORDER),
         _entries(X.split_ids(F.col("pay_category_ids")), PAY),
-    ).cast(f"array<{_ENTRY}>")
-    return actions.select(F.inline(entries))
+    )
+
+
+def category_events(actions: DataFrame) -> DataFrame:
+    """One row per (action, touched category, kind): clicks, orders and payments."""
+    return actions.select(F.inline(_all_entries()))
 
 
 def session_category_counts(actions: DataFrame) -> DataFrame:
     """``session_id, category_id, click_count, order_count, pay_count`` per touched pair."""
-    click = F.col("click_category_id")
-    click_arr = F.when(click.isNotNull() & (click != -1), F.array(click)).otherwise(F.array().cast("array<bigint>"))
-    entries = F.concat(
-        _entries(click_arr, CLICK),
-        _entries(X.split_ids(F.col("order_category_ids")), ORDER),
-        _entries(X.split_ids(F.col("pay_category_ids")), PAY),
-    ).cast(f"array<{_ENTRY}>")
     k = F.col("kind")
-    return actions.select("session_id", F.inline(entries)).groupBy("session_id", "category_id").agg(
+    return actions.select("session_id", F.inline(_all_entries())).groupBy("session_id", "category_id").agg(
         F.count_if(k == CLICK).alias("click_count"),
         F.count_if(k == ORDER).alias("order_count"),
         F.count_if(k == PAY).alias("pay_count"),
