@@ -78,7 +78,9 @@ def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shoplens.plans.jobs")
     ap.add_argument("job", choices=["session", "page", "area", "ads"])
-    ap.add_argument("--input", required=True, help="folder with the driver's parquet tables")
+    ap.add_argument("--input", help="folder with the driver's parquet tables (test binding)")
+    ap.add_argument("--catalog", action="store_true",
+                    help="read catalog tables user_visit_action, user_info, product_info, city_info, ad_log")
     ap.add_argument("--output", required=True, help="result folder (shared storage)")
     ap.add_argument("--params", default="{}", help="task parameters as JSON (reference keys)")
     ap.add_argument("--task-id", default="task")
@@ -87,16 +89,25 @@ def main(argv: list[str] | None = None) -> None:
     existing = SparkSession.getActiveSession()
     spark: SparkSession = existing or get_session(a.master)
     p = TaskParams.from_json(json.loads(a.params)).with_(task_id=a.task_id)
-    t = Tables(spark, a.input)
     write = path_writer(a.output)
+    if a.catalog:
+        actions, users = spark.table("user_visit_action"), (lambda: spark.table("user_info"))
+        products, cities = (lambda: spark.table("product_info")), (lambda: spark.table("city_info"))
+        lines, levels = (lambda: spark.table("ad_log")), None
+    else:
+        if not a.input:
+            ap.error("--input or --catalog is required")
+        t = Tables(spark, a.input)
+        actions, users, products, cities, lines = t.actions(), t.users, t.products, t.cities, t.ad_lines
+        levels = TESTDATA_AREA_LEVELS
     if a.job == "session":
-        session_job(t.actions(), t.users(), p, write)
+        session_job(actions, users(), p, write)
     elif a.job == "page":
-        page_job(t.actions(), p, write)
+        page_job(actions, p, write)
     elif a.job == "area":
-        area_job(t.actions(), t.cities(), t.products(), p, write, TESTDATA_AREA_LEVELS)
+        area_job(actions, cities(), products(), p, write, levels)
     else:
-        ad_batch_job(t.ad_lines(), p, write)
+        ad_batch_job(lines(), p, write)
     if existing is None:
         spark.stop()
 

@@ -44,3 +44,18 @@ def register_views(views: dict[str, DataFrame]) -> None:
     """K8: expose intermediate results to SQL as temporary views."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
+
+
+def save_bucketed_actions(df: DataFrame, table: str, num_buckets: int, partition_by_date: bool = True) -> None:
+    """K7 for the action log, laid out for the session jobs.
+
+    Partitioning by ``date`` lets the date-range scan prune whole folders;
+    bucketing and sorting by ``session_id`` co-locates every session, so the
+    profile aggregate, the per-(session, category) counts and the joins on
+    ``session_id`` read already-clustered buckets instead of shuffling the log
+    (``spark.sql.sources.bucketing.enabled``, on by default).
+    """
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by_date:
+        w = w.partitionBy("date")
+    w.bucketBy(int(num_buckets), "session_id").sortBy("session_id").saveAsTable(table)
