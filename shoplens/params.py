@@ -45,6 +45,9 @@ class TaskParams:
     blacklist_threshold: int = 100
     trend_window: str = "1 minute"
     watermark_delay: str = "10 minutes"
+    # partitions of the streaming state store (fixed at the first start of a
+    # checkpoint); None keeps spark.sql.shuffle.partitions
+    stream_state_partitions: int | None = None
     # funnel: width in seconds of the time slices that split one session's
     # ordered actions over several tasks (see operators.funnel)
     pair_slice_seconds: int = 3600

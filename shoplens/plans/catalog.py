@@ -285,7 +285,8 @@ def _stream_out(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAM_RUNS:
         base = shared_dir(spark, "ad_stream")
-        ad_stream.run_available_now(lambda: ad_stream.testdata_lines(spark, sf_dir), f"{base}/out", f"{base}/ckpt", P)
+        p = P.with_(stream_state_partitions=spark.sparkContext.defaultParallelism)
+        ad_stream.run_available_now(lambda: ad_stream.testdata_lines(spark, sf_dir), f"{base}/out", f"{base}/ckpt", p)
         _STREAM_RUNS[key] = f"{base}/out"
     return _STREAM_RUNS[key]
 

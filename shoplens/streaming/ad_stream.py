@@ -116,7 +116,26 @@ def start_counts(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPar
         _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id)
 
     w = counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/counts")
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    return _start_with_state_partitions(w, lines.sparkSession, p.stream_state_partitions)
+
+
+def _start_with_state_partitions(writer, spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` state partitions.
+
+    The number of state-store partitions is taken from
+    ``spark.sql.shuffle.partitions`` when a checkpoint is first started and is
+    fixed afterwards, so it is set only for the start call and restored.
+    """
+    if not n:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
 
 
 def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskParams, trigger: dict | None = None):

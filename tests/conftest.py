@@ -11,10 +11,10 @@ from shoplens.spark import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="shoplens-test-ckpt-")
+    # spark.checkpoint.dir comes from the environment's defaults when set;
+    # shoplens.spark.shared_dir sets a temporary one only when it is unset
     s = get_session("local[4]", shuffle_partitions=4, app_name="shoplens-tests",
-                    extra_conf={"spark.checkpoint.dir": ckpt,
-                                "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-wh-")})
+                    extra_conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="shoplens-wh-")})
     yield s
     s.stop()
 
