@@ -6,7 +6,10 @@ holds a large share of all actions) into a single task, so the order is split
 by time slices: ``lead`` runs per (session, slice) and the pairs that cross a
 slice boundary come from a second, much smaller window over one row per
 (session, slice) holding the slice's first and last page. The union is exactly
-the set of consecutive pairs of the whole session.
+the set of consecutive pairs of the whole session. With the default 10-minute
+slices, the first window's largest group is one session's actions within ten
+minutes and the second window holds at most 144 rows per session and day, so
+both are bounded by time rather than by data volume.
 
 Counting joins the pairs to the target steps (a parameter-sized table,
 broadcast) and aggregates with a map-side partial phase; the rate chain runs on

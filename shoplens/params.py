@@ -50,7 +50,7 @@ class TaskParams:
     stream_state_partitions: int | None = None
     # funnel: width in seconds of the time slices that split one session's
     # ordered actions over several tasks (see operators.funnel)
-    pair_slice_seconds: int = 3600
+    pair_slice_seconds: int = 600
     task_id: str = "task"
     extra: dict = field(default_factory=dict)
 
