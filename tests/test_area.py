@@ -24,3 +24,15 @@ def test_city_list_and_status(spark):
     got = sorted((r.area, r.areaLevel, r.productid, r.clickCount, r.productStatus) for r in top)
     assert got == sorted([("华北", "A_Level", 7, 3, "Self"), ("华北", "A_Level", 8, 3, "Third Party"),
                           ("东北", "D_Level", 10, 1, "Third Party")])
+
+
+def test_reference_city_dimension_and_defaults(spark):
+    from shoplens.functions import columns as X
+    from shoplens.sources.dimensions import reference_cities, reference_params
+    cities = reference_cities(spark)
+    levels = {r.city_id: r.lvl for r in cities.select("city_id", X.area_level("area").alias("lvl")).collect()}
+    assert levels == {0: "A_Level", 1: "A_Level", 2: "A_Level", 3: "B_Level", 4: "B_Level", 5: "B_Level",
+                      6: "B_Level", 7: "C_Level", 8: "C_Level", 9: "D_Level"}
+    p = reference_params()
+    assert (p.start_date, p.end_date, p.start_age, p.end_age) == ("2018-06-01", "2019-06-30", 20, 50)
+    assert p.target_page_flow == (1, 2, 3, 4, 5, 6, 7) and not p.professionals and p.sex is None
