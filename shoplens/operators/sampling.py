@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.common import bounded_broadcast
+from shoplens.operators.sessions import session_profile
 from shoplens.params import TaskParams
 
 
@@ -61,9 +62,16 @@ def sample_quota(hourly: DataFrame, p: TaskParams) -> DataFrame:
     return q.select("date", "hour", n, F.least(F.col("base"), n).cast("bigint").alias("quota"))
 
 
-def random_extract(sessions: DataFrame, p: TaskParams) -> DataFrame:
-    """The sampled sessions with the reference's output columns."""
-    s = with_date_hour(sessions)
+def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None = None) -> DataFrame:
+    """The sampled sessions with the reference's output columns.
+
+    With ``actions`` (the date-range actions the sessions were built from),
+    the draw runs on the lean ``(session_id, start_time)`` rows and the keyword
+    and category lists are built only for the picked sessions, from their own
+    actions; without it they are read from ``sessions``.
+    """
+    lean = actions is not None
+    s = with_date_hour(sessions.select("session_id", "start_time") if lean else sessions)
     # at most 24 rows per day of the parameter's date range: a proven bound
     quota = bounded_broadcast(sample_quota(hourly_counts(sessions), p).select("date", "hour", "quota"),
                               _days_in_range(p) * 24)
@@ -71,6 +79,11 @@ def random_extract(sessions: DataFrame, p: TaskParams) -> DataFrame:
     w = Window.partitionBy("date", "hour").orderBy(order, F.col("session_id"))
     ranked = s.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.sample_size))
     picked = ranked.join(quota, ["date", "hour"], "inner").where(F.col("rn") <= F.col("quota"))
+    if lean:
+        ids = bounded_broadcast(picked.select("session_id"), p.sample_size)  # at most sample_size rows
+        lists = session_profile(actions.join(ids, "session_id", "left_semi")).select(
+            "session_id", "search_keywords", "click_category_ids")
+        picked = picked.select("session_id", "start_time").join(lists, "session_id", "inner")
     return picked.select(
         F.lit(p.task_id).alias("taskid"),
         F.col("session_id").alias("sessionid"),

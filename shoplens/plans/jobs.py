@@ -48,7 +48,7 @@ def session_job(actions: DataFrame, users: DataFrame, p: TaskParams, write: Writ
     """Profile -> filter -> statistics, sample, top categories and top sessions."""
     filtered = _reliable(sessions.filtered_sessions(actions, users, p))
     write(sessions.session_aggr_stat(filtered, p), "session_aggr_stat")
-    sample = sampling.random_extract(filtered, p)
+    sample = sampling.random_extract(filtered, p, sessions.actions_by_date(actions, p))
     write(sample, "session_random_extract")
     write(sampling.session_detail(sessions.actions_by_date(actions, p), sample, p), "session_detail")
     sc = categories.for_sessions(

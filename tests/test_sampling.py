@@ -64,3 +64,20 @@ def test_session_detail(spark):
                                    "clickCategoryIds string")
     d = SM.session_detail(acts, sample, TaskParams(task_id="t")).collect()
     assert len(d) == 2 and {r.sessionid for r in d} == {"s1"}
+
+
+def test_lean_extract_equals_full_profile_extract(spark):
+    from shoplens.operators import sessions as S
+    from shoplens.plans.defaults import QUERY_PARAMS as QP
+    from shoplens.sources.binding import Tables
+    t = Tables(spark, "/root/testdata/sf0.01")
+    p = QP.with_(allocation="largest_remainder")
+    acts = S.actions_by_date(t.actions(), p)
+    fs = S.filtered_sessions(t.actions(), t.users(), p)
+    lean = SM.random_extract(fs, p, acts)
+    full = SM.random_extract(fs, p)
+    assert sorted(lean.collect()) == sorted(full.collect())
+    plan = lean._jdf.queryExecution().executedPlan().toString()
+    # the profile of all sessions carries no keyword / category sets
+    full_profile = [ln for ln in plan.splitlines() if "partial_min(user_id" in ln]
+    assert full_profile and not any("collect_set" in ln for ln in full_profile)
