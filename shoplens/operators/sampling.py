@@ -65,10 +65,12 @@ def sample_quota(hourly: DataFrame, p: TaskParams) -> DataFrame:
 def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None = None) -> DataFrame:
     """The sampled sessions with the reference's output columns.
 
-    With ``actions`` (the date-range actions the sessions were built from),
-    the draw runs on the lean ``(session_id, start_time)`` rows and the keyword
-    and category lists are built only for the picked sessions, from their own
-    actions; without it they are read from ``sessions``.
+    By default the lists are read from ``sessions`` (one scan of the log builds
+    them with the profile). With ``actions`` (the date-range actions the
+    sessions were built from) the draw runs on lean ``(session_id,
+    start_time)`` rows and the lists are built only for the picked sessions;
+    that costs a second scan of the log, so it pays off only when the
+    sessions arrive without lists (e.g. a stored lean profile table).
     """
     lean = actions is not None
     s = with_date_hour(sessions.select("session_id", "start_time") if lean else sessions)

@@ -172,7 +172,7 @@ def q_session_sample_quota_lr(spark, sf_dir):
 
 
 def _extract(spark, sf_dir, p):
-    return sampling.random_extract(_filtered(spark, sf_dir, p), p, _range_actions(spark, sf_dir))
+    return sampling.random_extract(_filtered(spark, sf_dir, p), p)
 
 
 @register("session_random_extract")
