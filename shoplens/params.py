@@ -48,6 +48,8 @@ class TaskParams:
     # partitions of the streaming state store (fixed at the first start of a
     # checkpoint); None keeps spark.sql.shuffle.partitions
     stream_state_partitions: int | None = None
+    # files per result table per micro-batch (avoids one file per shuffle partition)
+    stream_output_files: int = 4
     # funnel: width in seconds of the time slices that split one session's
     # ordered actions over several tasks (see operators.funnel)
     pair_slice_seconds: int = 600

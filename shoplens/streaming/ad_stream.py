@@ -73,8 +73,9 @@ def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str, group_i
 
 
 # ------------------------------------------------------------------ sinks
-def _write_batch(df: DataFrame, out_dir: str, table: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{out_dir}/{table}/batch_id={batch_id}")
+def _write_batch(df: DataFrame, out_dir: str, table: str, batch_id: int, files: int = 4) -> None:
+    """Overwrite this batch's own folder (idempotent on retry) with few files."""
+    df.coalesce(max(int(files), 1)).write.mode("overwrite").parquet(f"{out_dir}/{table}/batch_id={batch_id}")
 
 
 def _read(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
@@ -112,8 +113,8 @@ def start_counts(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPar
               .select(F.date_format(F.col("day.start"), "yyyyMMdd").alias("date"), "userid", "adid", "clickCount"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, out_dir, COUNTS, batch_id)
-        _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id)
+        _write_batch(batch, out_dir, COUNTS, batch_id, p.stream_output_files)
+        _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id, 1)
 
     w = counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/counts")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -146,8 +147,8 @@ def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPara
     def sink(batch: DataFrame, batch_id: int) -> None:
         black = _read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA)
         clean = ads.clean_clicks(batch, black)
-        _write_batch(ads.ad_stat(clean), out_dir, STAT, batch_id)
-        _write_batch(ads.click_trend(clean), out_dir, TREND, batch_id)
+        _write_batch(ads.ad_stat(clean), out_dir, STAT, batch_id, p.stream_output_files)
+        _write_batch(ads.click_trend(clean), out_dir, TREND, batch_id, p.stream_output_files)
 
     w = clicks.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/stats")
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
