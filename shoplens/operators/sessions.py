@@ -107,9 +107,9 @@ def session_predicates(p: TaskParams) -> list[Column]:
     if p.start_age is not None and p.end_age is not None:
         preds.append(F.col("age").between(int(p.start_age), int(p.end_age)))
     if p.professionals:
-        preds.append(F.col("professional").isin(list(p.professionals)))
+        preds.append(_csv_overlap("professional", p.professionals))
     if p.cities:
-        preds.append(F.col("city").isin(list(p.cities)))
+        preds.append(_csv_overlap("city", p.cities))
     if p.sex:
         preds.append(F.col("sex") == F.lit(p.sex))
     if p.keywords:
@@ -121,6 +121,14 @@ def session_predicates(p: TaskParams) -> list[Column]:
     return preds
 
 
+def _csv_overlap(col: str, values) -> Column:
+    """F3 on a scalar field: the field, read as a CSV list, shares a value with
+    the parameter list; NULL and ``-1`` data fail."""
+    c = F.col(col)
+    wanted = F.array(*[F.lit(str(v)) for v in values])
+    return F.coalesce(c.isNotNull() & (c != "-1") & F.arrays_overlap(F.split(c, ","), wanted), F.lit(False))
+
+
 def filter_sessions(full_info: DataFrame, p: TaskParams) -> DataFrame:
     """sessions that pass every set predicate."""
     preds = session_predicates(p)

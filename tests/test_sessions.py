@@ -119,3 +119,13 @@ def test_missing_date_raises(spark):
     acts = actions_df(spark, [dict()])
     with pytest.raises(ValueError):
         S.actions_by_date(acts, TaskParams())
+
+
+def test_member_filter_reads_data_as_csv(spark):
+    acts = actions_df(spark, [dict(session_id="a", user_id=1), dict(session_id="b", user_id=2),
+                              dict(session_id="c", user_id=3)])
+    users = users_df(spark, [dict(user_id=1, professional="dev,ops"), dict(user_id=2, professional="-1"),
+                             dict(user_id=3, professional="qa")])
+    full = S.session_full_info(S.session_profile(acts), users)
+    assert ids(S.filter_sessions(full, P.with_(professionals="ops,qa"))) == ["a", "c"]
+    assert ids(S.filter_sessions(full, P.with_(professionals="-1"))) == []
