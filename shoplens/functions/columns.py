@@ -138,27 +138,34 @@ def pad2(c) -> Column:
     return F.lpad(_c(c), 2, "0")
 
 
+def _re_quote(text: str) -> str:
+    """Quote literal text for a Java regular expression."""
+    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\/-" else ch for ch in text)
+
+
 def packed_field(c, field: str, delimiter: str = "|") -> Column:
     """Value of ``field`` in ``k=v<delim>k=v``; the first well-formed match wins.
 
     A part matches when it splits on ``=`` into exactly two pieces, the key
-    equals ``field`` and the value is not empty; otherwise NULL.
+    equals ``field`` and the value is not empty; otherwise NULL. Written as one
+    regular expression so it stays in generated code.
     """
-    parts = F.split(_c(c), "\\" + delimiter if delimiter in "|.^$*+?()[]{}\\" else delimiter)
-    kvs = F.transform(parts, lambda p: F.split(p, "="))
-    hits = F.filter(kvs, lambda kv: (F.size(kv) == 2) & (F.get(kv, 0) == F.lit(field)) & (F.get(kv, 1) != ""))
-    return F.get(F.get(hits, 0), 1)
+    d, f = _re_quote(delimiter), _re_quote(field)
+    pattern = f"(?:^|{d}){f}=([^={d}]+)(?={d}|$)"
+    return F.nullif(F.regexp_extract(_c(c), pattern, 1), F.lit(""))
 
 
 def set_packed_field(c, field: str, value, delimiter: str = "|") -> Column:
-    """Replace the value of every part keyed ``field``; order of parts kept."""
-    value = value if isinstance(value, Column) else F.lit(str(value))
-    parts = F.split(_c(c), "\\" + delimiter if delimiter in "|.^$*+?()[]{}\\" else delimiter)
-    replaced = F.transform(
-        parts,
-        lambda p: F.when(F.get(F.split(p, "="), 0) == F.lit(field), F.concat(F.lit(field + "="), value)).otherwise(p),
-    )
-    return F.array_join(replaced, delimiter)
+    """Replace the value of every part keyed ``field``; order of parts kept.
+
+    A part is keyed ``field`` when the text before its first ``=`` (or the
+    whole part) equals ``field``.
+    """
+    d, f = _re_quote(delimiter), _re_quote(field)
+    if isinstance(value, Column):
+        raise TypeError("set_packed_field takes a literal value")
+    repl = (field + "=" + str(value)).replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(_c(c), f"(^|{d}){f}(?:=[^{d}]*)?(?={d}|$)", "$1" + repl)
 
 
 def split_ids(c) -> Column:

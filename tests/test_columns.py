@@ -95,3 +95,14 @@ def test_group_concat_distinct(spark):
     df = spark.createDataFrame(rows, "g string, id long, name string")
     got = df.groupBy("g").agg(X.group_concat_distinct(X.concat_long_string("id", "name", ":")).alias("v")).first().v
     assert got == "20:Y,5:X"  # string order, NULL names skipped
+
+
+def test_packed_field_quotes_special_characters(spark):
+    df = spark.createDataFrame([("axb=2|a.b=1",)], "x string")
+    r = df.select(X.packed_field("x", "a.b").alias("v"), X.set_packed_field("x", "a.b", "$9\\z").alias("w")).first()
+    assert r.v == "1"
+    assert r.w == "axb=2|a.b=$9\\z"
+    alt = spark.createDataFrame([("k:1;j:2",)], "x string")
+    assert alt.select(X.packed_field("x", "j", ";")).first()[0] is None  # '=' is the key separator
+    semi = spark.createDataFrame([("k=1;j=2",)], "x string")
+    assert semi.select(X.packed_field("x", "j", ";")).first()[0] == "2"
