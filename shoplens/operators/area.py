@@ -66,12 +66,15 @@ def area_product_info(counts: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def area_top_products(info: DataFrame, p: TaskParams,
-                      levels: Mapping[str, Sequence[str]] = X.REFERENCE_AREA_LEVELS) -> DataFrame:
-    """W1 + F12 + X19: top-k products per area by clicks (ties: lower pid first)."""
+def _top_k_per_area(df: DataFrame, p: TaskParams) -> DataFrame:
+    """W1 + F12: ``row_number`` per area by clicks (ties: lower pid first), ``rn <= k``."""
     w = Window.partitionBy("area").orderBy(F.col("click_count").desc(), F.col("pid").asc())
-    ranked = info.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= p.top_products)
-    return ranked.select(
+    return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= p.top_products).drop("rn")
+
+
+def _present(top: DataFrame, p: TaskParams, levels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """X19 + P2: output columns of the area result table."""
+    return top.select(
         F.lit(p.task_id).alias("taskid"),
         F.col("area"),
         X.area_level(F.col("area"), levels).alias("areaLevel"),
@@ -83,8 +86,21 @@ def area_top_products(info: DataFrame, p: TaskParams,
     )
 
 
+def area_top_products(info: DataFrame, p: TaskParams,
+                      levels: Mapping[str, Sequence[str]] = X.REFERENCE_AREA_LEVELS) -> DataFrame:
+    """W1 + F12 + X19: top-k products per area by clicks from joined product info."""
+    return _present(_top_k_per_area(info, p), p, levels)
+
+
 def area_top3_job(actions: DataFrame, cities: DataFrame, products: DataFrame, p: TaskParams,
                   levels: Mapping[str, Sequence[str]] = X.REFERENCE_AREA_LEVELS) -> DataFrame:
-    """The whole area job as one lazy plan."""
+    """The whole area job as one lazy plan.
+
+    Only products that exist take part in the ranking (a semi-join on the
+    product key, one narrow column); names and status are then joined for the
+    k rows per area alone, so the product dimension is never joined to every
+    (area, product) count. ``product_id`` is the product key.
+    """
     counts = area_product_click_count(product_clicks(actions, p), cities)
-    return area_top_products(area_product_info(counts, products), p, levels)
+    known = counts.join(products.select(F.col("product_id").alias("pid")), "pid", "left_semi")
+    return _present(area_product_info(_top_k_per_area(known, p), products), p, levels)
