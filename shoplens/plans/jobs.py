@@ -72,9 +72,21 @@ def area_job(actions: DataFrame, cities: DataFrame, products: DataFrame, p: Task
 
 
 def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
-    for name, df in ads.ad_tables(lines, p).items():
-        if name not in ("ad_log_parse", "ad_clean_clicks"):
-            write(df.withColumn("taskid", F.lit(p.task_id)), name)
+    """T3-T8 in batch: parsed clicks, blacklist and statistics each feed several
+    results, so each is materialised once in the shared checkpoint folder."""
+    def out(df: DataFrame, name: str) -> None:
+        write(df.withColumn("taskid", F.lit(p.task_id)), name)
+
+    clicks = _reliable(ads.parse_ad_lines(lines))
+    counts = ads.user_click_count(clicks)
+    out(counts, "ad_user_click_count")
+    black = _reliable(ads.blacklist(counts, p))
+    out(black, "ad_blacklist")
+    clean = ads.clean_clicks(clicks, black)
+    stat = _reliable(ads.ad_stat(clean))
+    out(stat, "ad_stat")
+    out(ads.province_top(stat, p), "ad_province_top3")
+    out(ads.click_trend(clean), "ad_click_trend")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -24,3 +24,11 @@ def test_session_job_matches_queries(spark, tmp_dir):
     jobs.session_job(t.actions(), t.users(), P, lambda df, name: got.__setitem__(name, df.collect()))
     assert sorted(got["top10_category"]) == sorted(QUERIES["top10_category"](spark, SF).collect())
     assert sorted(got["top10_session"]) == sorted(QUERIES["top10_session"](spark, SF).collect())
+
+
+def test_ad_batch_job_matches_queries(spark):
+    from shoplens.sources.binding import Tables
+    got = {}
+    jobs.ad_batch_job(Tables(spark, SF).ad_lines(), P, lambda df, name: got.__setitem__(name, df.drop("taskid").collect()))
+    for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
+        assert sorted(got[name]) == sorted(QUERIES[name](spark, SF).collect()), name
