@@ -82,11 +82,18 @@ def province_top(stat: DataFrame, p: TaskParams) -> DataFrame:
     return ranked.select("date", "province", "adid", "clickCount")
 
 
-def click_trend(clean: DataFrame) -> DataFrame:
-    """``date, hour, minute, adid, clickCount`` per minute of event time."""
-    return with_time_keys(clean).groupBy("date", "hour", "minute", "adid").agg(
-        F.count(F.lit(1)).alias("clickCount")
+def click_trend(clean: DataFrame, p: TaskParams | None = None) -> DataFrame:
+    """``date, hour, minute, adid, clickCount`` per tumbling event-time window
+    of ``trend_window`` (default one minute), keyed by the window's start."""
+    width = p.trend_window if p is not None else "1 minute"
+    start = F.window(F.timestamp_millis(F.col("ts_ms")), width).start
+    keyed = clean.select(
+        "adid",
+        F.date_format(start, "yyyyMMdd").alias("date"),
+        F.date_format(start, "HH").alias("hour"),
+        F.date_format(start, "mm").alias("minute"),
     )
+    return keyed.groupBy("date", "hour", "minute", "adid").agg(F.count(F.lit(1)).alias("clickCount"))
 
 
 def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
@@ -103,5 +110,5 @@ def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
         "ad_clean_clicks": clean,
         "ad_stat": stat,
         "ad_province_top3": province_top(stat, p),
-        "ad_click_trend": click_trend(clean),
+        "ad_click_trend": click_trend(clean, p),
     }

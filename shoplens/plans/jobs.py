@@ -86,7 +86,7 @@ def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
     stat = _reliable(ads.ad_stat(clean))
     out(stat, "ad_stat")
     out(ads.province_top(stat, p), "ad_province_top3")
-    out(ads.click_trend(clean), "ad_click_trend")
+    out(ads.click_trend(clean, p), "ad_click_trend")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -148,7 +148,7 @@ def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPara
         black = _read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA)
         clean = ads.clean_clicks(batch, black)
         _write_batch(ads.ad_stat(clean), out_dir, STAT, batch_id, p.stream_output_files)
-        _write_batch(ads.click_trend(clean), out_dir, TREND, batch_id, p.stream_output_files)
+        _write_batch(ads.click_trend(clean, p), out_dir, TREND, batch_id, p.stream_output_files)
 
     w = clicks.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/stats")
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()

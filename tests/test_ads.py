@@ -93,3 +93,11 @@ def test_testdata_stream_source(spark, tmp_dir):
     n = spark.sql("SELECT count(*) FROM adlines_probe").first()[0]
     ev = spark.read.parquet(f"{sf}/events.parquet").where("event_type = 'click'").count()
     assert n == ev > 0
+
+
+def test_trend_window_width(spark):
+    clicks = AD.parse_ad_lines(lines_df(spark, [line(DAY + s * 1000, ad=1) for s in (0, 59, 60, 299, 300)]))
+    one = {(r.hour, r.minute): r.clickCount for r in AD.click_trend(clicks, P).collect()}
+    assert one == {("12", "00"): 2, ("12", "01"): 1, ("12", "04"): 1, ("12", "05"): 1}
+    five = {(r.hour, r.minute): r.clickCount for r in AD.click_trend(clicks, P.with_(trend_window="5 minutes")).collect()}
+    assert five == {("12", "00"): 4, ("12", "05"): 1}
