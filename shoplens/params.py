@@ -8,7 +8,7 @@ An empty value (``None``, ``""`` or an empty list) means "no filter".
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Sequence
 
 
@@ -54,7 +54,6 @@ class TaskParams:
     # ordered actions over several tasks (see operators.funnel)
     pair_slice_seconds: int = 600
     task_id: str = "task"
-    extra: dict = field(default_factory=dict)
 
     def __post_init__(self):
         object.__setattr__(self, "professionals", _clean_list(self.professionals))
