@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import ads, area, categories, funnel, sampling, sessions
+from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
 from shoplens.sinks import write_task_result
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
@@ -47,7 +48,7 @@ def _reliable(df: DataFrame) -> DataFrame:
 
 def session_job(actions: DataFrame, users: DataFrame, p: TaskParams, write: Writer) -> None:
     """Profile -> filter -> statistics, sample, top categories and top sessions."""
-    filtered = _reliable(sessions.filtered_sessions(actions, users, p))
+    filtered = broadcast_if_small(_reliable(sessions.filtered_sessions(actions, users, p)))
     write(sessions.session_aggr_stat(filtered, p), "session_aggr_stat")
     sample = sampling.random_extract(filtered, p)
     write(sample, "session_random_extract")
@@ -80,7 +81,7 @@ def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
     clicks = _reliable(ads.parse_ad_lines(lines))
     counts = ads.user_click_count(clicks)
     out(counts, "ad_user_click_count")
-    black = _reliable(ads.blacklist(counts, p))
+    black = broadcast_if_small(_reliable(ads.blacklist(counts, p)))
     out(black, "ad_blacklist")
     clean = ads.clean_clicks(clicks, black)
     stat = _reliable(ads.ad_stat(clean))

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.operators import ads
+from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
 from shoplens.sources.binding import ad_lines_from_events, cities_from_nation_region, read_table
 
@@ -145,7 +146,9 @@ def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPara
     clicks = ads.parse_ad_lines(lines)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        black = _read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA)
+        # the stored list is counted from parquet metadata (duplicate ids do not
+        # change an anti-join); broadcast while small
+        black = broadcast_if_small(_read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA))
         clean = ads.clean_clicks(batch, black)
         _write_batch(ads.ad_stat(clean), out_dir, STAT, batch_id, p.stream_output_files)
         _write_batch(ads.click_trend(clean, p), out_dir, TREND, batch_id, p.stream_output_files)
