@@ -31,17 +31,19 @@ class TaskParams:
     sex: str | None = None
     keywords: Sequence[str] = ()
     category_ids: Sequence[int] = ()
+    # Fixed values (the reference's defaults): page flow 1..7, 100 sampled
+    # sessions, top 10 categories, top 10 sessions per category, top 3 products
+    # per area, floor quota allocation; the top 3 ads follow the result name.
     target_page_flow: Sequence[int] = (1, 2, 3, 4, 5, 6, 7)
-    # sampling
     sample_size: int = 100
-    sample_seed: str = "shoplens"
-    allocation: str = "floor"  # or "largest_remainder"
-    # top-k sizes
     top_categories: int = 10
     top_sessions: int = 10
     top_products: int = 3
     top_ads: int = 3
-    # ad stream
+    allocation: str = "floor"  # or "largest_remainder"
+    # our own: seed of the reproducible hash order used for sampling
+    sample_seed: str = "shoplens"
+    # ad stream (no reference values exist: these are parameters of ours)
     blacklist_threshold: int = 100
     trend_window: str = "1 minute"
     watermark_delay: str = "10 minutes"
