@@ -1,14 +1,16 @@
 """Top products per area.
 
 Plan at scale: the click scan is pruned to two columns with the date and
-``click_product_id != -1`` predicates pushed into the parquet reader; clicks
-are reduced per (city, product) with a map-side partial aggregate before the
-only exchange of raw data, so a hot product is collapsed inside each scan task;
-the city dimension then joins the reduced table (broadcast when the planner's
-size check allows it). The per-area top-k is a
+``click_product_id != -1`` predicates above the parquet reader; clicks are
+reduced per (city, product) with a map-side partial aggregate before the only
+exchange of raw data, so a hot product is collapsed inside each scan task; the
+city dimension then joins the reduced table (broadcast when the planner's size
+estimate allows it). In the full job only products that exist take part (a
+semi-join on the product key, one narrow column), the per-area top-k is a
 ``row_number`` filter with a literal bound, which Spark plans as a partial
-``WindowGroupLimit`` before the exchange, so even an area holding most
-products ships only k rows per task.
+``WindowGroupLimit`` before the exchange (an area holding most products ships
+only k rows per task), and product names and status are joined for those k
+rows per area alone.
 """
 
 from __future__ import annotations
