@@ -10,10 +10,9 @@ date ranges and long ones both yield whole per-day samples.
 reproducible and identical in the SQL oracle. Plan at scale: the hourly counts
 are a tiny table (at most 24 rows per day of the date range), so its windows
 are cheap and it is broadcast under that parameter-derived bound. The per-hour
-draw is ``row_number`` filtered by
-the literal ``sample_size`` first, which Spark plans as a partial
-``WindowGroupLimit`` before the exchange: a busy hour ships at most
-``sample_size`` sessions per task rather than all of its sessions.
+draw is ``row_number`` filtered by the literal ``sample_size`` first, which
+Spark plans as a partial ``WindowGroupLimit`` before the exchange: a busy hour
+ships at most ``sample_size`` sessions per task rather than all of them.
 """
 
 from __future__ import annotations
