@@ -10,9 +10,11 @@ date ranges and long ones both yield whole per-day samples.
 reproducible and identical in the SQL oracle. Plan at scale: the hourly counts
 are a tiny table (at most 24 rows per day of the date range), so its windows
 are cheap and it is broadcast under that parameter-derived bound. The per-hour
-draw is ``row_number`` filtered by the literal ``sample_size`` first, which
-Spark plans as a partial ``WindowGroupLimit`` before the exchange: a busy hour
-ships at most ``sample_size`` sessions per task rather than all of them.
+draw is ``row_number`` filtered by the literal ``sample_size``, which Spark
+plans as a partial ``WindowGroupLimit`` before each exchange, and it runs in two
+levels: per (date, hour, salt) and then per (date, hour), so the last task of a
+busy hour merges at most ``sample_size * sample_salt_groups`` rows however many
+map tasks fed it.
 """
 
 from __future__ import annotations
@@ -77,9 +79,16 @@ def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None
     # at most 24 rows per day of the parameter's date range: a proven bound
     quota = bounded_broadcast(sample_quota(hourly_counts(sessions), p).select("date", "hour", "quota"),
                               _days_in_range(p) * 24)
-    order = F.md5(F.concat(F.lit(p.sample_seed), F.col("session_id")))
-    w = Window.partitionBy("date", "hour").orderBy(order, F.col("session_id"))
-    ranked = s.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.sample_size))
+    k = int(p.sample_size)
+    s = s.withColumn("_order", F.md5(F.concat(F.lit(p.sample_seed), F.col("session_id"))))
+    # two-level top-k: first per (date, hour, salt), then per (date, hour) over
+    # at most k rows per salt group. Exact: an hour's k first sessions are
+    # among the k first of their own salt groups.
+    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.sample_salt_groups), 1)))
+    w1 = Window.partitionBy("date", "hour", "_salt").orderBy("_order", "session_id")
+    pre = s.withColumn("_salt", salt).withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= k)
+    w = Window.partitionBy("date", "hour").orderBy("_order", "session_id")
+    ranked = pre.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
     picked = ranked.join(quota, ["date", "hour"], "inner").where(F.col("rn") <= F.col("quota"))
     if lean:
         ids = bounded_broadcast(picked.select("session_id"), p.sample_size)  # at most sample_size rows

@@ -81,3 +81,18 @@ def test_lean_extract_equals_full_profile_extract(spark):
     # the profile of all sessions carries no keyword / category sets
     full_profile = [ln for ln in plan.splitlines() if "partial_min(user_id" in ln]
     assert full_profile and not any("collect_set" in ln for ln in full_profile)
+
+
+def test_salted_two_level_draw_is_exact(spark):
+    import hashlib
+    p = TaskParams(start_date="2019-06-10", end_date="2019-06-10", sample_size=10)
+    sess = one_day(spark)
+    quota = {r.hour: r.quota for r in SM.sample_quota(SM.hourly_counts(sess), p).collect()}
+    rows = [(r.session_id, r.start_time[11:13]) for r in sess.collect()]
+    want = set()
+    for hour, q in quota.items():
+        ids = sorted((hashlib.md5((p.sample_seed + sid).encode()).hexdigest(), sid) for sid, h in rows if h == hour)
+        want |= {sid for _, sid in ids[:q]}
+    for groups in (1, 3, 32):
+        got = {r.sessionid for r in SM.random_extract(sess, p.with_(sample_salt_groups=groups)).collect()}
+        assert got == want, groups
