@@ -88,8 +88,16 @@ def top_sessions_from_counts(counts: DataFrame, top: DataFrame, p: TaskParams) -
 
 
 def _rank_sessions(counts: DataFrame, p: TaskParams) -> DataFrame:
-    w = Window.partitionBy("category_id").orderBy(F.col("click_count").desc(), F.col("session_id").asc())
-    ranked = counts.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= int(p.top_sessions))
+    # two-level top-k (per category and session-hash salt, then per category),
+    # so the last task of a hot category merges at most k rows per salt group;
+    # exact, since a category's k best sessions are among their salt group's k best
+    k = int(p.top_sessions)
+    order = (F.col("click_count").desc(), F.col("session_id").asc())
+    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.sample_salt_groups), 1)))
+    w1 = Window.partitionBy("category_id", "_salt").orderBy(*order)
+    pre = counts.withColumn("_salt", salt).withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= k)
+    w = Window.partitionBy("category_id").orderBy(*order)
+    ranked = pre.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
     return ranked.select(
         F.lit(p.task_id).alias("taskid"),
         F.col("category_id").alias("categoryid"),
