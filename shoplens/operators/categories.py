@@ -93,7 +93,7 @@ def _rank_sessions(counts: DataFrame, p: TaskParams) -> DataFrame:
     # exact, since a category's k best sessions are among their salt group's k best
     k = int(p.top_sessions)
     order = (F.col("click_count").desc(), F.col("session_id").asc())
-    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.sample_salt_groups), 1)))
+    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.salt_groups), 1)))
     w1 = Window.partitionBy("category_id", "_salt").orderBy(*order)
     pre = counts.withColumn("_salt", salt).withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= k)
     w = Window.partitionBy("category_id").orderBy(*order)

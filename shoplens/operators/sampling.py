@@ -13,7 +13,7 @@ are cheap and it is broadcast under that parameter-derived bound. The per-hour
 draw is ``row_number`` filtered by the literal ``sample_size``, which Spark
 plans as a partial ``WindowGroupLimit`` before each exchange, and it runs in two
 levels: per (date, hour, salt) and then per (date, hour), so the last task of a
-busy hour merges at most ``sample_size * sample_salt_groups`` rows however many
+busy hour merges at most ``sample_size * salt_groups`` rows however many
 map tasks fed it.
 """
 
@@ -84,7 +84,7 @@ def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None
     # two-level top-k: first per (date, hour, salt), then per (date, hour) over
     # at most k rows per salt group. Exact: an hour's k first sessions are
     # among the k first of their own salt groups.
-    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.sample_salt_groups), 1)))
+    salt = F.pmod(F.xxhash64("session_id"), F.lit(max(int(p.salt_groups), 1)))
     w1 = Window.partitionBy("date", "hour", "_salt").orderBy("_order", "session_id")
     pre = s.withColumn("_salt", salt).withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= k)
     w = Window.partitionBy("date", "hour").orderBy("_order", "session_id")

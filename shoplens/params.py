@@ -42,9 +42,10 @@ class TaskParams:
     top_ads: int = 3
     allocation: str = "floor"  # or "largest_remainder"
     # our own: seed of the reproducible hash order used for sampling, and the
-    # number of salt groups a busy hour is split into before its final top-k
+    # number of salt groups a hot group (an hour of the sample, a category of
+    # the top sessions) is split into before its final top-k
     sample_seed: str = "shoplens"
-    sample_salt_groups: int = 32
+    salt_groups: int = 32
     # ad stream (no reference values exist: these are parameters of ours)
     blacklist_threshold: int = 100
     trend_window: str = "1 minute"

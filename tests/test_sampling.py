@@ -94,5 +94,5 @@ def test_salted_two_level_draw_is_exact(spark):
         ids = sorted((hashlib.md5((p.sample_seed + sid).encode()).hexdigest(), sid) for sid, h in rows if h == hour)
         want |= {sid for _, sid in ids[:q]}
     for groups in (1, 3, 32):
-        got = {r.sessionid for r in SM.random_extract(sess, p.with_(sample_salt_groups=groups)).collect()}
+        got = {r.sessionid for r in SM.random_extract(sess, p.with_(salt_groups=groups)).collect()}
         assert got == want, groups
