@@ -355,16 +355,18 @@ counts AS (
   SELECT area, pid, count(*) AS click_count,
          {group_concat} AS city_infos
   FROM basic GROUP BY area, pid),
+ranked AS (
+  SELECT t.*, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid ASC) AS rn
+  FROM counts t LEFT SEMI JOIN product_info k ON t.pid = k.product_id),
+top AS (SELECT * FROM ranked WHERE rn <= {k}),
 info AS (
   SELECT t.area, t.city_infos, t.pid, p.product_name,
          if(get_json_field(p.extend_info, 'product_status') = '0', 'Self', 'Third Party') AS product_status,
          t.click_count
-  FROM counts t JOIN product_info p ON t.pid = p.product_id),
-ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid ASC) AS rn FROM info)
+  FROM top t JOIN product_info p ON t.pid = p.product_id)
 SELECT '{task}' AS taskid, area, {level} AS areaLevel, pid AS productid, city_infos AS cityInfos,
        click_count AS clickCount, product_name AS productName, product_status AS productStatus
-FROM ranked WHERE rn <= {k}
+FROM info
 """
 
 
