@@ -8,6 +8,7 @@ to a shared file system. Only when it is unset (local tests) do we pick one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -46,16 +47,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets one under the system
-    temp folder only when it is unset (local runs and tests).
+    Reads ``spark.checkpoint.dir`` from the session and keeps its scheme (a path
+    without one would be resolved against the cluster's default file system).
+    Only a local session, where driver and executors share the disk, may leave it
+    unset: a temporary folder is chosen then. On a cluster that would scatter the
+    files over the executors' own disks, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
         base = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
-    path = "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])
-    return path
+    return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])

@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from tools.check_oracle import compare, duck_connect
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-SQLS = E.oracle_sql()
+QUERIES = {name: fn for name, fn in E.queries().items() if name not in E.CORPUS_QUERIES}
+SQLS = {name: sql for name, sql in E.oracle_sql().items() if name not in E.CORPUS_SQL}
 
 
 @pytest.fixture(scope="module")
