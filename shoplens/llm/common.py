@@ -93,6 +93,44 @@ def distinct_texts(rows: list[dict]) -> list[dict]:
     return kept
 
 
+BASE = np.uint64(0x9E3779B97F4A7C15)           # odd: invertible modulo 2^64
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+_POWERS = {"up": np.ones(1, "u8"), "down": np.ones(1, "u8")}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS["up"]) < n:
+        size = 1 << (n - 1).bit_length()
+        for name, base in (("up", BASE), ("down", INVERSE)):
+            p = np.full(size, base, "u8")
+            p[0] = 1
+            _POWERS[name] = np.multiply.accumulate(p)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+#: White space of bytes.split.
+_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+
+
+def word_hashes(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of every word of all texts, end of each text's words): polynomials from one prefix sum."""
+    data = np.frombuffer(b" " + b" ".join(some) + b" ", "u1")
+    blank = _BLANK[data]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    starts, stops = edges[::2], edges[1::2]
+    up, down = _powers(len(data) + 1)
+    prefix = np.zeros(len(data) + 1, "u8")
+    np.cumsum((data.astype("u8") + np.uint64(1)) * up[:-1], out=prefix[1:])
+    ends = np.cumsum([len(s) + 1 for s in some]) + 1   # where the next text begins
+    return mix((prefix[stops] - prefix[starts]) * down[starts]), np.searchsorted(starts, ends)
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

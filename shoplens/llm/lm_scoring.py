@@ -38,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import bounded_sample, broadcast, fit_in_task, hashed_share, remainder, stored, texts, utf8
+from shoplens.llm.common import (bounded_sample, broadcast, fit_in_task, hashed_share, remainder, stored, texts, utf8,
+                                 word_hashes)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -48,12 +49,14 @@ def tokens(text: str | None) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Shape:
-    hidden: int = 24
-    head_classes: int = 24
+    hidden: int = 16
+    head_classes: int = 16
     head_words: int = 960
-    tail_classes: int = 39
-    window: int = 32
+    tail_classes: int = 31
+    window: int = 48
     slots: int = 512
+    train_window: int = 24
+    train_slots: int = 32
 
 
 @dataclass
@@ -68,6 +71,8 @@ class Vocabulary:
         self.end = s.head_words + s.tail_classes
         self.symbols = self.end + 1
         self.classes = s.head_classes + s.tail_classes + 1
+        ids = np.arange(self.symbols)
+        self.class_table = np.where(ids < s.head_words, ids // self.per_class, ids - s.head_words + s.head_classes).astype("i2")
 
     def tail(self, word: bytes) -> int:
         return zlib.crc32(word[-4:]) % self.shape.tail_classes
@@ -77,8 +82,7 @@ class Vocabulary:
         return self.shape.head_words + self.tail(word) if k is None else k
 
     def class_of(self, symbols: np.ndarray) -> np.ndarray:
-        s = self.shape
-        return np.where(symbols < s.head_words, symbols // self.per_class, symbols - s.head_words + s.head_classes)
+        return self.class_table[symbols]
 
 
 class Network:
@@ -181,6 +185,7 @@ class Network:
                 back[rows] += z @ self.word_w[k].T
         back = back.reshape(steps, -1, n)
         carry = np.zeros_like(h)
+        gates = np.empty((*inputs.shape, 3 * n), "f4")
         for t in reversed(range(steps)):
             zr, g, c = saved[t]
             z, r = zr[:, :n], zr[:, n:]
@@ -189,8 +194,12 @@ class Network:
             gate = np.concatenate([d * (prior[t] - c) * z * (1 - z), dc * g * r * (1 - r), dc], 1)
             via = np.concatenate([gate[:, :2 * n], dc * r], 1)
             grads["recur"] += prior[t].T @ via
-            np.add.at(grads["inputs"], inputs[t], gate)
+            gates[t] = gate
             carry = d * z + via @ self.recur.T
+        read = inputs.ravel()
+        order = np.argsort(read, kind="stable")
+        ids, cuts = np.unique(read[order], return_index=True)
+        grads["inputs"][ids] = np.add.reduceat(gates.reshape(-1, 3 * n)[order], cuts, axis=0)
         return grads, last
 
 
@@ -226,13 +235,14 @@ def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, w
         yield fresh, inputs, targets, real, who
 
 
-def train_network(network: Network, documents: Iterator[np.ndarray], slots: int, rate: float, most_steps: int = 10_000):
+def train_network(network: Network, documents: Iterator[np.ndarray], rate: float):
     """Adam over the windows of a stream of documents; the state runs on from window to window."""
     shape, v = network.vocab.shape, network.vocab
+    slots = shape.train_slots
     moments = {n: [np.zeros_like(getattr(network, n)), np.zeros_like(getattr(network, n))] for n in network.NAMES}
     h = np.zeros((slots, shape.hidden), "f4")
     seen, step = 0, 0
-    for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.window):
+    for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.train_window):
         h[fresh] = network.start
         grads, h = network.gradients(h, inputs, targets, real)
         step += 1
@@ -247,8 +257,6 @@ def train_network(network: Network, documents: Iterator[np.ndarray], slots: int,
             s += 0.01 * (g * g - s)
             w = getattr(network, name)
             w -= lr * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
-        if step >= most_steps:
-            break
     return seen
 
 
@@ -311,7 +319,7 @@ def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, share: fl
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = shared.value
         net = Network(v).set_weights([w.copy() for w in start])
-        seen = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), 64, rate)
+        seen = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate)
         if seen:
             for i, w in enumerate(net.weights()):
                 yield pa.RecordBatch.from_arrays(
@@ -333,7 +341,7 @@ def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, share: fl
 
 
 def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape = Shape(), cached_words: int = 100_000,
-          warm_rows: int = 1_500, train_share: float = 1 / 32, train_tokens: int = 2_000_000, rate: float = 0.02) -> DataFrame:
+          warm_rows: int = 2_000, train_share: float = 1 / 64, train_tokens: int = 2_000_000, rate: float = 0.02) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document.
 
     ``train_share`` of the training documents is used after the warm start; a smaller corpus uses the share that
@@ -356,17 +364,17 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
         _start_biases(network, vocab, head, stats)
         weights = fit_in_task(bounded_sample(training, "doc_id", warm_rows), lambda rows: _warm(vocab, network.weights(), rows, rate))
         share = max(train_share, min(1.0, train_tokens / max(1, stats.total)))
-        network.set_weights(_train_everywhere(training, vocab, weights, share, rate / 4))
+        network.set_weights(_train_everywhere(training, vocab, weights, share, rate / 10))
 
     shared = broadcast(spark, (vocab, network.weights(), stats))
     scored = docs.withColumn("held_out", rest == held).mapInArrow(
         _scorer(shared), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-        "rare array<struct<word:binary,n:int>>").withColumn("row", F.struct(F.spark_partition_id().alias("p"), "row"))
+        "rare array<binary>").withColumn("row", F.struct(F.spark_partition_id().alias("p"), "row"))
     scored = stored(scored, "lm_scored")
-    # what is missing for a rare word with count c: n log10(c + 1) in both scores, and n known tokens
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
+    # what is missing for a rare word with count c: log10(c + 1) in both scores, and a known token
+    rare = scored.select("row", F.explode("rare").alias("word"))
     late = rare.join(counts, "word").groupBy("row").agg(
-        F.sum("times").alias("known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("gain"))
+        F.count(F.lit(1)).alias("known"), F.sum(F.log10(F.col("n") + 1)).alias("gain"))
     gain = F.coalesce("gain", F.lit(0.0))
     return scored.drop("rare").join(late, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
@@ -388,10 +396,50 @@ def _start_biases(network: Network, vocab: Vocabulary, head: dict[bytes, int], s
 
 def _warm(vocab: Vocabulary, weights, rows: list[dict], rate: float) -> list[np.ndarray]:
     net = Network(vocab).set_weights([w.copy() for w in weights])
-    train_network(net, (symbols_of(vocab, tokens(r["text"])) for r in rows), 32, rate, 1_500)
+    train_network(net, (symbols_of(vocab, tokens(r["text"])) for r in rows), rate)
     return net.weights()
 
 
+class Lookup:
+    """Symbols and gains of the cached words, found by 64-bit hashes of all words of some texts at once."""
+
+    def __init__(self, vocab: Vocabulary, stats: Statistics, inside: list[float]):
+        words = list(stats.cached)
+        known = word_hashes([b" ".join(words)])[0]
+        order = np.argsort(known)
+        gain = np.log10(np.array(list(stats.cached.values()), "f8") + 1)
+        tail = np.array([0.0 if w in vocab.head else -inside[vocab.tail(w)] for w in words])
+        symbol = np.array([vocab.symbol(w) for w in words], "i4")
+        self.keys = np.append(known[order], np.uint64(2 ** 64 - 1))
+        self.gain, self.symbol = np.append(gain[order], 0.0), np.append(symbol[order], np.int32(0))
+        # what a cached tail word adds to the model's score beside the network's part
+        self.tail = np.append(np.where(tail < 0, gain + tail, 0.0)[order], 0.0)
+
+    def read(self, batch: list[str | None], chunk: int = 1 << 20):
+        """(words, found, gains, tail gains, symbols) of each text."""
+        some: list[bytes] = []
+        size = 0
+        for t in batch:
+            some.append(utf8(t).lower() if t else b"")
+            size += len(some[-1])
+            if size >= chunk:
+                yield from self._read(some)
+                some, size = [], 0
+        yield from self._read(some)
+
+    def _read(self, some: list[bytes]):
+        if not some:
+            return
+        hashes, cuts = word_hashes(some)
+        at = np.searchsorted(self.keys[:-1], hashes)
+        found = self.keys[at] == hashes
+        gain, tail, symbol = np.where(found, self.gain[at], 0.0), np.where(found, self.tail[at], 0.0), self.symbol[at]
+        lo = 0
+        for t, hi in zip(some, cuts):
+            yield t.split(), found[lo:hi], gain[lo:hi], tail[lo:hi], symbol[lo:hi].copy()
+            lo = hi
+
+
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, weights, stats = shared.value
@@ -399,29 +447,26 @@ def _scorer(shared):
         s = vocab.shape
         base = math.log10(stats.total + stats.distinct + 1)
         inside = [math.log10(n + v + 1) for n, v in zip(stats.tail_total, stats.tail_distinct)]
-        known = {w: math.log10(n + 1) for w, n in stats.cached.items()}
-        head = vocab.head
+        cached = Lookup(vocab, stats, inside)
         end_gain, end_known = math.log10(stats.ends + 1), int(stats.ends > 0)
         at = 0
         for b in batches:
             size = b.num_rows
             model, rows = np.zeros(size), []
+            rare_words, rare_cuts = [], [0]
 
             def read():
-                for i, t in enumerate(texts(b)):
-                    words = tokens(t)
-                    base_score, n_known, tail, rare = end_gain, end_known, 0.0, []
-                    for w, n in Counter(words).items():
-                        gain = known.get(w)
-                        if gain is None:
-                            rare.append({"word": w, "n": n})
-                        else:
-                            base_score += n * gain
-                            n_known += n
-                        if w not in head:
-                            tail += n * ((gain or 0.0) - inside[vocab.tail(w)])
-                    rows.append((len(words) + 1, n_known, base_score - (len(words) + 1) * base, tail, rare))
-                    yield i, symbols_of(vocab, words)
+                for i, (words, found, gain, tail, ids) in enumerate(cached.read(texts(b))):
+                    late = np.flatnonzero(~found)
+                    some = [words[j] for j in late.tolist()]
+                    of = [vocab.tail(w) for w in some]
+                    ids[late] = np.array(of, "i4") + s.head_words
+                    rare_words.extend(some)
+                    rare_cuts.append(len(rare_words))
+                    base_score = end_gain + float(gain.sum()) - (len(words) + 1) * base
+                    rows.append((len(words) + 1, end_known + len(words) - len(some), base_score,
+                                 float(tail.sum()) - sum(map(inside.__getitem__, of))))
+                    yield i, np.append(ids, np.int32(vocab.end))
 
             slots = min(s.slots, size)
             h = np.zeros((slots, s.hidden), "f4")
@@ -439,7 +484,7 @@ def _scorer(shared):
                  pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.float64()),
                  pa.array(model / math.log(10) + np.array([r[3] for r in rows])),
-                 pa.array([r[4] for r in rows], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))],
+                 pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), pa.array(rare_words, pa.binary()))],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
             at += size
     return run

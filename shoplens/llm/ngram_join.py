@@ -34,29 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import WORD_TABLE, stored, texts, utf8
+from shoplens.llm.common import BASE, WORD_TABLE, mix, stored, texts, utf8, word_hashes
 
 BANDS, ROWS, STEP = 25, 5, 25
 HASHES = BANDS * ROWS
-BASE = np.uint64(0x9E3779B97F4A7C15)           # odd: invertible modulo 2^64
-INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_POWERS = {"up": np.ones(1, "u8"), "down": np.ones(1, "u8")}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, base in (("up", BASE), ("down", INVERSE)):
-            p = np.full(size, base, "u8")
-            p[0] = 1
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
 
 def gram_sets(batch: list[str | None], grams: int = 5, chunk: int = 1 << 20) -> Iterator[np.ndarray]:
@@ -75,21 +56,12 @@ def gram_sets(batch: list[str | None], grams: int = 5, chunk: int = 1 << 20) ->
 def _gram_sets(some: list[bytes], grams: int) -> Iterator[np.ndarray]:
     if not some:
         return
-    data = np.frombuffer(b" " + b" ".join(some) + b" ", "u1")
-    blank = data == 32
-    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-    starts, stops = edges[::2], edges[1::2]
-    up, down = _powers(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, "u8")
-    np.cumsum((data.astype("u8") + np.uint64(1)) * up[:-1], out=prefix[1:])
-    words = _mix((prefix[stops] - prefix[starts]) * down[starts])
-    ends = np.cumsum([len(s) + 1 for s in some]) + 1   # where the next text begins
-    cuts = np.searchsorted(starts, ends)
+    words, cuts = word_hashes(some)
     n = len(words) - grams + 1
     rolled = np.zeros(max(n, 0), "u8")
     for k in range(grams if n > 0 else 0):
         rolled = rolled * BASE + words[k:k + n]
-    rolled = _mix(rolled)
+    rolled = mix(rolled)
     at = 0
     for stop in cuts:
         if stop - at >= grams:
@@ -98,7 +70,7 @@ def _gram_sets(some: list[bytes], grams: int) -> Iterator[np.ndarray]:
             h = np.zeros(1, "u8")
             for w in words[at:stop]:
                 h = h * BASE + w
-            yield _mix(h + np.uint64(stop - at))
+            yield mix(h + np.uint64(stop - at))
         else:
             yield np.zeros(0, "u8")
         at = stop
@@ -143,7 +115,7 @@ def sketches(documents: DataFrame) -> DataFrame:
                 m = minhashes([sets[i] for i in there])
                 band = np.zeros((len(there), BANDS), "u8") + np.arange(1, BANDS + 1, dtype="u8")
                 for r in range(ROWS):
-                    band = _mix(band * BASE + m[:, r::ROWS].astype("u8"))
+                    band = mix(band * BASE + m[:, r::ROWS].astype("u8"))
                 low = (m & np.uint32(0xFFFF)).astype("<u2")
                 for k, i in enumerate(there):
                     node[i], sig[i], keys[i] = digest(sets[i]), low[k].tobytes(), band[k].view("i8")
