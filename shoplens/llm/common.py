@@ -56,7 +56,8 @@ def fit_in_task(rows: DataFrame, fit: Callable[[list[dict]], object]) -> object:
         got = [r for b in batches for r in b.to_pylist()]
         got.sort(key=lambda r: tuple((v is None, v if v is not None else 0) for v in r.values()))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(got))], pa.binary())], ["model"])
-    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    made = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else fit([])     # an empty partition runs no Python
 
 
 def labelled(labels: DataFrame, column: str) -> DataFrame:

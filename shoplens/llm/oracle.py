@@ -11,9 +11,9 @@ win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i +
         FROM item, LATERAL unnest(range(1, len(w) - least(10, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
 doc AS (SELECT doc_id, coalesce({_WORDS.format('text')}, []) AS w FROM documents),
 lens AS (SELECT DISTINCT n FROM win),
-at AS (SELECT doc_id, p.i AS i, n, array_to_string(w[p.i:p.i + n - 1], ' ') AS s
+spot AS (SELECT doc_id, p.i AS i, n, array_to_string(w[p.i:p.i + n - 1], ' ') AS s
        FROM doc, lens, LATERAL unnest(range(1, len(w) - n + 2)) AS p(i)),
-hit AS (SELECT doc_id, i, at.n AS n, item_id FROM at JOIN win ON at.n = win.n AND at.s = win.s),
+hit AS (SELECT doc_id, i, spot.n AS n, item_id FROM spot JOIN win ON spot.n = win.n AND spot.s = win.s),
 places AS (SELECT doc_id, count(DISTINCT i + k.j) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hit) h,
            LATERAL unnest(range(0, n)) AS k(j) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
@@ -26,8 +26,8 @@ FROM doc d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 SQL["op8_neighbours"] = """
 WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-             AND len(list_filter(embedding, x -> x <> 0)) > 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 d AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
       FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
