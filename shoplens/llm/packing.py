@@ -11,7 +11,7 @@ partitions, until one round is left, which is final for all.
 
 A tokenizer encodes whole texts. White space separates the tokenizer's words, so
 each white-space separated string is encoded once per worker and remembered (at
-most ``CACHE_STRINGS`` strings).
+most ``CACHE_STRINGS`` strings) and strings met for the first time are encoded together.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
 packed as documents of their own; pieces of equal length are placed in the order
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import stored, texts, utf8
 
-CACHE_STRINGS = 400_000
+CACHE_STRINGS = 200_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -46,14 +46,20 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
 
     def prepare(self, split: list[list[bytes]]) -> None:
-        new = list({w for s in split for w in s}.difference(self.known))
-        if len(self.known) + len(new) > CACHE_STRINGS:
+        """Encode the strings not known yet as one text; tokens belong to the string that their offset lies in."""
+        words: set[bytes] = set()
+        words.update(*split)
+        if len(self.known) + len(words) > CACHE_STRINGS:
             self.known.clear()
-            new = list({w for s in split for w in s})
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, got))
+        new = [w for w in words if w not in self.known]
+        if not new:
+            return
+        strings = [w.decode("utf-8", "replace") for w in new]
+        got = self.tokenizer.encode(" ".join(strings), add_special_tokens=False)
+        starts = np.array([o[0] for o in got.offsets], "i8")
+        cuts = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in strings])).tolist()
+        ids = np.array(got.ids, "<u4").tobytes()
+        self.known.update((w, ids[4 * a:4 * z]) for w, a, z in zip(new, [0, *cuts], cuts))
 
     def encode(self, batch: list[str | None]) -> Iterator[bytes]:
         for lo in range(0, len(batch), 64):

@@ -83,13 +83,13 @@ def fit(rows: list[dict], least: int = 5, size: int = 200_000, smoothing: float
     y = np.array([1.0 if r["label"] else -1.0 for r in rows])
     if not len(y) or abs(y.sum()) == len(y):
         return Model({}, 0.0, (0.0, 40.0 if not len(y) or y[0] > 0 else -40.0))
-    sets = [indicators(r["text"]) for r in rows]
-    docs = Counter()
-    for s in sets:
-        docs.update(s)
+    docs: Counter = Counter()
+    for r in rows:
+        docs.update(indicators(r["text"]))
     used = sorted((g for g, n in docs.items() if n >= least), key=lambda g: (-docs[g], repr(g)))[:size]
+    del docs
     index = {g: i for i, g in enumerate(used)}
-    ids = [np.fromiter(sorted(index[g] for g in s if g in index), "i8") for s in sets]
+    ids = [np.sort(np.fromiter((index[g] for g in indicators(r["text"]) if g in index), "i4")) for r in rows]
     counts = np.full((2, len(used)), smoothing)
     for i, row in enumerate(ids):
         counts[int(y[i] > 0), row] += 1
@@ -99,8 +99,9 @@ def fit(rows: list[dict], least: int = 5, size: int = 200_000, smoothing: float
     w = dual_coordinate_descent(x, y, len(used) + 1, np.where(y > 0, cost * 0.5 / share, cost * 0.5 / (1 - share)))
     # the hinge model's weights are drawn towards their mean size, as is usual for this classifier
     w[:-1] = (1 - blend) * w[:-1] + blend * np.abs(w[:-1]).mean()
-    model = Model({g: float(ratio[i] * w[i]) for g, i in index.items() if ratio[i] * w[i]}, float(w[-1]))
-    margins = np.array([margin(model, s) for s in sets])
+    value = ratio * w[:-1]
+    model = Model({g: float(value[i]) for g, i in index.items() if value[i]}, float(w[-1]))
+    margins = np.array([value[row].sum() / max(1, np.count_nonzero(value[row])) ** 0.5 + w[-1] for row in ids])
     a, b = fit_logistic(margins[:, None], (y > 0).astype("f8"), ridge=0.01)
     model.calibration = (float(a), float(b))
     return model
@@ -117,7 +118,7 @@ def margin(model: Model, found: set) -> float:
 
 
 def train(documents: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0,
-          max_training_rows: int = 10_000) -> Model:
+          max_training_rows: int = 8_000) -> Model:
     known = labelled(labels, "quality").filter(remainder("doc_id", modulus) != held)
     sample = bounded_sample(known, "doc_id", max_training_rows)
     rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")

@@ -111,26 +111,31 @@ def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math
     if not bad or not good:
         return Lexicon()
 
-    def stems(texts_, among=None):
-        docs, uses, words = Counter(), Counter(), 0
-        for t in texts_:
-            of = Counter(fold(t).split())
-            words += sum(of.values())
-            mine = Counter()
+    least = max(4, min_share * len(bad))
+    words = [Counter(fold(t).split()) for t in bad]
+    among: set[str] = set()
+    for k in STEM_LENGTHS:          # a stem can't be in more documents than the stem one shorter
+        docs: Counter = Counter()
+        for of in words:
+            docs.update({w[:k] for w in of if len(w) >= k and (k == STEM_LENGTHS[0] or w[:k - 1] in among)})
+        among |= {s for s, n in docs.items() if n >= least}
+
+    def stems(counted):
+        docs, uses, total = Counter(), Counter(), 0
+        for of in counted:
+            total += sum(of.values())
+            mine: Counter = Counter()
             for w, n in of.items():
                 for k in STEM_LENGTHS:
-                    if k > len(w):
+                    if k > len(w) or w[:k] not in among:
                         break
-                    if among is None or w[:k] in among:
-                        mine[w[:k]] += n
+                    mine[w[:k]] += n
             docs.update(mine.keys())
             uses.update(mine)
-        return docs, uses, words
+        return docs, uses, total
 
-    docs, uses, n_bad = stems(bad)
-    least = max(4, min_share * len(bad))
-    among = {s for s, n in docs.items() if n >= least}
-    good_docs, good_uses, n_good = stems(good, among)
+    docs, uses, n_bad = stems(words)
+    good_docs, good_uses, n_good = stems(Counter(fold(t).split()) for t in good)
     chosen: dict[str, float] = {}
     for s in sorted(among, key=lambda s: (len(s), s)):
         w = math.log((uses[s] + 0.5) / (n_bad + 1)) - math.log((good_uses[s] + 0.5) / (n_good + 1))
@@ -164,7 +169,7 @@ def _exceptions(lexicon: Lexicon, bad: list[str], good: list[str], least: int =
 
 
 def train(documents: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2,
-          max_training_rows: int = 20_000) -> Lexicon:
+          max_training_rows: int = 10_000) -> Lexicon:
     """Learn from labelled documents whose crc32(doc_id) mod ``modulus`` is not ``held``."""
     known = labelled(labels, "toxic").filter(remainder("doc_id", modulus) != held)
     sample = bounded_sample(known, "doc_id", max_training_rows)

@@ -187,7 +187,8 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     tok.encode_special_tokens = True
-    docs = texts(spark) + [(10**6, None), (10**6 + 1, "A b <|endoftext|> é it's"), (10**6 + 2, "word " * 5000)]
+    docs = texts(spark) + [(10**6, None), (10**6 + 1, "A b <|endoftext|> é it's"), (10**6 + 2, "word " * 5000),
+                           (10**6 + 3, "e\u0301te\u0301 \u0130stanbul \ufb01x a\u00a0b \u200b \u0301x \x1c \x85y \U0001F600\U0001F600 \ud55c\uae00")]
     frame = documents(spark, [(*d, None, None, None) for d in docs])
     rows = packing.pack(frame, partition_rows=50).collect()
     by_doc, by_seq = defaultdict(dict), defaultdict(list)
