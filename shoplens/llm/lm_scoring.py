@@ -17,7 +17,7 @@ so that training grows with the corpus. For scoring, documents run through the
 network in slots of a batch; a slot's state is carried from window to window
 until its document ends, so the log-likelihood is that of the complete text.
 
-Counts of the ``cached_words`` most frequent words are broadcast (a fixed bound);
+Counts of at most ``cached_words`` frequent words are broadcast (a fixed bound);
 the rest of a text's words are joined with the counts.
 
 Defined results: null and empty texts are their end alone; repeated rows are
@@ -268,7 +268,7 @@ def symbols_of(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
     return np.array(out, "i4")
 
 
-def word_counts(training: DataFrame, flush: int = 300_000) -> DataFrame:
+def word_counts(training: DataFrame, flush: int = 200_000) -> DataFrame:
     """(word, n) over all training texts: counted per task, then summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(c):
@@ -286,6 +286,23 @@ def word_counts(training: DataFrame, flush: int = 300_000) -> DataFrame:
     return training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counts: DataFrame, bound: int) -> list:
+    """At most ``bound`` words, most frequent first: those above a count that a histogram of counts gives.
+
+    The histogram has at most some thousand steps, so nothing but the chosen words reaches the driver.
+    """
+    step = F.floor(F.log2("n") * 64).alias("step")
+    steps = sorted(counts.groupBy(step).agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+    least, total = None, 0
+    for r in steps:
+        total += r["words"]
+        if total > bound:
+            break
+        least = r["step"]
+    chosen = [] if least is None else counts.filter(F.floor(F.log2("n") * 64) >= least).collect()
+    return sorted(chosen, key=lambda r: (-r["n"], bytes(r["word"])))
+
+
 @dataclass
 class Statistics:
     total: int                  # N: all training tokens, ends included
@@ -353,7 +370,7 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     training = docs.filter(~rest.isin(held, -1))
     counts = stored(word_counts(training), "lm_counts")
     ends = training.select("doc_id").count()
-    cached = counts.orderBy(F.desc("n"), "word").limit(cached_words).collect()
+    cached = most_frequent(counts, cached_words)
     head = {bytes(r["word"]): r["n"] for r in cached[:shape.head_words]}
     # words of like frequency share a class; within the order of counts every class has the same number of words
     vocab = Vocabulary(shape, {w: i for i, w in enumerate(head)})
