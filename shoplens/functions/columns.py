@@ -134,8 +134,9 @@ def trim_comma(c) -> Column:
 
 
 def pad2(c) -> Column:
-    """Left-pad a one- or two-character string to two digits."""
-    return F.lpad(_c(c), 2, "0")
+    """Left-pad a string shorter than two characters with zeros; longer ones stay as they are."""
+    c = _c(c)
+    return F.when(F.length(c) < 2, F.lpad(c, 2, "0")).otherwise(c)
 
 
 def _re_quote(text: str) -> str:

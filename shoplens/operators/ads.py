@@ -16,7 +16,7 @@ per-user counts are complete before the statistics are computed (as with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.params import TaskParams
@@ -25,18 +25,32 @@ from shoplens.params import TaskParams
 def parse_ad_lines(lines: DataFrame) -> DataFrame:
     """``value`` text ``epoch_ms province city userid adid`` -> typed columns.
 
-    Lines without exactly five fields, or with non-numeric ids, are dropped
-    (a stream must not stop on one bad record).
+    Lines without exactly five fields, or with non-numeric ids, are left out here
+    (a stream must not stop on one bad record); ``rejected_lines`` has them.
     """
+    return _typed(lines).where(_well_formed()).drop("value", "n_fields")
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """``value, n_fields`` of the lines that ``parse_ad_lines`` leaves out."""
+    return _typed(lines).where(~F.coalesce(_well_formed(), F.lit(False))).select("value", "n_fields")
+
+
+def _well_formed() -> Column:
+    return ((F.col("n_fields") == 5) & F.col("ts_ms").isNotNull() & F.col("userid").isNotNull()
+            & F.col("adid").isNotNull())
+
+
+def _typed(lines: DataFrame) -> DataFrame:
     parts = F.split(F.col("value"), " ")
-    typed = lines.where(F.size(parts) == 5).select(
+    return lines.select(
+        "value", F.size(parts).alias("n_fields"),
         F.get(parts, 0).try_cast("bigint").alias("ts_ms"),
         F.get(parts, 1).alias("province"),
         F.get(parts, 2).alias("city"),
         F.get(parts, 3).try_cast("bigint").alias("userid"),
         F.get(parts, 4).try_cast("bigint").alias("adid"),
     )
-    return typed.where(F.col("ts_ms").isNotNull() & F.col("userid").isNotNull() & F.col("adid").isNotNull())
 
 
 def with_time_keys(clicks: DataFrame) -> DataFrame:
@@ -67,11 +81,19 @@ def clean_clicks(clicks: DataFrame, black: DataFrame) -> DataFrame:
     )
 
 
-def ad_stat(clean: DataFrame) -> DataFrame:
-    """``date, province, city, adid, clickCount``."""
-    return with_time_keys(clean).groupBy("date", "province", "city", "adid").agg(
-        F.count(F.lit(1)).alias("clickCount")
-    )
+def _count_allowed(clicks: DataFrame, keys: list[str], black: DataFrame | None) -> DataFrame:
+    """Clicks per key without blacklisted users: counted per user and key first, so the anti-join and its
+    exchange see one row for each of them (map-side collapsed, also for a hot user) and not every click."""
+    if black is None:
+        return clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("clickCount"))
+    per_user = clicks.groupBy("userid", *keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_user.join(black.select("userid"), "userid", "left_anti").groupBy(*keys).agg(
+        F.sum("n").cast("bigint").alias("clickCount"))
+
+
+def ad_stat(clicks: DataFrame, black: DataFrame | None = None) -> DataFrame:
+    """``date, province, city, adid, clickCount`` of users not on the blacklist."""
+    return _count_allowed(with_time_keys(clicks), ["date", "province", "city", "adid"], black)
 
 
 def province_top(stat: DataFrame, p: TaskParams) -> DataFrame:
@@ -82,18 +104,18 @@ def province_top(stat: DataFrame, p: TaskParams) -> DataFrame:
     return ranked.select("date", "province", "adid", "clickCount")
 
 
-def click_trend(clean: DataFrame, p: TaskParams | None = None) -> DataFrame:
+def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: DataFrame | None = None) -> DataFrame:
     """``date, hour, minute, adid, clickCount`` per tumbling event-time window
     of ``trend_window`` (default one minute), keyed by the window's start."""
     width = p.trend_window if p is not None else "1 minute"
     start = F.window(F.timestamp_millis(F.col("ts_ms")), width).start
-    keyed = clean.select(
-        "adid",
+    keyed = clicks.select(
+        "userid", "adid",
         F.date_format(start, "yyyyMMdd").alias("date"),
         F.date_format(start, "HH").alias("hour"),
         F.date_format(start, "mm").alias("minute"),
     )
-    return keyed.groupBy("date", "hour", "minute", "adid").agg(F.count(F.lit(1)).alias("clickCount"))
+    return _count_allowed(keyed, ["date", "hour", "minute", "adid"], black)
 
 
 def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
@@ -102,7 +124,7 @@ def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
     counts = user_click_count(clicks)
     black = blacklist(counts, p)
     clean = clean_clicks(clicks, black)
-    stat = ad_stat(clean)
+    stat = ad_stat(clicks, black)
     return {
         "ad_log_parse": clicks,
         "ad_user_click_count": counts,
@@ -110,5 +132,5 @@ def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
         "ad_clean_clicks": clean,
         "ad_stat": stat,
         "ad_province_top3": province_top(stat, p),
-        "ad_click_trend": click_trend(clean, p),
+        "ad_click_trend": click_trend(clicks, p, black),
     }

@@ -2,9 +2,11 @@
 
 Per day ``sample_size // days`` sessions are drawn; each hour of the day gets
 ``floor(hour_sessions / day_sessions * per_day)`` of them, capped by the hour's
-sessions (``allocation='floor'``, the reference's rule), or the day's total is
-split by largest remainders (``allocation='largest_remainder'``) so that short
-date ranges and long ones both yield whole per-day samples.
+sessions (``allocation='floor'``, the fixed rule, which draws nothing over more
+days than ``sample_size``), or ``sample_size`` itself is spread over the days and
+each day's total over its hours by largest remainders
+(``allocation='largest_remainder'``), so that date ranges of any length yield the
+whole sample where the days have sessions enough.
 
 "Random" is a seeded hash order: ``md5(seed || session_id)``, so the draw is
 reproducible and identical in the SQL oracle. Plan at scale: the hourly counts
@@ -52,8 +54,14 @@ def sample_quota(hourly: DataFrame, p: TaskParams) -> DataFrame:
     per_day_w = Window.partitionBy("date")
     n = F.col("session_count")
     days = F.size(F.collect_set("date").over(all_rows))
-    per_day = F.lit(int(p.sample_size)) / days
-    per_day = F.floor(per_day).cast("bigint")
+    size = F.lit(int(p.sample_size))
+    if p.allocation == "largest_remainder":
+        # the days' shares are equal, so the rounding is cumulative: day i of n gets floor(i s/n) - floor((i-1) s/n),
+        # which sums to the sample size over any number of days and spreads single sessions over the range
+        i = F.dense_rank().over(Window.partitionBy().orderBy("date"))
+        per_day = (F.floor(i * size / days) - F.floor((i - 1) * size / days)).cast("bigint")
+    else:
+        per_day = F.floor(size / days).cast("bigint")
     day_total = F.sum(n).over(per_day_w)
     q = hourly.withColumn("per_day", per_day).withColumn("exact", (n / day_total) * F.col("per_day"))
     q = q.withColumn("base", F.floor("exact").cast("bigint"))

@@ -8,7 +8,9 @@ An empty value (``None``, ``""`` or an empty list) means "no filter".
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import re
+from dataclasses import dataclass, fields, replace
+from datetime import date
 from typing import Sequence
 
 
@@ -68,6 +70,16 @@ class TaskParams:
         object.__setattr__(self, "target_page_flow", tuple(int(p) for p in _clean_list(self.target_page_flow)))
         if self.sex == "":
             object.__setattr__(self, "sex", None)
+        for name in ("start_date", "end_date"):
+            value = getattr(self, name)
+            if value and not re.fullmatch(r"\d{4}-\d{2}-\d{2}", value):
+                raise ValueError(f"{name} must be yyyy-MM-dd, not {value!r}")
+            if value:
+                date.fromisoformat(value)
+        width = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day)s?\s*", self.trend_window)
+        seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+        if not width or not int(width[1]) or int(width[1]) * seconds[width[2]] % 60:
+            raise ValueError(f"trend_window must be whole minutes, not {self.trend_window!r}")
         if self.allocation not in ("floor", "largest_remainder"):
             raise ValueError(f"unknown allocation {self.allocation!r}")
 
@@ -82,12 +94,15 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, obj: dict) -> "TaskParams":
-        """Build from the reference's JSON parameter object (camelCase keys)."""
+        """Build from the JSON parameter object: the field names in camelCase; unknown keys are an error."""
         def num(v):
             return None if v in (None, "") else int(v)
 
-        flow = obj.get("targetPageFlow")
-        extra = {"target_page_flow": flow} if flow else {}
+        camel = {re.sub(r"_(.)", lambda m: m[1].upper(), f.name): f.name for f in fields(cls)}
+        if unknown := sorted(set(obj) - set(camel)):
+            raise ValueError(f"unknown parameters: {', '.join(unknown)}")
+        read = {"startDate", "endDate", "startAge", "endAge", "professionals", "cities", "sex", "keywords", "categoryIds"}
+        extra = {camel[k]: v for k, v in obj.items() if k not in read and v not in (None, "", [])}
         return cls(
             start_date=obj.get("startDate"),
             end_date=obj.get("endDate"),

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.functions import columns as X
-from shoplens.functions.sql import GROUP_CONCAT_DISTINCT, register_sql_functions
+from shoplens.functions.sql import register_sql_functions
 from shoplens.operators import ads, area, categories, funnel, sampling, scalars, sessions
 from shoplens.plans import defaults as D
 from shoplens.plans.defaults import QUERY_PARAMS as P
@@ -177,7 +178,7 @@ def _extract(spark, sf_dir, p):
 
 @register("session_random_extract")
 def q_session_random_extract(spark, sf_dir):
-    return _extract(spark, sf_dir, P)
+    return _extract(spark, sf_dir, P.with_(sample_size=D.FLOOR_SAMPLE_SIZE))
 
 
 @register("session_random_extract_lr")
@@ -344,50 +345,45 @@ def q_packed_field_write(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ SQL surface and sinks
-AREA_TOP3_SQL = """
-WITH clicks AS (
-  SELECT city_id, click_product_id FROM user_visit_action
-  WHERE date >= '{start}' AND date <= '{end}' AND click_product_id != -1),
-basic AS (
-  SELECT c.city_id, ci.city_name, ci.area, c.click_product_id AS pid
-  FROM clicks c JOIN city_info ci ON c.city_id = ci.city_id),
-counts AS (
-  SELECT area, pid, count(*) AS click_count,
-         {group_concat} AS city_infos
-  FROM basic GROUP BY area, pid),
-ranked AS (
-  SELECT t.*, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid ASC) AS rn
-  FROM counts t LEFT SEMI JOIN product_info k ON t.pid = k.product_id),
-top AS (SELECT * FROM ranked WHERE rn <= {k}),
-info AS (
-  SELECT t.area, t.city_infos, t.pid, p.product_name,
-         if(get_json_field(p.extend_info, 'product_status') = '0', 'Self', 'Third Party') AS product_status,
-         t.click_count
-  FROM top t JOIN product_info p ON t.pid = p.product_id)
-SELECT '{task}' AS taskid, area, {level} AS areaLevel, pid AS productid, city_infos AS cityInfos,
-       click_count AS clickCount, product_name AS productName, product_status AS productStatus
-FROM info
-"""
-
-
-def _level_sql(levels) -> str:
-    whens = " ".join(
-        "WHEN area IN (" + ", ".join(f"'{a}'" for a in areas) + f") THEN '{level}'" for level, areas in levels.items()
-    )
-    return f"CASE {whens} ELSE '{X.DEFAULT_AREA_LEVEL}' END"
+# Each statement reads the views before it; the log is reduced to one row per (city, product) first.
+AREA_SQL_VIEWS = {
+    "city_product_clicks": """
+        SELECT city_id, click_product_id AS productid, count(*) AS clicks
+        FROM user_visit_action
+        WHERE date BETWEEN :first_day AND :last_day AND click_product_id <> -1
+        GROUP BY ALL""",
+    "area_product_clicks": """
+        SELECT area, productid, sum(clicks) AS clickCount,
+               group_concat_distinct(collect_set(concat_long_string(city_id, city_name, ':'))) AS cityInfos
+        FROM city_product_clicks JOIN city_info USING (city_id)
+        WHERE EXISTS (SELECT 1 FROM product_info WHERE product_id = productid)
+        GROUP BY ALL""",
+    "area_top_products": """
+        SELECT * EXCEPT (place)
+        FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY clickCount DESC, productid) AS place
+              FROM area_product_clicks)
+        WHERE place <= :k""",
+}
+AREA_TOP_SQL = """
+    SELECT :task AS taskid, area, coalesce(element_at(:levels, area), :other_level) AS areaLevel, productid, cityInfos,
+           clickCount, product_name AS productName,
+           CASE get_json_field(extend_info, 'product_status') WHEN '0' THEN 'Self' ELSE 'Third Party' END AS productStatus
+    FROM area_top_products JOIN product_info ON product_id = productid"""
 
 
 @register("area_top3_product_sql")
 def q_area_top3_product_sql(spark, sf_dir):
-    """The area job through the SQL surface: views (K8) + SQL functions."""
+    """The area job through the SQL surface: base and intermediate views (K8), SQL functions (G1-G3), bound arguments."""
     t = Tables(spark, sf_dir)
     register_sql_functions(spark)
     register_views({"user_visit_action": t.actions(), "product_info": t.products(), "city_info": t.cities()})
-    return spark.sql(AREA_TOP3_SQL.format(
-        start=P.start_date, end=P.end_date, task=P.task_id, k=P.top_products,
-        group_concat=GROUP_CONCAT_DISTINCT("concat_long_string(city_id, city_name, ':')"),
-        level=_level_sql(TESTDATA_AREA_LEVELS),
-    ))
+    args = {"first_day": P.start_date, "last_day": P.end_date, "k": P.top_products, "task": P.task_id,
+            "other_level": X.DEFAULT_AREA_LEVEL,
+            "levels": F.create_map(*[F.lit(x) for level, areas in TESTDATA_AREA_LEVELS.items()
+                                     for area in areas for x in (area, level)])}
+    for name, text in AREA_SQL_VIEWS.items():
+        register_views({name: spark.sql(text, args={k: v for k, v in args.items() if f":{k}" in text})})
+    return spark.sql(AREA_TOP_SQL, args={k: v for k, v in args.items() if f":{k}" in AREA_TOP_SQL})
 
 
 @register("sink_roundtrip")

@@ -18,6 +18,11 @@ QUERY_PARAMS = TaskParams(
     blacklist_threshold=2,
 )
 
+# The floor rule draws floor(size / days) sessions a day; over the 30 days of the
+# events table this size leaves the busier hours of each day a quota above zero
+# (sizes up to 1,000 keep the partial group limit of the draw).
+FLOOR_SAMPLE_SIZE = 900
+
 # Filter settings of the single-criterion filter queries.
 FILTER_PROFESSIONALS = ("AUTOMOBILE", "MACHINERY")
 FILTER_CITIES = ("NATION_1", "NATION_3", "NATION_5", "NATION_7")

@@ -28,16 +28,24 @@ from pyspark.sql import functions as F
 from shoplens.operators import ads, area, categories, funnel, sampling, sessions
 from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
-from shoplens.sinks import write_task_result
+from shoplens.sinks import write_result, write_task_result
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
 from shoplens.spark import get_session, shared_dir
 
 Writer = Callable[[DataFrame, str], None]
 
 
-def path_writer(base: str) -> Writer:
-    """Write each result under ``base/<table>``, partitioned by task id (retry-safe)."""
-    return lambda df, table: write_task_result(df, f"{base.rstrip('/')}/{table}")
+def path_writer(base: str, task_id: str | None = None) -> Writer:
+    """Write each result under ``base/<table>``, partitioned by task id (retry-safe, also for empty results)."""
+    return lambda df, table: write_task_result(df, f"{base.rstrip('/')}/{table}", task_id=task_id)
+
+
+def table_writer(fmt: str, task_id: str, prefix: str = "", options: dict | None = None) -> Writer:
+    """Append each result to a JDBC table (``fmt='jdbc'``) or a catalog table (``fmt='table'``).
+
+    An append is not idempotent: a rerun needs a task id of its own.
+    """
+    return lambda df, table: write_result(df.where(F.col("taskid") == task_id), prefix + table, "append", fmt, options)
 
 
 def _reliable(df: DataFrame) -> DataFrame:
@@ -78,16 +86,16 @@ def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
     def out(df: DataFrame, name: str) -> None:
         write(df.withColumn("taskid", F.lit(p.task_id)), name)
 
+    out(ads.rejected_lines(lines), "ad_rejected")
     clicks = _reliable(ads.parse_ad_lines(lines))
     counts = ads.user_click_count(clicks)
     out(counts, "ad_user_click_count")
     black = broadcast_if_small(_reliable(ads.blacklist(counts, p)))
     out(black, "ad_blacklist")
-    clean = ads.clean_clicks(clicks, black)
-    stat = _reliable(ads.ad_stat(clean))
+    stat = _reliable(ads.ad_stat(clicks, black))
     out(stat, "ad_stat")
     out(ads.province_top(stat, p), "ad_province_top3")
-    out(ads.click_trend(clean, p), "ad_click_trend")
+    out(ads.click_trend(clicks, p, black), "ad_click_trend")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -96,7 +104,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", help="folder with the driver's parquet tables (test binding)")
     ap.add_argument("--catalog", action="store_true",
                     help="read catalog tables user_visit_action, user_info, product_info, city_info, ad_log")
-    ap.add_argument("--output", required=True, help="result folder (shared storage)")
+    ap.add_argument("--output", required=True, help="result folder (shared storage), or a prefix of the table names")
+    ap.add_argument("--format", choices=["files", "jdbc", "table"], default="files")
+    ap.add_argument("--option", action="append", default=[], help="key=value of the JDBC writer: url, driver, user, ...")
     ap.add_argument("--params", default="{}", help="task parameters as JSON (reference keys)")
     ap.add_argument("--task-id", default="task")
     ap.add_argument("--master", default=None)
@@ -104,7 +114,10 @@ def main(argv: list[str] | None = None) -> None:
     existing = SparkSession.getActiveSession()
     spark: SparkSession = existing or get_session(a.master)
     p = TaskParams.from_json(json.loads(a.params)).with_(task_id=a.task_id)
-    write = path_writer(a.output)
+    if a.format == "files":
+        write = path_writer(a.output, a.task_id)
+    else:
+        write = table_writer(a.format, a.task_id, a.output, dict(o.split("=", 1) for o in a.option))
     if a.catalog:
         actions, users = spark.table("user_visit_action"), (lambda: spark.table("user_info"))
         products, cities = (lambda: spark.table("product_info")), (lambda: spark.table("city_info"))

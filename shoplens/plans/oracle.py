@@ -8,7 +8,7 @@ Spark plans. Rounding uses exact integer arithmetic (``//``) because DuckDB's
 
 from __future__ import annotations
 
-from shoplens.plans.defaults import QUERY_PARAMS as P
+from shoplens.plans.defaults import FLOOR_SAMPLE_SIZE, QUERY_PARAMS as P
 
 START, END = P.start_date, P.end_date
 
@@ -210,11 +210,16 @@ sh AS (SELECT *, substr(start_time, 1, 10) AS date, substr(start_time, 12, 2) AS
 hourly AS (SELECT date, hour, CAST(count(*) AS BIGINT) AS session_count FROM sh GROUP BY date, hour)"""
 
 
-def _quota(allocation: str) -> str:
+def _quota(allocation: str, size: int = P.sample_size) -> str:
+    days = "(SELECT count(DISTINCT date) FROM hourly)"
+    per_day = f"floor({size} / {days})"
+    if allocation != "floor":
+        day = "dense_rank() OVER (ORDER BY date)"
+        per_day = f"floor({day} * {size} / {days}) - floor(({day} - 1) * {size} / {days})"
     q = f""",
 q0 AS (
   SELECT date, hour, session_count,
-         CAST(floor({P.sample_size} / (SELECT count(DISTINCT date) FROM hourly)) AS BIGINT) AS per_day,
+         CAST({per_day} AS BIGINT) AS per_day,
          CAST(sum(session_count) OVER (PARTITION BY date) AS BIGINT) AS day_total
   FROM hourly),
 q1 AS (SELECT *, (session_count / day_total) * per_day AS exact FROM q0),
@@ -229,8 +234,8 @@ quota AS (SELECT date, hour, session_count,
                  CAST(least(base + CASE WHEN rk <= short THEN 1 ELSE 0 END, session_count) AS BIGINT) AS quota FROM q3)"""
 
 
-def _extract(allocation: str) -> str:
-    return _sessions() + _HOURLY + _quota(allocation) + f""",
+def _extract(allocation: str, size: int = P.sample_size) -> str:
+    return _sessions() + _HOURLY + _quota(allocation, size) + f""",
 ranked AS (
   SELECT sh.*, row_number() OVER (PARTITION BY date, hour ORDER BY md5('{P.sample_seed}' || session_id), session_id) AS rn
   FROM sh),
@@ -245,7 +250,7 @@ SQL["session_sample_quota"] = _sessions() + _HOURLY + _quota("floor") + \
     "\nSELECT date, hour, session_count, quota FROM quota"
 SQL["session_sample_quota_lr"] = _sessions() + _HOURLY + _quota("largest_remainder") + \
     "\nSELECT date, hour, session_count, quota FROM quota"
-SQL["session_random_extract"] = _extract("floor") + "\nSELECT * FROM extract"
+SQL["session_random_extract"] = _extract("floor", FLOOR_SAMPLE_SIZE) + "\nSELECT * FROM extract"
 SQL["session_random_extract_lr"] = _extract("largest_remainder") + "\nSELECT * FROM extract"
 SQL["session_detail"] = _extract("largest_remainder") + f"""
 SELECT '{P.task_id}' AS taskid, user_id AS userid, session_id AS sessionid, page_id AS pageid,

@@ -9,6 +9,8 @@ own rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 
 
@@ -31,8 +33,19 @@ def write_result(df: DataFrame, target: str, mode: str = "append", fmt: str = "p
         w.format(fmt).options(**opts).save(target)
 
 
-def write_task_result(df: DataFrame, path: str, task_col: str = "taskid", fmt: str = "parquet") -> None:
-    """Idempotent result write: overwrite only the partitions of the task ids in ``df``."""
+def write_task_result(df: DataFrame, path: str, task_col: str = "taskid", fmt: str = "parquet",
+                      task_id: str | None = None) -> None:
+    """Idempotent result write: overwrite only the partitions of the task ids in ``df``.
+
+    A rerun without rows holds no task id, so its old rows would stay. With
+    ``task_id`` the task's own folder is replaced, by an empty one if need be.
+    """
+    if task_id is not None:
+        if not re.fullmatch(r"[A-Za-z0-9_-]+", task_id):
+            raise ValueError(f"task id {task_id!r} can't name a folder")
+        own = df.where(df[task_col] == task_id).drop(task_col)
+        own.write.mode("overwrite").format(fmt).save(f"{path}/{task_col}={task_id}")
+        return
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(task_col)

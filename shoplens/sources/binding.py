@@ -120,7 +120,7 @@ TESTDATA_AREA_LEVELS = {
 def ad_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
     """Click events -> ad log text lines ``epoch_ms province city userid adid``.
 
-    Province is the area of the user's city with spaces as ``_``; works on a
+    Province is the area of the user's city; spaces of names become ``_``. Works on a
     batch or a streaming ``events`` DataFrame (stream-static join).
     """
     clicks = events.where(F.col("event_type") == "click").select(
@@ -135,7 +135,7 @@ def ad_lines_from_events(events: DataFrame, cities: DataFrame) -> DataFrame:
             " ",
             F.col("ts_ms").cast("string"),
             F.regexp_replace(F.col("area"), " ", "_"),
-            F.col("city_name"),
+            F.regexp_replace(F.col("city_name"), " ", "_"),
             F.col("user_id").cast("string"),
             F.col("adid").cast("string"),
         ).alias("value")

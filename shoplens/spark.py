@@ -59,7 +59,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
         base = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts, uuid.uuid4().hex])

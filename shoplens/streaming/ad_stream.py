@@ -38,6 +38,7 @@ from shoplens.params import TaskParams
 from shoplens.sources.binding import ad_lines_from_events, cities_from_nation_region, read_table
 
 COUNTS, BLACKLIST, STAT, TREND = "ad_user_click_count", "ad_blacklist", "ad_stat", "ad_click_trend"
+REJECTED = "ad_rejected"
 
 
 # ------------------------------------------------------------------ sources
@@ -75,15 +76,21 @@ def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str, group_i
 
 # ------------------------------------------------------------------ sinks
 def _write_batch(df: DataFrame, out_dir: str, table: str, batch_id: int, files: int = 4) -> None:
-    """Overwrite this batch's own folder (idempotent on retry) with few files."""
-    df.coalesce(max(int(files), 1)).write.mode("overwrite").parquet(f"{out_dir}/{table}/batch_id={batch_id}")
+    """Overwrite this batch's own folder (idempotent on retry) with few files.
+
+    ``repartition`` and not ``coalesce``: only the finished rows are brought together, the stages before them
+    keep all their tasks.
+    """
+    df.repartition(max(int(files), 1)).write.mode("overwrite").parquet(f"{out_dir}/{table}/batch_id={batch_id}")
 
 
 def _read(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
     """All batch folders of one output table (empty before the first batch)."""
     try:
         return spark.read.schema(schema).parquet(f"{out_dir}/{table}").drop("batch_id")
-    except AnalysisException:
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -114,8 +121,12 @@ def start_counts(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPar
               .select(F.date_format(F.col("day.start"), "yyyyMMdd").alias("date"), "userid", "adid", "clickCount"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, out_dir, COUNTS, batch_id, p.stream_output_files)
-        _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id, 1)
+        batch.persist()       # written and searched for the blacklist: the state stage runs once
+        try:
+            _write_batch(batch, out_dir, COUNTS, batch_id, p.stream_output_files)
+            _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id, 1)
+        finally:
+            batch.unpersist()
 
     w = counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/counts")
     w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
@@ -141,19 +152,25 @@ def _start_with_state_partitions(writer, spark: SparkSession, n: int | None):
 
 
 def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskParams, trigger: dict | None = None):
-    """Statistics of clicks by users not (yet) blacklisted, as deltas."""
+    """Statistics of clicks by users not (yet) blacklisted, as deltas; unreadable lines are kept apart."""
     spark = lines.sparkSession
-    clicks = ads.parse_ad_lines(lines)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()       # three tables are made of it; a Kafka batch is fetched once
+        try:
+            _write_batch(ads.rejected_lines(batch), out_dir, REJECTED, batch_id, 1)
+            write_stats(ads.parse_ad_lines(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    def write_stats(clicks: DataFrame, batch_id: int) -> None:
         # the stored list is counted from parquet metadata (duplicate ids do not
         # change an anti-join); broadcast while small
         black = broadcast_if_small(_read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA))
-        clean = ads.clean_clicks(batch, black)
-        _write_batch(ads.ad_stat(clean), out_dir, STAT, batch_id, p.stream_output_files)
-        _write_batch(ads.click_trend(clean, p), out_dir, TREND, batch_id, p.stream_output_files)
+        _write_batch(ads.ad_stat(clicks, black), out_dir, STAT, batch_id, p.stream_output_files)
+        _write_batch(ads.click_trend(clicks, p, black), out_dir, TREND, batch_id, p.stream_output_files)
 
-    w = clicks.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/stats")
+    w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/stats")
     return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
@@ -173,6 +190,12 @@ def read_ad_stat(spark: SparkSession, out_dir: str) -> DataFrame:
     return d.groupBy("date", "province", "city", "adid").agg(F.sum("clickCount").cast("bigint").alias("clickCount"))
 
 
+def read_rejected(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Log lines that could not be read, as they came."""
+    return _read(spark, out_dir, REJECTED, T.StructType([T.StructField("value", T.StringType()),
+                                                         T.StructField("n_fields", T.IntegerType())]))
+
+
 def read_province_top(spark: SparkSession, out_dir: str, p: TaskParams) -> DataFrame:
     return ads.province_top(read_ad_stat(spark, out_dir), p)
 
