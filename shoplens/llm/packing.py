@@ -11,7 +11,7 @@ partitions, until one round is left, which is final for all.
 
 A tokenizer encodes whole texts. White space separates the tokenizer's words, so
 each white-space separated string is encoded once per worker and remembered (at
-most ``CACHE_STRINGS`` strings) and strings met for the first time are encoded together.
+most two generations of ``CACHE_STRINGS`` strings) and new strings are encoded together.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
 packed as documents of their own; pieces of equal length are placed in the order
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from shoplens.llm.common import stored, texts, utf8
 
-CACHE_STRINGS = 200_000
+CACHE_STRINGS = 300_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -44,14 +44,21 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def prepare(self, split: list[list[bytes]]) -> None:
         """Encode the strings not known yet as one text; tokens belong to the string that their offset lies in."""
         words: set[bytes] = set()
         words.update(*split)
-        if len(self.known) + len(words) > CACHE_STRINGS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(words) > CACHE_STRINGS:      # strings met again since the last change stay
+            self.known, self.older = {}, self.known
+        new, older, known = [], self.older, self.known
+        for w in words:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
         if not new:
             return
         strings = [w.decode("utf-8", "replace") for w in new]
