@@ -23,6 +23,7 @@ from shoplens.streaming import ad_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+DATES = tuple(P.require_dates())
 
 
 def register(name: str):
@@ -35,59 +36,59 @@ def register(name: str):
 # ------------------------------------------------------------------ area
 @register("product_clicks")
 def q_product_clicks(spark, sf_dir):
-    return area.product_clicks(Tables(spark, sf_dir).actions(), P)
+    return area.product_clicks(Tables(spark, sf_dir).actions(dates=DATES), P)
 
 
 @register("area_clicks")
 def q_area_clicks(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return area.area_clicks(area.product_clicks(t.actions(), P), t.cities())
+    return area.area_clicks(area.product_clicks(t.actions(dates=DATES), P), t.cities())
 
 
 @register("area_product_click_count")
 def q_area_product_click_count(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return area.area_product_click_count(area.product_clicks(t.actions(), P), t.cities())
+    return area.area_product_click_count(area.product_clicks(t.actions(dates=DATES), P), t.cities())
 
 
 @register("area_product_info")
 def q_area_product_info(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    counts = area.area_product_click_count(area.product_clicks(t.actions(), P), t.cities())
+    counts = area.area_product_click_count(area.product_clicks(t.actions(dates=DATES), P), t.cities())
     return area.area_product_info(counts, t.products())
 
 
 @register("area_top3_product")
 def q_area_top3_product(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return area.area_top3_job(t.actions(), t.cities(), t.products(), P, TESTDATA_AREA_LEVELS)
+    return area.area_top3_job(t.actions(dates=DATES), t.cities(), t.products(), P, TESTDATA_AREA_LEVELS)
 
 
 # ------------------------------------------------------------------ sessions
 def _range_actions(spark, sf_dir):
-    return sessions.actions_by_date(Tables(spark, sf_dir).actions(), P)
+    return sessions.actions_by_date(Tables(spark, sf_dir).actions(dates=DATES), P)
 
 
 def _filtered(spark, sf_dir, p=P, mode="B1"):
     t = Tables(spark, sf_dir)
-    return sessions.filtered_sessions(t.actions(mode), t.users(), p)
+    return sessions.filtered_sessions(t.actions(mode, DATES), t.users(), p)
 
 
 @register("actions_by_date")
 def q_actions_by_date(spark, sf_dir):
-    return sessions.select_actions(sessions.actions_by_date(Tables(spark, sf_dir).actions(), P))
+    return sessions.select_actions(sessions.actions_by_date(Tables(spark, sf_dir).actions(dates=DATES), P))
 
 
 @register("session_profile")
 def q_session_profile(spark, sf_dir):
-    acts = sessions.actions_by_date(Tables(spark, sf_dir).actions(), P)
+    acts = sessions.actions_by_date(Tables(spark, sf_dir).actions(dates=DATES), P)
     return sessions.select_profile(sessions.session_profile(acts))
 
 
 @register("session_full_info")
 def q_session_full_info(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    prof = sessions.session_profile(sessions.actions_by_date(t.actions(), P))
+    prof = sessions.session_profile(sessions.actions_by_date(t.actions(dates=DATES), P))
     return sessions.select_profile(sessions.session_full_info(prof, t.users()), full=True)
 
 
@@ -129,7 +130,7 @@ def q_session_filter_categories(spark, sf_dir):
 
 def _filtered_actions(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    acts = t.actions()
+    acts = t.actions(dates=DATES)
     return sessions.filtered_actions(acts, sessions.filtered_sessions(acts, t.users(), P), P)
 
 
@@ -195,9 +196,9 @@ def q_session_detail(spark, sf_dir):
 def _session_categories(spark, sf_dir):
     """Per-(session, category) counts of the filtered sessions (reduced before the join)."""
     t = Tables(spark, sf_dir)
-    acts = sessions.actions_by_date(t.actions(), P)
+    acts = sessions.actions_by_date(t.actions(dates=DATES), P)
     return categories.for_sessions(categories.session_category_counts(acts),
-                                   sessions.filtered_sessions(t.actions(), t.users(), P))
+                                   sessions.filtered_sessions(t.actions(dates=DATES), t.users(), P))
 
 
 @register("category_ids")

@@ -126,7 +126,8 @@ def main(argv: list[str] | None = None) -> None:
         if not a.input:
             ap.error("--input or --catalog is required")
         t = Tables(spark, a.input)
-        actions, users, products, cities, lines = t.actions(), t.users, t.products, t.cities, t.ad_lines
+        dates = tuple(p.require_dates()) if a.job != "ads" else None
+        actions, users, products, cities, lines = t.actions(dates=dates), t.users, t.products, t.cities, t.ad_lines
         levels = TESTDATA_AREA_LEVELS
     if a.job == "session":
         session_job(actions, users(), p, write)

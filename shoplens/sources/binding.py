@@ -15,6 +15,8 @@ product status = p_size % 2; ad id = k % 20.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +77,13 @@ def actions_from_events(events: DataFrame, session_mode: str = "B1", keep_event_
     return e.select(*cols)
 
 
+def within_days(events: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Events of a date range, as a bound on the stored ``ts`` itself, which the file reader can prune by."""
+    kind = events.schema["ts"].dataType
+    after = date.fromisoformat(last_day) + timedelta(days=1)
+    return events.where((F.col("ts") >= F.lit(first_day).cast(kind)) & (F.col("ts") < F.lit(after.isoformat()).cast(kind)))
+
+
 def users_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """``customer`` (+ nation name as the user's city) -> ``user_info``."""
     n = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("city"))
@@ -169,8 +178,13 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self._memo(("raw", name), lambda: read_table(self.spark, self.sf_dir, name))
 
-    def actions(self, session_mode: str = "B1") -> DataFrame:
-        return self._memo(("actions", session_mode), lambda: actions_from_events(self.raw("events"), session_mode))
+    def actions(self, session_mode: str = "B1", dates: tuple[str, str] | None = None) -> DataFrame:
+        """The action log; ``dates`` (first and last day) lets the scan skip the rest."""
+        def build():
+            events = self.raw("events")
+            return actions_from_events(within_days(events, *dates) if dates else events, session_mode)
+
+        return self._memo(("actions", session_mode, dates), build)
 
     def users(self) -> DataFrame:
         return self._memo("users", lambda: users_from_customer(self.raw("customer"), self.raw("nation")))

@@ -44,3 +44,8 @@ def test_category_path_reduces_actions_before_the_filter_join(spark):
 
 def test_global_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "top10_category")
+
+
+@pytest.mark.parametrize("name", ["session_profile", "product_clicks", "top10_category", "page_pairs"])
+def test_date_range_reaches_the_reader(spark, name):
+    assert "GreaterThanOrEqual(ts" in _plan(spark, name) and "LessThan(ts" in _plan(spark, name)
