@@ -31,6 +31,7 @@ from shoplens.params import TaskParams
 from shoplens.sinks import write_result, write_task_result
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
 from shoplens.spark import get_session, shared_dir
+from shoplens.streaming import ad_stream
 
 Writer = Callable[[DataFrame, str], None]
 
@@ -98,9 +99,24 @@ def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
     out(ads.click_trend(clicks, p, black), "ad_click_trend")
 
 
+def stream_job(lines: Callable[[], DataFrame], output: str, checkpoint: str, p: TaskParams, interval: str | None) -> None:
+    """The ad stream: user counts with the blacklist, and statistics, until stopped (no ``interval``: all there is, once)."""
+    if interval is None:
+        ad_stream.run_available_now(lines, output, checkpoint, p)
+        return
+    trigger = {"processingTime": interval}
+    running = [start(lines(), output, checkpoint, p, trigger) for start in (ad_stream.start_counts, ad_stream.start_stats)]
+    try:
+        # returns when either ends and raises its error; the other one must not run on alone
+        lines().sparkSession.streams.awaitAnyTermination()
+    finally:
+        for query in running:
+            query.stop()
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shoplens.plans.jobs")
-    ap.add_argument("job", choices=["session", "page", "area", "ads"])
+    ap.add_argument("job", choices=["session", "page", "area", "ads", "stream"])
     ap.add_argument("--input", help="folder with the driver's parquet tables (test binding)")
     ap.add_argument("--catalog", action="store_true",
                     help="read catalog tables user_visit_action, user_info, product_info, city_info, ad_log")
@@ -109,11 +125,27 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--option", action="append", default=[], help="key=value of the JDBC writer: url, driver, user, ...")
     ap.add_argument("--params", default="{}", help="task parameters as JSON (reference keys)")
     ap.add_argument("--task-id", default="task")
+    ap.add_argument("--brokers", help="stream: Kafka bootstrap servers (otherwise the events files of --input)")
+    ap.add_argument("--topic", help="stream: Kafka topic")
+    ap.add_argument("--group-id", help="stream: Kafka consumer group")
+    ap.add_argument("--checkpoint", help="stream: folder of offsets and state (shared storage)")
+    ap.add_argument("--trigger", help="stream: time between micro-batches, such as '5 seconds'; unset: read what is there and end")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     existing = SparkSession.getActiveSession()
     spark: SparkSession = existing or get_session(a.master)
     p = TaskParams.from_json(json.loads(a.params)).with_(task_id=a.task_id)
+    if a.job == "stream":
+        if not a.checkpoint or not (a.input or (a.brokers and a.topic)):
+            ap.error("stream needs --checkpoint and either --brokers with --topic or --input")
+        if a.brokers:
+            source = lambda: ad_stream.kafka_lines(spark, a.brokers, a.topic, a.group_id)
+        else:
+            source = lambda: ad_stream.testdata_lines(spark, a.input)
+        stream_job(source, a.output, a.checkpoint, p, a.trigger)
+        if existing is None:
+            spark.stop()
+        return
     if a.format == "files":
         write = path_writer(a.output, a.task_id)
     else:

@@ -1,3 +1,4 @@
+import json
 import os
 
 from shoplens.plans import jobs
@@ -32,3 +33,11 @@ def test_ad_batch_job_matches_queries(spark):
     jobs.ad_batch_job(Tables(spark, SF).ad_lines(), P, lambda df, name: got.__setitem__(name, df.drop("taskid").collect()))
     for name in ("ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend"):
         assert sorted(got[name]) == sorted(QUERIES[name](spark, SF).collect()), name
+
+
+def test_stream_command_reads_what_is_there_and_ends(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "stream")
+    jobs.main(["stream", "--input", SF, "--output", out, "--checkpoint", os.path.join(tmp_dir, "ckpt"),
+               "--params", json.dumps({"blacklistThreshold": P.blacklist_threshold})])
+    stat = jobs.ad_stream.read_ad_stat(spark, out)
+    assert sorted(stat.collect()) == sorted(QUERIES["ad_stat"](spark, SF).collect())
