@@ -6,11 +6,11 @@ stage and one hash aggregate with a map-side partial phase counts all three
 kinds at once, replacing the reference's three counts plus three joins. A hot
 category is therefore collapsed per task before the only exchange.
 
-For the session job the actions are first reduced to one row per (session,
-category) with click / order / pay counts (``session_category_counts``); the
-join to the filtered sessions, the category totals and the per-category
-session ranking all read that reduced table, so raw action rows are never
-shuffled for the session filter. The top-k
+For the session job the log is read once and reduced to cells (``session_cells``,
+one row per session, category and keyword). The callers store them; the session
+profile, the join to the filtered sessions, the category totals and the
+per-category session ranking all read that reduced table, so raw action rows are
+neither read again nor shuffled for the session filter. The top-k
 categories are a ``TakeOrderedAndProject`` (k rows reach the driver side of the
 plan, nothing else). The per-category session ranking is a semi-join against
 those k ids (broadcast, bounded by k) followed by a literal-bounded
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import columns as X
 from shoplens.operators.common import bounded_broadcast
+from shoplens.operators.sessions import profile_columns
 from shoplens.params import TaskParams
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -50,16 +51,52 @@ def category_events(actions: DataFrame) -> DataFrame:
     return actions.select(F.inline(_all_entries()))
 
 
-def session_category_counts(actions: DataFrame) -> DataFrame:
-    """``session_id, category_id, click_count, order_count, pay_count`` per touched pair."""
-    k = F.col("kind")
-    return actions.select("session_id", F.inline(_all_entries())).groupBy("session_id", "category_id").agg(
+def session_cells(actions: DataFrame) -> DataFrame:
+    """One scan for the profile and the category counts of every session.
+
+    A row per (session, touched category or NULL, search keyword): clicks, orders
+    and payments of the category, and what the session profile needs. ``steps``
+    counts an action once, however many categories it touches. All aggregates are
+    plain ones, so a hot session is collapsed in the scan tasks.
+    """
+    kw, k = F.col("search_keyword"), F.col("e.kind")
+    entries = actions.select(
+        "session_id", "user_id",
+        X.action_seconds(F.col("action_time")).alias("t"),
+        F.when(X.is_not_blank(kw), kw).alias("keyword"),
+        F.posexplode_outer(_all_entries()).alias("place", "e"),
+    )
+    return entries.groupBy("session_id", F.col("e.category_id").alias("category_id"), "keyword").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("t").alias("start_sec"),
+        F.max("t").alias("end_sec"),
+        F.count_if(F.coalesce(F.col("place"), F.lit(0)) == 0).alias("steps"),
         F.count_if(k == CLICK).alias("click_count"),
         F.count_if(k == ORDER).alias("order_count"),
         F.count_if(k == PAY).alias("pay_count"),
     )
 
 
+def profile_from_cells(cells: DataFrame) -> DataFrame:
+    """A1 from ``session_cells``: the same rows as ``sessions.session_profile``."""
+    clicked = F.when(F.col("click_count") > 0, F.col("category_id"))
+    return profile_columns(cells.groupBy("session_id").agg(
+        F.min("user_id").alias("user_id"),
+        F.min("start_sec").alias("start_sec"),
+        F.max("end_sec").alias("end_sec"),
+        F.sum("steps").alias("step_length"),
+        F.array_sort(F.collect_set("keyword")).alias("search_keyword_list"),
+        F.array_sort(F.collect_set(clicked)).alias("click_category_list"),
+    ))
+
+
+def session_category_counts(cells: DataFrame) -> DataFrame:
+    """``session_id, category_id, click_count, order_count, pay_count`` per touched pair."""
+    return cells.where(F.col("category_id").isNotNull()).groupBy("session_id", "category_id").agg(
+        *[F.sum(c).alias(c) for c in ("click_count", "order_count", "pay_count")]
+    )
+
+
 def for_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
     """J2 on the reduced table: keep (session, category) rows of the given sessions."""
     return counts.join(sessions.select("session_id"), "session_id", "left_semi")

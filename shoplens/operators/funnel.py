@@ -11,19 +11,18 @@ slices, the first window's largest group is one session's actions within ten
 minutes and the second window holds at most 144 rows per session and day, so
 both are bounded by time rather than by data volume.
 
-Counting joins the pairs to the target steps (a parameter-sized table,
-broadcast) and aggregates with a map-side partial phase; the rate chain runs on
-a table with one row per step.
+Counting reads the log once: target pairs and start-page views are counted in
+the pass that orders a slice, so that one small row per (session, slice) is
+dealt to the second window. The rate chain runs on one row per step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.functions import columns as X
-from shoplens.operators.common import bounded_broadcast
 from shoplens.params import TaskParams
 
 STEPS_SCHEMA = T.StructType([
@@ -34,15 +33,18 @@ STEPS_SCHEMA = T.StructType([
 ])
 
 
+def _steps(p: TaskParams) -> list[tuple[int, int, int, str]]:
+    flow = list(p.target_page_flow)
+    return [(i + 1, a, b, f"{a}_{b}") for i, (a, b) in enumerate(zip(flow, flow[1:]))]
+
+
 def target_steps(spark: SparkSession, p: TaskParams) -> DataFrame:
     """Flow ``1,2,3`` -> steps (1, 1, 2, '1_2'), (2, 2, 3, '2_3')."""
-    flow = list(p.target_page_flow)
-    rows = [(i + 1, a, b, f"{a}_{b}") for i, (a, b) in enumerate(zip(flow, flow[1:]))]
-    return spark.createDataFrame(rows, STEPS_SCHEMA)
+    return spark.createDataFrame(_steps(p), STEPS_SCHEMA)
 
 
-def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
-    """``session_id, from_page, to_page`` for consecutive actions.
+def _within_slices(actions: DataFrame, p: TaskParams) -> DataFrame:
+    """Every action with the next page of its (session, slice) and its place there.
 
     Order is by action time (seconds), then ``event_id`` when the input has
     it, else ``page_id`` (equal time and page give the same pair either way).
@@ -57,22 +59,29 @@ def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
     ).withColumn("slice", F.floor(F.col("t") / width))
 
     w = Window.partitionBy("session_id", "slice").orderBy("t", "tie")
-    win = a.select(
+    return a.select(
         "session_id",
         "slice",
         "page_id",
         F.lead(F.struct(F.col("page_id").alias("p"))).over(w).alias("nxt"),
         F.row_number().over(w).alias("rn"),
     )
+
+
+def _edge_pages() -> tuple[Column, Column]:
+    # aggregates over one (session, slice): its first and its last page
+    return (F.first(F.when(F.col("rn") == 1, F.col("page_id")), ignorenulls=True).alias("first_page"),
+            F.first(F.when(F.col("nxt").isNull(), F.col("page_id")), ignorenulls=True).alias("last_page"))
+
+
+def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
+    """``session_id, from_page, to_page`` for consecutive actions."""
+    win = _within_slices(actions, p)
     inner = win.where(F.col("nxt").isNotNull()).select(
         "session_id", F.col("page_id").alias("from_page"), F.col("nxt.p").alias("to_page")
     )
-    # first and last page of every slice, from the same windowed pass (the
-    # aggregate keeps the (session, slice) partitioning: no extra exchange)
-    edges = win.where((F.col("rn") == 1) | F.col("nxt").isNull()).groupBy("session_id", "slice").agg(
-        F.first(F.when(F.col("rn") == 1, F.col("page_id")), ignorenulls=True).alias("first_page"),
-        F.first(F.when(F.col("nxt").isNull(), F.col("page_id")), ignorenulls=True).alias("last_page"),
-    )
+    # the aggregate keeps the (session, slice) partitioning: no extra exchange
+    edges = win.where((F.col("rn") == 1) | F.col("nxt").isNull()).groupBy("session_id", "slice").agg(*_edge_pages())
     w2 = Window.partitionBy("session_id").orderBy("slice")  # one row per slice
     nxt2 = F.lead(F.struct(F.col("first_page").alias("p"))).over(w2)
     cross = edges.select("session_id", F.col("last_page").alias("from_page"), nxt2.alias("nxt")).where(
@@ -81,12 +90,38 @@ def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
     return inner.unionByName(cross)
 
 
-def page_pair_count(pairs: DataFrame, steps: DataFrame, steps_bound: int = 1000) -> DataFrame:
+def flow_counts(actions: DataFrame, p: TaskParams) -> DataFrame:
+    """F10/F11/A13/A14 in one pass over the log: one row with ``views`` of the
+    start page and the count ``n_<step>`` of every distinct step of the flow.
+
+    A (session, slice) is reduced to its counts and its first and last page in
+    the partitioning of the ordering window; only these rows are dealt again,
+    by session, to add the pairs that cross slice edges.
+    """
+    steps = sorted({(a, b, name) for _, a, b, name in _steps(p)})
+    page, to_page = F.col("page_id"), F.col("nxt.p")
+    per_slice = _within_slices(actions, p).groupBy("session_id", "slice").agg(
+        F.count_if(page == int(p.target_page_flow[0])).alias("views"),
+        *[F.count_if((page == a) & (to_page == b)).alias(f"n_{name}") for a, b, name in steps],
+        *_edge_pages(),
+    )
+    w = Window.partitionBy("session_id").orderBy("slice")
+    linked = per_slice.withColumn("next_page", F.lead("first_page").over(w))
+    crossing = [F.when((F.col("last_page") == a) & (F.col("next_page") == b), 1).otherwise(0) for a, b, _ in steps]
+    return linked.agg(
+        F.coalesce(F.sum("views"), F.lit(0)).cast("bigint").alias("views"),
+        *[F.coalesce(F.sum(F.col(f"n_{name}") + c), F.lit(0)).cast("bigint").alias(f"n_{name}")
+          for (_, _, name), c in zip(steps, crossing)],
+    )
+
+
+def page_pair_count(actions: DataFrame, p: TaskParams) -> DataFrame:
     """``step, n`` for target pairs that occur (a pair listed twice in
     the flow is counted once)."""
-    want = bounded_broadcast(steps.select("from_page", "to_page", "step").distinct(), max(steps_bound, 1))
-    hit = pairs.join(want, ["from_page", "to_page"], "inner")
-    return hit.groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+    names = sorted({name for _, _, _, name in _steps(p)})
+    items = [F.struct(F.lit(name).alias("step"), F.col(f"n_{name}").alias("n")) for name in names]
+    rows = F.array(*items).cast("array<struct<step:string,n:bigint>>")
+    return flow_counts(actions, p).select(F.inline(rows)).where(F.col("n") > 0)
 
 
 def page_start_count(actions: DataFrame, p: TaskParams) -> DataFrame:
@@ -95,22 +130,16 @@ def page_start_count(actions: DataFrame, p: TaskParams) -> DataFrame:
     return actions.agg(F.count_if(F.col("page_id") == start).alias("n"))
 
 
-def page_convert_rate(actions: DataFrame, p: TaskParams, spark: SparkSession | None = None) -> DataFrame:
+def page_convert_rate(actions: DataFrame, p: TaskParams) -> DataFrame:
     """``step_no, step, n, rate``; the first step is divided by the start
     page's views, each later one by the previous step's count. A missing pair
     counts 0; a zero denominator gives a NULL rate."""
-    spark = spark or actions.sparkSession
-    steps = target_steps(spark, p)
-    counts = page_pair_count(page_pairs(actions, p), steps, len(p.target_page_flow))
-    per_step = steps.join(counts, "step", "left").select(
-        "step_no", "step", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")
-    )
-    start = page_start_count(actions, p).select(
-        F.lit(0).cast("bigint").alias("step_no"), F.lit(None).cast("string").alias("step"), F.col("n").cast("bigint")
-    )
-    chain = per_step.unionByName(start)
+    chain = [(0, None, "views")] + [(no, name, f"n_{name}") for no, _, _, name in _steps(p)]
+    rows = F.array(*[F.struct(F.lit(no).alias("step_no"), F.lit(name).cast("string").alias("step"), F.col(c).alias("n"))
+                     for no, name, c in chain]).cast("array<struct<step_no:bigint,step:string,n:bigint>>")
+    counted = flow_counts(actions, p).select(F.inline(rows))
     prev = F.lag("n").over(Window.orderBy("step_no"))  # one row per step: parameter-sized
-    return chain.select("step_no", "step", "n", X.ratio_half_up(F.col("n"), prev).alias("rate")).where(
+    return counted.select("step_no", "step", "n", X.ratio_half_up(F.col("n"), prev).alias("rate")).where(
         F.col("step_no") > 0
     )
 

@@ -70,15 +70,19 @@ def session_profile(actions: DataFrame) -> DataFrame:
     t = X.action_seconds(F.col("action_time"))
     kw = F.col("search_keyword")
     cat = F.col("click_category_id")
-    agg = actions.groupBy("session_id").agg(
+    return profile_columns(actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min(t).alias("start_sec"),
         F.max(t).alias("end_sec"),
         F.count(F.lit(1)).alias("step_length"),
         F.array_sort(F.collect_set(F.when(X.is_not_blank(kw), kw))).alias("search_keyword_list"),
         F.array_sort(F.collect_set(F.when(cat != -1, cat))).alias("click_category_list"),
-    )
-    return agg.select(
+    ))
+
+
+def profile_columns(per_session: DataFrame) -> DataFrame:
+    """The columns of the profile from the aggregates of one session per row."""
+    return per_session.select(
         "session_id",
         "user_id",
         F.array_join("search_keyword_list", ",").alias("search_keywords"),

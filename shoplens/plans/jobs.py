@@ -3,12 +3,12 @@
 Each job takes the bound inputs, a ``TaskParams`` and a result writer, builds
 its lazy plans from ``shoplens.operators`` and writes every result table.
 
-The session job feeds several sinks from one filtered-session set and one
-per-(session, category) count table. Both are cut from their lineage with
-``DataFrame.checkpoint()`` into the cluster's shared checkpoint folder
-(``spark.checkpoint.dir``): each is computed once for all its sinks, a lost
-executor does not force the log to be re-aggregated, and no machine-local
-storage is involved.
+The session job reads the log once for all but the session detail: the cells of
+its sessions, the filtered sessions and their category counts are each written
+once as Parquet in the cluster's shared folder (``spark.checkpoint.dir``) and
+read by all their sinks. A lost executor does not force the log to be
+re-aggregated, no machine-local storage is involved, and the planner decides
+joins by the stored sizes.
 
 Usage (one job per call)::
 
@@ -30,7 +30,7 @@ from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
 from shoplens.sinks import write_result, write_task_result
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
-from shoplens.spark import get_session, shared_dir
+from shoplens.spark import get_session, shared_dir, stored
 from shoplens.streaming import ad_stream
 
 Writer = Callable[[DataFrame, str], None]
@@ -57,14 +57,14 @@ def _reliable(df: DataFrame) -> DataFrame:
 
 def session_job(actions: DataFrame, users: DataFrame, p: TaskParams, write: Writer) -> None:
     """Profile -> filter -> statistics, sample, top categories and top sessions."""
-    filtered = broadcast_if_small(_reliable(sessions.filtered_sessions(actions, users, p)))
+    cells = stored(categories.session_cells(sessions.actions_by_date(actions, p)), "session_cells")
+    profile = categories.profile_from_cells(cells)
+    filtered = stored(sessions.filter_sessions(sessions.session_full_info(profile, users), p), "filtered_sessions")
     write(sessions.session_aggr_stat(filtered, p), "session_aggr_stat")
     sample = sampling.random_extract(filtered, p)
     write(sample, "session_random_extract")
     write(sampling.session_detail(sessions.actions_by_date(actions, p), sample, p), "session_detail")
-    # read by two result tables: materialise once instead of scanning the log twice
-    sc = _reliable(categories.for_sessions(
-        categories.session_category_counts(sessions.actions_by_date(actions, p)), filtered))
+    sc = stored(categories.for_sessions(categories.session_category_counts(cells), filtered), "session_categories")
     top = categories.top_categories(categories.category_totals(sc), p)
     write(top, "top10_category")
     write(categories.top_sessions_from_counts(sc, top, p), "top10_session")

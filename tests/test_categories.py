@@ -51,10 +51,27 @@ def test_reduced_path_equals_action_path(spark):
                          pay_category_ids=str(rnd.randrange(8)) if kind == 2 else None))
     acts = actions_df(spark, rows)
     keep = acts.select("session_id").distinct().where(F.col("session_id") < "s2")
-    sc = C.for_sessions(C.session_category_counts(acts), keep)
+    sc = C.for_sessions(C.session_category_counts(C.session_cells(acts)), keep)
     fa = acts.join(keep, "session_id", "left_semi")
     assert sorted(C.category_totals(sc).collect()) == sorted(C.category_full_count(fa).collect())
     for kind in ("click", "order", "pay"):
         assert sorted(C.kind_totals(sc, kind).collect()) == sorted(C.category_kind_count(fa, kind).collect())
     top = C.top_categories(C.category_totals(sc), P)
     assert sorted(C.top_sessions_from_counts(sc, top, P).collect()) == sorted(C.top_sessions(fa, top, P).collect())
+
+
+def test_profile_from_cells_equals_profile_of_actions(spark):
+    import random
+    from helpers import at
+    from shoplens.operators import sessions as S
+    rnd = random.Random(5)
+    rows = [dict(session_id=f"s{rnd.randrange(12)}", user_id=rnd.randrange(5), action_time=at(rnd.randrange(3000)),
+                 search_keyword=rnd.choice([None, "", " ", "a", "b", "c"]),
+                 click_category_id=rnd.choice([-1, None, 3, 20, 100]),
+                 order_category_ids=rnd.choice([None, "", "3,3,9"]), pay_category_ids=rnd.choice([None, "20"]))
+            for _ in range(400)]
+    acts = actions_df(spark, rows)
+    got, want = C.profile_from_cells(C.session_cells(acts)), S.session_profile(acts)
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert C.profile_from_cells(C.session_cells(acts.limit(0))).count() == 0

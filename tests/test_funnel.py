@@ -62,3 +62,20 @@ def test_zero_start_and_self_and_repeated_pairs(spark):
 def test_start_count(spark):
     rows = [dict(page_id=1), dict(page_id=1), dict(page_id=3)]
     assert FN.page_start_count(actions_df(spark, rows), P).first().n == 2
+
+
+def test_pair_counts_in_one_pass_match_brute_force(spark):
+    rnd = random.Random(11)
+    rows = [dict(session_id=f"s{rnd.randrange(3)}", page_id=rnd.randrange(4), action_time=at(t), event_id=i, _t=t)
+            for i, t in enumerate(rnd.randrange(0, 300) for _ in range(300))]
+    df = actions_df(spark, [{k: v for k, v in r.items() if k != "_t"} for r in rows])
+    flow = (1, 2, 3, 1, 2, 2)
+    want = Counter()
+    for (_, a, b), n in brute_pairs(rows).items():
+        if (a, b) in set(zip(flow, flow[1:])):
+            want[f"{a}_{b}"] += n
+    for width in (7, 100, 3600):  # 3600: every action of a session in one slice
+        got = FN.page_pair_count(df, P.with_(target_page_flow=flow, pair_slice_seconds=width)).collect()
+        assert {r.step: r.n for r in got} == want
+    assert FN.page_pair_count(df, P.with_(target_page_flow=(1,))).count() == 0
+    assert FN.page_pair_count(df.limit(0), P).count() == 0

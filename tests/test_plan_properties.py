@@ -33,19 +33,45 @@ def test_aggregates_combine_map_side(spark, name):
     assert "partial_" in _plan(spark, name)
 
 
-def test_category_path_reduces_actions_before_the_filter_join(spark):
-    plan = _plan(spark, "top10_category")
-    lines = plan.splitlines()
-    semi = [i for i, ln in enumerate(lines) if "LeftSemi" in ln]
-    reduce = [i for i, ln in enumerate(lines) if "keys=[session_id" in ln and "category_id" in ln]
-    # the semi-join to the filtered sessions sits above the (session, category) aggregate
-    assert semi and reduce and min(semi) < min(reduce)
+@pytest.fixture
+def no_runtime_help(spark):
+    """Plans as a large run gets them: nothing is small enough to broadcast, nothing is re-planned."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["top10_category", "top10_session", "category_full_count"])
+def test_category_chain_does_not_read_the_log_again(spark, no_runtime_help, name):
+    df = QUERIES[name](spark, SF)
+    files = df.inputFiles()
+    assert any("session_cells" in f for f in files) and not any("events.parquet" in f for f in files)
+    assert "GreaterThanOrEqual(ts" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_session_cells_scan_once_and_combine_map_side(spark, no_runtime_help):
+    from shoplens.operators import categories
+    from shoplens.plans import catalog
+    plan = categories.session_cells(catalog._range_actions(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert "partial_" in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("name", ["page_convert_rate", "page_pair_count", "page_convert_rate_packed"])
+def test_funnel_reads_the_log_once_and_orders_it_once(spark, no_runtime_help, name):
+    plan = _plan(spark, name)
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Exchange hashpartitioning(session_id") == 2  # by (session, slice); then one row per slice
 
 
 def test_global_top_k_is_take_ordered(spark):
     assert "TakeOrderedAndProject" in _plan(spark, "top10_category")
 
 
-@pytest.mark.parametrize("name", ["session_profile", "product_clicks", "top10_category", "page_pairs"])
+@pytest.mark.parametrize("name", ["session_profile", "product_clicks", "actions_by_date", "page_pairs"])
 def test_date_range_reaches_the_reader(spark, name):
     assert "GreaterThanOrEqual(ts" in _plan(spark, name) and "LessThan(ts" in _plan(spark, name)
