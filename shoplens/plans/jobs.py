@@ -116,7 +116,7 @@ def stream_job(lines: Callable[[], DataFrame], output: str, checkpoint: str, p:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="shoplens.plans.jobs")
-    ap.add_argument("job", choices=["session", "page", "area", "ads", "stream"])
+    ap.add_argument("job", choices=["session", "page", "area", "ads", "stream", "fold"])
     ap.add_argument("--input", help="folder with the driver's parquet tables (test binding)")
     ap.add_argument("--catalog", action="store_true",
                     help="read catalog tables user_visit_action, user_info, product_info, city_info, ad_log")
@@ -135,6 +135,11 @@ def main(argv: list[str] | None = None) -> None:
     existing = SparkSession.getActiveSession()
     spark: SparkSession = existing or get_session(a.master)
     p = TaskParams.from_json(json.loads(a.params)).with_(task_id=a.task_id)
+    if a.job == "fold":  # merge the finished batches of a stream's output folder
+        print(json.dumps(ad_stream.fold_batches(spark, a.output)))
+        if existing is None:
+            spark.stop()
+        return
     if a.job == "stream":
         if not a.checkpoint or not (a.input or (a.brokers and a.topic)):
             ap.error("stream needs --checkpoint and either --brokers with --topic or --input")

@@ -12,8 +12,10 @@ Two streaming queries share one source of log lines:
   so far, anti-joins it, and writes per-batch count deltas of the statistics
   and the per-minute trend, again keyed by batch id.
 
-Readers fold the folders into the result tables (latest total per key for the
+Readers merge the folders into the result tables (latest total per key for the
 user counts; sums of deltas for statistics and trend; top-k ranking on read).
+``fold_batches`` keeps that cheap: it merges the finished batches into one folder
+that readers then take in their place.
 Run ``counts`` before ``stats`` with ``availableNow`` and the outputs equal the
 batch transforms of ``shoplens.operators.ads``; run both continuously and the
 blacklist the statistics see lags by at most one trigger.
@@ -84,16 +86,41 @@ def _write_batch(df: DataFrame, out_dir: str, table: str, batch_id: int, files:
     df.repartition(max(int(files), 1)).write.mode("overwrite").parquet(f"{out_dir}/{table}/batch_id={batch_id}")
 
 
-def _read(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
-    """All batch folders of one output table (empty before the first batch)."""
+def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table, empty while its folder is absent."""
     try:
-        return spark.read.schema(schema).parquet(f"{out_dir}/{table}").drop("batch_id")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as ex:
         if ex.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
 
+def _batches(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
+    return _parquet(spark, f"{out_dir}/{table}", T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+
+
+def _folded_upto(spark: SparkSession, out_dir: str, table: str) -> int:
+    """The last batch in the newest finished fold, -1 without one."""
+    marks = _parquet(spark, f"{out_dir}/folds/{table}", T.StructType([T.StructField("upto", T.LongType())]))
+    newest = marks.agg(F.max("upto")).first()[0]
+    return -1 if newest is None else newest
+
+
+def _read(spark: SparkSession, out_dir: str, table: str, schema: T.StructType, last: int | None = None) -> DataFrame:
+    """The newest fold of an output table and the batches after it (to batch ``last``)."""
+    upto = _folded_upto(spark, out_dir, table)
+    batches = _batches(spark, out_dir, table, schema).where(F.col("batch_id") > upto)
+    if last is not None:
+        batches = batches.where(F.col("batch_id") <= last)
+    rows = batches.drop("batch_id")
+    return rows if upto < 0 else _parquet(spark, _fold_path(out_dir, table, upto), schema).unionByName(rows)
+
+
+def _fold_path(out_dir: str, table: str, upto: int) -> str:
+    return f"{out_dir}/folded/{table}/upto={upto}"
+
+
 COUNTS_SCHEMA = T.StructType([
     T.StructField("date", T.StringType()), T.StructField("userid", T.LongType()),
     T.StructField("adid", T.LongType()), T.StructField("clickCount", T.LongType()),
@@ -175,19 +202,61 @@ def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPara
 
 
 # ------------------------------------------------------------------ readers
-def read_user_click_count(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Latest total per (date, user, ad): update-mode totals only grow."""
-    rows = _read(spark, out_dir, COUNTS, COUNTS_SCHEMA)
+def _latest_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("date", "userid", "adid").agg(F.max("clickCount").alias("clickCount"))
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    keys = [c for c in rows.columns if c != "clickCount"]
+    return rows.groupBy(*keys).agg(F.sum("clickCount").cast("bigint").alias("clickCount"))
+
+
+# what the rows of several batches of a table come to
+_MERGED = {
+    COUNTS: (COUNTS_SCHEMA, _latest_counts),      # update-mode totals only grow
+    BLACKLIST: (BLACKLIST_SCHEMA, DataFrame.distinct),
+    STAT: (STAT_SCHEMA, _summed),                 # per-batch deltas
+    TREND: (TREND_SCHEMA, _summed),
+}
+
+
+def _merged(spark: SparkSession, out_dir: str, table: str, last: int | None = None) -> DataFrame:
+    schema, merge = _MERGED[table]
+    return merge(_read(spark, out_dir, table, schema, last))
+
+
+def fold_batches(spark: SparkSession, out_dir: str) -> dict[str, int]:
+    """Fold the finished batches of every table into one folder; returns the last batch folded per table.
+
+    Run it now and then beside the stream. The newest batch stays out, as only it
+    can still be rewritten by a retry. Readers turn to a fold when its mark is
+    written, after the rows; a fold that broke off is done again from the start.
+    Nothing is deleted: batch folders up to the returned number and older folds
+    can go once no reader that began before the fold is left.
+    """
+    folded = {}
+    for table, (schema, _) in _MERGED.items():
+        newest = _batches(spark, out_dir, table, schema).agg(F.max("batch_id")).first()[0]
+        if newest is None or newest - 1 <= _folded_upto(spark, out_dir, table):
+            continue
+        upto = newest - 1
+        _merged(spark, out_dir, table, upto).write.mode("overwrite").parquet(_fold_path(out_dir, table, upto))
+        spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{out_dir}/folds/{table}")
+        folded[table] = upto
+    return folded
+
+
+def read_user_click_count(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Latest total per (date, user, ad)."""
+    return _merged(spark, out_dir, COUNTS)
+
+
 def read_blacklist(spark: SparkSession, out_dir: str) -> DataFrame:
-    return _read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA).distinct()
+    return _merged(spark, out_dir, BLACKLIST)
 
 
 def read_ad_stat(spark: SparkSession, out_dir: str) -> DataFrame:
-    d = _read(spark, out_dir, STAT, STAT_SCHEMA)
-    return d.groupBy("date", "province", "city", "adid").agg(F.sum("clickCount").cast("bigint").alias("clickCount"))
+    return _merged(spark, out_dir, STAT)
 
 
 def read_rejected(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -201,8 +270,7 @@ def read_province_top(spark: SparkSession, out_dir: str, p: TaskParams) -> DataF
 
 
 def read_click_trend(spark: SparkSession, out_dir: str) -> DataFrame:
-    d = _read(spark, out_dir, TREND, TREND_SCHEMA)
-    return d.groupBy("date", "hour", "minute", "adid").agg(F.sum("clickCount").cast("bigint").alias("clickCount"))
+    return _merged(spark, out_dir, TREND)
 
 
 def run_available_now(lines_factory, out_dir: str, checkpoint_dir: str, p: TaskParams) -> None:

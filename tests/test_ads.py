@@ -84,6 +84,33 @@ def test_stream_equals_batch_restart_and_late_rows(spark, tmp_dir):
     assert {r.userid for r in ST.read_blacklist(spark, out).collect()} == {1, 2}
 
 
+def test_folded_output_equals_unfolded(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    readers = (ST.read_user_click_count, ST.read_blacklist, ST.read_ad_stat, ST.read_click_trend)
+
+    def tables():
+        return [sorted(read(spark, out).collect()) for read in readers]
+
+    assert ST.fold_batches(spark, out) == {}  # nothing written yet
+    for i, lines in enumerate((batch1(), batch2()[:1], batch2()[1:2])):
+        _write_file(spark, src, f"f{i}", lines)
+    ST.run_available_now(_stream_lines(spark, src), out, ckpt, P)
+    before = tables()
+    folded = ST.fold_batches(spark, out)
+    assert folded[ST.STAT] == 1 and folded[ST.COUNTS] == 1  # batches 0 and 1; 2 could still be rewritten
+    assert tables() == before
+    assert ST.fold_batches(spark, out) == {} and tables() == before
+
+    _write_file(spark, src, "f9", [line(DAY + 180_000, user=2, ad=2)])
+    ST.run_available_now(_stream_lines(spark, src), out, ckpt, P)
+    after = tables()
+    assert after != before
+    # user 2 is blacklisted by now: batch 3 adds to the counts, not to the statistics
+    assert ST.fold_batches(spark, out)[ST.COUNTS] >= 2 and tables() == after
+    want = AD.ad_tables(lines_df(spark, batch1() + batch2()[:2] + [line(DAY + 180_000, user=2, ad=2)]), P)
+    assert after[0] == sorted(want["ad_user_click_count"].collect())
+
+
 def test_testdata_stream_source(spark, tmp_dir):
     sf = "/root/testdata/sf0.001"
     lines = ST.testdata_lines(spark, sf)
