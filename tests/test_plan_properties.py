@@ -59,6 +59,7 @@ def test_session_cells_scan_once_and_combine_map_side(spark, no_runtime_help):
     plan = categories.session_cells(catalog._range_actions(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1
     assert "partial_" in plan and "ObjectHashAggregate" not in plan
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan  # the date range prunes this one scan
 
 
 @pytest.mark.parametrize("name", ["page_convert_rate", "page_pair_count", "page_convert_rate_packed"])
