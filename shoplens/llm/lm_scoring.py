@@ -11,8 +11,8 @@ is a class of its own.
 
 Corpus statistics (counts, N, V, class totals) come from all training documents.
 The recurrent model is trained by truncated backpropagation in numpy: first in one
-task on a bounded sample (``warm_rows``), then in all tasks on a share of every
-split's training documents (``train_share``), and the tasks' models are averaged,
+task on a bounded sample (``warm_rows``), then in all tasks on every training
+document, and the tasks' models are averaged by the tokens each has learned from,
 so that training grows with the corpus. For scoring, documents run through the
 network in slots of a batch; a slot's state is carried from window to window
 until its document ends, so the log-likelihood is that of the complete text.
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import (bounded_sample, broadcast, fit_in_task, hashed_share, remainder, stored, texts, utf8,
+from shoplens.llm.common import (bounded_sample, broadcast, fit_in_task, remainder, stored, texts, utf8,
                                  word_hashes)
 
 
@@ -49,14 +49,14 @@ def tokens(text: str | None) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Shape:
-    hidden: int = 16
-    head_classes: int = 16
+    hidden: int = 24
+    head_classes: int = 24
     head_words: int = 960
-    tail_classes: int = 31
+    tail_classes: int = 39
     window: int = 48
     slots: int = 512
-    train_window: int = 24
-    train_slots: int = 32
+    train_window: int = 32
+    train_slots: int = 64
 
 
 @dataclass
@@ -244,7 +244,8 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
     seen, step = 0, 0
     for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.train_window):
         h[fresh] = network.start
-        grads, h = network.gradients(h, inputs, targets, real)
+        live = np.flatnonzero(real.any(0))      # the last documents of a stream leave slots empty
+        grads, h[live] = network.gradients(h[live], inputs[:, live], targets[:, live], real[:, live])
         step += 1
         seen += int(real.sum())
         norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
@@ -329,8 +330,9 @@ def statistics(counts: DataFrame, ends: int, vocab: Vocabulary, head: dict[bytes
     return Statistics(n_all + ends, v_all + (ends > 0), ends, total, distinct, {bytes(r["word"]): r["n"] for r in cached})
 
 
-def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, share: float, rate: float) -> list[np.ndarray]:
-    """Every task goes on from the given weights over its part of the corpus; the models are averaged by tokens seen."""
+def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, rate: float) -> tuple[list[np.ndarray], int]:
+    """(weights, tokens learned from): every task goes on from the given weights over all of its part of the corpus;
+    the models are averaged by tokens seen."""
     shared = broadcast(training.sparkSession, (vocab, weights))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,22 +350,18 @@ def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, share: fl
         return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()),
                          "seen": pa.array([float(sum(table["seen"].to_pylist()))]), "sums": pa.array([total.astype("f4").tobytes()], pa.binary())})
 
-    some = training.filter(hashed_share("doc_id", share)).select("text")
     schema = "part int, seen double, sums binary"
-    sums = some.mapInArrow(local, schema).withColumn("g", F.floor(F.rand(1) * 16))
+    sums = training.select("text").mapInArrow(local, schema).withColumn("g", F.floor(F.rand(1) * 16))
     sums = sums.groupBy("part", "g").applyInArrow(lambda t: add(t.drop(["g"])), schema)
     sums = sums.groupBy("part").applyInArrow(add, schema).collect()
     got = {r["part"]: np.frombuffer(r["sums"], "f4") / np.float32(r["seen"]) for r in sums}
-    return [got[i].reshape(w.shape) if i in got else w for i, w in enumerate(weights)]
+    return ([got[i].reshape(w.shape) if i in got else w for i, w in enumerate(weights)],
+            int(max((r["seen"] for r in sums), default=0)))
 
 
 def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape = Shape(), cached_words: int = 100_000,
-          warm_rows: int = 2_000, train_share: float = 1 / 64, train_tokens: int = 2_000_000, rate: float = 0.02) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document.
-
-    ``train_share`` of the training documents is used after the warm start; a smaller corpus uses the share that
-    gives about ``train_tokens`` tokens.
-    """
+          warm_rows: int = 2_000, rate: float = 0.02) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document."""
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rest = remainder("doc_id", modulus)
@@ -380,8 +378,7 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     if ends:
         _start_biases(network, vocab, head, stats)
         weights = fit_in_task(bounded_sample(training, "doc_id", warm_rows), lambda rows: _warm(vocab, network.weights(), rows, rate))
-        share = max(train_share, min(1.0, train_tokens / max(1, stats.total)))
-        network.set_weights(_train_everywhere(training, vocab, weights, share, rate / 10))
+        network.set_weights(_train_everywhere(training, vocab, weights, rate / 10)[0])
 
     shared = broadcast(spark, (vocab, network.weights(), stats))
     scored = docs.withColumn("held_out", rest == held).mapInArrow(

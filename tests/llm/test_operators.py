@@ -69,6 +69,22 @@ def test_lm_base_score_and_counts(spark):
     assert sum(r["score"] for r in out.values()) > sum(r["base_score"] for r in out.values())
 
 
+def test_lm_learns_from_every_training_token(spark, monkeypatch):
+    # 2.6 million training tokens: more than the two million that were enough for any corpus
+    frame = spark.range(0, 3000, 1, 4).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(1, 1000), i -> concat('w', (id + i * i) % 23))) AS text")
+    made, inner = [], lm_scoring._train_everywhere
+
+    def spy(*args):
+        made.append(inner(*args))
+        return made[-1]
+    monkeypatch.setattr(lm_scoring, "_train_everywhere", spy)
+    shape = lm_scoring.Shape(hidden=4, head_classes=4, head_words=16, tail_classes=3)
+    rows = lm_scoring.score(frame, shape=shape, warm_rows=50).select("train_tokens").distinct().collect()
+    (_, seen), = made
+    assert seen == rows[0]["train_tokens"] > 2_000_000
+
+
 def test_lm_state_is_carried_across_windows():
     shape = lm_scoring.Shape(hidden=6, head_classes=2, head_words=10, tail_classes=3, window=4, slots=3)
     vocab = lm_scoring.Vocabulary(shape, {b"w%d" % i: i for i in range(10)})
