@@ -2,23 +2,24 @@
 
 Tokens are white-space separated words (A-Z lower-cased) and one end per text.
 The output softmax is factored by classes: P(token | past) = P(class | state)
-P(token | class, state). The most frequent words are spread over ``head_classes``
-classes, and inside them the word's probability depends on the state as well. All
-other words belong to one of ``tail_classes`` classes by a hash of their last
-bytes; inside a tail class a word has its corpus probability (count + 1) /
+P(token | class, state). The most frequent words, as many as are broadcast with
+their counts, are spread over about sqrt(V) classes by frequency, with fewer words
+in the classes of frequent ones; each has an input vector of its own, and inside its
+class its probability depends on the state as well. The rare words beyond them belong
+to one of ``tail_classes`` classes by a hash of their last bytes; inside a tail class a word has its corpus probability (count + 1) /
 (N_class + V_class + 1), with one part left for unseen words. The end of a text
 is a class of its own.
 
 Corpus statistics (counts, N, V, class totals) come from all training documents.
 The recurrent model is trained by truncated backpropagation in numpy: first in one
 task on a bounded sample (``warm_rows``), then in all tasks on every training
-document, and the tasks' models are averaged by the tokens each has learned from,
-so that training grows with the corpus. For scoring, documents run through the
+document, and the tasks' models are averaged, every row of a weight by the tokens
+that have used it, so that training grows with the corpus. For scoring, documents run through the
 network in slots of a batch; a slot's state is carried from window to window
 until its document ends, so the log-likelihood is that of the complete text.
 
-Counts of at most ``cached_words`` frequent words are broadcast (a fixed bound);
-the rest of a text's words are joined with the counts.
+Counts of at most ``cached_words`` frequent words are broadcast (a fixed bound, and
+with it that of the network's words); the rest of a text's words are joined with the counts.
 
 Defined results: null and empty texts are their end alone; repeated rows are
 scored each; without any training document all words are unseen; rows without
@@ -31,15 +32,15 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import (bounded_sample, broadcast, fit_in_task, remainder, stored, texts, utf8,
-                                 word_hashes)
+from shoplens.llm.common import bounded_sample, broadcast, remainder, stored, texts, utf8, word_hashes
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -50,13 +51,13 @@ def tokens(text: str | None) -> list[bytes]:
 @dataclass(frozen=True)
 class Shape:
     hidden: int = 24
-    head_classes: int = 24
-    head_words: int = 960
+    head_classes: int = 316
+    head_words: int = 100_000
     tail_classes: int = 39
     window: int = 48
     slots: int = 512
     train_window: int = 32
-    train_slots: int = 64
+    train_slots: int = 256
 
 
 @dataclass
@@ -67,12 +68,16 @@ class Vocabulary:
 
     def __post_init__(self):
         s = self.shape
-        self.per_class = -(-s.head_words // s.head_classes)
+        # class k begins at about (k / head_classes)^2 of the words, the most frequent first
+        k = np.arange(s.head_classes + 1)
+        cuts = np.round(s.head_words * (k / max(1, s.head_classes)) ** 2).astype("i8")
+        self.bounds = np.maximum(cuts, np.minimum(k, s.head_words))
         self.end = s.head_words + s.tail_classes
         self.symbols = self.end + 1
         self.classes = s.head_classes + s.tail_classes + 1
         ids = np.arange(self.symbols)
-        self.class_table = np.where(ids < s.head_words, ids // self.per_class, ids - s.head_words + s.head_classes).astype("i2")
+        self.class_table = np.where(ids < s.head_words, np.searchsorted(self.bounds, ids, "right") - 1,
+                                    ids - s.head_words + s.head_classes).astype("i2")
 
     def tail(self, word: bytes) -> int:
         return zlib.crc32(word[-4:]) % self.shape.tail_classes
@@ -87,17 +92,18 @@ class Vocabulary:
 
 class Network:
     """One gated recurrent layer: update and reset gates z, r and candidate n; h' = n + z (h - n)."""
+    TABLES = ("inputs", "word_w", "word_b")      # a row for a word: a step changes some of the rows
     NAMES = ("inputs", "recur", "class_w", "class_b", "word_w", "word_b", "start")
 
     def __init__(self, vocab: Vocabulary, seed: int = 5):
         s, rng = vocab.shape, np.random.default_rng(seed)
         self.vocab = vocab
-        self.inputs = rng.normal(0, 0.1, (vocab.symbols, 3 * s.hidden)).astype("f4")
+        self.inputs = rng.standard_normal((vocab.symbols, 3 * s.hidden), "f4") * np.float32(0.1)
         self.recur = rng.normal(0, 1 / math.sqrt(s.hidden), (s.hidden, 3 * s.hidden)).astype("f4")
         self.class_w = rng.normal(0, 0.1, (s.hidden, vocab.classes)).astype("f4")
         self.class_b = np.zeros(vocab.classes, "f4")
-        self.word_w = rng.normal(0, 0.1, (s.head_classes, s.hidden, vocab.per_class)).astype("f4")
-        self.word_b = np.zeros((s.head_classes, vocab.per_class), "f4")
+        self.word_w = rng.standard_normal((s.head_words, s.hidden), "f4") * np.float32(0.1)
+        self.word_b = np.zeros(s.head_words, "f4")
         self.start = np.zeros(s.hidden, "f4")
 
     def weights(self) -> list[np.ndarray]:
@@ -128,32 +134,40 @@ class Network:
             h = c + zr[:, :n] * (h - c)
         return before, h, saved
 
-    def class_log(self, states: np.ndarray) -> np.ndarray:
-        z = states @ self.class_w + self.class_b
-        z -= z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
-
     def predict(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Natural log of P(class) and, for head words, of P(word | class) as well."""
         s = self.vocab.shape
         classes = self.vocab.class_of(symbols)
-        z = states @ self.class_w + self.class_b
-        out = z[np.arange(len(z)), classes].astype("f8")
-        np.exp(z, z)
-        out -= np.log(z.sum(1))
+        out = np.empty(len(states))
+        for at in range(0, len(states), 2048):      # what fits the processor's cache
+            z = states[at:at + 2048] @ self.class_w
+            z += self.class_b
+            out[at:at + 2048] = z[np.arange(len(z)), classes[at:at + 2048]]
+            np.exp(z, z)
+            out[at:at + 2048] -= np.log(z.sum(1))
         order = np.argsort(classes, kind="stable")
         cuts = np.searchsorted(classes[order], np.arange(s.head_classes + 1))
         for k in range(s.head_classes):
             rows = order[cuts[k]:cuts[k + 1]]
             if len(rows):
-                z = states[rows] @ self.word_w[k] + self.word_b[k]
-                out[rows] += z[np.arange(len(rows)), symbols[rows] - k * self.vocab.per_class]
+                lo, hi = self.vocab.bounds[k:k + 2]
+                z = states[rows] @ self.word_w[lo:hi].T + self.word_b[lo:hi]
+                out[rows] += z[np.arange(len(rows)), symbols[rows] - lo]
                 np.exp(z, z)
                 out[rows] -= np.log(z.sum(1))
         return out
 
     def gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray):
         """Gradients of the mean loss over a window; the state that enters it is a constant (truncation)."""
+        grads, rows, last = self.row_gradients(h, inputs, targets, real)
+        for name in self.TABLES:
+            grads[name] = np.zeros_like(getattr(self, name))
+        for name, some, g, _ in rows:
+            grads[name][some] = g
+        return grads, last
+
+    def row_gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray):
+        """The same, of the tables only the rows that are not zero: (name, rows, gradients, tokens that used them)."""
         s, v = self.vocab.shape, self.vocab
         n, steps = s.hidden, len(inputs)
         _, last, saved = self.states(h, inputs, keep=True)
@@ -164,25 +178,33 @@ class Network:
         flat, goal, some = np.concatenate(after), targets.ravel(), real.ravel()
         weight = (some / max(1, some.sum())).astype("f4")
         classes = v.class_of(goal)
-        p = np.exp(self.class_log(flat))
-        p[np.arange(len(p)), classes] -= 1
-        p *= weight[:, None]
-        grads = {"class_w": flat.T @ p, "class_b": p.sum(0), "word_w": np.zeros_like(self.word_w),
-                 "word_b": np.zeros_like(self.word_b), "inputs": np.zeros_like(self.inputs),
-                 "recur": np.zeros_like(self.recur), "start": np.zeros_like(self.start)}
+        p = flat @ self.class_w
+        p += self.class_b
+        p -= p.max(1, keepdims=True)
+        np.exp(p, p)
+        p *= (weight / p.sum(1))[:, None]
+        p[np.arange(len(p)), classes] -= weight
+        grads = {"class_w": flat.T @ p, "class_b": p.sum(0), "recur": np.zeros_like(self.recur),
+                 "start": np.zeros_like(self.start)}
+        table_rows = []
         back = p @ self.class_w.T
         order = np.argsort(classes, kind="stable")
         cuts = np.searchsorted(classes[order], np.arange(s.head_classes + 1))
         for k in range(s.head_classes):
             rows = order[cuts[k]:cuts[k + 1]]
+            rows = rows[some[rows]]
             if len(rows):
-                z = flat[rows] @ self.word_w[k] + self.word_b[k]
-                z = np.exp(z - z.max(1, keepdims=True))
-                z /= z.sum(1, keepdims=True)
-                z[np.arange(len(rows)), goal[rows] - k * v.per_class] -= 1
-                z *= weight[rows][:, None]
-                grads["word_w"][k], grads["word_b"][k] = flat[rows].T @ z, z.sum(0)
-                back[rows] += z @ self.word_w[k].T
+                lo, hi = v.bounds[k:k + 2]
+                w, state = self.word_w[lo:hi], flat[rows]
+                z = state @ w.T
+                z += self.word_b[lo:hi]
+                z -= z.max(1, keepdims=True)
+                np.exp(z, z)
+                z *= (weight[rows] / z.sum(1))[:, None]
+                z[np.arange(len(rows)), goal[rows] - lo] -= weight[rows]
+                table_rows.append(("word_w", slice(lo, hi), z.T @ state, len(rows)))
+                table_rows.append(("word_b", slice(lo, hi), z.sum(0), len(rows)))
+                back[rows] += z @ w
         back = back.reshape(steps, -1, n)
         carry = np.zeros_like(h)
         gates = np.empty((*inputs.shape, 3 * n), "f4")
@@ -198,9 +220,9 @@ class Network:
             carry = d * z + via @ self.recur.T
         read = inputs.ravel()
         order = np.argsort(read, kind="stable")
-        ids, cuts = np.unique(read[order], return_index=True)
-        grads["inputs"][ids] = np.add.reduceat(gates.reshape(-1, 3 * n)[order], cuts, axis=0)
-        return grads, last
+        ids, cuts, times = np.unique(read[order], return_index=True, return_counts=True)
+        table_rows.append(("inputs", ids, np.add.reduceat(gates.reshape(-1, 3 * n)[order], cuts, axis=0), times))
+        return grads, table_rows, last
 
 
 def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, window: int):
@@ -235,20 +257,31 @@ def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, w
         yield fresh, inputs, targets, real, who
 
 
+#: Step size of the tables' rows as a multiple of the rate.
+TABLE_RATE = 6.0
+
+
 def train_network(network: Network, documents: Iterator[np.ndarray], rate: float):
-    """Adam over the windows of a stream of documents; the state runs on from window to window."""
+    """Adam over the windows of a stream of documents; the state runs on from window to window.
+
+    Rows of the tables have a step size each (Adagrad), so that a step touches only the rows it has used. Returns the
+    tokens seen, and for every row of every weight those that used it.
+    """
     shape, v = network.vocab.shape, network.vocab
     slots = shape.train_slots
-    moments = {n: [np.zeros_like(getattr(network, n)), np.zeros_like(getattr(network, n))] for n in network.NAMES}
+    moments = {n: [np.zeros_like(getattr(network, n)), np.zeros_like(getattr(network, n))]
+               for n in network.NAMES if n not in network.TABLES}
+    uses = {n: np.zeros(len(getattr(network, n))) for n in network.NAMES}
+    squares = {n: np.zeros(len(getattr(network, n)), "f4") for n in network.TABLES}
     h = np.zeros((slots, shape.hidden), "f4")
     seen, step = 0, 0
     for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.train_window):
         h[fresh] = network.start
         live = np.flatnonzero(real.any(0))      # the last documents of a stream leave slots empty
-        grads, h[live] = network.gradients(h[live], inputs[:, live], targets[:, live], real[:, live])
+        grads, rows, h[live] = network.row_gradients(h[live], inputs[:, live], targets[:, live], real[:, live])
         step += 1
         seen += int(real.sum())
-        norm = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = math.sqrt(sum(float(np.vdot(g, g)) for g in [*grads.values(), *(r[2] for r in rows)]))
         clip = min(1.0, 1.0 / (norm + 1e-9))
         lr = rate / math.sqrt(1 + step / 150)
         for name, g in grads.items():
@@ -258,7 +291,17 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
             s += 0.01 * (g * g - s)
             w = getattr(network, name)
             w -= lr * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
-    return seen
+        for name, some, g, times in rows:
+            g *= clip
+            uses[name][some] += times
+            square = squares[name][some] + (g * g if g.ndim == 1 else np.einsum("ij,ij->i", g, g) / g.shape[1])
+            squares[name][some] = square
+            by = TABLE_RATE * rate / (np.sqrt(square) + 1e-8)
+            g *= by if g.ndim == 1 else by[:, None]
+            getattr(network, name)[some] -= g
+    for name in moments:
+        uses[name] += seen
+    return seen, uses
 
 
 def symbols_of(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
@@ -314,7 +357,8 @@ class Statistics:
     cached: dict[bytes, int]
 
 
-def statistics(counts: DataFrame, ends: int, vocab: Vocabulary, head: dict[bytes, int], cached: list) -> Statistics:
+def statistics(counts: DataFrame, ends: int, vocab: Vocabulary, head: dict[bytes, int],
+               cached: dict[bytes, int]) -> Statistics:
     k = vocab.shape.tail_classes
     suffix = F.expr("substring(word, greatest(1, octet_length(word) - 3), 4)")
     # head words are looked up as a literal set of fixed size
@@ -327,36 +371,68 @@ def statistics(counts: DataFrame, ends: int, vocab: Vocabulary, head: dict[bytes
     for w, n in head.items():
         total[vocab.tail(w)] -= n
         distinct[vocab.tail(w)] -= 1
-    return Statistics(n_all + ends, v_all + (ends > 0), ends, total, distinct, {bytes(r["word"]): r["n"] for r in cached})
+    return Statistics(n_all + ends, v_all + (ends > 0), ends, total, distinct, cached)
 
 
 def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, rate: float) -> tuple[list[np.ndarray], int]:
-    """(weights, tokens learned from): every task goes on from the given weights over all of its part of the corpus;
-    the models are averaged by tokens seen."""
-    shared = broadcast(training.sparkSession, (vocab, weights))
+    """(weights, tokens learned from): every task goes on from the given weights over all of its part of the corpus.
+
+    Splits are put together to two for each core, so that what the models send does not grow with the splits.
+    """
+    return _train(training.select("text").coalesce(2 * training.sparkSession.sparkContext.defaultParallelism),
+                  vocab, weights, rate)
+
+
+def _warm(sample: DataFrame, vocab: Vocabulary, weights, rate: float) -> list[np.ndarray]:
+    """The weights after one task has gone over a bounded sample in order."""
+    rows = sample.select("doc_id", "text").repartition(1).sortWithinPartitions("doc_id", "text")
+    return _train(rows, vocab, weights, rate)[0]
+
+
+def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float,
+           block_rows: int = 256) -> tuple[list[np.ndarray], int]:
+    """(weights, tokens learned from): a model for each partition, begun at the given weights.
+
+    What the models change is averaged row by row, weighted by the tokens that used the row; rows that no model has
+    used stay. Weights come back in blocks of rows and the given arrays are changed in place.
+    """
+    shared = broadcast(rows.sparkSession, (vocab, weights))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = shared.value
         net = Network(v).set_weights([w.copy() for w in start])
-        seen = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate)
-        if seen:
-            for i, w in enumerate(net.weights()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int32()), pa.array([float(seen)]), pa.array([(w * np.float32(seen)).tobytes()], pa.binary())],
-                    ["part", "seen", "sums"])
+        seen, uses = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate)
+        for i, (name, old) in enumerate(zip(net.NAMES, start)):
+            for at in range(0, len(old) if seen else 0, block_rows):
+                used = uses[name][at:at + block_rows]
+                if used.any():
+                    step = (getattr(net, name)[at:at + block_rows] - old[at:at + block_rows]).reshape(len(used), -1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([i], pa.int32()), pa.array([at], pa.int32()), pa.array([used.tobytes()], pa.binary()),
+                         pa.array([(step * used[:, None]).astype("f4").tobytes()], pa.binary())],
+                        ["part", "at", "uses", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, "f4").astype("f8") for x in table["sums"].to_pylist())
+        def total(column, kind, to):
+            out = 0.0
+            for x in table[column]:
+                out = out + np.frombuffer(x.as_py(), kind).astype("f8")
+            return pa.array([out.astype(to).tobytes()], pa.binary())
         return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()),
-                         "seen": pa.array([float(sum(table["seen"].to_pylist()))]), "sums": pa.array([total.astype("f4").tobytes()], pa.binary())})
-
-    schema = "part int, seen double, sums binary"
-    sums = training.select("text").mapInArrow(local, schema).withColumn("g", F.floor(F.rand(1) * 16))
-    sums = sums.groupBy("part", "g").applyInArrow(lambda t: add(t.drop(["g"])), schema)
-    sums = sums.groupBy("part").applyInArrow(add, schema).collect()
-    got = {r["part"]: np.frombuffer(r["sums"], "f4") / np.float32(r["seen"]) for r in sums}
-    return ([got[i].reshape(w.shape) if i in got else w for i, w in enumerate(weights)],
-            int(max((r["seen"] for r in sums), default=0)))
+                         "at": pa.array([table["at"][0].as_py()], pa.int32()),
+                         "uses": total("uses", "f8", "f8"), "sums": total("sums", "f4", "f4")})
+
+    schema = "part int, at int, uses binary, sums binary"
+    seen = 0
+    for r in rows.mapInArrow(local, schema).groupBy("part", "at").applyInArrow(add, schema).collect():
+        uses = np.frombuffer(r["uses"], "f8")
+        step = np.frombuffer(r["sums"], "f4").reshape(len(uses), -1) / np.maximum(uses, 1)[:, None]
+        part = weights[r["part"]][r["at"]:r["at"] + len(uses)]
+        part += step.reshape(part.shape).astype("f4")
+        if Network.NAMES[r["part"]] == "start":
+            seen = int(uses[0])
+    shared.destroy()
+    return weights, seen
 
 
 def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape = Shape(), cached_words: int = 100_000,
@@ -368,16 +444,17 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     training = docs.filter(~rest.isin(held, -1))
     counts = stored(word_counts(training), "lm_counts")
     ends = training.select("doc_id").count()
-    cached = most_frequent(counts, cached_words)
-    head = {bytes(r["word"]): r["n"] for r in cached[:shape.head_words]}
-    # words of like frequency share a class; within the order of counts every class has the same number of words
+    cached = {bytes(r["word"]): r["n"] for r in most_frequent(counts, cached_words)}
+    head = dict(islice(cached.items(), shape.head_words))
+    # a smaller vocabulary has fewer classes; words of like frequency share one
+    shape = replace(shape, head_words=len(head), head_classes=min(shape.head_classes, math.ceil(math.sqrt(len(head)))))
     vocab = Vocabulary(shape, {w: i for i, w in enumerate(head)})
     stats = statistics(counts, ends, vocab, head, cached)
 
     network = Network(vocab)
     if ends:
         _start_biases(network, vocab, head, stats)
-        weights = fit_in_task(bounded_sample(training, "doc_id", warm_rows), lambda rows: _warm(vocab, network.weights(), rows, rate))
+        weights = _warm(bounded_sample(training, "doc_id", warm_rows), vocab, network.weights(), rate)
         network.set_weights(_train_everywhere(training, vocab, weights, rate / 10)[0])
 
     shared = broadcast(spark, (vocab, network.weights(), stats))
@@ -398,22 +475,15 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
 
 def _start_biases(network: Network, vocab: Vocabulary, head: dict[bytes, int], stats: Statistics) -> None:
     """Begin at the corpus frequencies."""
-    s = vocab.shape
-    n = np.full(s.head_classes * vocab.per_class, 0.5)
+    n = np.zeros(vocab.shape.head_words)
     for w, i in vocab.head.items():
         n[i] = head[w] + 0.5
-    n = n.reshape(s.head_classes, vocab.per_class)
-    network.word_b = np.log(n / n.sum(1, keepdims=True)).astype("f4")
-    mass = np.concatenate([n.sum(1), np.array(stats.tail_total) + 0.5, [stats.ends + 0.5]])
+    of = np.bincount(vocab.class_table[:len(n)], n, vocab.shape.head_classes)
+    network.word_b = np.log(n / of[vocab.class_table[:len(n)]]).astype("f4")
+    mass = np.concatenate([of, np.array(stats.tail_total) + 0.5, [stats.ends + 0.5]])
     network.class_b = np.log(mass / mass.sum()).astype("f4")
 
 
-def _warm(vocab: Vocabulary, weights, rows: list[dict], rate: float) -> list[np.ndarray]:
-    net = Network(vocab).set_weights([w.copy() for w in weights])
-    train_network(net, (symbols_of(vocab, tokens(r["text"])) for r in rows), rate)
-    return net.weights()
-
-
 class Lookup:
     """Symbols and gains of the cached words, found by 64-bit hashes of all words of some texts at once."""
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from fixtures import SF, documents, table
@@ -85,6 +86,31 @@ def test_lm_learns_from_every_training_token(spark, monkeypatch):
     assert seen == rows[0]["train_tokens"] > 2_000_000
 
 
+def test_lm_classes_cover_the_broadcast_words(spark, monkeypatch):
+    frame = spark.range(0, 60, 1, 2).selectExpr(
+        "id AS doc_id", "concat_ws(' ', transform(sequence(0, 2999 - 40 * id), i -> concat('w', i))) AS text")
+    made, inner = [], lm_scoring._train_everywhere
+
+    def spy(*args):
+        made.append((args[1], inner(*args)[0]))
+        return made[-1][1], 0
+    monkeypatch.setattr(lm_scoring, "_train_everywhere", spy)
+    lm_scoring.score(frame, warm_rows=20)
+    (vocab, weights), = made
+    words = {w for r in frame.filter(~F.expr("pmod(crc32(cast(cast(doc_id AS string) AS binary)), 7)").isin(2)).collect()
+             for w in lm_scoring.tokens(r["text"])}
+    assert set(vocab.head) == words and len(words) > 2000
+    net = lm_scoring.Network(vocab).set_weights(weights)
+    last = vocab.class_table == vocab.shape.head_classes - 1
+    ids = np.flatnonzero(last)
+    inside = []
+    for state in np.random.default_rng(3).normal(size=(2, vocab.shape.hidden)).astype("f4"):
+        log = net.predict(np.tile(state, (len(ids), 1)), ids)
+        inside.append(np.exp(log) / np.exp(log).sum())
+    assert len(ids) > 50 and not np.allclose(inside[0], inside[1], rtol=1e-3)
+    assert len({vocab.symbol(w) for w in words}) == len(words)
+
+
 def test_lm_state_is_carried_across_windows():
     shape = lm_scoring.Shape(hidden=6, head_classes=2, head_words=10, tail_classes=3, window=4, slots=3)
     vocab = lm_scoring.Vocabulary(shape, {b"w%d" % i: i for i in range(10)})
