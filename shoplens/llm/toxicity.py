@@ -36,7 +36,7 @@ from shoplens.llm.common import (bounded_sample, broadcast, distinct_texts, fit_
 HOMOGLYPHS = dict(zip("авекмнорстухіјѕԁҽαβεικνορτυχω", "abekmhopctyxijsdeabeikvoptuxw", strict=True))
 #: Digits and signs written in place of letters.
 SUBSTITUTIONS = dict(zip("013457@$", "oieastas", strict=True))
-STEM_LENGTHS = range(4, 11)
+STEM_LENGTHS = range(4, 11)      # entries shorter than that are whole words
 
 
 class _Fold(dict):
@@ -77,17 +77,23 @@ class Lexicon:
         return auto
 
 
+def matches(auto, folded: str):
+    """(end, length, weight) of the longest entries met; ``folded`` begins with a blank. Short ones match whole words."""
+    for end, (length, w) in auto.iter_long(folded) if len(auto) else ():
+        if length >= STEM_LENGTHS[0] or not w or folded[end + 1:end + 2] in ("", " "):
+            yield end, length, w
+
+
 def weigh(auto, text: str | None) -> tuple[float, int, int]:
     """(sum of weights, matches, words) of a whole text; exception phrases match with weight 0."""
     if not text:
         return 0.0, 0, 0
     folded = fold(text)
     total, n = 0.0, 0
-    if len(auto):
-        for end, (length, w) in auto.iter_long(" " + folded):
-            if w and any(map(str.isalpha, text[end - length:end])):
-                total += w
-                n += 1
+    for end, length, w in matches(auto, " " + folded):
+        if w and any(map(str.isalpha, text[end - length:end])):
+            total += w
+            n += 1
     return total, n, len(folded.split())
 
 
@@ -104,7 +110,7 @@ def probability(lexicon: Lexicon, auto, text: str | None) -> float:
 
 
 def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math.log(4), size: int = 4096) -> Lexicon:
-    """Lexicon of (text, label) rows; at most ``size`` stems, those of most documents first."""
+    """Lexicon of (text, label) rows; at most ``size`` stems and short words, those of most documents first."""
     rows = distinct_texts([r for r in rows if r["text"]])
     bad = [r["text"] for r in rows if r["label"]]
     good = [r["text"] for r in rows if not r["label"]]
@@ -119,6 +125,8 @@ def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math
         for of in words:
             docs.update({w[:k] for w in of if len(w) >= k and (k == STEM_LENGTHS[0] or w[:k - 1] in among)})
         among |= {s for s, n in docs.items() if n >= least}
+    docs = Counter(w for of in words for w in of if len(w) < STEM_LENGTHS[0])
+    short = {w for w, n in docs.items() if n >= least}
 
     def stems(counted):
         docs, uses, total = Counter(), Counter(), 0
@@ -126,6 +134,8 @@ def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math
             total += sum(of.values())
             mine: Counter = Counter()
             for w, n in of.items():
+                if w in short:
+                    mine[w] += n
                 for k in STEM_LENGTHS:
                     if k > len(w) or w[:k] not in among:
                         break
@@ -137,7 +147,7 @@ def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math
     docs, uses, n_bad = stems(words)
     good_docs, good_uses, n_good = stems(Counter(fold(t).split()) for t in good)
     chosen: dict[str, float] = {}
-    for s in sorted(among, key=lambda s: (len(s), s)):
+    for s in sorted(among | short, key=lambda s: (len(s), s)):
         w = math.log((uses[s] + 0.5) / (n_bad + 1)) - math.log((good_uses[s] + 0.5) / (n_good + 1))
         by_docs = math.log((docs[s] + 0.5) / (len(bad) + 1)) - math.log((good_docs[s] + 0.5) / (len(good) + 1))
         shorter = next((chosen[s[:k]] for k in range(len(s) - 1, 3, -1) if s[:k] in chosen), 0.0)
@@ -160,7 +170,7 @@ def _exceptions(lexicon: Lexicon, bad: list[str], good: list[str], least: int =
         docs = Counter()
         for t in group:
             folded, mine = " " + fold(t), set()
-            for end, (length, _) in auto.iter_long(folded) if len(auto) else ():
+            for end, length, _ in matches(auto, folded):
                 start, stop = end - length + 1, (folded.find(" ", end) % (len(folded) + 1))
                 mine.add(folded[start:stop] + " " + (folded[stop:stop + 40].split() or [""])[0])
             docs.update(m for m in mine if m.count(" ") == 1 and m[-1] != " ")
@@ -169,7 +179,7 @@ def _exceptions(lexicon: Lexicon, bad: list[str], good: list[str], least: int =
 
 
 def train(documents: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2,
-          max_training_rows: int = 10_000) -> Lexicon:
+          max_training_rows: int = 20_000) -> Lexicon:
     """Learn from labelled documents whose crc32(doc_id) mod ``modulus`` is not ``held``."""
     known = labelled(labels, "toxic").filter(remainder("doc_id", modulus) != held)
     sample = bounded_sample(known, "doc_id", max_training_rows)

@@ -295,6 +295,26 @@ def test_folding_and_exceptions():
     assert toxicity.weigh(auto, "the trash can is full")[:2] == (0.0, 0) and toxicity.weigh(auto, "10107 x")[0] == 0
 
 
+def test_short_toxic_words_are_learned_as_whole_words():
+    rng = random.Random(2)
+    plain = [f"plain{chr(97 + i)}" for i in range(26)] + ["zogan", "xqmany"]
+    rows = [{"text": " ".join(rng.choices(plain, k=30) + [f"one{i}"] + (["zog, xq!"] if i % 2 else [])), "label": i % 2}
+            for i in range(400)]
+    lex = toxicity.learn(rows)
+    assert {"zog", "xq"} <= set(lex.weights)
+    auto = lex.automaton()
+    assert [toxicity.weigh(auto, t)[1] for t in ("zog", "a ZOG xq b", "zogan xqmany", "xq zogs")] == [1, 2, 0, 1]
+    assert toxicity.probability(lex, auto, "plaina xq plainb") > 0.5 > toxicity.probability(lex, auto, "plaina xqmany")
+
+
+def test_labelled_samples_are_those_before_the_cut():
+    from inspect import signature
+
+    from shoplens.llm import quality
+    bounds = [signature(m.train).parameters["max_training_rows"].default for m in (toxicity, quality)]
+    assert bounds == [20_000, 10_000]
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline as P
     model = toxicity.train(table(spark, "documents"), table(spark, "labels"))
