@@ -72,6 +72,11 @@ def buckets(text: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return ids, (n / n.sum()).astype("f4")
 
 
+def segments(text: str, cut: int) -> list[str]:
+    """The whole text in consecutive segments of ``cut`` characters."""
+    return [text[a:a + cut] for a in range(0, len(text), cut)]
+
+
 def fit(rows: list[dict], bits: int = 16, size: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 7,
         segment_chars: int = 400, max_error: float = 0.02) -> Model:
     """Train on (text, lang) rows."""
@@ -86,9 +91,9 @@ def fit(rows: list[dict], bits: int = 16, size: int = 16, epochs: int = 6, rate:
         t, part = r["text"], bool(rng.random() < 0.15)
         # a segment for every part of the text, in lengths from a few words to all of it
         cut = int(rng.choice([30, 100, segment_chars, len(t)]))
-        for a in range(0, len(t), max(cut, len(t) // 8 + 1)):
-            if LETTER.search(t, a, a + cut):
-                data.append((*buckets(t[a:a + cut], bits), known[r["lang"]], part))
+        for segment in segments(t, cut):
+            if LETTER.search(segment):
+                data.append((*buckets(segment, bits), known[r["lang"]], part))
     train = [d for d in data if not d[3]] or data
     check = [d for d in data if d[3]] or data
     emb = rng.normal(0, 0.1, (1 << bits, size)).astype("f4")

@@ -50,6 +50,21 @@ def test_held_out_language(spark):
     assert len(rows) > 100 and np.mean([r["lang_pred"] == r["lang"] for r in rows]) >= 0.95
 
 
+def test_language_training_reads_whole_texts(monkeypatch):
+    from shoplens.llm import language_id
+    read, inner = Counter(), language_id.buckets
+
+    def spy(text, bits):
+        read[text] += 1
+        return inner(text, bits)
+    monkeypatch.setattr(language_id, "buckets", spy)
+    rows = [{"text": f"{k}" + "".join(f"w{k}x{i:03d} " for i in range(500)), "lang": "ab"[k % 2]} for k in range(8)]
+    language_id.fit(rows, bits=8, epochs=1)
+    whole = "".join(read)
+    assert all(sum(len(s) * n for s, n in read.items() if f"w{k}x" in s) >= 2900 for k in range(8))
+    assert len(whole) >= sum(len(r["text"]) for r in rows) * 0.95
+
+
 def test_lm_base_score_and_counts(spark):
     docs = texts(spark)
     token = lambda t: (t or "").encode().lower().split()
