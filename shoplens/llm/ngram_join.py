@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import BASE, WORD_TABLE, mix, stored, texts, utf8, word_hashes
@@ -104,8 +104,12 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def _text_hash() -> Column:
+    return F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("text_hash")
+
+
 def sketches(documents: DataFrame) -> DataFrame:
-    """(doc_id, node, signature, keys): node and the rest are null for documents without words."""
+    """(doc_id, text_hash, node, signature, keys): node and the rest are null for documents without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(gram_sets(texts(b)))
@@ -120,10 +124,10 @@ def sketches(documents: DataFrame) -> DataFrame:
                 for k, i in enumerate(there):
                     node[i], sig[i], keys[i] = digest(sets[i]), low[k].tobytes(), band[k].view("i8")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "node", "signature", "keys"])
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(run, "doc_id long, node binary, signature binary, keys array<long>")
+                [b.column(0), b.column(2), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "node", "signature", "keys"])
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash())
+    return docs.mapInArrow(run, "doc_id long, text_hash binary, node binary, signature binary, keys array<long>")
 
 
 def least_matches(threshold: float, tolerance: float) -> dict[int, int]:
@@ -202,7 +206,10 @@ def _bucket_forest(least):
 
 
 def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
-    """(node, root): connected components by alternating large and small stars; linear rows in every round."""
+    """(node, root): connected components by alternating large and small stars; linear rows in every round.
+
+    Raises if the edges still change in the last round, so that no class comes back split.
+    """
     edges = stored(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
                    "join_edges")
     mark = None
@@ -219,6 +226,8 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
         if new == mark or not new[0]:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components have not settled after {rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")) \
         .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -294,6 +303,12 @@ def _group_links(threshold: float):
 def join(documents: DataFrame, threshold: float = 0.8, tolerance: float = 1e-4, chunk: int = 1024,
          broadcast_rows: int = 500_000) -> DataFrame:
     """(doc_id, class_id, copy_id, n_links, n_linked_sets) for every document."""
+    return _classes(documents, threshold, tolerance, chunk, broadcast_rows).drop("text_hash", "root")
+
+
+def _classes(documents: DataFrame, threshold: float, tolerance: float = 1e-4, chunk: int = 1024,
+             broadcast_rows: int = 500_000) -> DataFrame:
+    """The columns of ``join``, the hash of the row's text and the node that stands for its class (null: alone)."""
     rows = stored(sketches(documents), "join_sketch")
     nodes = rows.filter("doc_id is not null and node is not null").groupBy("node").agg(
         F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("size"),
@@ -333,11 +348,11 @@ def join(documents: DataFrame, threshold: float = 0.8, tolerance: float = 1e-4,
     info = stored(info.withColumn("root", F.coalesce("root", "node")), "join_info")
     names = info.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     info = info.join(names, "root").select(
-        "node", "class_id", "copy_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+        "node", "root", "class_id", "copy_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("sets", F.lit(0)).alias("n_linked_sets"))
     named = F.col("doc_id").isNotNull()
-    return rows.select("doc_id", "node").join(info, "node", "left").select(
-        "doc_id", F.when(named, F.coalesce("class_id", "doc_id")).alias("class_id"),
+    return rows.select("doc_id", "text_hash", "node").join(info, "node", "left").select(
+        "doc_id", "text_hash", "root", F.when(named, F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(named, F.coalesce("copy_id", "doc_id")).alias("copy_id"),
         F.when(named, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"),
         F.when(named, F.coalesce("n_linked_sets", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_linked_sets"))
@@ -346,10 +361,13 @@ def join(documents: DataFrame, threshold: float = 0.8, tolerance: float = 1e-4,
 def keep_one(documents: DataFrame, threshold: float = 0.8) -> DataFrame:
     """One document of each class stays (the one with the smallest doc_id; one row of repeated rows).
 
+    Rows are told apart by doc_id and text: of a class's texts under that doc_id the one with the smallest hash stays.
     Rows without doc_id can't be told apart and all stay.
     """
     columns = documents.columns
-    kept = join(documents, threshold).filter("class_id = doc_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = documents.filter("doc_id is not null")
-    one = named.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    kept = _classes(documents, threshold).filter("class_id = doc_id").groupBy(
+        F.col("doc_id").alias("__kept"), F.coalesce("root", "text_hash")).agg(F.min("text_hash").alias("__of"))
+    named = documents.filter("doc_id is not null").withColumn("__hash", _text_hash())
+    one = named.join(kept, (F.col("doc_id") == F.col("__kept")) & F.col("__hash").eqNullSafe(F.col("__of")), "left_semi") \
+        .dropDuplicates(["doc_id", "__hash"]).drop("__hash")
     return one.unionByName(documents.filter("doc_id is null")).select(*columns)

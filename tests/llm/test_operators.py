@@ -50,6 +50,24 @@ def test_held_out_language(spark):
     assert len(rows) > 100 and np.mean([r["lang_pred"] == r["lang"] for r in rows]) >= 0.95
 
 
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(1, a), (1, b), (2, b + " z"), (3, c), (3, c), (3, c + " y"), (4, ""), (4, None), (4, "")]
+    kept = ngram_join.keep_one(documents(spark, [(*r, None, None, None) for r in rows])).collect()
+    got = Counter((r["doc_id"], r["text"]) for r in kept)
+    assert {k: n for k, n in got.items() if k[0] in (1, 2, 4)} == {(1, a): 1, (1, b): 1, (4, ""): 1, (4, None): 1}
+    assert sum(n for k, n in got.items() if k[0] == 3) == 1
+
+
+def test_components_do_not_come_back_split(spark):
+    edges = spark.range(64).selectExpr("cast(lpad(id * 37 % 65, 3, '0') AS binary) u",
+                                       "cast(lpad((id + 1) * 37 % 65, 3, '0') AS binary) v")
+    with pytest.raises(RuntimeError):
+        ngram_join.components(edges, rounds=1)
+    got = ngram_join.components(edges).collect()
+    assert len(got) == 65 and len({bytes(r["root"]) for r in got}) == 1
+
+
 def test_language_training_reads_whole_texts(monkeypatch):
     from shoplens.llm import language_id
     read, inner = Counter(), language_id.buckets
