@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoplens.spark import shared_dir
 
@@ -39,6 +40,22 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, order: list[Column], tag: str) -> DataFrame:
+    """``rows`` with ``place``, their position from 0 in the given order (which should leave no ties).
+
+    The rows are dealt out by ranges and sorted inside them; a place is the count of the ranges before plus the
+    position inside the range. Only one count for each range goes through a single task.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = stored(ranged.select(F.struct(*rows.columns).alias("row"), F.monotonically_increasing_id().alias("at")), tag)
+    part, inside = F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return ranged.withColumn("part", part).join(F.broadcast(offsets), "part") \
+        .select("row.*", (F.col("before") + inside).alias("place"))
+
+
 def hashed_share(column: str, share: float) -> Column:
     """True for about ``share`` of the values of a column, chosen by their hash; whole rows, any order of reading."""
     return F.pmod(F.xxhash64(F.col(column)), F.lit(1 << 24)) < int(share * (1 << 24)) + 1

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplens.llm import (decontamination, language_id, lm_scoring, neighbours, ngram_join, packing, pii, quality,
-                          sharding, toxicity)
+from shoplens.llm import (decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, packing, pii, quality,
+                          resampling, sharding, spelling, toxicity)
 from shoplens.llm.oracle import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,20 @@ def op9_ngram_join(spark, sf_dir):
 def op10_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op11_mixing(spark, sf_dir):
+    found = mixing.repetitions(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("kept.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@_query
+def op12_resampling(spark, sf_dir):
+    found = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(_table(spark, sf_dir, "documents"))

@@ -83,3 +83,7 @@ def hits(text, items, window=10):
                     hit.update(range(j, j + n))
                     found.add(item)
     return len(w), len(hit), found
+
+
+#: ASCII letters and U+00C0 to U+00FF.
+LETTERS = {chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100))}

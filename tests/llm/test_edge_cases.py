@@ -3,8 +3,8 @@
 import pytest
 
 from fixtures import ROWS, documents, empty, table
-from shoplens.llm import (decontamination, language_id, lm_scoring, neighbours, ngram_join, packing, pii, quality,
-                          sharding, toxicity)
+from shoplens.llm import (decontamination, language_id, lm_scoring, mixing, neighbours, ngram_join, packing, pii, quality,
+                          resampling, sharding, spelling, toxicity)
 
 ITEMS = [(1, "three four five six seven eight nine ten eleven twelve"), (2, "two three four five six seven eight nine ten eleven"),
          (3, ""), (4, None), (5, "été über"), (None, "one"), (2, "two three four five six seven eight nine ten eleven")]
@@ -24,6 +24,8 @@ RUNS = {
     "op7": lambda s, d: packing.pack(d),
     "op9": lambda s, d: ngram_join.join(d),
     "op10": lambda s, d: toxicity.score(d, toxicity.train(d, labels(s))),
+    "op11": lambda s, d: mixing.repetitions(d, ["doc_id", *d.columns[5:]]).select("kept.doc_id", "*"),
+    "op12": lambda s, d: resampling.resample(d, s.createDataFrame(ITEMS, "item_id long, text string"), d.columns),
 }
 
 
@@ -39,6 +41,23 @@ def test_empty_table(spark, op):
     assert RUNS[op](spark, empty(spark)).collect() == []
 
 
+def test_words_of_awkward_texts(spark):
+    got = {r["word"]: (r["n"], r["form"]) for r in spelling.variants(documents(spark)).collect()}
+    assert got == {} or all(n >= 2 and len(w) >= 7 for w, (n, _) in got.items())
+    assert spelling.variants(empty(spark)).collect() == []
+    rows = [(None, "Letters letters lettersx", None, None, None)] * 3 + [(1, "x" * 30_000, None, None, None)] * 2
+    got = {r["word"]: (r["n"], r["n_near"]) for r in spelling.variants(documents(spark, rows), modulus=10**9).collect()}
+    assert got == {"letters": (6, 1), "lettersx": (3, 1), "x" * 30_000: (2, 0)}
+
+
+def test_mix_and_draw_pass_columns_through(spark):
+    rows, items = documents(spark), spark.createDataFrame(ITEMS, "item_id long, text string")
+    for made in (lambda d: mixing.mix(d), lambda d: resampling.draw(d, items, percent=100, least_words=0)):
+        assert made(rows).dtypes == rows.dtypes and made(empty(spark)).collect() == []
+    assert resampling.draw(rows, items, percent=100, least_words=0).count() == len(ROWS)
+    assert resampling.draw(rows, items.limit(0), percent=100).count() == 1     # one text has 20 words
+
+
 def test_defined_results(spark):
     rows = documents(spark)
     und = {r["doc_id"]: r for r in RUNS["op1"](spark, rows).collect()}
