@@ -16,10 +16,14 @@ per-user counts are complete before the statistics are computed (as with
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoplens.operators.common import BROADCAST_MAX_ROWS
 from shoplens.params import TaskParams
+from shoplens.spark import stored
 
 
 def parse_ad_lines(lines: DataFrame) -> DataFrame:
@@ -74,24 +78,46 @@ def blacklist(user_counts: DataFrame, p: TaskParams) -> DataFrame:
     return user_counts.where(F.col("clickCount") >= int(p.blacklist_threshold)).select("userid").distinct()
 
 
+def _allowed(clicks: DataFrame, black: DataFrame) -> DataFrame:
+    return clicks.join(black.select("userid"), "userid", "left_anti")
+
+
 def clean_clicks(clicks: DataFrame, black: DataFrame) -> DataFrame:
-    """T5: clicks of users not on the blacklist (anti-join; AQE sizes the join)."""
-    return clicks.join(black.select("userid"), "userid", "left_anti").select(
-        "ts_ms", "province", "city", "userid", "adid"
-    )
+    """T5: clicks of users not on the blacklist (dropped in the scan where the list is ``Listed.small``)."""
+    return _allowed(clicks, black).select("ts_ms", "province", "city", "userid", "adid")
+
 
+@dataclass(frozen=True)
+class Listed:
+    """A stored blacklist: 8 bytes a user, so its count says whether it can be broadcast."""
+    users: DataFrame
+    small: bool
 
-def _count_allowed(clicks: DataFrame, keys: list[str], black: DataFrame | None) -> DataFrame:
-    """Clicks per key without blacklisted users: counted per user and key first, so the anti-join and its
-    exchange see one row for each of them (map-side collapsed, also for a hot user) and not every click."""
-    if black is None:
-        return clicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("clickCount"))
+    @classmethod
+    def store(cls, black: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> "Listed":
+        return cls.of_stored(stored(black.select("userid"), "ad_blacklist"), max_rows)
+
+    @classmethod
+    def of_stored(cls, users: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> "Listed":
+        small = users.count() <= max_rows
+        return cls(F.broadcast(users) if small else users, small)
+
+
+def _count_allowed(clicks: DataFrame, keys: list[str], black: Listed | None) -> DataFrame:
+    """Clicks per key without blacklisted users.
+
+    A small list is broadcast and its users' clicks go in the scan, so that one exchange of counts is left. With a
+    larger one clicks are counted per user and key first: the anti-join and its exchange then see one row for each
+    of them (map-side collapsed, also for a hot user) and not every click.
+    """
+    if black is None or black.small:
+        kept = clicks if black is None else _allowed(clicks, black.users)
+        return kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("clickCount"))
     per_user = clicks.groupBy("userid", *keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_user.join(black.select("userid"), "userid", "left_anti").groupBy(*keys).agg(
-        F.sum("n").cast("bigint").alias("clickCount"))
+    return _allowed(per_user, black.users).groupBy(*keys).agg(F.sum("n").cast("bigint").alias("clickCount"))
 
 
-def ad_stat(clicks: DataFrame, black: DataFrame | None = None) -> DataFrame:
+def ad_stat(clicks: DataFrame, black: Listed | None = None) -> DataFrame:
     """``date, province, city, adid, clickCount`` of users not on the blacklist."""
     return _count_allowed(with_time_keys(clicks), ["date", "province", "city", "adid"], black)
 
@@ -104,7 +130,7 @@ def province_top(stat: DataFrame, p: TaskParams) -> DataFrame:
     return ranked.select("date", "province", "adid", "clickCount")
 
 
-def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: DataFrame | None = None) -> DataFrame:
+def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: Listed | None = None) -> DataFrame:
     """``date, hour, minute, adid, clickCount`` per tumbling event-time window
     of ``trend_window`` (default one minute), keyed by the window's start."""
     width = p.trend_window if p is not None else "1 minute"
@@ -118,18 +144,17 @@ def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: DataFrame
     return _count_allowed(keyed, ["date", "hour", "minute", "adid"], black)
 
 
-def ad_tables(lines: DataFrame, p: TaskParams) -> dict[str, DataFrame]:
-    """All ad result tables from one batch of log lines."""
+def ad_tables(lines: DataFrame, p: TaskParams, max_listed: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
+    """All ad result tables from one batch of log lines; the blacklist is stored first."""
     clicks = parse_ad_lines(lines)
     counts = user_click_count(clicks)
-    black = blacklist(counts, p)
-    clean = clean_clicks(clicks, black)
+    black = Listed.store(blacklist(counts, p), max_listed)
     stat = ad_stat(clicks, black)
     return {
         "ad_log_parse": clicks,
         "ad_user_click_count": counts,
-        "ad_blacklist": black,
-        "ad_clean_clicks": clean,
+        "ad_blacklist": black.users,
+        "ad_clean_clicks": clean_clicks(clicks, black.users),
         "ad_stat": stat,
         "ad_province_top3": province_top(stat, p),
         "ad_click_trend": click_trend(clicks, p, black),

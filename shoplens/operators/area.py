@@ -88,12 +88,6 @@ def _present(top: DataFrame, p: TaskParams, levels: Mapping[str, Sequence[str]])
     )
 
 
-def area_top_products(info: DataFrame, p: TaskParams,
-                      levels: Mapping[str, Sequence[str]] = X.REFERENCE_AREA_LEVELS) -> DataFrame:
-    """W1 + F12 + X19: top-k products per area by clicks from joined product info."""
-    return _present(_top_k_per_area(info, p), p, levels)
-
-
 def area_top3_job(actions: DataFrame, cities: DataFrame, products: DataFrame, p: TaskParams,
                   levels: Mapping[str, Sequence[str]] = X.REFERENCE_AREA_LEVELS) -> DataFrame:
     """The whole area job as one lazy plan.

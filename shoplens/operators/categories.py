@@ -6,11 +6,11 @@ stage and one hash aggregate with a map-side partial phase counts all three
 kinds at once, replacing the reference's three counts plus three joins. A hot
 category is therefore collapsed per task before the only exchange.
 
-For the session job the log is read once and reduced to cells (``session_cells``,
-one row per session, category and keyword). The callers store them; the session
-profile, the join to the filtered sessions, the category totals and the
-per-category session ranking all read that reduced table, so raw action rows are
-neither read again nor shuffled for the session filter. The top-k
+The session job's chain reads the log once and shuffles sessions once
+(``session_rows``): actions become one row per session with the profile and, nested in
+it, the counts of every touched category. The session filter is then a filter on that
+row, so its categories need no join with the filtered sessions; totals and the
+per-category ranking ``inline`` the nested counts. The top-k
 categories are a ``TakeOrderedAndProject`` (k rows reach the driver side of the
 plan, nothing else). The per-category session ranking is a semi-join against
 those k ids (broadcast, bounded by k) followed by a literal-bounded
@@ -46,60 +46,47 @@ def _all_entries():
     )
 
 
-def category_events(actions: DataFrame) -> DataFrame:
-    """One row per (action, touched category, kind): clicks, orders and payments."""
-    return actions.select(F.inline(_all_entries()))
+def session_rows(actions: DataFrame) -> DataFrame:
+    """A1 with the counts of A8-A11 nested: ``sessions.session_profile`` and ``categories``, one row per session.
 
-
-def session_cells(actions: DataFrame) -> DataFrame:
-    """One scan for the profile and the category counts of every session.
-
-    A row per (session, touched category or NULL, search keyword): clicks, orders
-    and payments of the category, and what the session profile needs. ``steps``
-    counts an action once, however many categories it touches. All aggregates are
-    plain ones, so a hot session is collapsed in the scan tasks.
+    ``categories`` is an array of (category_id, click_count, order_count, pay_count),
+    each touched category once. Two aggregates over one scan: per (session,
+    category or NULL), where a session with a third of all actions is collapsed
+    in the scan tasks, then per session over these rows. An action that touches
+    several categories counts as one step.
     """
-    kw, k = F.col("search_keyword"), F.col("e.kind")
+    kw, k, one = F.col("search_keyword"), F.col("e.kind"), F.col("category_id").isNotNull()
     entries = actions.select(
         "session_id", "user_id",
         X.action_seconds(F.col("action_time")).alias("t"),
         F.when(X.is_not_blank(kw), kw).alias("keyword"),
         F.posexplode_outer(_all_entries()).alias("place", "e"),
     )
-    return entries.groupBy("session_id", F.col("e.category_id").alias("category_id"), "keyword").agg(
+    touched = entries.groupBy("session_id", F.col("e.category_id").alias("category_id")).agg(
         F.min("user_id").alias("user_id"),
         F.min("t").alias("start_sec"),
         F.max("t").alias("end_sec"),
         F.count_if(F.coalesce(F.col("place"), F.lit(0)) == 0).alias("steps"),
+        F.collect_set("keyword").alias("keywords"),
         F.count_if(k == CLICK).alias("click_count"),
         F.count_if(k == ORDER).alias("order_count"),
         F.count_if(k == PAY).alias("pay_count"),
     )
-
-
-def profile_from_cells(cells: DataFrame) -> DataFrame:
-    """A1 from ``session_cells``: the same rows as ``sessions.session_profile``."""
-    clicked = F.when(F.col("click_count") > 0, F.col("category_id"))
-    return profile_columns(cells.groupBy("session_id").agg(
+    counts = F.struct("category_id", "click_count", "order_count", "pay_count")
+    return profile_columns(touched.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.min("start_sec").alias("start_sec"),
         F.max("end_sec").alias("end_sec"),
         F.sum("steps").alias("step_length"),
-        F.array_sort(F.collect_set("keyword")).alias("search_keyword_list"),
-        F.array_sort(F.collect_set(clicked)).alias("click_category_list"),
-    ))
-
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("keywords")))).alias("search_keyword_list"),
+        F.array_sort(F.collect_list(F.when(F.col("click_count") > 0, F.col("category_id")))).alias("click_category_list"),
+        F.collect_list(F.when(one, counts)).alias("categories"),
+    ), "categories")
 
-def session_category_counts(cells: DataFrame) -> DataFrame:
-    """``session_id, category_id, click_count, order_count, pay_count`` per touched pair."""
-    return cells.where(F.col("category_id").isNotNull()).groupBy("session_id", "category_id").agg(
-        *[F.sum(c).alias(c) for c in ("click_count", "order_count", "pay_count")]
-    )
 
-
-def for_sessions(counts: DataFrame, sessions: DataFrame) -> DataFrame:
-    """J2 on the reduced table: keep (session, category) rows of the given sessions."""
-    return counts.join(sessions.select("session_id"), "session_id", "left_semi")
+def session_category_counts(rows: DataFrame) -> DataFrame:
+    """``session_id, category_id, click_count, order_count, pay_count`` of ``session_rows`` (J2: those that are left)."""
+    return rows.select("session_id", F.inline("categories"))
 
 
 def category_totals(counts: DataFrame) -> DataFrame:
@@ -118,7 +105,7 @@ def kind_totals(counts: DataFrame, kind: str) -> DataFrame:
 
 
 def top_sessions_from_counts(counts: DataFrame, top: DataFrame, p: TaskParams) -> DataFrame:
-    """W2 from per-session counts: per top category, the k sessions with most clicks."""
+    """Per top category, the k sessions with most clicks on it (ties by session id)."""
     ids = bounded_broadcast(top.select(F.col("categoryid").alias("category_id")), p.top_categories)
     clicks = counts.where(F.col("click_count") > 0).join(ids, "category_id", "left_semi")
     return _rank_sessions(clicks.select("category_id", "session_id", "click_count"), p)
@@ -143,28 +130,6 @@ def _rank_sessions(counts: DataFrame, p: TaskParams) -> DataFrame:
     )
 
 
-def category_ids(actions: DataFrame) -> DataFrame:
-    """Every category id that was clicked, ordered or paid (distinct)."""
-    return category_events(actions).select("category_id").distinct()
-
-
-def category_kind_count(actions: DataFrame, kind: str) -> DataFrame:
-    """A9-A11 (F7, F8, X17): ``category_id, n`` for one of click / order / pay."""
-    code = {"click": CLICK, "order": ORDER, "pay": PAY}[kind]
-    ev = category_events(actions).where(F.col("kind") == code)
-    return ev.groupBy("category_id").agg(F.count(F.lit(1)).alias("n"))
-
-
-def category_full_count(actions: DataFrame) -> DataFrame:
-    """Click, order and pay counts per touched category (missing -> 0)."""
-    k = F.col("kind")
-    return category_events(actions).groupBy("category_id").agg(
-        F.count_if(k == CLICK).alias("click_count"),
-        F.count_if(k == ORDER).alias("order_count"),
-        F.count_if(k == PAY).alias("pay_count"),
-    )
-
-
 def top_categories(full_count: DataFrame, p: TaskParams) -> DataFrame:
     """O1/O2: top-k by (clicks, orders, pays) descending; ties by lower id."""
     top = full_count.orderBy(
@@ -177,16 +142,3 @@ def top_categories(full_count: DataFrame, p: TaskParams) -> DataFrame:
         F.col("order_count").alias("orderCount"),
         F.col("pay_count").alias("payCount"),
     )
-
-
-def top_sessions(actions: DataFrame, top: DataFrame, p: TaskParams) -> DataFrame:
-    """Per top category, the k sessions with most clicks on it
-    (ties by session id)."""
-    ids = bounded_broadcast(top.select(F.col("categoryid").alias("category_id")), p.top_categories)
-    clicks = actions.where(F.col("click_category_id") != -1).select(
-        F.col("click_category_id").alias("category_id"), "session_id"
-    )
-    counts = clicks.join(ids, "category_id", "left_semi").groupBy("category_id", "session_id").agg(
-        F.count(F.lit(1)).alias("click_count")
-    )
-    return _rank_sessions(counts, p)

@@ -22,18 +22,10 @@ def bounded_broadcast(df: DataFrame, row_bound: int, max_rows: int = BROADCAST_M
     return F.broadcast(df) if int(row_bound) <= max_rows else df
 
 
-def with_task_id(df: DataFrame, task_id: str, name: str = "taskid") -> DataFrame:
-    """Prefix a result with the task id column."""
-    return df.select(F.lit(task_id).alias(name), *df.columns)
-
-
 def broadcast_if_small(materialised: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a side that is already materialised (a checkpoint or a written
-    table) when a count shows at most ``max_rows`` rows; otherwise return it
-    unchanged for a shuffle join (with AQE skew handling).
+    """Broadcast a stored side when a count shows at most ``max_rows`` rows;
+    otherwise return it unchanged for a shuffle join (with AQE skew handling).
 
-    Counting stored data is a cheap scan (parquet answers it from metadata), and
-    a checkpointed plan carries no size statistics of its own, so without this
-    check the planner would shuffle the large side of the join first.
+    Counting reads the stored files' row counts, not the log they came from.
     """
     return F.broadcast(materialised) if materialised.count() <= max_rows else materialised

@@ -2,10 +2,12 @@
 
 Consecutive page pairs need each session's actions in time order. A plain
 ``lead`` over ``partitionBy(session_id)`` would put a hot session (one that
-holds a large share of all actions) into a single task, so the order is split
-by time slices: ``lead`` runs per (session, slice) and the pairs that cross a
-slice boundary come from a second, much smaller window over one row per
-(session, slice) holding the slice's first and last page. The union is exactly
+holds a large share of all actions) into a single task. The pairs as rows
+(``page_pairs``) come from ranges of the order, which split anywhere; the counts
+split the order by time slices, which costs no stored table: ``lead`` runs per
+(session, slice) and the pairs that cross a slice boundary come from a second,
+much smaller window over one row per (session, slice) holding the slice's first
+and last page. The union is exactly
 the set of consecutive pairs of the whole session. With the default 10-minute
 slices, the first window's largest group is one session's actions within ten
 minutes and the second window holds at most 144 rows per session and day, so
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 
 from shoplens.functions import columns as X
 from shoplens.params import TaskParams
+from shoplens.spark import stored
 
 STEPS_SCHEMA = T.StructType([
     T.StructField("step_no", T.LongType(), False),
@@ -75,19 +78,33 @@ def _edge_pages() -> tuple[Column, Column]:
 
 
 def page_pairs(actions: DataFrame, p: TaskParams) -> DataFrame:
-    """``session_id, from_page, to_page`` for consecutive actions."""
-    win = _within_slices(actions, p)
-    inner = win.where(F.col("nxt").isNotNull()).select(
-        "session_id", F.col("page_id").alias("from_page"), F.col("nxt.p").alias("to_page")
-    )
-    # the aggregate keeps the (session, slice) partitioning: no extra exchange
-    edges = win.where((F.col("rn") == 1) | F.col("nxt").isNull()).groupBy("session_id", "slice").agg(*_edge_pages())
-    w2 = Window.partitionBy("session_id").orderBy("slice")  # one row per slice
-    nxt2 = F.lead(F.struct(F.col("first_page").alias("p"))).over(w2)
-    cross = edges.select("session_id", F.col("last_page").alias("from_page"), nxt2.alias("nxt")).where(
-        F.col("nxt").isNotNull()
-    ).select("session_id", "from_page", F.col("nxt.p").alias("to_page"))
-    return inner.unionByName(cross)
+    """``session_id, from_page, to_page`` for consecutive actions.
+
+    The actions are dealt out by ranges of (session, time, tie) and sorted inside
+    them, so that a session, a slice or one second with any share of the log is
+    spread over as many ranges as its rows need. The sorted rows are stored with
+    their range and place; ``lead`` runs inside a range, and the one pair over
+    each range's end is the last row of a range with the first of the next.
+    """
+    tie = "event_id" if "event_id" in actions.columns else "page_id"
+    order = ["session_id", "t", "tie", "row"]
+    # the row number only parts rows that are equal otherwise, whose order does not matter
+    rows = actions.select("session_id", "page_id", X.action_seconds(F.col("action_time")).alias("t"),
+                          F.col(tie).alias("tie"), F.monotonically_increasing_id().alias("row"))
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "session_id", "page_id", F.monotonically_increasing_id().alias("at"))
+    placed = stored(placed, "page_order").withColumn("part", F.shiftright("at", 33))
+
+    page = F.struct("session_id", "page_id").alias("page")
+    follows = Window.partitionBy("part").orderBy("at")
+    inside = placed.select(page, F.lead(page).over(follows).alias("nxt")).where(F.col("nxt").isNotNull())
+    # one row per range: its first and its last page
+    ends = placed.groupBy("part").agg(F.min_by(page, "at").alias("first"), F.max_by(page, "at").alias("last"))
+    over = ends.select(F.col("last").alias("page"), F.lead("first").over(Window.orderBy("part")).alias("nxt"))
+    same = F.col("nxt").isNotNull() & F.col("page.session_id").eqNullSafe(F.col("nxt.session_id"))
+    return inside.unionByName(over).where(same).select(
+        F.col("page.session_id").alias("session_id"), F.col("page.page_id").alias("from_page"),
+        F.col("nxt.page_id").alias("to_page"))
 
 
 def flow_counts(actions: DataFrame, p: TaskParams) -> DataFrame:

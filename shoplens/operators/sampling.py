@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.operators.common import bounded_broadcast
-from shoplens.operators.sessions import session_profile
 from shoplens.params import TaskParams
 
 
@@ -72,18 +71,19 @@ def sample_quota(hourly: DataFrame, p: TaskParams) -> DataFrame:
     return q.select("date", "hour", n, F.least(F.col("base"), n).cast("bigint").alias("quota"))
 
 
-def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None = None) -> DataFrame:
+#: What the sample needs of a session.
+SAMPLED_COLUMNS = ["session_id", "start_time", "search_keyword_list", "click_category_list"]
+
+
+def random_extract(sessions: DataFrame, p: TaskParams) -> DataFrame:
     """The sampled sessions with the reference's output columns.
 
-    By default the lists are read from ``sessions`` (one scan of the log builds
-    them with the profile). With ``actions`` (the date-range actions the
-    sessions were built from) the draw runs on lean ``(session_id,
-    start_time)`` rows and the lists are built only for the picked sessions;
-    that costs a second scan of the log, so it pays off only when the
-    sessions arrive without lists (e.g. a stored lean profile table).
+    ``sessions`` is read three times, so callers store it (``SAMPLED_COLUMNS``
+    are enough): by the hourly counts, by the draw, which ranks lean
+    (session_id, start_time) rows, and for the lists, which are put together
+    for the picked sessions only.
     """
-    lean = actions is not None
-    s = with_date_hour(sessions.select("session_id", "start_time") if lean else sessions)
+    s = with_date_hour(sessions.select("session_id", "start_time"))
     # at most 24 rows per day of the parameter's date range: a proven bound
     quota = bounded_broadcast(sample_quota(hourly_counts(sessions), p).select("date", "hour", "quota"),
                               _days_in_range(p) * 24)
@@ -98,17 +98,14 @@ def random_extract(sessions: DataFrame, p: TaskParams, actions: DataFrame | None
     w = Window.partitionBy("date", "hour").orderBy("_order", "session_id")
     ranked = pre.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
     picked = ranked.join(quota, ["date", "hour"], "inner").where(F.col("rn") <= F.col("quota"))
-    if lean:
-        ids = bounded_broadcast(picked.select("session_id"), p.sample_size)  # at most sample_size rows
-        lists = session_profile(actions.join(ids, "session_id", "left_semi")).select(
-            "session_id", "search_keywords", "click_category_ids")
-        picked = picked.select("session_id", "start_time").join(lists, "session_id", "inner")
-    return picked.select(
+    # the quotas sum to at most sample_size
+    chosen = sessions.join(bounded_broadcast(picked.select("session_id"), k), "session_id", "left_semi")
+    return chosen.select(
         F.lit(p.task_id).alias("taskid"),
         F.col("session_id").alias("sessionid"),
         F.col("start_time").alias("startTime"),
-        F.col("search_keywords").alias("searchKeywords"),
-        F.col("click_category_ids").alias("clickCategoryIds"),
+        F.array_join("search_keyword_list", ",").alias("searchKeywords"),
+        F.array_join(F.col("click_category_list").cast("array<string>"), ",").alias("clickCategoryIds"),
     )
 
 

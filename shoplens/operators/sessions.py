@@ -80,8 +80,8 @@ def session_profile(actions: DataFrame) -> DataFrame:
     ))
 
 
-def profile_columns(per_session: DataFrame) -> DataFrame:
-    """The columns of the profile from the aggregates of one session per row."""
+def profile_columns(per_session: DataFrame, *more: str) -> DataFrame:
+    """The columns of the profile (and ``more``) from the aggregates of one session per row."""
     return per_session.select(
         "session_id",
         "user_id",
@@ -92,6 +92,7 @@ def profile_columns(per_session: DataFrame) -> DataFrame:
         X.format_seconds("start_sec").alias("start_time"),
         "search_keyword_list",
         "click_category_list",
+        *more,
     )
 
 

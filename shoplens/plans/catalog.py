@@ -174,7 +174,9 @@ def q_session_sample_quota_lr(spark, sf_dir):
 
 
 def _extract(spark, sf_dir, p):
-    return sampling.random_extract(_filtered(spark, sf_dir, p), p)
+    # read by the hourly counts, the draw and the lists: one row per filtered session, from one scan of the log
+    rows = _filtered(spark, sf_dir, p).select(*sampling.SAMPLED_COLUMNS)
+    return sampling.random_extract(stored(rows, "sampled_sessions"), p)
 
 
 @register("session_random_extract")
@@ -193,13 +195,15 @@ def q_session_detail(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ categories
-def _session_categories(spark, sf_dir):
-    """Per-(session, category) counts of the filtered sessions: the log is read once, for the stored cells."""
+def _session_rows(spark, sf_dir):
+    """The filtered sessions with their nested category counts: one scan, one session shuffle."""
     t = Tables(spark, sf_dir)
-    acts = sessions.actions_by_date(t.actions(dates=DATES), P)
-    cells = stored(categories.session_cells(acts), "session_cells")
-    full = sessions.session_full_info(categories.profile_from_cells(cells), t.users())
-    return categories.for_sessions(categories.session_category_counts(cells), sessions.filter_sessions(full, P))
+    rows = categories.session_rows(sessions.actions_by_date(t.actions(dates=DATES), P))
+    return sessions.filter_sessions(sessions.session_full_info(rows, t.users()), P)
+
+
+def _session_categories(spark, sf_dir):
+    return categories.session_category_counts(_session_rows(spark, sf_dir))
 
 
 @register("category_ids")
@@ -234,7 +238,9 @@ def q_top10_category(spark, sf_dir):
 
 @register("top10_session")
 def q_top10_session(spark, sf_dir):
-    sc = _session_categories(spark, sf_dir)
+    # read twice (totals, then ranking): one row per filtered session, stored in place of the log's rows
+    rows = stored(_session_rows(spark, sf_dir).select("session_id", "categories"), "session_categories")
+    sc = categories.session_category_counts(rows)
     top = categories.top_categories(categories.category_totals(sc), P)
     return categories.top_sessions_from_counts(sc, top, P)
 
@@ -267,15 +273,28 @@ def q_page_convert_rate_packed(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ ads (batch)
-def _ad_tables(spark, sf_dir):
-    return ads.ad_tables(Tables(spark, sf_dir).ad_lines(), P)
+def _clicks(spark, sf_dir):
+    return ads.parse_ad_lines(Tables(spark, sf_dir).ad_lines())
+
+
+@register("ad_log_parse")
+def q_ad_log_parse(spark, sf_dir):
+    return _clicks(spark, sf_dir).select("ts_ms", "province", "city", "userid", "adid")
+
+
+@register("ad_user_click_count")
+def q_ad_user_click_count(spark, sf_dir):
+    return ads.user_click_count(_clicks(spark, sf_dir))
+
+
+@register("ad_blacklist")
+def q_ad_blacklist(spark, sf_dir):
+    return ads.blacklist(ads.user_click_count(_clicks(spark, sf_dir)), P)
 
 
-for _name in ("ad_log_parse", "ad_user_click_count", "ad_blacklist", "ad_clean_clicks", "ad_stat",
-              "ad_province_top3", "ad_click_trend"):
+for _name in ("ad_clean_clicks", "ad_stat", "ad_province_top3", "ad_click_trend"):
     def _q(spark, sf_dir, _name=_name):
-        t = _ad_tables(spark, sf_dir)[_name]
-        return t.select("ts_ms", "province", "city", "userid", "adid") if _name in ("ad_log_parse", "ad_clean_clicks") else t
+        return ads.ad_tables(Tables(spark, sf_dir).ad_lines(), P)[_name]
     _q.__name__ = f"q_{_name}"
     register(_name)(_q)
 

@@ -3,10 +3,10 @@
 Each job takes the bound inputs, a ``TaskParams`` and a result writer, builds
 its lazy plans from ``shoplens.operators`` and writes every result table.
 
-The session job reads the log once for all but the session detail: the cells of
-its sessions, the filtered sessions and their category counts are each written
-once as Parquet in the cluster's shared folder (``spark.checkpoint.dir``) and
-read by all their sinks. A lost executor does not force the log to be
+The session job reads the log once for all but the session detail: its filtered
+sessions, one row each with their category counts nested, are written once as
+Parquet in the cluster's shared folder (``spark.checkpoint.dir``) and read by all
+sinks. A lost executor does not force the log to be
 re-aggregated, no machine-local storage is involved, and the planner decides
 joins by the stored sizes.
 
@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import ads, area, categories, funnel, sampling, sessions
-from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
-from shoplens.sinks import write_result, write_task_result
+from shoplens.schemas import AD_LOG, CITY_INFO, PRODUCT_INFO, USER_INFO, USER_VISIT_ACTION, conform
+from shoplens.sinks import own_rows, replace_table, write_result, write_task_result
 from shoplens.sources.binding import TESTDATA_AREA_LEVELS, Tables
-from shoplens.spark import get_session, shared_dir, stored
+from shoplens.spark import get_session, stored
 from shoplens.streaming import ad_stream
 
 Writer = Callable[[DataFrame, str], None]
@@ -41,31 +41,34 @@ def path_writer(base: str, task_id: str | None = None) -> Writer:
     return lambda df, table: write_task_result(df, f"{base.rstrip('/')}/{table}", task_id=task_id)
 
 
-def table_writer(fmt: str, task_id: str, prefix: str = "", options: dict | None = None) -> Writer:
-    """Append each result to a JDBC table (``fmt='jdbc'``) or a catalog table (``fmt='table'``).
+def table_writer(fmt: str, task_id: str, prefix: str = "", options: dict | None = None, mode: str = "append") -> Writer:
+    """Write each result to a JDBC table (``fmt='jdbc'``) or a catalog table (``fmt='table'``).
 
-    An append is not idempotent: a rerun needs a task id of its own.
+    An append is not idempotent: a rerun needs a task id of its own. ``mode='replace'`` (catalog
+    tables only) puts the result in place of the whole table, by one switch.
     """
-    return lambda df, table: write_result(df.where(F.col("taskid") == task_id), prefix + table, "append", fmt, options)
+    if mode == "replace" and fmt != "table":
+        raise ValueError("only catalog tables can be replaced")
 
-
-def _reliable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    shared_dir(df.sparkSession)  # makes sure a checkpoint folder is configured
-    return df.checkpoint(eager=True)
+    def write(df: DataFrame, table: str) -> None:
+        own = own_rows(df, task_id)
+        if mode == "replace":
+            replace_table(own, prefix + table)
+        else:
+            write_result(own, prefix + table, "append", fmt, options)
+    return write
 
 
 def session_job(actions: DataFrame, users: DataFrame, p: TaskParams, write: Writer) -> None:
     """Profile -> filter -> statistics, sample, top categories and top sessions."""
-    cells = stored(categories.session_cells(sessions.actions_by_date(actions, p)), "session_cells")
-    profile = categories.profile_from_cells(cells)
-    filtered = stored(sessions.filter_sessions(sessions.session_full_info(profile, users), p), "filtered_sessions")
+    rows = categories.session_rows(sessions.actions_by_date(actions, p))
+    filtered = stored(sessions.filter_sessions(sessions.session_full_info(rows, users), p), "filtered_sessions")
     write(sessions.session_aggr_stat(filtered, p), "session_aggr_stat")
-    sample = sampling.random_extract(filtered, p)
+    sample = stored(sampling.random_extract(filtered, p), "sampled_sessions")
     write(sample, "session_random_extract")
     write(sampling.session_detail(sessions.actions_by_date(actions, p), sample, p), "session_detail")
-    sc = stored(categories.for_sessions(categories.session_category_counts(cells), filtered), "session_categories")
-    top = categories.top_categories(categories.category_totals(sc), p)
+    sc = categories.session_category_counts(filtered)
+    top = stored(categories.top_categories(categories.category_totals(sc), p), "top_categories")
     write(top, "top10_category")
     write(categories.top_sessions_from_counts(sc, top, p), "top10_session")
 
@@ -82,18 +85,18 @@ def area_job(actions: DataFrame, cities: DataFrame, products: DataFrame, p: Task
 
 
 def ad_batch_job(lines: DataFrame, p: TaskParams, write: Writer) -> None:
-    """T3-T8 in batch: parsed clicks, blacklist and statistics each feed several
-    results, so each is materialised once in the shared checkpoint folder."""
+    """T3-T8 in batch: parsed clicks, counts, blacklist and statistics each feed several
+    results, so each is stored once in the shared folder."""
     def out(df: DataFrame, name: str) -> None:
         write(df.withColumn("taskid", F.lit(p.task_id)), name)
 
     out(ads.rejected_lines(lines), "ad_rejected")
-    clicks = _reliable(ads.parse_ad_lines(lines))
-    counts = ads.user_click_count(clicks)
+    clicks = stored(ads.parse_ad_lines(lines), "ad_clicks")
+    counts = stored(ads.user_click_count(clicks), "ad_user_click_count")
     out(counts, "ad_user_click_count")
-    black = broadcast_if_small(_reliable(ads.blacklist(counts, p)))
-    out(black, "ad_blacklist")
-    stat = _reliable(ads.ad_stat(clicks, black))
+    black = ads.Listed.store(ads.blacklist(counts, p))
+    out(black.users, "ad_blacklist")
+    stat = stored(ads.ad_stat(clicks, black), "ad_stat")
     out(stat, "ad_stat")
     out(ads.province_top(stat, p), "ad_province_top3")
     out(ads.click_trend(clicks, p, black), "ad_click_trend")
@@ -122,6 +125,8 @@ def main(argv: list[str] | None = None) -> None:
                     help="read catalog tables user_visit_action, user_info, product_info, city_info, ad_log")
     ap.add_argument("--output", required=True, help="result folder (shared storage), or a prefix of the table names")
     ap.add_argument("--format", choices=["files", "jdbc", "table"], default="files")
+    ap.add_argument("--mode", choices=["append", "replace"], default="append",
+                    help="tables: add the rows, or put them in place of the table")
     ap.add_argument("--option", action="append", default=[], help="key=value of the JDBC writer: url, driver, user, ...")
     ap.add_argument("--params", default="{}", help="task parameters as JSON (reference keys)")
     ap.add_argument("--task-id", default="task")
@@ -154,11 +159,13 @@ def main(argv: list[str] | None = None) -> None:
     if a.format == "files":
         write = path_writer(a.output, a.task_id)
     else:
-        write = table_writer(a.format, a.task_id, a.output, dict(o.split("=", 1) for o in a.option))
+        write = table_writer(a.format, a.task_id, a.output, dict(o.split("=", 1) for o in a.option), a.mode)
     if a.catalog:
-        actions, users = spark.table("user_visit_action"), (lambda: spark.table("user_info"))
-        products, cities = (lambda: spark.table("product_info")), (lambda: spark.table("city_info"))
-        lines, levels = (lambda: spark.table("ad_log")), None
+        def table(name: str, schema) -> Callable[[], DataFrame]:
+            return lambda: conform(spark.table(name), schema, name)
+        actions = table("user_visit_action", USER_VISIT_ACTION)() if a.job != "ads" else None
+        users, products = table("user_info", USER_INFO), table("product_info", PRODUCT_INFO)
+        cities, lines, levels = table("city_info", CITY_INFO), table("ad_log", AD_LOG), None
     else:
         if not a.input:
             ap.error("--input or --catalog is required")

@@ -1,5 +1,7 @@
 """Input schemas of the analytics jobs (user actions, users, products, cities)."""
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ACTION_COLUMNS = [
@@ -49,10 +51,27 @@ CITY_INFO = T.StructType([
     T.StructField("area", T.StringType()),
 ])
 
-AD_CLICK = T.StructType([
-    T.StructField("ts_ms", T.LongType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-    T.StructField("userid", T.LongType()),
-    T.StructField("adid", T.LongType()),
-])
+# the ad log: one line of text per click, parsed by operators.ads
+AD_LOG = T.StructType([T.StructField("value", T.StringType())])
+
+_WIDTH = {T.ByteType(): 1, T.ShortType(): 2, T.IntegerType(): 4, T.LongType(): 8}
+
+
+def _fits(have: T.DataType, want: T.DataType) -> bool:
+    return have == want or (want in _WIDTH and _WIDTH.get(have, 9) < _WIDTH[want])
+
+
+def conform(df: DataFrame, schema: T.StructType, name: str, optional: tuple[str, ...] = ("event_id",)) -> DataFrame:
+    """The columns of ``schema`` (and the optional ones there are), or an error that names every wrong column.
+
+    Narrower whole numbers are widened. Only the columns are looked at, so filters and
+    column pruning still reach the reader, and other columns are not read.
+    """
+    have = {f.name: f.dataType for f in df.schema}
+    wrong = [f"no column {f.name}" if f.name not in have else
+             f"column {f.name} is {have[f.name].simpleString()} and not {f.dataType.simpleString()}"
+             for f in schema if f.name not in have or not _fits(have[f.name], f.dataType)]
+    if wrong:
+        raise ValueError(f"{name}: {'; '.join(wrong)}")
+    cast = [F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
+    return df.select(*cast, *[c for c in optional if c in have and c not in schema.fieldNames()])

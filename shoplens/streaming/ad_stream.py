@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens.operators import ads
-from shoplens.operators.common import broadcast_if_small
 from shoplens.params import TaskParams
 from shoplens.sources.binding import ad_lines_from_events, cities_from_nation_region, read_table
 
@@ -191,9 +190,8 @@ def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskPara
             batch.unpersist()
 
     def write_stats(clicks: DataFrame, batch_id: int) -> None:
-        # the stored list is counted from parquet metadata (duplicate ids do not
-        # change an anti-join); broadcast while small
-        black = broadcast_if_small(_read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA))
+        # duplicate ids do not change an anti-join
+        black = ads.Listed.of_stored(_read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA))
         _write_batch(ads.ad_stat(clicks, black), out_dir, STAT, batch_id, p.stream_output_files)
         _write_batch(ads.click_trend(clicks, p, black), out_dir, TREND, batch_id, p.stream_output_files)
 

@@ -33,6 +33,27 @@ def test_pairs_match_brute_force_across_slices(spark):
         assert got == brute_pairs(rows)
 
 
+def test_pairs_of_one_second_and_of_equal_rows(spark):
+    """One session and second hold all actions: they are spread over the ranges, and the pairs are exact."""
+    rnd = random.Random(5)
+    rows = [dict(session_id="hot", page_id=rnd.randrange(6), action_time=at(9), event_id=i, _t=9) for i in range(3000)]
+    rows += [dict(session_id=s, page_id=1, action_time=at(3), event_id=0, _t=3) for s in ("a", "a", "z", None, None)]
+    df = actions_df(spark, [{k: v for k, v in r.items() if k != "_t"} for r in rows])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")   # the rows are few
+    try:
+        pairs = FN.page_pairs(df, P)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert Counter(tuple(r) for r in pairs.collect()) == brute_pairs(rows)
+    stored = spark.read.parquet(*pairs.inputFiles())
+    sizes = [r["count"] for r in stored.groupBy((stored["at"] / (1 << 33)).cast("long")).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 0.6 * len(rows)
+    assert FN.page_pairs(df.limit(0), P).count() == 0
+    # without an event id equal times are ordered by page
+    same = FN.page_pairs(df.where("session_id = 'hot'").drop("event_id"), P).where("from_page > to_page").count()
+    assert same == 0
+
+
 def test_convert_rate_missing_pair_and_single_action(spark):
     rows = [
         dict(session_id="a", page_id=1, action_time=at(0)), dict(session_id="a", page_id=2, action_time=at(1)),

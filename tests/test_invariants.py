@@ -52,8 +52,8 @@ def test_funnel_counts_bounded_by_pairs(spark):
 
 def test_top_sessions_ranks_have_no_gaps(spark):
     t = Tables(spark, SF)
-    fs = S.filtered_sessions(t.actions(), t.users(), P)
-    sc = C.for_sessions(C.session_category_counts(C.session_cells(S.actions_by_date(t.actions(), P))), fs)
+    rows = S.session_full_info(C.session_rows(S.actions_by_date(t.actions(), P)), t.users())
+    sc = C.session_category_counts(S.filter_sessions(rows, P))
     top = C.top_categories(C.category_totals(sc), P)
     ts = C.top_sessions_from_counts(sc, top, P)
     per_cat = {r.categoryid: r["count"] for r in ts.groupBy("categoryid").count().collect()}

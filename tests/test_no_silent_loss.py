@@ -30,11 +30,15 @@ def test_floor_extract_compares_rows(spark):
 def test_empty_rerun_clears_its_task(spark, tmp_dir):
     one = spark.createDataFrame([("a", 1), ("b", 2)], "taskid string, v int")
     for task in "ab":
-        write_task_result(one, f"{tmp_dir}/t", task_id=task)
+        write_task_result(one.where(one.taskid == task), f"{tmp_dir}/t", task_id=task)
     write_task_result(one.limit(0), f"{tmp_dir}/t", task_id="a")
     assert [(r["taskid"], r["v"]) for r in spark.read.parquet(f"{tmp_dir}/t").collect()] == [("b", 2)]
     with pytest.raises(ValueError):
         write_task_result(one, f"{tmp_dir}/t", task_id="../x")
+    with pytest.raises(Exception, match="another task"):
+        write_task_result(one, f"{tmp_dir}/u", task_id="a")
+    with pytest.raises(Exception, match="another task"):
+        write_task_result(spark.createDataFrame([(None, 1)], "taskid string, v int"), f"{tmp_dir}/v", task_id="a")
 
 
 def test_bad_lines_are_kept_apart_and_spaced_names_survive(spark, tmp_dir):
@@ -53,14 +57,19 @@ def test_bad_lines_are_kept_apart_and_spaced_names_survive(spark, tmp_dir):
 def test_hot_blacklisted_user_is_reduced_before_the_join(spark):
     rows = [(f"{i * 1000} p c {7 if i % 10 else i} {i % 3}",) for i in range(3000)]
     lines = spark.createDataFrame(rows, "value string").repartition(4)
-    tables = ads.ad_tables(lines, TaskParams(blacklist_threshold=50))
-    clean = tables["ad_clean_clicks"]
-    for name, fn in (("ad_stat", ads.ad_stat), ("ad_click_trend", ads.click_trend)):
-        assert sorted(tables[name].collect()) == sorted(fn(clean).collect())
-        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
-        join = plan.index("LeftAnti")
-        assert "Aggregate [userid" in plan[join:]
-    assert {r["userid"] for r in tables["ad_blacklist"].collect()} == {7}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for most in (0, 10):    # a list too long to broadcast, and a short one
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if most == 0 else threshold)
+        tables = ads.ad_tables(lines, TaskParams(blacklist_threshold=50), max_listed=most)
+        clean = tables["ad_clean_clicks"]
+        assert clean.where("userid = 7").count() == 0 and clean.count() == 300
+        for name, fn in (("ad_stat", ads.ad_stat), ("ad_click_trend", ads.click_trend)):
+            assert sorted(tables[name].collect()) == sorted(fn(clean).collect())
+            plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+            join = plan.index("LeftAnti")
+            assert ("Aggregate [userid" in plan[join:]) == (most == 0)
+        assert {r["userid"] for r in tables["ad_blacklist"].collect()} == {7}
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == threshold
 
 
 def test_unreadable_blacklist_is_an_error(spark, tmp_dir):

@@ -7,9 +7,9 @@ from shoplens.params import TaskParams
 
 
 def sessions_df(spark, starts):
-    rows = [(f"s{i}", t, "", "") for i, t in enumerate(starts)]
-    return spark.createDataFrame(rows, "session_id string, start_time string, search_keywords string, "
-                                       "click_category_ids string")
+    rows = [(f"s{i}", t, [], []) for i, t in enumerate(starts)]
+    return spark.createDataFrame(rows, "session_id string, start_time string, search_keyword_list array<string>, "
+                                       "click_category_list array<bigint>")
 
 
 def one_day(spark):
@@ -66,21 +66,29 @@ def test_session_detail(spark):
     assert len(d) == 2 and {r.sessionid for r in d} == {"s1"}
 
 
-def test_lean_extract_equals_full_profile_extract(spark):
-    from shoplens.operators import sessions as S
+def test_extract_scans_once_and_shuffles_sessions_once(spark):
+    from shoplens.plans import catalog
     from shoplens.plans.defaults import QUERY_PARAMS as QP
-    from shoplens.sources.binding import Tables
-    t = Tables(spark, "/root/testdata/sf0.01")
-    p = QP.with_(allocation="largest_remainder")
-    acts = S.actions_by_date(t.actions(), p)
-    fs = S.filtered_sessions(t.actions(), t.users(), p)
-    lean = SM.random_extract(fs, p, acts)
-    full = SM.random_extract(fs, p)
-    assert sorted(lean.collect()) == sorted(full.collect())
-    plan = lean._jdf.queryExecution().executedPlan().toString()
-    # the profile of all sessions carries no keyword / category sets
-    full_profile = [ln for ln in plan.splitlines() if "partial_min(user_id" in ln]
-    assert full_profile and not any("collect_set" in ln for ln in full_profile)
+    sf, p = "/root/testdata/sf0.01", QP.with_(allocation="largest_remainder")
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        rows = catalog._filtered(spark, sf, p).select(*SM.SAMPLED_COLUMNS)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("events.parquet") == 1 and plan.count("Exchange hashpartitioning(session_id") == 1
+        drawn = catalog._extract(spark, sf, p)
+        files = drawn.inputFiles()
+        assert files and all("sampled_sessions" in f for f in files)
+        # the lists are put together after the draw
+        plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("array_join(search_keyword_list") < plan.index("LeftSemi")
+        assert "Exchange hashpartitioning(session_id" not in drawn._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert drawn.count() == 100
 
 
 def test_salted_two_level_draw_is_exact(spark):

@@ -40,3 +40,68 @@ def test_jdbc_sink_derby(spark):
         raise
     back = spark.read.format("jdbc").options(dbtable="RESULTS", **opts).load()
     assert back.count() == 3
+
+
+def test_table_is_replaced_by_one_switch(spark):
+    from shoplens.sinks import replace_table
+    name = "shoplens_replaced"
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "id long, s string")
+    replace_table(one, name)
+    reader = spark.table(name)          # a reader planned before the switch
+    replace_table(one.where("id = 2"), name)
+    assert sorted(r.id for r in reader.collect()) == [1, 2] and [r.id for r in spark.table(name).collect()] == [2]
+    with pytest.raises(ValueError, match=r"\bs\b"):     # another schema changes nothing
+        replace_table(one.selectExpr("id", "id AS s"), name)
+    broken = one.selectExpr("id", "if(id = 2, raise_error('broken'), s) AS s")
+    with pytest.raises(Exception, match="broken"):
+        replace_table(broken, name)
+    assert [r.id for r in spark.table(name).collect()] == [2]
+    replace_table(one.limit(0), name)
+    assert spark.table(name).count() == 0
+    with pytest.raises(ValueError):
+        replace_table(one, "x; DROP TABLE y")
+
+
+def test_jobs_replace_their_tables(spark):
+    from shoplens.plans import jobs
+    args = ["page", "--input", "/root/testdata/sf0.001", "--format", "table", "--mode", "replace", "--output", "shoplens_rep_",
+            "--params", '{"startDate": "2024-01-01", "endDate": "2024-12-31", "targetPageFlow": "1,2,3"}']
+    for task in ("one", "two"):
+        jobs.main([*args, "--task-id", task])
+    assert [r.taskid for r in spark.table("shoplens_rep_page_split_convert_rate").collect()] == ["two"]
+    with pytest.raises(ValueError):
+        jobs.table_writer("jdbc", "t", mode="replace")
+
+
+def test_wrong_input_tables_are_named(spark):
+    from shoplens import schemas as S
+    good = spark.createDataFrame([(1, "p", "{}")], "product_id int, product_name string, extend_info string")
+    assert S.conform(good.withColumn("extra", good.product_id), S.PRODUCT_INFO, "product_info").dtypes == [
+        ("product_id", "bigint"), ("product_name", "string"), ("extend_info", "string")]
+    with pytest.raises(ValueError, match="product_info: no column extend_info"):
+        S.conform(good.drop("extend_info"), S.PRODUCT_INFO, "product_info")
+    with pytest.raises(ValueError, match="column product_id is string and not bigint"):
+        S.conform(good.withColumn("product_id", good.product_name), S.PRODUCT_INFO, "product_info")
+
+
+def test_catalog_input_is_checked_and_its_partitions_pruned(spark, tmp_dir):
+    from helpers import actions_df
+    from shoplens import schemas as S
+    from shoplens.operators import sessions
+    from shoplens.params import TaskParams
+    from shoplens.plans import jobs
+    rows = actions_df(spark, [dict(session_id=str(d), date=f"2019-06-{d:02d}", user_id=1) for d in range(10, 20)])
+    rows.write.mode("overwrite").partitionBy("date").saveAsTable("user_visit_action")
+    try:
+        acts = S.conform(spark.table("user_visit_action"), S.USER_VISIT_ACTION, "user_visit_action")
+        assert acts.columns[-1] == "event_id"
+        some = sessions.actions_by_date(acts, TaskParams(start_date="2019-06-12", end_date="2019-06-13"))
+        assert some.count() == 2
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(date" in plan and "date#" in plan.split("PartitionFilters: ")[1][:120]
+        spark.sql("DROP TABLE user_visit_action")
+        rows.drop("page_id").write.mode("overwrite").saveAsTable("user_visit_action")
+        with pytest.raises(ValueError, match="no column page_id"):
+            jobs.main(["page", "--catalog", "--output", f"{tmp_dir}/o", "--params", '{"startDate": "2019-06-10", "endDate": "2019-06-12"}'])
+    finally:
+        spark.sql("DROP TABLE IF EXISTS user_visit_action")
