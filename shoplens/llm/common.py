@@ -33,6 +33,11 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(-1))
 
 
+def named(columns: list[str]) -> list[Column]:
+    """Columns by their whole names, whatever signs these hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """Write to a new folder of the shared storage and read it back: cuts the lineage, survives lost executors."""
     path = shared_dir(df.sparkSession, tag)
@@ -47,7 +52,7 @@ def numbered(rows: DataFrame, order: list[Column], tag: str) -> DataFrame:
     position inside the range. Only one count for each range goes through a single task.
     """
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged = stored(ranged.select(F.struct(*rows.columns).alias("row"), F.monotonically_increasing_id().alias("at")), tag)
+    ranged = stored(ranged.select(F.struct(*named(rows.columns)).alias("row"), F.monotonically_increasing_id().alias("at")), tag)
     part, inside = F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("n"))

@@ -29,10 +29,15 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import bounded_sample, broadcast, fit_in_task, remainder, texts, utf8
 
 ORDERS = (1, 2, 3, 4)
-LETTER = re.compile(r"[^\W\d_]")
+#: Letters and, beside them, numbers that are no decimal digits.
+_LETTERLIKE = re.compile(r"[^\W\d_]")
 UND = "und"
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _LETTERLIKE.finditer(text))
+
+
 @dataclass
 class Model:
     languages: list[str] = field(default_factory=list)
@@ -80,7 +85,7 @@ def segments(text: str, cut: int) -> list[str]:
 def fit(rows: list[dict], bits: int = 16, size: int = 16, epochs: int = 6, rate: float = 0.5, seed: int = 7,
         segment_chars: int = 400, max_error: float = 0.02) -> Model:
     """Train on (text, lang) rows."""
-    rows = [r for r in rows if r["lang"] is not None and r["text"] and LETTER.search(r["text"])]
+    rows = [r for r in rows if r["lang"] is not None and r["text"] and has_letter(r["text"])]
     languages = sorted({r["lang"] for r in rows})
     if not languages:
         return Model()
@@ -92,7 +97,7 @@ def fit(rows: list[dict], bits: int = 16, size: int = 16, epochs: int = 6, rate:
         # a segment for every part of the text, in lengths from a few words to all of it
         cut = int(rng.choice([30, 100, segment_chars, len(t)]))
         for segment in segments(t, cut):
-            if LETTER.search(segment):
+            if has_letter(segment):
                 data.append((*buckets(segment, bits), known[r["lang"]], part))
     train = [d for d in data if not d[3]] or data
     check = [d for d in data if d[3]] or data
@@ -167,7 +172,7 @@ def predict(documents: DataFrame, model: Model, modulus: int = 5, held: int = 0)
         for b in batches:
             lang, score = [], []
             for t in texts(b):
-                if t and m.languages and LETTER.search(t):
+                if t and m.languages and has_letter(t):
                     p = softmax((logits(m, t) / m.temperature)[None])[0]
                     k = int(p.argmax())
                     lang.append(m.languages[k])

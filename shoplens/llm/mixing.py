@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import numbered, stored
+from shoplens.llm.common import named, numbered, stored
 
 WORD = "[^\\x20\\x09-\\x0D]++"
 
@@ -38,7 +38,7 @@ def _measured(documents: DataFrame, keep: list[str], seed: int) -> DataFrame:
     mark = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
                     F.md5(text.cast("binary")))
     draw = F.conv(F.substring(F.md5(mark.cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
-    return documents.select(F.struct(*keep).alias("kept"), F.col("source").cast("string").alias("source"),
+    return documents.select(F.struct(*named(keep)).alias("kept"), F.col("source").cast("string").alias("source"),
                             F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"), draw.alias("draw")) \
         .withColumn("size", F.coalesce("size", F.lit(0).cast("long")))
 

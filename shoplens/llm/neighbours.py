@@ -13,8 +13,8 @@ size is fixed by that parameter) and met with all candidates in one pass.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, neither do rows without vec_id; vectors of another
-length than the query's are no candidates; repeated vec_ids are candidates each;
-ties go to the smaller vec_id; fewer than k candidates give fewer rows.
+length than the query's are no candidates; repeated vec_ids are candidates each, and
+one query, that of the smallest vector in array order; ties go to the smaller vec_id; fewer than k candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -99,7 +99,7 @@ def search(embeddings: DataFrame, k: int = 10, every: int = 100, query_block: in
     """(query_id, rank, vec_id, score): each query's k nearest; queries are the ids divisible by ``every``."""
     spark = embeddings.sparkSession
     rows = usable(embeddings)
-    chosen = rows.filter(F.col("vec_id") % every == 0)
+    chosen = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
     n = 1 + chosen.count() // query_block
     parts = []
     for part in range(n):

@@ -6,16 +6,19 @@ best-fit decreasing, and dual-feasible functions give a lower bound of the bins
 that any packing of its pieces needs. Where the bin count equals the bound the
 partition is certified: its bins are final, but for those with room that another
 partition could use. Partitions with a gap, and the open bins of all others, give
-their pieces back; these are dealt anew and repacked in the next round, in fewer
-partitions, until one round is left, which is final for all.
+their pieces back; these are dealt anew and repacked in the next round, as long as
+that lowers the number of bins. After that each partition gives back its emptiest bins
+alone, one and as many as its gap, so that every round has fewer partitions, down to one.
+At most ``rounds`` rounds are made; the gaps that are left stay in the result.
 
 A tokenizer encodes whole texts. White space separates the tokenizer's words, so
 each white-space separated string is encoded once per worker and remembered (at
 most two generations of ``CACHE_STRINGS`` strings) and new strings are encoded together.
 
 Defined results: a null or empty text is its end id alone; repeated rows are
-packed as documents of their own; pieces of equal length are placed in the order
-of (doc_id, piece); an empty table gives no rows.
+packed as documents of their own, dealt out by a number of the row and not by the id;
+pieces of equal length are placed in the order of (doc_id, piece, row); an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +42,14 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Text -> little-endian 32-bit ids. Strings between ASCII white space are encoded independently of each other."""
+    """Text -> little-endian 32-bit ids. Strings between ASCII white space are encoded independently of each other.
+
+    Where the tokenizer reads ASCII capitals as small letters, a run of letters as one word, and a sign behind it by
+    itself (all tried out when it is loaded), strings are remembered in small letters, runs of small ASCII letters go to
+    its model directly, and a run with one sign is put together from the two. A tokenizer for which white space does not part
+    strings is refused.
+    """
+    SIGNS = b".,;:!?"
 
     def __init__(self, file: str):
         from tokenizers import Tokenizer
@@ -45,36 +57,77 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        tried = ["word", "Ab", "x,", "12", "it's", "é", "...", "Q1."]
+        for x in tried:
+            for y in tried:
+                if any(ids(x + blank + y) != ids(x) + ids(y) for blank in (" ", "\n", " \t ")):
+                    raise ValueError(f"{file}: white space does not part strings, so whole texts are needed")
+        self.small = all(ids(c) == ids(c.lower()) and ids(f"a{c}é") == ids(f"a{c.lower()}é") for c in map(chr, range(65, 91)))
+        words = ["word", "a", "é", "ßu", "ñoño", "strasse"]
+        self.apart = all(ids(w + chr(c)) == ids(w) + ids(chr(c)) for w in words for c in self.SIGNS)
+        self.plain = all(self._of_letters(w) == np.array(ids(w), "<u4").tobytes() for w in words if w.isascii())
+
+    def _of_letters(self, word: str) -> bytes:
+        """Ids of a run of small letters, which the tokenizer neither changes nor parts: the model alone."""
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(word)])
 
-    def prepare(self, split: list[list[bytes]]) -> None:
-        """Encode the strings not known yet as one text; tokens belong to the string that their offset lies in."""
-        words: set[bytes] = set()
-        words.update(*split)
+    def _learn(self, words: set[bytes]) -> None:
+        """Put strings into ``known``: runs of small letters one by one, the others as one text, whose tokens belong to
+        the string that their offset lies in."""
         if len(self.known) + len(words) > CACHE_STRINGS:      # strings met again since the last change stay
             self.known, self.older = {}, self.known
-        new, older, known = [], self.older, self.known
+        known, older, signs = self.known, self.older, self.SIGNS if self.apart else b""
+        mixed, letters, signed = set(), set(), []
         for w in words:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    new.append(w)
-        if not new:
-            return
-        strings = [w.decode("utf-8", "replace") for w in new]
-        got = self.tokenizer.encode(" ".join(strings), add_special_tokens=False)
-        starts = np.array([o[0] for o in got.offsets], "i8")
-        cuts = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in strings])).tolist()
-        ids = np.array(got.ids, "<u4").tobytes()
-        self.known.update((w, ids[4 * a:4 * z]) for w, a, z in zip(new, [0, *cuts], cuts))
+            ids = older.get(w)
+            if ids is not None:
+                known[w] = ids
+                continue
+            if len(w) > 1 and w[-1] in signs and _is_letters(w[:-1]):
+                signed.append(w)
+                if w[-1:] not in known:
+                    mixed.add(w[-1:])
+                w = w[:-1]
+                if w in known:
+                    continue
+            (letters if self.plain and w.isalpha() and w.islower() else mixed).add(w)
+        for w in letters:
+            known[w] = older.get(w) or self._of_letters(w.decode())
+        if mixed:
+            strings = [w.decode("utf-8", "replace") for w in mixed]
+            got = self.tokenizer.encode(" ".join(strings), add_special_tokens=False)
+            starts = np.array([o[0] for o in got.offsets], "i8")
+            cuts = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in strings])).tolist()
+            ids = np.array(got.ids, "<u4").tobytes()
+            known.update((w, ids[4 * a:4 * z]) for w, a, z in zip(mixed, [0, *cuts], cuts))
+        for w in signed:
+            known[w] = known[w[:-1]] + known[w[-1:]]
 
     def encode(self, batch: list[str | None]) -> Iterator[bytes]:
         for lo in range(0, len(batch), 64):
-            split = [utf8(t or "").split() for t in batch[lo:lo + 64]]
-            self.prepare(split)
-            known = self.known
-            for s in split:
-                yield b"".join([known[w] for w in s])
+            raw = [utf8(t or "") for t in batch[lo:lo + 64]]
+            split = [(t.lower() if self.small else t).split() for t in raw]
+            found = [list(map(self.known.get, s)) for s in split]
+            # nothing, or no ids at all
+            gaps = [list(compress(range(len(s)), map(not_, f))) for s, f in zip(split, found)]
+            missing = {s[i] for s, g in zip(split, gaps) for i in g}
+            missing = missing.difference(self.known)
+            if missing:
+                before = self.known
+                self._learn(missing)
+                get = self.known.get if self.known is before else lambda w, b=before: self.known.get(w, b.get(w))
+            else:
+                get = self.known.get
+            for s, f, g in zip(split, found, gaps):
+                for i in g:
+                    f[i] = get(s[i])
+                yield b"".join(f)
+
+
+def _is_letters(word: bytes) -> bool:
+    """Nothing but letters, also in small letters (some capitals become a letter and a mark)."""
+    return word.isalpha() if word.isascii() else word.decode("utf-8", "replace").lower().isalpha()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -154,39 +207,51 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _packer(capacity: int, last: bool, useful_room: int) -> Callable[[pa.Table], pa.Table]:
+def _packer(capacity: int, useful_room: int) -> Callable[[pa.Table], pa.Table]:
     def pack(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "ids_crc32")])
+        rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "start", "ids_crc32", "row")])
         lengths = rows.column("length").to_numpy()
         bins, offsets, fill = best_fit_decreasing(lengths, capacity)
         gap = len(fill) - lower_bound(lengths, capacity)
-        again = (capacity - fill) >= useful_room if gap <= 0 else fill < capacity
-        final = np.ones(len(bins), bool) if last else ~again[bins]
-        for name, values in (("bin", bins), ("offset", offsets), ("gap", np.full(len(bins), gap, "i8")), ("final", final)):
+        room = capacity - fill
+        useful = room > 0 if gap > 0 else room >= useful_room
+        # of a certified partition less than one bin is lost by rounding up, of others by the gap more
+        few = np.zeros(len(fill), bool)
+        few[np.argsort(fill, kind="stable")[:gap + 1]] = True
+        for name, values in (("bin", bins), ("offset", offsets), ("gap", np.full(len(bins), gap, "i8")),
+                             ("wide", useful[bins]), ("narrow", (useful & few)[bins])):
             rows = rows.append_column(name, pa.array(values))
         return rows
     return pack
 
 
 def pack(documents: DataFrame, capacity: int = 2048, tokenizer: str = "word_bpe_49k.json", end_id: int = 0,
-         partition_rows: int = 50_000, rounds: int = 3) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document."""
-    rest = stored(pieces(documents, capacity, tokenizer, end_id), "packing")
-    out = None
+         partition_rows: int = 50_000, rounds: int = 16) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset, gap) of every piece of every document.
+
+    ``gap``: by how many bins the piece's partition exceeds its lower bound.
+    """
+    first = pieces(documents, capacity, tokenizer, end_id).withColumn("row", F.monotonically_increasing_id())
+    rest = stored(first, "packing")
+    n, out, before, way = rest.count(), None, None, "wide"
     for r in range(rounds):
-        n = rest.count()
         parts = 1 + n // partition_rows
-        last = r == rounds - 1 or (r > 0 and parts == 1)
-        key = F.pmod(F.xxhash64("doc_id", "piece", F.lit(r)), F.lit(parts)).alias("part")
-        packed = rest.select("doc_id", "piece", "start", "length", "ids_crc32", key).groupBy("part").applyInArrow(
-            _packer(capacity, last, capacity // 64),
-            PIECE + ", part long, bin long, offset long, gap long, final boolean")
+        key = F.pmod(F.xxhash64("row", F.lit(r)), F.lit(parts)).alias("part")
+        packed = rest.select("doc_id", "piece", "start", "length", "ids_crc32", "row", key).groupBy("part").applyInArrow(
+            _packer(capacity, capacity // 64),
+            PIECE + ", row long, part long, bin long, offset long, gap long, wide boolean, narrow boolean")
         packed = stored(packed, "packing")
-        done = packed.filter("final").select(
+        head = F.col("offset") == 0
+        size = packed.agg(F.count_if(head).alias("bins"), *[F.count_if(c).alias(c) for c in ("wide", "narrow")],
+                          *[F.count_if(F.col(c) & head).alias(f"{c}_bins") for c in ("wide", "narrow")]).first()
+        if before is not None and size["bins"] >= before:       # dealing all bins with room again gains no more
+            way = "narrow"
+        last = r == rounds - 1 or parts == 1 or not size[way] or (way == "narrow" and size[way] == n)
+        done = (packed if last else packed.filter(~F.col(way))).select(
             "doc_id", "piece", "start", "length", "ids_crc32",
-            (F.lit(r) * F.lit(1 << 56) + F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset")
+            (F.lit(r) * F.lit(1 << 56) + F.col("part") * F.lit(1 << 24) + F.col("bin")).alias("sequence_id"), "offset", "gap")
         out = done if out is None else out.unionByName(done)
         if last:
             break
-        rest = packed.filter(~F.col("final"))
+        rest, n, before = packed.filter(F.col(way)), size[way], size[f"{way}_bins"]
     return out

@@ -14,8 +14,10 @@ Regular expressions are written with possessive repeats that start at the
 beginning of a run, so very long texts are read in linear time and without deep
 recursion; what they match is what the plain patterns match.
 
-Places are code points. U+0001 in a text is read as U+0002 (same length) because
-it marks the matches. Defined results: null and empty texts have no spans;
+Places are code points. Matches are marked by U+0001, in a text that holds that
+character by U+0002 around more of them in a row than the text has, so every text is
+read and, but for its spans, kept as it is. Spans are placed block by block, so that
+the work grows with the text and not with the square of its matches. Defined results: null and empty texts have no spans;
 repeated rows give repeated results; a table without candidates adds nothing.
 """
 
@@ -26,9 +28,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored
+from shoplens.llm.common import named, stored
 
 LOCAL, LABEL = "A-Za-z0-9._%+-", "A-Za-z0-9-"
+BLOCK = 256      # matches placed together
 
 
 @dataclass(frozen=True)
@@ -85,8 +88,13 @@ def _q(pattern: str) -> str:
 def parts(text: Column, pattern: str, needs: str) -> Column:
     """[outside, match, outside, match, ..., outside] of all non-overlapping matches, left to right."""
     marked = F.regexp_replace(text, F.lit(pattern), F.lit("\u0001$0\u0001"))
+    # where the text holds the mark: longer than any run of it, with borders, so it can't be met or met shifted
+    runs = F.array_max(F.transform(F.split(text, "[^\u0001]+"), F.length))
+    mark = F.concat(F.lit("\u0002"), F.repeat(F.lit("\u0001"), runs + 1), F.lit("\u0002"))
+    other = F.regexp_replace(text, F.lit(pattern), F.concat(mark, F.lit("$0"), mark))
     found = F.contains(text, F.lit(needs)) if needs == "@" else text.rlike(needs)
-    return F.when(found, F.split(marked, "\u0001")).otherwise(F.array(text))
+    return F.when(~found, F.array(text)).when(F.contains(text, F.lit("\u0001")), F.split(other, mark)) \
+        .otherwise(F.split(marked, "\u0001"))
 
 
 def votes(kind: Kind, loose: bool, m: str, left: str, right: str) -> str:
@@ -101,20 +109,24 @@ def _spans(kind: Kind, loose: bool, column: str) -> Column:
     """array<struct<begin, stop, votes>> of a parts column."""
     m, left, right = (f"element_at({column}, 2 * k + {d})" for d in (2, 1, 3))
     valid = "true" if loose else kind.valid.format(m=m)
-    places = f"""if(size({column}) < 3, cast(array() as array<struct<k:int,begin:bigint,stop:bigint>>),
-        aggregate(sequence(0, cast((size({column}) - 1) div 2 - 1 as int)),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<k:int,begin:bigint,stop:bigint>>)),
-        (a, k) -> named_struct('at', a.at + length({left}) + length({m}), 'out', array_append(a.out,
-            named_struct('k', k, 'begin', a.at + length({left}), 'stop', a.at + length({left}) + length({m})))),
-        a -> a.out))"""
+    none = "cast(array() as array<struct<k:int,begin:bigint,stop:bigint>>)"
+    count = f"((size({column}) - 1) div 2)"
+    # the text's length before each block of matches, then the valid matches of each block
+    blocks = f"""aggregate(sequence(0, cast({count} - 1 as int), {BLOCK}), named_struct('at', 0L, 'out', cast(array() as array<bigint>)),
+        (a, b) -> named_struct('at', a.at + aggregate(slice({column}, 2 * b + 1, {2 * BLOCK}), 0L, (n, x) -> n + length(x)),
+                               'out', array_append(a.out, a.at)), a -> a.out)"""
+    places = f"""if(size({column}) < 3, {none}, flatten(transform({blocks}, (start, b) -> aggregate(
+        sequence(b * {BLOCK}, cast(least((b + 1) * {BLOCK}, {count}) - 1 as int)), named_struct('at', start, 'out', {none}),
+        (a, k) -> named_struct('at', a.at + length({left}) + length({m}), 'out', if({valid}, array_append(a.out,
+            named_struct('k', k, 'begin', a.at + length({left}), 'stop', a.at + length({left}) + length({m}))), a.out)),
+        a -> a.out))))"""
     m_, l_, r_ = (x.replace("* k", "* s.k") for x in (m, left, right))
-    return F.expr(f"""transform(filter({places}, s -> {valid.replace('* k', '* s.k')}),
-        s -> named_struct('begin', s.begin, 'stop', s.stop, 'votes', {votes(kind, loose, m_, l_, r_)}))""")
+    return F.expr(f"""transform({places}, s -> named_struct('begin', s.begin, 'stop', s.stop, 'votes', {votes(kind, loose, m_, l_, r_)}))""")
 
 
 def candidates(documents: DataFrame) -> DataFrame:
     """(doc_id, base_<kind>, loose_<kind>): arrays of spans with their votes, one pass over the whole texts."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), "\u0001", "\u0002")
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("__text"))
     rows = rows.select("doc_id", *[parts(F.col("__text"), k.pattern, k.needs).alias(f"base_{k.name}") for k in KINDS],
                        *[parts(F.col("__text"), k.loose, k.loose_needs).alias(f"loose_{k.name}") for k in KINDS])
@@ -209,20 +221,21 @@ def redact(documents: DataFrame, threshold: float = 0.5) -> DataFrame:
     Kinds are replaced in the listed order, base forms first, each over the text that the one before left.
     """
     weights = fit(stored(candidates(documents), "pii"))
-    columns = documents.columns
-    text = F.coalesce(F.col("__text"), F.lit(""))
-    rows = documents.withColumn("__text", F.translate("text", "\u0001", "\u0002"))
+    text = F.coalesce(F.col("value"), F.lit(""))
+    # the row is kept whole beside the text, so no column's name matters
+    rows = documents.select(F.struct(*named(documents.columns)).alias("row"), F.col("text").alias("value"))
     for loose in (False, True):
         for k in KINDS:
-            m, left, right = "x", "element_at(__parts, i)", "element_at(__parts, i + 2)"
+            m, left, right = "x", "element_at(parts, i)", "element_at(parts, i + 2)"
             keep = (accepted(weights, k, votes(k, True, m, left, right), threshold) if loose else k.valid.format(m=m))
             if keep == "false":
                 continue
-            rows = rows.withColumn("__parts", parts(text, k.loose if loose else k.pattern, k.loose_needs if loose else k.needs))
-            rows = rows.withColumn("__text", F.expr(
-                f"if(size(__parts) < 3, __text, array_join(transform(__parts, (x, i) -> if(i % 2 = 1, if({keep}, '<{k.name.upper()}>', x), x)), ''))"))
-    rows = rows.withColumn("text", F.when(F.col("text").isNotNull(), F.col("__text")))
+            rows = rows.withColumn("parts", parts(text, k.loose if loose else k.pattern, k.loose_needs if loose else k.needs))
+            rows = rows.withColumn("value", F.expr(
+                f"if(size(parts) < 3, value, array_join(transform(parts, (x, i) -> if(i % 2 = 1, if({keep}, '<{k.name.upper()}>', x), x)), ''))"))
+    columns = {c: F.col("row").getField(c) for c in documents.columns}
     if "n_chars" in columns:
         kind = documents.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
-    return rows.select(*columns)
+        columns["n_chars"] = F.coalesce(F.length("value").cast(kind), columns["n_chars"])
+    columns["text"] = F.col("value")
+    return rows.select(*[column.alias(c) for c, column in columns.items()])

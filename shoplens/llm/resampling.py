@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import WORD_TABLE, broadcast, numbered, stored, texts, utf8, words_of
+from shoplens.llm.common import WORD_TABLE, broadcast, named, numbered, stored, texts, utf8, words_of
 
 #: No more than this many lines can each make up this share of all lines.
 HOT_LINES = 10_000
@@ -164,7 +164,7 @@ def _corpus(documents: DataFrame, longest: int, buckets: int, tag: str) -> tuple
 def weigh(documents: DataFrame, target: DataFrame, keep: list[str], longest: int = 1, buckets: int = 10_000) -> DataFrame:
     """(row, kept, doc_id, words, n_features, weight) of every document; ``kept`` holds the columns ``keep``."""
     rows = documents.select(
-        F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.monotonically_increasing_id().alias("row"), F.struct(*named(keep)).alias("kept"), F.col("doc_id").cast("long").alias("doc_id"),
         F.transform(F.filter(_lines("text"), lambda x: x != ""), _digest).alias("lines"),
         *([F.col("text")] if longest > 1 else []))
     rows = stored(rows, "resampling")

@@ -5,7 +5,9 @@ accents) and digit substitutions to letters, one character for one, so places in
 the folded text are places in the text. The lexicon holds word stems; a match
 begins at a word's start, the longest stem counts, and a match inside an
 exception phrase does not count. The sum of the weights is normalised by the
-text's length and calibrated to a probability.
+text's length and calibrated to a probability. Stems have 4 to 10 characters (a longer word
+is met by its first ten), shorter entries are whole words, and an exception phrase is two
+words of any length with one blank between, up to the second's end.
 
 Stems, weights, exception phrases and calibration are learned from a bounded
 sample of labelled documents (``max_training_rows``), without their copies.
@@ -18,6 +20,7 @@ one class only) nothing matches and every score is 0.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -37,6 +40,7 @@ HOMOGLYPHS = dict(zip("авекмнорстухіјѕԁҽαβεικνορτυχ
 #: Digits and signs written in place of letters.
 SUBSTITUTIONS = dict(zip("013457@$", "oieastas", strict=True))
 STEM_LENGTHS = range(4, 11)      # entries shorter than that are whole words
+_TWO_WORDS = re.compile(r"[^ ]+ [^ ]+")
 
 
 class _Fold(dict):
@@ -67,21 +71,39 @@ class Lexicon:
     calibration: tuple[float, float, float] = (0.0, 0.0, -40.0)
 
     def automaton(self):
+        """Entries are (length, weight, fallback): an exception phrase that does not end at a word's end falls back to
+        the longest stem that it begins with."""
         auto = ahocorasick.Automaton()
         for stem, w in self.weights.items():
-            auto.add_word(" " + stem, (len(stem), w))
-        for phrase in self.exceptions:
-            auto.add_word(" " + fold(phrase), (len(phrase), 0.0))
+            auto.add_word(" " + stem, (len(stem), w, None))
+        for phrase in map(fold, self.exceptions):
+            stem = next((phrase[:k] for k in range(len(phrase), 0, -1) if phrase[:k] in self.weights
+                         and (k >= STEM_LENGTHS[0] or phrase[k:k + 1] in ("", " "))), None)
+            auto.add_word(" " + phrase, (len(phrase), 0.0, stem and (len(stem), self.weights[stem])))
         if len(auto):
             auto.make_automaton()
         return auto
 
 
 def matches(auto, folded: str):
-    """(end, length, weight) of the longest entries met; ``folded`` begins with a blank. Short ones match whole words."""
-    for end, (length, w) in auto.iter_long(folded) if len(auto) else ():
-        if length >= STEM_LENGTHS[0] or not w or folded[end + 1:end + 2] in ("", " "):
-            yield end, length, w
+    """(end, length, weight) of the longest entries met; ``folded`` begins with a blank. Short ones match whole words,
+    exception phrases up to a word's end."""
+    start: int | None = 0
+    while start is not None and len(auto):
+        at, start = start, None
+        for end, (length, w, fallback) in auto.iter_long(folded, at):
+            whole = folded[end + 1:end + 2] in ("", " ")
+            if w or whole:
+                if whole or length >= STEM_LENGTHS[0]:
+                    yield end, length, w
+                continue
+            # no exception after all: the text behind its stem is read again
+            begin = end - length
+            stem, weight = fallback or (0, 0.0)
+            if stem:
+                yield begin + stem, stem, weight
+            start = begin + max(1, stem) + (1 if stem else 0)
+            break
 
 
 def weigh(auto, text: str | None) -> tuple[float, int, int]:
@@ -171,9 +193,10 @@ def _exceptions(lexicon: Lexicon, bad: list[str], good: list[str], least: int =
         for t in group:
             folded, mine = " " + fold(t), set()
             for end, length, _ in matches(auto, folded):
-                start, stop = end - length + 1, (folded.find(" ", end) % (len(folded) + 1))
-                mine.add(folded[start:stop] + " " + (folded[stop:stop + 40].split() or [""])[0])
-            docs.update(m for m in mine if m.count(" ") == 1 and m[-1] != " ")
+                found = _TWO_WORDS.match(folded, end - length + 1)
+                if found:
+                    mine.add(found.group())
+            docs.update(mine)
         counts.append(docs)
     return sorted(p for p, n in counts[1].items() if n >= least and not counts[0][p])
 

@@ -62,6 +62,10 @@ def test_defined_results(spark):
     rows = documents(spark)
     und = {r["doc_id"]: r for r in RUNS["op1"](spark, rows).collect()}
     assert all(und[i]["lang_pred"] == "und" and und[i]["score"] == 0 for i in (1, 2, 3, 10))
+    signs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(["½ ² ①", "Ⅳ ٣", "1½ x"])])
+    model = language_id.train(rows)
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(signs, model).collect()}
+    assert got[0] == got[1] == "und" != got[2]
     assert und[8]["lang_pred"] in ("en", "es")
     found = {r["doc_id"]: r for r in RUNS["op3"](spark, rows).collect()}
     assert (found[1]["n_words"], found[1]["n_hit"], found[4]["n_words"]) == (0, 0, 80_000)
@@ -73,6 +77,40 @@ def test_defined_results(spark):
     assert spans[7]["spans"] == "email:5:22,email:79:85,ip:68:76,card:45:64,phone:26:43"
 
 
+def test_redaction_leaves_everything_else_alone(spark):
+    texts = ["a\u0001b", "\u0001\u0001 x@y.de\u0001\u0001\u0001+49 123 456 789\u0002\u0001", "\u0002\u0001\u0002", "x@y.de\u0002"]
+    want = ["a\u0001b", "\u0001\u0001 <EMAIL>\u0001\u0001\u0001<PHONE>\u0002\u0001", "\u0002\u0001\u0002", "<EMAIL>\u0002"]
+    docs = spark.createDataFrame([(i, t, "kept", "kept", 1, "kept", "kept") for i, t in enumerate(texts)],
+                                 "doc_id long, text string, __text string, value string, parts int, row string, `a.b` string")
+    got = pii.redact(docs)
+    assert got.dtypes == docs.dtypes
+    assert [tuple(r)[1:] for r in got.orderBy("doc_id").collect()] == [(t, "kept", "kept", 1, "kept", "kept") for t in want]
+    spans = {r["doc_id"]: r["spans"] for r in pii.detect(docs).collect()}
+    assert spans[1] == "email:3:9,phone:12:27" and spans[0] == ""
+
+
+def test_texts_with_very_many_numbers_are_read_in_linear_time(spark):
+    import time
+    numbers = lambda n: ", ".join(str(10 + i % 90) for i in range(n))
+    seconds = []
+    for n in (1_000, 128_000):
+        docs = spark.createDataFrame([(1, numbers(n) + ", 4111 1111 1111 1111"), (2, "a@b.cd " * (n // 4))], "doc_id long, text string")
+        start = time.time()
+        got = {r["doc_id"]: r for r in pii.detect(docs).collect()}
+        seconds.append(time.time() - start)
+        assert got[1]["spans"] == f"card:{4 * n}:{4 * n + 19}" and got[2]["n_email"] == n // 4
+        assert got[2]["spans"].endswith(f"email:{7 * (n // 4) - 7}:{7 * (n // 4) - 1}")
+    assert seconds[1] < seconds[0] + 60, seconds
+
+
+def test_repeated_rows_are_dealt_to_several_partitions(spark):
+    docs = spark.range(3000).selectExpr("cast(null AS long) AS doc_id", "repeat('word ', 300) AS text")
+    rows = packing.pack(docs, partition_rows=100)
+    parts = rows.selectExpr("(sequence_id >> 24) AS part").groupBy("part").count().collect()
+    assert len(parts) > 10 and max(r["count"] for r in parts) < 400
+    assert rows.count() == 3000 and rows.select("sequence_id").distinct().count() <= 501
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0], 1), (0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, None, 1), (4, [], 1),
@@ -82,6 +120,10 @@ def test_vectors_that_take_no_part(spark):
     got = neighbours.search(spark.createDataFrame(rows, schema)).orderBy("rank").collect()
     assert [(r["query_id"], r["vec_id"], r["score"]) for r in got] == [(0, 1, 0.0), (0, 2, 0.0), (0, 9, 5.0)]
     assert neighbours.search(spark.createDataFrame([], schema)).collect() == []
+    # a repeated query id is one query, that of its smallest vector
+    rows = [(0, [9.0, 9.0], 1), (0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [9.0, 9.0], 1), (2, [1.0, 1.0], 1)]
+    got = neighbours.search(spark.createDataFrame(rows, schema)).orderBy("rank").collect()
+    assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got][:2] == [(0, 1, 1, 0.0), (0, 2, 2, 1.0)] and len(got) == 3
 
 
 def test_pipeline_stages_keep_columns(spark):
@@ -96,6 +138,6 @@ def test_pipeline_stages_keep_columns(spark):
             assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 7, 8, 9, 10, 11] and None in ids
         if name == "pii":
             by = {r["doc_id"]: r for r in out.collect()}
-            assert by[7]["text"] == "mail <EMAIL> or <PHONE>, <CARD> at <IP>\u0002\U0001F600 <EMAIL>"
+            assert by[7]["text"] == "mail <EMAIL> or <PHONE>, <CARD> at <IP>\u0001\U0001F600 <EMAIL>"
             assert by[7]["n_chars"] == len(by[7]["text"]) and by[1]["text"] is None and by[2]["text"] == ""
     assert table(spark, "documents").columns == ["doc_id", "text", "lang", "source", "n_chars"]

@@ -36,7 +36,7 @@ def auc(rows):
     return (sum(pos) - n * (n - 1) / 2) / (n * m)
 
 
-@pytest.mark.parametrize("name,label,least", [("op6_quality", "quality", 0.95), ("op10_toxicity", "toxic", 0.75)])
+@pytest.mark.parametrize("name,label,least", [("op6_quality", "quality", 0.95), ("op10_toxicity", "toxic", 0.95)])
 def test_held_out_ranking(spark, name, label, least):
     sf = "/root/testdata/sf0.01"
     scored = queries.QUERIES[name](spark, sf).join(table(spark, "labels", sf), "doc_id").filter("held_out").collect()
@@ -285,6 +285,29 @@ def test_packing_round_trip(spark):
         assert at <= 2048
     lengths = np.array([r["length"] for r in rows])
     assert len(by_seq) <= packing.lower_bound(lengths, 2048) + 1
+    assert {r["gap"] for r in rows} <= {0, 1}
+    with pytest.raises(ValueError, match="white space"):
+        packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_many_partitions_reach_the_bound(spark):
+    frame = table(spark, "documents", "/root/testdata/sf0.01")
+    rows = packing.pack(frame, partition_rows=40)
+    lengths = np.array([r["length"] for r in rows.select("length").collect()])
+    bins = rows.select("sequence_id").distinct().count()
+    assert bins <= packing.lower_bound(lengths, 2048) * 1.005 + 1
+
+
+def test_encoder_agrees_with_the_tokenizer_on_odd_strings():
+    import public_tokenizers
+    enc = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    rng = random.Random(3)
+    bits = ["a", "B", "é", "É", "\u0130", "ß", ".", ",", "!", "'s", "'", "1", "²", "\ufb01", " ", "  ", "\n", "x\u0301",
+            "\u0301", "\ud55c", "\u200b", "\U0001F600", "...", "?!", "<|endoftext|>", "\u01c5", "\u0149", "ª", "word", "The"]
+    some = ["".join(rng.choices(bits, k=rng.randint(0, 25))) for _ in range(4000)]
+    for _ in range(2):      # new strings, then known ones
+        for t, ids in zip(some, enc.encode(some)):
+            assert np.frombuffer(ids, "<u4").tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids, ascii(t)
 
 
 def test_lower_bound_is_one():
@@ -328,6 +351,15 @@ def test_folding_and_exceptions():
     assert toxicity.weigh(auto, "the trash can is full")[:2] == (0.0, 0) and toxicity.weigh(auto, "10107 x")[0] == 0
 
 
+def test_exception_phrases_end_at_a_word():
+    lex = toxicity.Lexicon({"trash": 2.0, "canoe": 1.0, "xq": 4.0, "idiot": 3.0}, ["trash can", "xq is", "no stem"], (1, 1, -3))
+    auto = lex.automaton()
+    weights = {"the trash canoe": 3.0, "the trash can": 0.0, "trash can idiot": 3.0, "trash cans": 2.0, "the trash": 2.0,
+               "xq is": 0.0, "xq isnt": 4.0, "xq": 4.0, "no stems idiot": 3.0, "no stem idiot": 3.0, "trash canidiot": 2.0,
+               "trash cane idiot trash can": 5.0}
+    assert {t: toxicity.weigh(auto, t)[0] for t in weights} == weights
+
+
 def test_short_toxic_words_are_learned_as_whole_words():
     rng = random.Random(2)
     plain = [f"plain{chr(97 + i)}" for i in range(26)] + ["zogan", "xqmany"]
