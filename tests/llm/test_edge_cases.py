@@ -55,7 +55,7 @@ def test_mix_and_draw_pass_columns_through(spark):
     for made in (lambda d: mixing.mix(d), lambda d: resampling.draw(d, items, percent=100, least_words=0)):
         assert made(rows).dtypes == rows.dtypes and made(empty(spark)).collect() == []
     assert resampling.draw(rows, items, percent=100, least_words=0).count() == len(ROWS)
-    assert resampling.draw(rows, items.limit(0), percent=100).count() == 1     # one text has 20 words
+    assert resampling.draw(rows, items.limit(0), percent=100).count() == 2     # the long text and the one of row 7 have 20 words
 
 
 def test_defined_results(spark):
