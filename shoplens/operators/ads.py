@@ -9,7 +9,7 @@ task before the exchange; the per-province top-k is a literal-bounded
 Blacklist semantics: a user is blacklisted when, on some day, their clicks on
 one ad reach ``blacklist_threshold``. The batch form applies the final list as
 a second pass over all clicks (``clean_clicks``); the streaming job applies
-the list as of each micro-batch, which equals the batch form whenever the
+the list as of the last start of its statistics, which equals the batch form whenever the
 per-user counts are complete before the statistics are computed (as with
 ``availableNow`` runs, see the streaming module).
 """
@@ -103,6 +103,11 @@ class Listed:
         return cls(F.broadcast(users) if small else users, small)
 
 
+def clean(clicks: DataFrame, black: Listed) -> DataFrame:
+    """Clicks of users not listed, all columns kept."""
+    return _allowed(clicks, black.users)
+
+
 def _count_allowed(clicks: DataFrame, keys: list[str], black: Listed | None) -> DataFrame:
     """Clicks per key without blacklisted users.
 
@@ -130,18 +135,22 @@ def province_top(stat: DataFrame, p: TaskParams) -> DataFrame:
     return ranked.select("date", "province", "adid", "clickCount")
 
 
-def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: Listed | None = None) -> DataFrame:
-    """``date, hour, minute, adid, clickCount`` per tumbling event-time window
-    of ``trend_window`` (default one minute), keyed by the window's start."""
+def with_trend_keys(clicks: DataFrame, p: TaskParams | None = None) -> DataFrame:
+    """``date``, ``hour`` and ``minute`` of the start of a click's ``trend_window`` (default one minute)."""
     width = p.trend_window if p is not None else "1 minute"
     start = F.window(F.timestamp_millis(F.col("ts_ms")), width).start
-    keyed = clicks.select(
-        "userid", "adid",
+    return clicks.select(
+        *clicks.columns,
         F.date_format(start, "yyyyMMdd").alias("date"),
         F.date_format(start, "HH").alias("hour"),
         F.date_format(start, "mm").alias("minute"),
     )
-    return _count_allowed(keyed, ["date", "hour", "minute", "adid"], black)
+
+
+def click_trend(clicks: DataFrame, p: TaskParams | None = None, black: Listed | None = None) -> DataFrame:
+    """``date, hour, minute, adid, clickCount`` per tumbling event-time window
+    of ``trend_window`` (default one minute), keyed by the window's start."""
+    return _count_allowed(with_trend_keys(clicks, p), ["date", "hour", "minute", "adid"], black)
 
 
 def ad_tables(lines: DataFrame, p: TaskParams, max_listed: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:

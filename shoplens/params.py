@@ -52,6 +52,8 @@ class TaskParams:
     blacklist_threshold: int = 100
     trend_window: str = "1 minute"
     watermark_delay: str = "10 minutes"
+    # seconds between looks at the blacklist; statistics restart with it when it has grown
+    blacklist_refresh: int = 60
     # partitions of the streaming state store (fixed at the first start of a
     # checkpoint); None keeps spark.sql.shuffle.partitions
     stream_state_partitions: int | None = None

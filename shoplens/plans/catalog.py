@@ -331,7 +331,7 @@ def q_ad_stat_stream(spark, sf_dir):
 
 @register("ad_province_top3_stream")
 def q_ad_province_top3_stream(spark, sf_dir):
-    return ad_stream.read_province_top(spark, _stream_out(spark, sf_dir), P)
+    return ad_stream.read_province_top(spark, _stream_out(spark, sf_dir))
 
 
 @register("ad_click_trend_stream")

@@ -106,15 +106,8 @@ def stream_job(lines: Callable[[], DataFrame], output: str, checkpoint: str, p:
     """The ad stream: user counts with the blacklist, and statistics, until stopped (no ``interval``: all there is, once)."""
     if interval is None:
         ad_stream.run_available_now(lines, output, checkpoint, p)
-        return
-    trigger = {"processingTime": interval}
-    running = [start(lines(), output, checkpoint, p, trigger) for start in (ad_stream.start_counts, ad_stream.start_stats)]
-    try:
-        # returns when either ends and raises its error; the other one must not run on alone
-        lines().sparkSession.streams.awaitAnyTermination()
-    finally:
-        for query in running:
-            query.stop()
+    else:
+        ad_stream.run_continuously(lines, output, checkpoint, p, interval)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -1,24 +1,26 @@
 """Structured Streaming form of the ad click job.
 
-Two streaming queries share one source of log lines:
-
-* ``counts``: a stateful aggregate of clicks per (day window, user, ad) with an
-  event-time watermark, so per-day state is dropped once the watermark passes
-  the day and rows behind it are ignored. Each micro-batch (update mode) hands
-  the changed totals to ``foreachBatch``, which writes them and the users that
-  reached the threshold into folders keyed by the batch id. Rewriting a batch's
-  own folder makes a retried batch idempotent.
-* ``stats``: a stateless ``foreachBatch`` that re-reads the blacklist written
-  so far, anti-joins it, and writes per-batch count deltas of the statistics
-  and the per-minute trend, again keyed by batch id.
-
-Readers merge the folders into the result tables (latest total per key for the
-user counts; sums of deltas for statistics and trend; top-k ranking on read).
-``fold_batches`` keeps that cheap: it merges the finished batches into one folder
-that readers then take in their place.
-Run ``counts`` before ``stats`` with ``availableNow`` and the outputs equal the
-batch transforms of ``shoplens.operators.ads``; run both continuously and the
-blacklist the statistics see lags by at most one trigger.
+Three streaming queries read the same log lines:
+
+* ``counts``: clicks per (day window, user, ad). Each micro-batch (update mode) hands the changed totals to
+  ``foreachBatch``, which writes them and the users that have newly reached the threshold (each user once).
+* ``stats``: clicks of users not on the blacklist per (day window, province, city, ad) and per (day window,
+  minute, ad), in one aggregate, so both are made of the same clicks. The top ads are ranked again for
+  the (date, province) groups that a batch changed, and only for those.
+* ``rejected``: log lines that can't be read, as they came.
+
+Both aggregates keep their totals in Spark's state by day windows with the same watermark, so they have one
+rule for late clicks: a click goes if its day ended before the watermark. State of such days is evicted.
+What was dropped is recorded per query and batch (``read_late``).
+
+Micro-batches write into folders keyed by the batch id; a retried batch overwrites its own. Readers merge the
+folders into the result tables (the highest total per key, as totals only grow; the newest ranking per group).
+``fold_batches`` keeps that cheap: it merges the finished batches into one folder that readers then take in their place.
+
+A query's plan holds the blacklist as it was when the query started: a streaming plan lists the files
+of a static side once. ``run_continuously`` therefore starts ``stats`` again from its checkpoint when the list has grown,
+at most every ``blacklist_refresh`` seconds. ``run_available_now`` finishes ``counts`` first, and its outputs equal the
+batch transforms of ``shoplens.operators.ads`` but for late clicks.
 
 Locally the source is the ``events`` parquet file (``pathGlobFilter``); on a
 cluster it is Kafka (``kafka_lines``), whose connector jar is not bundled with
@@ -29,6 +31,8 @@ from __future__ import annotations
 
 import os
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +43,7 @@ from shoplens.params import TaskParams
 from shoplens.sources.binding import ad_lines_from_events, cities_from_nation_region, read_table
 
 COUNTS, BLACKLIST, STAT, TREND = "ad_user_click_count", "ad_blacklist", "ad_stat", "ad_click_trend"
-REJECTED = "ad_rejected"
+TOP, REJECTED, LATE = "ad_province_top", "ad_rejected", "ad_late"
 
 
 # ------------------------------------------------------------------ sources
@@ -66,13 +70,15 @@ def testdata_lines(spark: SparkSession, sf_dir: str, stream_dir: str | None = No
 def kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str, group_id: str | None = None,
                 starting_offsets: str = "latest") -> DataFrame:
     """Kafka topic -> ``value`` strings (needs the Kafka connector on the classpath)."""
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", bootstrap_servers)
-              .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets))
-    if group_id:
-        reader = reader.option("kafka.group.id", group_id)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    options = kafka_options(bootstrap_servers, topic, group_id, starting_offsets)
+    return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
+
+
+def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
+                  starting_offsets: str = "latest") -> dict[str, str]:
+    """Source options: ``startingOffsets`` counts at the first start only, later ones go on from the checkpoint."""
+    options = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic, "startingOffsets": starting_offsets}
+    return {**options, "kafka.group.id": group_id} if group_id else options
 
 
 # ------------------------------------------------------------------ sinks
@@ -135,28 +141,53 @@ TREND_SCHEMA = T.StructType([
     T.StructField("minute", T.StringType()), T.StructField("adid", T.LongType()),
     T.StructField("clickCount", T.LongType()),
 ])
+# a trend window may span midnight: its clicks are counted by the day they fall on, the reader adds the days
+STORED_TREND_SCHEMA = T.StructType([T.StructField("day", T.StringType()), *TREND_SCHEMA.fields])
+TOP_SCHEMA = T.StructType([
+    T.StructField("date", T.StringType()), T.StructField("province", T.StringType()),
+    T.StructField("version", T.LongType()),
+    T.StructField("top", T.ArrayType(T.StructType([T.StructField("adid", T.LongType()),
+                                                   T.StructField("clickCount", T.LongType())]))),
+])
+REJECTED_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField("n_fields", T.IntegerType())])
+LATE_SCHEMA = T.StructType([T.StructField("query", T.StringType()), T.StructField("batch", T.LongType()),
+                            T.StructField("dropped", T.LongType())])
 
 
 # ------------------------------------------------------------------ queries
 def start_counts(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskParams, trigger: dict | None = None):
     """T3/T4 as a stateful streaming aggregate with a watermark."""
-    clicks = ads.parse_ad_lines(lines).withColumn("ts", F.timestamp_millis("ts_ms"))
-    counts = (clicks.withWatermark("ts", p.watermark_delay)
+    spark = lines.sparkSession
+    counts = (_timed(ads.parse_ad_lines(lines), p)
               .groupBy(F.window("ts", "1 day").alias("day"), "userid", "adid")
               .agg(F.count(F.lit(1)).alias("clickCount"))
-              .select(F.date_format(F.col("day.start"), "yyyyMMdd").alias("date"), "userid", "adid", "clickCount"))
+              .select(_day().alias("date"), "userid", "adid", "clickCount"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()       # written and searched for the blacklist: the state stage runs once
         try:
             _write_batch(batch, out_dir, COUNTS, batch_id, p.stream_output_files)
-            _write_batch(ads.blacklist(batch, p), out_dir, BLACKLIST, batch_id, 1)
+            # a listed user goes on clicking: only those not listed by an earlier batch are written
+            known = _read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA, batch_id - 1)
+            _write_batch(ads.blacklist(batch, p).join(known, "userid", "left_anti"), out_dir, BLACKLIST, batch_id, 1)
         finally:
             batch.unpersist()
 
-    w = counts.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/counts")
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return _start_with_state_partitions(w, lines.sparkSession, p.stream_state_partitions)
+    return _start_stateful(counts, sink, f"{checkpoint_dir}/counts", p, trigger)
+
+
+def _timed(clicks: DataFrame, p: TaskParams) -> DataFrame:
+    return clicks.withColumn("ts", F.timestamp_millis("ts_ms")).withWatermark("ts", p.watermark_delay)
+
+
+def _day():
+    return F.date_format(F.col("day.start"), "yyyyMMdd")
+
+
+def _start_stateful(totals: DataFrame, sink, checkpoint: str, p: TaskParams, trigger: dict | None):
+    writer = totals.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(**(trigger or {"processingTime": "5 seconds"}))
+    return _start_with_state_partitions(writer, totals.sparkSession, p.stream_state_partitions)
 
 
 def _start_with_state_partitions(writer, spark: SparkSession, n: int | None):
@@ -178,43 +209,74 @@ def _start_with_state_partitions(writer, spark: SparkSession, n: int | None):
 
 
 def start_stats(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskParams, trigger: dict | None = None):
-    """Statistics of clicks by users not (yet) blacklisted, as deltas; unreadable lines are kept apart."""
+    """Statistics, top ads and trend of clicks by users not on the blacklist (as stored when this starts).
+
+    A click is counted under two keys, its place and its minute; both are collapsed in the scan tasks before the
+    exchange to the state, so a hot ad or province is a few rows of each task.
+    """
     spark = lines.sparkSession
+    black = ads.Listed.of_stored(read_blacklist(spark, out_dir))
+    clicks = ads.with_trend_keys(ads.parse_ad_lines(lines), p)
+    none = F.lit(None).cast("string")
+    place = F.struct(F.lit(STAT).alias("kind"), F.col("province").alias("province"), F.col("city").alias("city"),
+                     none.alias("start"), none.alias("hour"), none.alias("minute"))
+    minute = F.struct(F.lit(TREND).alias("kind"), none.alias("province"), none.alias("city"),
+                      F.col("date").alias("start"), F.col("hour").alias("hour"), F.col("minute").alias("minute"))
+    totals = (ads.clean(_timed(clicks, p), black).select("ts", "adid", F.inline(F.array(place, minute)))
+              .groupBy(F.window("ts", "1 day").alias("day"), "kind", "province", "city", "start", "hour", "minute", "adid")
+              .agg(F.count(F.lit(1)).alias("clickCount"))
+              .withColumn("day", _day()).withColumn("date", F.coalesce("start", "day")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()       # three tables are made of it; a Kafka batch is fetched once
+        batch.persist()       # three tables are made of it: the state stage runs once
         try:
-            _write_batch(ads.rejected_lines(batch), out_dir, REJECTED, batch_id, 1)
-            write_stats(ads.parse_ad_lines(batch), batch_id)
+            for table, schema in ((STAT, STAT_SCHEMA), (TREND, STORED_TREND_SCHEMA)):
+                rows = batch.where(F.col("kind") == table).select(*schema.fieldNames())
+                _write_batch(rows, out_dir, table, batch_id, p.stream_output_files)
+            _write_batch(changed_top(batch.where(F.col("kind") == STAT), batch_id), out_dir, TOP, batch_id, 1)
         finally:
             batch.unpersist()
 
-    def write_stats(clicks: DataFrame, batch_id: int) -> None:
-        # duplicate ids do not change an anti-join
-        black = ads.Listed.of_stored(_read(spark, out_dir, BLACKLIST, BLACKLIST_SCHEMA))
-        _write_batch(ads.ad_stat(clicks, black), out_dir, STAT, batch_id, p.stream_output_files)
-        _write_batch(ads.click_trend(clicks, p, black), out_dir, TREND, batch_id, p.stream_output_files)
+    def changed_top(stat: DataFrame, batch_id: int) -> DataFrame:
+        groups = stat.select("date", "province").distinct()
+        first, last = groups.agg(F.min("date"), F.max("date")).first()
+        # the bounds let the reader skip files of other days
+        rows = _read(spark, out_dir, STAT, STAT_SCHEMA, batch_id).where(F.col("date").between(first, last))
+        ranked = ads.province_top(_highest(rows.join(groups, ["date", "province"], "left_semi")), p)
+        return (ranked.groupBy("date", "province").agg(F.collect_list(F.struct("adid", "clickCount")).alias("top"))
+                .select("date", "province", F.lit(batch_id).cast("bigint").alias("version"), "top"))
 
-    w = lines.writeStream.foreachBatch(sink).option("checkpointLocation", f"{checkpoint_dir}/stats")
-    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+    return _start_stateful(totals, sink, f"{checkpoint_dir}/stats", p, trigger)
 
 
-# ------------------------------------------------------------------ readers
-def _latest_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("date", "userid", "adid").agg(F.max("clickCount").alias("clickCount"))
+def start_rejected(lines: DataFrame, out_dir: str, checkpoint_dir: str, p: TaskParams, trigger: dict | None = None):
+    """Log lines that can't be read, kept as they came."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, out_dir, REJECTED, batch_id, 1)
 
+    writer = (ads.rejected_lines(lines).writeStream.foreachBatch(sink)
+              .option("checkpointLocation", f"{checkpoint_dir}/rejected"))
+    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
-def _summed(rows: DataFrame) -> DataFrame:
+
+# ------------------------------------------------------------------ readers
+def _highest(rows: DataFrame) -> DataFrame:
     keys = [c for c in rows.columns if c != "clickCount"]
-    return rows.groupBy(*keys).agg(F.sum("clickCount").cast("bigint").alias("clickCount"))
+    return rows.groupBy(*keys).agg(F.max("clickCount").alias("clickCount"))
+
 
+def _newest(rows: DataFrame) -> DataFrame:
+    return (rows.groupBy("date", "province").agg(F.max("version").alias("version"), F.max_by("top", "version").alias("top")))
 
-# what the rows of several batches of a table come to
-_MERGED = {
-    COUNTS: (COUNTS_SCHEMA, _latest_counts),      # update-mode totals only grow
+
+# what the rows of several batches of a table come to; update-mode totals only grow
+_MERGED: dict[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]] = {
+    COUNTS: (COUNTS_SCHEMA, _highest),
     BLACKLIST: (BLACKLIST_SCHEMA, DataFrame.distinct),
-    STAT: (STAT_SCHEMA, _summed),                 # per-batch deltas
-    TREND: (TREND_SCHEMA, _summed),
+    STAT: (STAT_SCHEMA, _highest),
+    TREND: (STORED_TREND_SCHEMA, _highest),
+    TOP: (TOP_SCHEMA, _newest),
+    REJECTED: (REJECTED_SCHEMA, lambda rows: rows),
 }
 
 
@@ -259,21 +321,77 @@ def read_ad_stat(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def read_rejected(spark: SparkSession, out_dir: str) -> DataFrame:
     """Log lines that could not be read, as they came."""
-    return _read(spark, out_dir, REJECTED, T.StructType([T.StructField("value", T.StringType()),
-                                                         T.StructField("n_fields", T.IntegerType())]))
+    return _merged(spark, out_dir, REJECTED)
 
 
-def read_province_top(spark: SparkSession, out_dir: str, p: TaskParams) -> DataFrame:
-    return ads.province_top(read_ad_stat(spark, out_dir), p)
+def read_province_top(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The top ads per (date, province), as ranked when a batch last changed the group."""
+    return _merged(spark, out_dir, TOP).select("date", "province", F.inline("top"))
 
 
 def read_click_trend(spark: SparkSession, out_dir: str) -> DataFrame:
-    return _merged(spark, out_dir, TREND)
+    keys = [c for c in TREND_SCHEMA.fieldNames() if c != "clickCount"]
+    return _merged(spark, out_dir, TREND).groupBy(*keys).agg(F.sum("clickCount").alias("clickCount"))
+
+
+def read_late(spark: SparkSession, out_dir: str) -> DataFrame:
+    """``query, batch, dropped``: totals of a batch's scan tasks that came behind the watermark and were dropped.
+
+    Clicks of one key and task are one of them, as Spark counts them after the partial aggregation.
+    """
+    return _batches(spark, out_dir, LATE, LATE_SCHEMA).select(*LATE_SCHEMA.fieldNames())
+
+
+# ------------------------------------------------------------------ runs
+def record_late(query, name: str, out_dir: str, spark: SparkSession) -> None:
+    """Write what the recent batches of a query dropped; a batch recorded again overwrites itself."""
+    for progress in query.recentProgress:
+        dropped = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+        if dropped:
+            row = spark.createDataFrame([(name, progress.batchId, dropped)], LATE_SCHEMA)
+            row.write.mode("overwrite").parquet(f"{out_dir}/{LATE}/batch_id={progress.batchId}/of={name}")
 
 
 def run_available_now(lines_factory, out_dir: str, checkpoint_dir: str, p: TaskParams) -> None:
     """Process everything available: counts first, then statistics."""
-    q = start_counts(lines_factory(), out_dir, checkpoint_dir, p, {"availableNow": True})
-    q.awaitTermination()
-    q = start_stats(lines_factory(), out_dir, checkpoint_dir, p, {"availableNow": True})
-    q.awaitTermination()
+    for name, start in (("counts", start_counts), ("stats", start_stats), ("rejected", start_rejected)):
+        lines = lines_factory()
+        query = start(lines, out_dir, checkpoint_dir, p, {"availableNow": True})
+        try:
+            query.awaitTermination()
+        finally:
+            record_late(query, name, out_dir, lines.sparkSession)
+
+
+def run_continuously(lines_factory, out_dir: str, checkpoint_dir: str, p: TaskParams, interval: str) -> None:
+    """Run all queries with a processing-time trigger until one ends; its error is raised and the others stop.
+
+    While the blacklist has grown, ``stats`` is stopped and started again from its checkpoint every
+    ``blacklist_refresh`` seconds. A batch cut short by that is done again from the state before it.
+    """
+    starts = {"counts": start_counts, "stats": start_stats, "rejected": start_rejected}
+    spark = lines_factory().sparkSession
+
+    def start(name: str):
+        return starts[name](lines_factory(), out_dir, checkpoint_dir, p, {"processingTime": interval})
+
+    def listed() -> int:
+        return read_blacklist(spark, out_dir).count()
+
+    running, known = {}, listed()
+    try:
+        for name in starts:
+            running[name] = start(name)
+        while not spark.streams.awaitAnyTermination(int(p.blacklist_refresh)):
+            for name, query in running.items():
+                record_late(query, name, out_dir, spark)
+            if (now := listed()) > known:
+                running["stats"].stop()
+                record_late(running["stats"], "stats", out_dir, spark)
+                spark.streams.resetTerminated()     # the stop above is no end of the job
+                running["stats"], known = start("stats"), now
+    finally:
+        for query in running.values():
+            query.stop()
+        for name, query in running.items():
+            record_late(query, name, out_dir, spark)

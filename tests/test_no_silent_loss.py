@@ -50,7 +50,7 @@ def test_bad_lines_are_kept_apart_and_spaced_names_survive(spark, tmp_dir):
     assert ads.parse_ad_lines(made).count() == made.count() > 0
     lines.write.parquet(f"{tmp_dir}/in/f1")
     stream = spark.readStream.schema("value string").parquet(f"{tmp_dir}/in/*")
-    ad_stream.start_stats(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", TaskParams(), {"availableNow": True}).awaitTermination()
+    ad_stream.start_rejected(stream, f"{tmp_dir}/out", f"{tmp_dir}/ck", TaskParams(), {"availableNow": True}).awaitTermination()
     assert ad_stream.read_rejected(spark, f"{tmp_dir}/out").count() == 4
 
 
