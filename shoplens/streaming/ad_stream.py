@@ -30,7 +30,7 @@ PySpark and must be supplied by the deployment.
 from __future__ import annotations
 
 import os
-
+import time
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -382,16 +382,28 @@ def run_continuously(lines_factory, out_dir: str, checkpoint_dir: str, p: TaskPa
     try:
         for name in starts:
             running[name] = start(name)
-        while not spark.streams.awaitAnyTermination(int(p.blacklist_refresh)):
+        while _all_active(running.values(), p.blacklist_refresh):
             for name, query in running.items():
                 record_late(query, name, out_dir, spark)
             if (now := listed()) > known:
                 running["stats"].stop()
                 record_late(running["stats"], "stats", out_dir, spark)
-                spark.streams.resetTerminated()     # the stop above is no end of the job
                 running["stats"], known = start("stats"), now
     finally:
         for query in running.values():
             query.stop()
         for name, query in running.items():
             record_late(query, name, out_dir, spark)
+    for query in running.values():
+        if error := query.exception():
+            raise error
+
+
+def _all_active(queries, seconds: float) -> bool:
+    """Whether the queries all go on for some seconds; other streams of the session don't matter."""
+    end = time.monotonic() + seconds
+    while all(query.isActive for query in queries):
+        if time.monotonic() >= end:
+            return True
+        time.sleep(0.2)
+    return False

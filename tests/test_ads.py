@@ -220,7 +220,6 @@ def test_processing_time_run_cut_short_in_a_batch(spark, tmp_dir, monkeypatch):
             with pytest.raises(StreamingQueryException):
                 query.awaitTermination(120)
         assert broken.pop() == table
-        spark.streams.resetTerminated()
         query = start(_stream_lines(spark, src)(), out, ckpt, P, trigger)
         try:
             query.processAllAvailable()
@@ -259,4 +258,19 @@ def test_continuous_run_takes_up_a_grown_blacklist(spark, tmp_dir):
         query.stop()
     job.join(60)
     assert not job.is_alive()
-    spark.streams.resetTerminated()
+
+
+def test_continuous_run_raises_the_error_of_a_query(spark, tmp_dir, monkeypatch):
+    src = f"{tmp_dir}/src"
+    _write_file(spark, src, "f1", batch1())
+    write = ST._write_batch
+
+    def failing(df, out_dir, table, batch_id, files=4):
+        if table == ST.TREND:
+            raise OSError("disk gone")
+        write(df, out_dir, table, batch_id, files)
+
+    monkeypatch.setattr(ST, "_write_batch", failing)
+    with pytest.raises(StreamingQueryException, match="disk gone"):
+        ST.run_continuously(_stream_lines(spark, src), f"{tmp_dir}/out", f"{tmp_dir}/ckpt", P, "1 second")
+    assert not spark.streams.active
