@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator
 
@@ -72,12 +74,24 @@ def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
     return rows if n <= bound else rows.filter(hashed_share(key, bound / n))
 
 
+def release() -> None:
+    """Give freed memory back at the end of a task: its worker lives on, idle or in the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim:
+        trim(0)
+
+
 def fit_in_task(rows: DataFrame, fit: Callable[[list[dict]], object]) -> object:
     """Fit a model on a bounded sample inside one executor task; only the model comes back."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [r for b in batches for r in b.to_pylist()]
         got.sort(key=lambda r: tuple((v is None, v if v is not None else 0) for v in r.values()))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(got))], pa.binary())], ["model"])
+        model = pickle.dumps(fit(got))
+        del got
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
     made = rows.repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else fit([])     # an empty partition runs no Python
 
@@ -98,6 +112,7 @@ def keep_rows(df: DataFrame, keep: Callable[[list[str | None]], list[bool]]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(keep(texts(b)), pa.bool_()))
+        release()
     return df.mapInArrow(run, df.schema)
 
 

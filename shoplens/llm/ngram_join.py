@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import BASE, WORD_TABLE, mix, stored, texts, utf8, word_hashes
+from shoplens.llm.common import BASE, WORD_TABLE, mix, release, stored, texts, utf8, word_hashes
 
 BANDS, ROWS, STEP = 25, 5, 25
 HASHES = BANDS * ROWS
@@ -126,6 +126,7 @@ def sketches(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                 ["doc_id", "text_hash", "node", "signature", "keys"])
+        release()
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash())
     return docs.mapInArrow(run, "doc_id long, text_hash binary, node binary, signature binary, keys array<long>")
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -140,7 +141,7 @@ def learn(rows: list[dict], min_share: float = 0.005, min_log_odds: float = math
         return Lexicon()
 
     least = max(4, min_share * len(bad))
-    words = [Counter(fold(t).split()) for t in bad]
+    words = [Counter(map(sys.intern, fold(t).split())) for t in bad]     # a word is held once, not once a document
     among: set[str] = set()
     for k in STEM_LENGTHS:          # a stem can't be in more documents than the stem one shorter
         docs: Counter = Counter()
