@@ -5,16 +5,18 @@ The output softmax is factored by classes: P(token | past) = P(class | state)
 P(token | class, state). The most frequent words, as many as are broadcast with
 their counts, are spread over about sqrt(V) classes by frequency, with fewer words
 in the classes of frequent ones; each has an input vector of its own, and inside its
-class its probability depends on the state as well. The rare words beyond them belong
-to one of ``tail_classes`` classes by a hash of their last bytes; inside a tail class a word has its corpus probability (count + 1) /
+class its probability depends on the state as well. Classes lie in about
+sqrt(classes) groups, and P(class | state) is P(group | state) P(class | group, state).
+The rare words beyond them belong to one of ``tail_classes`` classes by a hash of
+their last bytes; inside a tail class a word has its corpus probability (count + 1) /
 (N_class + V_class + 1), with one part left for unseen words. The end of a text
 is a class of its own.
 
 Corpus statistics (counts, N, V, class totals) come from all training documents.
 The recurrent model is trained by truncated backpropagation in numpy: first in one
-task on a bounded sample (``warm_rows``), then in all tasks on every training
-document, and the tasks' models are averaged, every row of a weight by the tokens
-that have used it, so that training grows with the corpus. For scoring, documents run through the
+task on a bounded sample (``warm_rows``), then in shards of a fixed size on every
+training document, and the shards' models are averaged, every row of a weight by the
+tokens that have used it, so that training grows with the corpus. For scoring, documents run through the
 network in slots of a batch; a slot's state is carried from window to window
 until its document ends, so the log-likelihood is that of the complete text.
 
@@ -37,10 +39,11 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import bounded_sample, broadcast, remainder, stored, texts, utf8, word_hashes
+from shoplens.llm.common import bounded_sample, broadcast, release, remainder, stored, texts, utf8, word_hashes
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -57,7 +60,8 @@ class Shape:
     window: int = 48
     slots: int = 512
     train_window: int = 32
-    train_slots: int = 256
+    train_slots: int = 256      # of the warm start
+    corpus_slots: int = 1024
 
 
 @dataclass
@@ -78,6 +82,9 @@ class Vocabulary:
         ids = np.arange(self.symbols)
         self.class_table = np.where(ids < s.head_words, np.searchsorted(self.bounds, ids, "right") - 1,
                                     ids - s.head_words + s.head_classes).astype("i2")
+        # about sqrt(classes) groups of neighbouring classes
+        self.groups = np.unique(np.linspace(0, self.classes, math.ceil(math.sqrt(self.classes)) + 1).round().astype("i8"))
+        self.group_table = (np.searchsorted(self.groups, np.arange(self.classes), "right") - 1).astype("i2")
 
     def tail(self, word: bytes) -> int:
         return zlib.crc32(word[-4:]) % self.shape.tail_classes
@@ -91,19 +98,25 @@ class Vocabulary:
 
 
 class Network:
-    """One gated recurrent layer: update and reset gates z, r and candidate n; h' = n + z (h - n)."""
-    TABLES = ("inputs", "word_w", "word_b")      # a row for a word: a step changes some of the rows
-    NAMES = ("inputs", "recur", "class_w", "class_b", "word_w", "word_b", "start")
+    """One gated recurrent layer: update and reset gates z, r and candidate n; h' = n + z (h - n).
+
+    The softmax has three levels, each exact and of the state: group of classes, class in its group, word in its class.
+    Their tables hold the bias as a last column.
+    """
+    TABLES = ("inputs", "word_w")      # a row for a word: a step changes some of the rows
+    NAMES = ("inputs", "recur", "group_w", "class_w", "word_w", "start")
 
     def __init__(self, vocab: Vocabulary, seed: int = 5):
         s, rng = vocab.shape, np.random.default_rng(seed)
         self.vocab = vocab
+
+        def table(rows: int) -> np.ndarray:
+            w = rng.standard_normal((rows, s.hidden + 1), "f4") * np.float32(0.1)
+            w[:, -1] = 0
+            return w
         self.inputs = rng.standard_normal((vocab.symbols, 3 * s.hidden), "f4") * np.float32(0.1)
         self.recur = rng.normal(0, 1 / math.sqrt(s.hidden), (s.hidden, 3 * s.hidden)).astype("f4")
-        self.class_w = rng.normal(0, 0.1, (s.hidden, vocab.classes)).astype("f4")
-        self.class_b = np.zeros(vocab.classes, "f4")
-        self.word_w = rng.standard_normal((s.head_words, s.hidden), "f4") * np.float32(0.1)
-        self.word_b = np.zeros(s.head_words, "f4")
+        self.group_w, self.class_w, self.word_w = table(len(vocab.groups) - 1), table(vocab.classes), table(s.head_words)
         self.start = np.zeros(s.hidden, "f4")
 
     def weights(self) -> list[np.ndarray]:
@@ -114,47 +127,67 @@ class Network:
             setattr(self, n, w)
         return self
 
-    def states(self, h: np.ndarray, symbols: np.ndarray, keep: bool = False):
-        """State before each step of a window (steps x slots), the state after it and what backpropagation needs."""
+    def states(self, h: np.ndarray, symbols: np.ndarray, lengths: np.ndarray | None = None, keep: bool = False):
+        """State before each step of a window (steps x slots), the state after it and what backpropagation needs.
+
+        ``lengths`` (falling) are the slots' steps, all if not given; a slot keeps its state after its last one.
+        """
         n = h.shape[1]
-        before = np.empty((*symbols.shape, n), "f4")
-        saved = []
-        for t in range(len(symbols)):
+        before = np.empty((len(symbols), *h.shape), "f4")
+        saved, h = [], h.copy()
+        for t, m in enumerate(active(lengths, *symbols.shape)):
             before[t] = h
-            x = self.inputs[symbols[t]]
-            g = h @ self.recur
+            x, p = self.inputs[symbols[t, :m]], h[:m]
+            g = p @ self.recur
             zr = x[:, :2 * n] + g[:, :2 * n]
             np.negative(zr, zr)
             np.exp(zr, zr)
             zr += 1
             np.reciprocal(zr, zr)
-            c = np.tanh(x[:, 2 * n:] + zr[:, n:] * g[:, 2 * n:])
+            c = zr[:, n:] * g[:, 2 * n:]
+            c += x[:, 2 * n:]
+            np.tanh(c, c)
             if keep:
                 saved.append((zr, g[:, 2 * n:], c))
-            h = c + zr[:, :n] * (h - c)
+            p -= c
+            p *= zr[:, :n]
+            p += c
         return before, h, saved
 
+    def softmaxes(self, goal: np.ndarray):
+        """Softmaxes over rows lo to hi of a table, for tokens a to b of ``goal`` (sorted by class): what each should give."""
+        v = self.vocab
+        classes = v.class_of(goal)
+        groups = v.group_table[classes]
+        yield "group_w", 0, len(v.groups) - 1, 0, len(goal), groups
+        cuts = np.searchsorted(groups, np.arange(len(v.groups)))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b, lo = int(cuts[k]), int(cuts[k + 1]), int(v.groups[k])
+            yield "class_w", lo, int(v.groups[k + 1]), a, b, classes[a:b] - lo
+        cuts = np.searchsorted(classes, np.arange(v.shape.head_classes + 1))
+        for k in np.flatnonzero(np.diff(cuts)).tolist():
+            a, b, lo, hi = int(cuts[k]), int(cuts[k + 1]), int(v.bounds[k]), int(v.bounds[k + 1])
+            if hi - lo > 1:
+                yield "word_w", lo, hi, a, b, goal[a:b] - lo
+
+    def by_class(self, states: np.ndarray, symbols: np.ndarray):
+        """(order, states with a one for the bias, symbols), sorted by class."""
+        order = np.argsort(self.vocab.class_of(symbols), kind="stable")
+        sorted_states = np.ones((len(states), states.shape[1] + 1), "f4")
+        np.take(states, order, axis=0, out=sorted_states[:, :-1])
+        return order, sorted_states, symbols[order]
+
     def predict(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """Natural log of P(class) and, for head words, of P(word | class) as well."""
-        s = self.vocab.shape
-        classes = self.vocab.class_of(symbols)
-        out = np.empty(len(states))
-        for at in range(0, len(states), 2048):      # what fits the processor's cache
-            z = states[at:at + 2048] @ self.class_w
-            z += self.class_b
-            out[at:at + 2048] = z[np.arange(len(z)), classes[at:at + 2048]]
+        out = np.zeros(len(states))
+        order, states, goal = self.by_class(np.asarray(states, "f4"), symbols)
+        got, ones, row = np.zeros(len(order)), np.ones(len(self.vocab.class_table) + 1, "f4"), np.arange(len(order))
+        for name, lo, hi, a, b, want in self.softmaxes(goal):
+            z = states[a:b] @ getattr(self, name)[lo:hi].T
+            got[a:b] += z[row[:b - a], want]
             np.exp(z, z)
-            out[at:at + 2048] -= np.log(z.sum(1))
-        order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(s.head_classes + 1))
-        for k in range(s.head_classes):
-            rows = order[cuts[k]:cuts[k + 1]]
-            if len(rows):
-                lo, hi = self.vocab.bounds[k:k + 2]
-                z = states[rows] @ self.word_w[lo:hi].T + self.word_b[lo:hi]
-                out[rows] += z[np.arange(len(rows)), symbols[rows] - lo]
-                np.exp(z, z)
-                out[rows] -= np.log(z.sum(1))
+            got[a:b] -= np.log(z @ ones[:hi - lo])
+        out[order] = got
         return out
 
     def gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray):
@@ -167,66 +200,94 @@ class Network:
         return grads, last
 
     def row_gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray):
-        """The same, of the tables only the rows that are not zero: (name, rows, gradients, tokens that used them)."""
-        s, v = self.vocab.shape, self.vocab
-        n, steps = s.hidden, len(inputs)
-        _, last, saved = self.states(h, inputs, keep=True)
-        prior, after = [h], []
-        for zr, _, c in saved:
-            after.append(c + zr[:, :n] * (prior[-1] - c))
-            prior.append(after[-1])
-        flat, goal, some = np.concatenate(after), targets.ravel(), real.ravel()
-        weight = (some / max(1, some.sum())).astype("f4")
-        classes = v.class_of(goal)
-        p = flat @ self.class_w
-        p += self.class_b
-        p -= p.max(1, keepdims=True)
-        np.exp(p, p)
-        p *= (weight / p.sum(1))[:, None]
-        p[np.arange(len(p)), classes] -= weight
-        grads = {"class_w": flat.T @ p, "class_b": p.sum(0), "recur": np.zeros_like(self.recur),
-                 "start": np.zeros_like(self.start)}
+        """The same, of the tables only the rows that are not zero: (name, rows, gradients, tokens that used them).
+
+        ``real`` marks the first steps of each slot. Tokens are held step by step, the longest slots first.
+        """
+        n, lengths = self.vocab.shape.hidden, real.sum(0)
+        slots = np.argsort(-lengths, kind="stable")
+        lengths, real, inputs, targets = lengths[slots], real[:, slots], inputs[:, slots], targets[:, slots]
+        before, last, saved = self.states(h[slots], inputs, lengths, keep=True)
+        order, states, goal = self.by_class(np.concatenate([before[1:], last[None]]).astype("f4")[real], targets[real])
+        count, row = len(order), np.arange(len(order))
+        weight, ones = np.float32(1 / max(1, count)), np.ones(len(self.vocab.class_table) + 1, "f4")
+        grads = {"group_w": None, "class_w": np.zeros_like(self.class_w), "start": np.zeros_like(self.start)}
         table_rows = []
-        back = p @ self.class_w.T
-        order = np.argsort(classes, kind="stable")
-        cuts = np.searchsorted(classes[order], np.arange(s.head_classes + 1))
-        for k in range(s.head_classes):
-            rows = order[cuts[k]:cuts[k + 1]]
-            rows = rows[some[rows]]
-            if len(rows):
-                lo, hi = v.bounds[k:k + 2]
-                w, state = self.word_w[lo:hi], flat[rows]
-                z = state @ w.T
-                z += self.word_b[lo:hi]
-                z -= z.max(1, keepdims=True)
-                np.exp(z, z)
-                z *= (weight[rows] / z.sum(1))[:, None]
-                z[np.arange(len(rows)), goal[rows] - lo] -= weight[rows]
-                table_rows.append(("word_w", slice(lo, hi), z.T @ state, len(rows)))
-                table_rows.append(("word_b", slice(lo, hi), z.sum(0), len(rows)))
-                back[rows] += z @ w
-        back = back.reshape(steps, -1, n)
-        carry = np.zeros_like(h)
-        gates = np.empty((*inputs.shape, 3 * n), "f4")
-        for t in reversed(range(steps)):
+        push = np.zeros((count, n), "f4")
+        for name, lo, hi, a, b, want in self.softmaxes(goal):
+            w, state = getattr(self, name)[lo:hi], states[a:b]
+            z = state @ w.T
+            np.exp(z, z)
+            z *= (weight / (z @ ones[:hi - lo]))[:, None]
+            z[row[:b - a], want] -= weight
+            if name == "word_w":
+                table_rows.append((name, slice(lo, hi), z.T @ state, b - a))
+            elif name == "class_w":
+                grads[name][lo:hi] = z.T @ state
+            else:
+                grads[name] = z.T @ state
+            push[a:b] += z @ w[:, :-1]
+        back = np.empty_like(push)
+        back[order] = push
+        carry = np.zeros(h.shape, "f4")
+        gates, via = np.empty((count, 3 * n), "f4"), np.empty((count, n), "f4")
+        at = count
+        for t, m in reversed(list(enumerate(active(lengths, *inputs.shape)))):
             zr, g, c = saved[t]
             z, r = zr[:, :n], zr[:, n:]
-            d = back[t] + carry
-            dc = d * (1 - z) * (1 - c * c)
-            gate = np.concatenate([d * (prior[t] - c) * z * (1 - z), dc * g * r * (1 - r), dc], 1)
-            via = np.concatenate([gate[:, :2 * n], dc * r], 1)
-            grads["recur"] += prior[t].T @ via
-            gates[t] = gate
-            carry = d * z + via @ self.recur.T
-        read = inputs.ravel()
-        order = np.argsort(read, kind="stable")
-        ids, cuts, times = np.unique(read[order], return_index=True, return_counts=True)
-        table_rows.append(("inputs", ids, np.add.reduceat(gates.reshape(-1, 3 * n)[order], cuts, axis=0), times))
-        return grads, table_rows, last
+            at -= m
+            d, gate = back[at:at + m], gates[at:at + m]
+            d += carry[:m]
+            keep, leave = d * z, 1 - z
+            dc = 1 - c * c
+            dc *= d
+            dc *= leave
+            leave *= keep
+            np.multiply(before[t, :m] - c, leave, out=gate[:, :n])
+            pull = dc * r
+            np.multiply(dc * g, r - r * r, out=gate[:, n:2 * n])
+            gate[:, 2 * n:], via[at:at + m] = dc, pull
+            keep += gate[:, :2 * n] @ self.recur[:, :2 * n].T
+            keep += pull @ self.recur[:, 2 * n:].T
+            carry[:m] = keep
+        prior = before[real].T
+        grads["recur"] = np.concatenate([prior @ gates[:, :2 * n], prior @ via], 1)
+        ids, sums, times = row_sums(inputs[real], gates)
+        table_rows.append(("inputs", ids, sums, times))
+        left = np.empty_like(last)
+        left[slots] = last
+        return grads, table_rows, left
+
+
+def active(lengths: np.ndarray | None, steps: int, slots: int) -> list[int]:
+    """Slots of each step, if slots have falling lengths."""
+    return [slots] * steps if lengths is None else np.searchsorted(-lengths, -np.arange(steps), "left").tolist()
+
+
+def row_sums(ids: np.ndarray, values: np.ndarray, few: int = 16):
+    """(distinct ids, sums of their rows, number of rows): whole passes for the first rows of all ids, then the longer ones."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, "i8")
+    times = np.diff(np.append(first, len(ids)))
+    by = np.argsort(-times, kind="stable")
+    first, times = first[by], times[by]
+    sums = values[order[first]]
+    for j in range(1, few + 1):
+        m = int(np.searchsorted(-times, -j, "left"))
+        if j < few:
+            sums[:m] += values[order[first[:m] + j]]
+    for i in range(m):
+        sums[i] += values[order[first[i] + few:first[i] + times[i]]].sum(0)
+    return ids[first], sums, times
 
 
 def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, window: int):
-    """Windows of a batch: (fresh slots, inputs, targets, real, documents). A slot holds one document until its end."""
+    """Windows of a batch: (fresh slots, inputs, targets, real, documents). A slot holds one document until its end.
+
+    When documents run out and few slots are left, windows are up to eight times as long (no more tokens than others).
+    """
+    short = window
     held: list = [None] * slots
     more = True
     while True:
@@ -241,6 +302,8 @@ def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, w
         live = [i for i in range(slots) if held[i] is not None]
         if not live:
             return
+        window = min(8 * short, short * slots // len(live)) if not more else short
+        window = min(window, max(short, max(len(held[i][1]) - held[i][2] for i in live)))
         inputs = np.full((window, slots), vocab.end)
         targets = np.full((window, slots), vocab.end)
         real = np.zeros((window, slots), bool)
@@ -261,18 +324,19 @@ def streams(symbol_lists: Iterator[np.ndarray], vocab: Vocabulary, slots: int, w
 TABLE_RATE = 6.0
 
 
-def train_network(network: Network, documents: Iterator[np.ndarray], rate: float):
+def train_network(network: Network, documents: Iterator[np.ndarray], rate: float, slots: int | None = None):
     """Adam over the windows of a stream of documents; the state runs on from window to window.
 
-    Rows of the tables have a step size each (Adagrad), so that a step touches only the rows it has used. Returns the
-    tokens seen, and for every row of every weight those that used it.
+    Rows of the tables have a step size each (Adagrad; the bias one of its own), so that a step touches only the rows it
+    has used. Returns the tokens seen, and for every row of every weight those that used it.
     """
     shape, v = network.vocab.shape, network.vocab
-    slots = shape.train_slots
+    slots = slots or shape.train_slots
     moments = {n: [np.zeros_like(getattr(network, n)), np.zeros_like(getattr(network, n))]
                for n in network.NAMES if n not in network.TABLES}
     uses = {n: np.zeros(len(getattr(network, n))) for n in network.NAMES}
-    squares = {n: np.zeros(len(getattr(network, n)), "f4") for n in network.TABLES}
+    squares = {n: np.zeros((len(getattr(network, n)), 2), "f4") for n in network.TABLES}
+    width = {"inputs": 3 * shape.hidden, "word_w": shape.hidden}        # columns but for the bias
     h = np.zeros((slots, shape.hidden), "f4")
     seen, step = 0, 0
     for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.train_window):
@@ -281,7 +345,15 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
         grads, rows, h[live] = network.row_gradients(h[live], inputs[:, live], targets[:, live], real[:, live])
         step += 1
         seen += int(real.sum())
-        norm = math.sqrt(sum(float(np.vdot(g, g)) for g in [*grads.values(), *(r[2] for r in rows)]))
+        parts = []
+        for name, _, g, _ in rows:
+            n = width[name]
+            own = np.zeros((len(g), 2), "f4")
+            np.einsum("ij,ij->i", g[:, :n], g[:, :n], out=own[:, 0])
+            if g.shape[1] > n:
+                np.square(g[:, n], own[:, 1])
+            parts.append(own)
+        norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()) + sum(float(own.sum()) for own in parts))
         clip = min(1.0, 1.0 / (norm + 1e-9))
         lr = rate / math.sqrt(1 + step / 150)
         for name, g in grads.items():
@@ -291,13 +363,16 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
             s += 0.01 * (g * g - s)
             w = getattr(network, name)
             w -= lr * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-6)
-        for name, some, g, times in rows:
-            g *= clip
+        for (name, some, g, times), own in zip(rows, parts):
+            n = width[name]
             uses[name][some] += times
-            square = squares[name][some] + (g * g if g.ndim == 1 else np.einsum("ij,ij->i", g, g) / g.shape[1])
-            squares[name][some] = square
-            by = TABLE_RATE * rate / (np.sqrt(square) + 1e-8)
-            g *= by if g.ndim == 1 else by[:, None]
+            own[:, 0] /= n
+            own *= clip * clip
+            own += squares[name][some]
+            squares[name][some] = own
+            by = (clip * TABLE_RATE * rate) / (np.sqrt(own) + np.float32(1e-8))
+            g[:, :n] *= by[:, :1]
+            g[:, n:] *= by[:, 1:]
             getattr(network, name)[some] -= g
     for name in moments:
         uses[name] += seen
@@ -374,43 +449,49 @@ def statistics(counts: DataFrame, ends: int, vocab: Vocabulary, head: dict[bytes
     return Statistics(n_all + ends, v_all + (ends > 0), ends, total, distinct, cached)
 
 
-def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, rate: float) -> tuple[list[np.ndarray], int]:
-    """(weights, tokens learned from): every task goes on from the given weights over all of its part of the corpus.
+def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, rate: float,
+                      shards: int = 1) -> tuple[list[np.ndarray], int]:
+    """(weights, tokens learned from): every shard goes on from the given weights over all of its part of the corpus.
 
-    Splits are put together to two for each core, so that what the models send does not grow with the splits.
+    Splits are put together to at most ``shards`` shards, whose number follows from the bytes of the corpus and not from
+    the cores: a lost executor costs the shards it was at.
     """
-    return _train(training.select("text").coalesce(2 * training.sparkSession.sparkContext.defaultParallelism),
-                  vocab, weights, rate)
+    return _train(training.select("text").coalesce(shards), vocab, weights, rate, vocab.shape.corpus_slots)
 
 
 def _warm(sample: DataFrame, vocab: Vocabulary, weights, rate: float) -> list[np.ndarray]:
     """The weights after one task has gone over a bounded sample in order."""
     rows = sample.select("doc_id", "text").repartition(1).sortWithinPartitions("doc_id", "text")
-    return _train(rows, vocab, weights, rate)[0]
+    return _train(rows, vocab, weights, rate, vocab.shape.train_slots)[0]
 
 
-def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float,
-           block_rows: int = 256) -> tuple[list[np.ndarray], int]:
+def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
+           block_rows: int = 256, fan: int = 64) -> tuple[list[np.ndarray], int]:
     """(weights, tokens learned from): a model for each partition, begun at the given weights.
 
     What the models change is averaged row by row, weighted by the tokens that used the row; rows that no model has
-    used stay. Weights come back in blocks of rows and the given arrays are changed in place.
+    used stay. Weights come back in blocks of rows, ``fan`` models first added up to one, and the given arrays are
+    changed in place.
     """
     shared = broadcast(rows.sparkSession, (vocab, weights))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = shared.value
         net = Network(v).set_weights([w.copy() for w in start])
-        seen, uses = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate)
+        seen, uses = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate, slots)
+        model = TaskContext.get().partitionId() // fan
         for i, (name, old) in enumerate(zip(net.NAMES, start)):
             for at in range(0, len(old) if seen else 0, block_rows):
                 used = uses[name][at:at + block_rows]
                 if used.any():
                     step = (getattr(net, name)[at:at + block_rows] - old[at:at + block_rows]).reshape(len(used), -1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([i], pa.int32()), pa.array([at], pa.int32()), pa.array([used.tobytes()], pa.binary()),
+                        [pa.array([model], pa.int32()), pa.array([i], pa.int32()), pa.array([at], pa.int32()),
+                         pa.array([used.tobytes()], pa.binary()),
                          pa.array([(step * used[:, None]).astype("f4").tobytes()], pa.binary())],
-                        ["part", "at", "uses", "sums"])
+                        ["model", "part", "at", "uses", "sums"])
+        del net, uses
+        release()
 
     def add(table: pa.Table) -> pa.Table:
         def total(column, kind, to):
@@ -418,13 +499,20 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float,
             for x in table[column]:
                 out = out + np.frombuffer(x.as_py(), kind).astype("f8")
             return pa.array([out.astype(to).tobytes()], pa.binary())
-        return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int32()),
+        return pa.table({"model": pa.array([table["model"][0].as_py() // fan], pa.int32()),
+                         "part": pa.array([table["part"][0].as_py()], pa.int32()),
                          "at": pa.array([table["at"][0].as_py()], pa.int32()),
                          "uses": total("uses", "f8", "f8"), "sums": total("sums", "f4", "f4")})
 
-    schema = "part int, at int, uses binary, sums binary"
+    schema = "model int, part int, at int, uses binary, sums binary"
+    made, left = rows.mapInArrow(local, schema), rows.rdd.getNumPartitions()
+    while True:
+        left = -(-left // fan)
+        made = made.groupBy("model", "part", "at").applyInArrow(add, schema)
+        if left <= 1:
+            break
     seen = 0
-    for r in rows.mapInArrow(local, schema).groupBy("part", "at").applyInArrow(add, schema).collect():
+    for r in made.collect():
         uses = np.frombuffer(r["uses"], "f8")
         step = np.frombuffer(r["sums"], "f4").reshape(len(uses), -1) / np.maximum(uses, 1)[:, None]
         part = weights[r["part"]][r["at"]:r["at"] + len(uses)]
@@ -436,14 +524,17 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float,
 
 
 def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape = Shape(), cached_words: int = 100_000,
-          warm_rows: int = 2_000, rate: float = 0.02) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document."""
+          warm_rows: int = 2_000, rate: float = 0.02, shard_bytes: int = 32 << 20) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document.
+
+    A model is trained for each ``shard_bytes`` of training text (or for each split, if those are larger).
+    """
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rest = remainder("doc_id", modulus)
     training = docs.filter(~rest.isin(held, -1))
     counts = stored(word_counts(training), "lm_counts")
-    ends = training.select("doc_id").count()
+    ends, size = training.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     cached = {bytes(r["word"]): r["n"] for r in most_frequent(counts, cached_words)}
     head = dict(islice(cached.items(), shape.head_words))
     # a smaller vocabulary has fewer classes; words of like frequency share one
@@ -455,7 +546,7 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     if ends:
         _start_biases(network, vocab, head, stats)
         weights = _warm(bounded_sample(training, "doc_id", warm_rows), vocab, network.weights(), rate)
-        network.set_weights(_train_everywhere(training, vocab, weights, rate / 10)[0])
+        network.set_weights(_train_everywhere(training, vocab, weights, rate / 10, 1 + size // shard_bytes)[0])
 
     shared = broadcast(spark, (vocab, network.weights(), stats))
     scored = docs.withColumn("held_out", rest == held).mapInArrow(
@@ -479,9 +570,11 @@ def _start_biases(network: Network, vocab: Vocabulary, head: dict[bytes, int], s
     for w, i in vocab.head.items():
         n[i] = head[w] + 0.5
     of = np.bincount(vocab.class_table[:len(n)], n, vocab.shape.head_classes)
-    network.word_b = np.log(n / of[vocab.class_table[:len(n)]]).astype("f4")
+    network.word_w[:, -1] = np.log(n / of[vocab.class_table[:len(n)]])
     mass = np.concatenate([of, np.array(stats.tail_total) + 0.5, [stats.ends + 0.5]])
-    network.class_b = np.log(mass / mass.sum()).astype("f4")
+    groups = np.bincount(vocab.group_table, mass, len(vocab.groups) - 1)
+    network.class_w[:, -1] = np.log(mass / groups[vocab.group_table])
+    network.group_w[:, -1] = np.log(groups / groups.sum())
 
 
 class Lookup:
@@ -556,8 +649,9 @@ def _scorer(shared):
             h = np.zeros((slots, s.hidden), "f4")
             for fresh, inputs, targets, real, who in streams(read(), vocab, slots, s.window):
                 h[fresh] = net.start
-                live = np.flatnonzero([w is not None for w in who])
-                before, last, _ = net.states(h[live], inputs[:, live])
+                lengths = real.sum(0)
+                live = np.argsort(-lengths, kind="stable")[:np.count_nonzero(lengths)]
+                before, last, _ = net.states(h[live], inputs[:, live], lengths[live])
                 after = np.concatenate([before[1:], last[None]])
                 some = real[:, live]
                 got = net.predict(after[some], targets[:, live][some])

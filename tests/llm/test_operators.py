@@ -179,7 +179,7 @@ def test_lm_gradients():
         before, last, _ = net.states(h, i)
         return -net.predict(np.concatenate([before[1:], last[None]])[real], t[real]).mean()
     grads, _ = net.gradients(h, i, t, real)
-    for n in ("inputs", "recur", "class_w", "word_w"):
+    for n in ("inputs", "recur", "group_w", "class_w", "word_w"):
         w, k = getattr(net, n).reshape(-1), int(np.abs(grads[n]).argmax())
         keep, eps = w[k], 1e-2
         w[k] = keep + eps
@@ -189,6 +189,31 @@ def test_lm_gradients():
         w[k] = keep
 
 
+def test_lm_slots_of_different_lengths():
+    shape = lm_scoring.Shape(hidden=4, head_classes=3, head_words=40, tail_classes=2)
+    vocab = lm_scoring.Vocabulary(shape, {b"w%d" % i: i for i in range(40)})
+    net, rng = lm_scoring.Network(vocab), np.random.default_rng(6)
+    i, t = rng.integers(0, vocab.symbols, (7, 5)), rng.integers(0, vocab.symbols, (7, 5))
+    h, lengths = rng.normal(size=(5, 4)).astype("f4"), [3, 7, 1, 7, 5]
+    real = np.arange(7)[:, None] < np.array(lengths)
+    grads, last = net.gradients(h, i, t, real)
+    alone = [net.gradients(h[[j]], i[:n, [j]], t[:n, [j]], real[:n, [j]]) for j, n in enumerate(lengths)]
+    for name in ("inputs", "recur", "group_w", "class_w", "word_w"):
+        whole = sum(g[name] * n for (g, _), n in zip(alone, lengths)) / sum(lengths)
+        assert np.allclose(grads[name], whole, atol=1e-6)
+    assert np.allclose(last, np.concatenate([x for _, x in alone]), atol=1e-6)
+
+
+def test_lm_row_sums():
+    rng = np.random.default_rng(7)
+    ids = np.concatenate([rng.integers(0, 300, 900), np.full(500, 7), np.full(16, 400), np.full(17, 401)])
+    values = rng.normal(size=(len(ids), 3))
+    found, sums, times = lm_scoring.row_sums(ids, values)
+    assert sorted(found) == sorted(set(ids))
+    for k, x, n in zip(found, sums, times):
+        assert n == (ids == k).sum() and np.allclose(x, values[ids == k].sum(0))
+
+
 def test_windows_against_brute_force(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(4)]
