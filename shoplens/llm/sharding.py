@@ -1,13 +1,17 @@
 """Sharding: minimax contiguous partition of ordered atomic groups (DataFrame functions only).
 
-Equal texts form one group. Groups are ordered by the MD5 of their text; the
-atomic groups that are cut between are the ``2**bits`` ranges of that order
-(equal texts always share a range), so the table the search works on has a fixed
-size at every scale. A binary search finds the smallest capacity for which a
-greedy walk over the ordered ranges needs no more than ``shards`` shards, and the
-shards are cut there. The law is ``bytes``: with sizes near equal, the largest
-shard exceeds the mean by less than one range (or by one group, where a single
-group is larger than that).
+Equal texts form one group. Groups are ordered by the first 60 bits of the MD5 of
+their text (texts that share them are one group). A binary search finds the
+smallest capacity for which a greedy walk over the ordered groups needs no more
+than ``shards`` shards, and the shards are cut there. The law is ``bytes``: with
+sizes near equal, the largest shard exceeds the mean by less than one group.
+
+The search reads no list of all groups. It begins with the sizes of ``2**bits``
+ranges of the order and two bounds: ranges taken as whole give a capacity that
+suffices, ranges that may be cut anywhere one that is needed. Only the ranges in
+which a cut can lie for a capacity between the two are then split into 64 each, by
+one aggregate over the rows, until the bounds meet at single groups; so the driver
+holds a table of a fixed order of size at every scale, and the capacity is exact.
 
 Slots come from two levels of counts: rows are numbered inside (range, salt)
 cells and offset by the cells before them; ranges with more than ``cell_rows``
@@ -21,6 +25,9 @@ may stay empty when there are fewer groups than shards.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from itertools import accumulate, pairwise, zip_longest
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,32 +35,89 @@ from pyspark.sql.window import Window
 from shoplens.llm.common import stored
 
 
-def capacity_and_cuts(cells: DataFrame, shards: int, steps: int = 52) -> DataFrame:
-    """(range, shard) for a bounded table (range, bytes): smallest feasible capacity, then the greedy cut.
+POSITION_BITS = 60
+
 
-    One row holds all sizes as an array. A state of the walk is (shards used, fill of the last one).
+def walk(ends: list[int], capacity: int, whole: list[bool] | None) -> list[int] | None:
+    """Byte offsets at which shards end, filled one after the other; None if a range doesn't fit.
+
+    ``ends`` are the running sums of the ranges' sizes from 0. Ranges that are not ``whole`` (None: all are) may be cut.
     """
-    walk = """aggregate(sizes, named_struct('n', 1, 'fill', 0L),
-              (a, s) -> if(a.fill + s <= {cap} OR a.fill = 0L,
-                           named_struct('n', a.n, 'fill', a.fill + s), named_struct('n', a.n + 1, 'fill', s)), a -> a.n)"""
-    one = cells.agg(F.array_sort(F.collect_list(F.struct("range", "bytes"))).alias("cells")) \
-        .withColumn("sizes", F.expr("transform(cells, c -> c.bytes)")) \
-        .withColumn("low", F.expr(f"greatest(array_max(sizes), "
-                                  f"cast(ceil(aggregate(sizes, 0L, (a, s) -> a + s) / {shards}) as bigint))")) \
-        .withColumn("high", F.expr(f"cast(aggregate(sizes, 0L, (a, s) -> a + s) / {shards} as bigint) + array_max(sizes) + 1"))
-    search = f"""aggregate(sequence(1, {steps}), named_struct('low', low, 'high', high),
-                 (b, i) -> if(b.low >= b.high, b,
-                    if({walk.format(cap="((b.low + b.high) div 2)")} <= {shards},
-                       named_struct('low', b.low, 'high', (b.low + b.high) div 2),
-                       named_struct('low', (b.low + b.high) div 2 + 1, 'high', b.high))), b -> b.high)"""
-    one = one.withColumn("capacity", F.expr(search))
-    # only the first range of each shard is kept, so nothing grows with the number of ranges
-    starts = """aggregate(cells, named_struct('shard', 0, 'fill', 0L, 'starts', array(-1)),
-                (a, c) -> if(a.fill + c.bytes <= capacity OR a.fill = 0L,
-                   named_struct('shard', a.shard, 'fill', a.fill + c.bytes, 'starts', a.starts),
-                   named_struct('shard', a.shard + 1, 'fill', c.bytes, 'starts', array_append(a.starts, c.range))),
-                a -> a.starts)"""
-    return one.withColumn("starts", F.expr(starts)).select("capacity", "starts")
+    at, cuts = 0, []
+    while at < ends[-1]:
+        stop = min(at + capacity, ends[-1])
+        k = bisect_right(ends, stop) - 1
+        if stop > ends[k] and (whole is None or whole[k]):
+            stop = ends[k]
+        if stop <= at:
+            return None
+        cuts.append(stop)
+        at = stop
+    return cuts
+
+
+def smallest_capacity(ends: list[int], shards: int, whole: list[bool] | None) -> int:
+    low = -(-ends[-1] // shards)
+    high = low + max(b - a for a, b in pairwise(ends))
+    while low < high:
+        middle = (low + high) // 2
+        cuts = walk(ends, middle, whole)
+        if cuts is not None and len(cuts) <= shards:
+            high = middle
+        else:
+            low = middle + 1
+    return low
+
+
+def uncertain(sizes: list[int], single: list[bool], shards: int) -> tuple[int, list[int]]:
+    """(capacity that suffices, ranges to split): none if no smaller capacity is possible."""
+    ends = [0, *accumulate(sizes)]
+    large = [k for k, n in enumerate(sizes) if not single[k] and n * shards * 16 > ends[-1]]
+    if large:           # at most 16 for each shard
+        return 0, large
+    high, low = smallest_capacity(ends, shards, None), smallest_capacity(ends, shards, single)
+    if low == high:
+        return high, []
+    # a shard's end lies between those of whole ranges at the lower bound and of divisible ones at the upper bound
+    split: set[int] = set()
+    for first, last in zip_longest(walk(ends, low, None), walk(ends, high, single), fillvalue=ends[-1]):
+        split.update(k for k in range(bisect_right(ends, first) - 1, min(len(sizes), bisect_left(ends, last)))
+                     if not single[k])
+    return high, sorted(split)
+
+
+def _sizes(rows: DataFrame, *keys) -> list:
+    return rows.groupBy(*keys).agg(F.sum("size").alias("bytes"), F.min("position").alias("low"),
+                                   F.max("position").alias("high")).collect()
+
+
+def capacity_and_starts(rows: DataFrame, shards: int, bits: int, more: int = 6) -> tuple[int, list[int]]:
+    """(smallest feasible capacity of single groups, first position of each shard) for rows (position, size)."""
+    start = F.shiftright("position", POSITION_BITS - bits)
+    # (first position in it, prefix, bits of the prefix, bytes, a single group)
+    ranges = sorted((r["low"], r["prefix"], bits, r["bytes"], r["low"] == r["high"])
+                    for r in _sizes(rows.withColumn("prefix", start), "prefix"))
+    while ranges:
+        capacity, split = uncertain([r[3] for r in ranges], [r[4] for r in ranges], shards)
+        if not split:
+            break
+        chosen = ",".join(f"{ranges[k][2]}:{ranges[k][1]}" for k in split)
+        depths = sorted({ranges[k][2] for k in split})
+        table = rows.sparkSession.range(1).select(F.explode(F.split(F.lit(chosen), ",")).alias("key")).select(
+            F.split("key", ":")[0].cast("int").alias("depth"), F.split("key", ":")[1].cast("long").alias("prefix"))
+        inside = rows.withColumn("depth", F.explode(F.array(*map(F.lit, depths)))) \
+            .withColumn("prefix", F.expr(f"shiftright(position, {POSITION_BITS} - depth)")) \
+            .join(F.broadcast(table), ["depth", "prefix"]) \
+            .withColumn("deeper", F.least(F.lit(POSITION_BITS), F.col("depth") + more)) \
+            .withColumn("part", F.expr(f"shiftright(position, {POSITION_BITS} - deeper)"))
+        gone = set(split)
+        ranges = sorted([r for k, r in enumerate(ranges) if k not in gone] + [
+            (r["low"], r["part"], r["deeper"], r["bytes"], r["low"] == r["high"]) for r in _sizes(inside, "deeper", "part")])
+    if not ranges:
+        return 0, [0]
+    ends = [0, *accumulate(r[3] for r in ranges)]
+    cuts = walk(ends, capacity, None)
+    return capacity, [0] + [ranges[bisect_left(ends, c)][0] for c in cuts[:-1]]
 
 
 def shard_by_bytes(documents: DataFrame, shards: int = 16, bits: int = 14, cell_rows: int = 20_000) -> DataFrame:
@@ -63,12 +127,13 @@ def shard_by_bytes(documents: DataFrame, shards: int = 16, bits: int = 14, cell_
     rows = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.shiftright(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), 16 - bits).alias("range"))
+        F.conv(F.substring(digest, 1, POSITION_BITS // 4), 16, 10).cast("long").alias("position"))
     rows = stored(rows, "sharding")
-    cells = rows.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    cuts = capacity_and_cuts(cells, shards).first()
-    starts = F.array(*[F.lit(s) for s in (cuts["starts"] or [-1])])
-    shard = (F.size(F.filter(starts, lambda s: s <= F.col("range"))) - 1).alias("shard")
+    _, starts = capacity_and_starts(rows.select("position", "size"), shards, bits)
+    rows = rows.withColumn("range", F.shiftright("position", POSITION_BITS - bits).cast("int"))
+    cells = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    starts = F.array(*[F.lit(s).cast("long") for s in starts])
+    shard = (F.size(F.filter(starts, lambda s: s <= F.col("position"))) - 1).alias("shard")
 
     # salts: a cell per cell_rows rows of a range; the salt is a range of the id's hash, so cells are ordered
     salts = cells.select("range", F.ceil(F.col("n") / cell_rows).cast("int").alias("salts"))

@@ -1,6 +1,7 @@
 """Operators against brute force, exact round trips, held-out accuracy and DuckDB SQL."""
 
 import hashlib
+import itertools
 import math
 import random
 import zlib
@@ -233,6 +234,47 @@ def test_windows_against_brute_force(spark):
         assert (d in clean) == (hit == 0)
 
 
+@pytest.mark.parametrize("bits", [2, 6, 14])
+def test_shard_capacity_is_that_of_single_groups(spark, bits):
+    # a hot text, copies and sizes far apart; the search may begin with ranges far larger than a group
+    rng = random.Random(bits)
+    some = [f"{i} " + "x" * rng.choice([1, 5, 30, 200, 900]) for i in range(700)]
+    whole = some + ["hot " * 30] * 900 + rng.choices(some, k=300) + [None, ""]
+    rows = sharding.shard_by_bytes(spark.createDataFrame(list(enumerate(whole)), "doc_id long, text string"), bits=bits).collect()
+    groups = Counter()
+    for t in whole:
+        raw = (t or "").encode()
+        groups[hashlib.md5(raw).hexdigest()[:15]] += len(raw) + 1
+    sizes = [n for _, n in sorted(groups.items())]
+
+    def needed(capacity):
+        n, fill = 1, 0
+        for s in sizes:
+            n, fill = (n, fill + s) if fill + s <= capacity else (n + 1, s)
+        return n
+    best = next(c for c in range(max(max(sizes), -(-sum(sizes) // 16)), sum(sizes) + 1) if needed(c) <= 16)
+    found = Counter()
+    for r in rows:
+        found[r["shard"]] += r["size"]
+    assert len(rows) == len(whole) and max(found.values()) == best
+    assert len({r["shard"] for r in rows if r["text_crc32"] == zlib.crc32(b"hot " * 30)}) == 1
+
+
+def test_shard_search_against_brute_force():
+    rng = random.Random(8)
+    for _ in range(60):
+        sizes = [rng.choice([1, 2, 7, 40]) for _ in range(rng.randint(1, 40))]
+        shards = rng.randint(1, 6)
+        found = sharding.smallest_capacity([0, *itertools.accumulate(sizes)], shards, None)
+
+        def needed(capacity):
+            n, fill = 1, 0
+            for s in sizes:
+                n, fill = (n, fill + s) if fill + s <= capacity else (n + 1, s)
+            return n
+        assert found == next(c for c in range(max(sizes), sum(sizes) + 1) if needed(c) <= shards)
+
+
 def test_shards(spark):
     docs = dict(texts(spark))
     rows = sharding.shard_by_bytes(table(spark, "documents"), cell_rows=7).collect()
@@ -248,7 +290,7 @@ def test_shards(spark):
     groups = Counter()
     for t in docs.values():
         raw = (t or "").encode()
-        groups[int(hashlib.md5(raw).hexdigest()[:4], 16) >> 2] += len(raw) + 1
+        groups[hashlib.md5(raw).hexdigest()[:15]] += len(raw) + 1
     ordered = [groups[k] for k in sorted(groups)]
 
     def needed(capacity):
