@@ -456,18 +456,18 @@ def _train_everywhere(training: DataFrame, vocab: Vocabulary, weights, rate: flo
     Splits are put together to at most ``shards`` shards, whose number follows from the bytes of the corpus and not from
     the cores: a lost executor costs the shards it was at.
     """
-    return _train(training.select("text").coalesce(shards), vocab, weights, rate, vocab.shape.corpus_slots)
+    return _train(training.select("text").coalesce(shards), vocab, weights, rate, vocab.shape.corpus_slots, shards)
 
 
 def _warm(sample: DataFrame, vocab: Vocabulary, weights, rate: float) -> list[np.ndarray]:
     """The weights after one task has gone over a bounded sample in order."""
     rows = sample.select("doc_id", "text").repartition(1).sortWithinPartitions("doc_id", "text")
-    return _train(rows, vocab, weights, rate, vocab.shape.train_slots)[0]
+    return _train(rows, vocab, weights, rate, vocab.shape.train_slots, 1)[0]
 
 
-def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
+def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int, models: int,
            block_rows: int = 256, fan: int = 64) -> tuple[list[np.ndarray], int]:
-    """(weights, tokens learned from): a model for each partition, begun at the given weights.
+    """(weights, tokens learned from): a model for each of at most ``models`` partitions, begun at the given weights.
 
     What the models change is averaged row by row, weighted by the tokens that used the row; rows that no model has
     used stay. Weights come back in blocks of rows, ``fan`` models first added up to one, and the given arrays are
@@ -505,11 +505,11 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
                          "uses": total("uses", "f8", "f8"), "sums": total("sums", "f4", "f4")})
 
     schema = "model int, part int, at int, uses binary, sums binary"
-    made, left = rows.mapInArrow(local, schema), rows.rdd.getNumPartitions()
+    made = rows.mapInArrow(local, schema)
     while True:
-        left = -(-left // fan)
         made = made.groupBy("model", "part", "at").applyInArrow(add, schema)
-        if left <= 1:
+        models = -(-models // fan)
+        if models <= 1:
             break
     seen = 0
     for r in made.collect():

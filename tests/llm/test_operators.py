@@ -205,6 +205,16 @@ def test_lm_slots_of_different_lengths():
     assert np.allclose(last, np.concatenate([x for _, x in alone]), atol=1e-6)
 
 
+def test_lm_models_are_added_up_in_a_tree(spark):
+    # nine shards, two at a time: the same weights as in one step, from all tokens
+    shape = lm_scoring.Shape(hidden=4, head_classes=3, head_words=9, tail_classes=2)
+    vocab = lm_scoring.Vocabulary(shape, {b"w%d" % i: i for i in range(9)})
+    rows = spark.range(0, 180, 1, 9).selectExpr("concat_ws(' ', transform(sequence(0, id % 40), i -> concat('w', (i * id) % 11))) AS text")
+    made = [lm_scoring._train(rows, vocab, lm_scoring.Network(vocab).weights(), 0.02, 16, 9, fan=fan) for fan in (2, 64)]
+    assert made[0][1] == made[1][1] == sum(i % 40 + 2 for i in range(180))
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(made[0][0], made[1][0]))
+
+
 def test_lm_row_sums():
     rng = np.random.default_rng(7)
     ids = np.concatenate([rng.integers(0, 300, 900), np.full(500, 7), np.full(16, 400), np.full(17, 401)])
