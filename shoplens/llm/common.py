@@ -74,8 +74,16 @@ def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
     return rows if n <= bound else rows.filter(hashed_share(key, bound / n))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no Arrow batch of the session hold more rows: whole texts are held several times over on both sides of a
+    worker's pipe. Results don't depend on it; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def release() -> None:
-    """Give freed memory back at the end of a task: its worker lives on, idle or in the next stage."""
+    """Give freed memory back, at the end of a task at least: its worker lives on, idle or in the next stage."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only

@@ -203,6 +203,7 @@ def _bucket_forest(least):
                         todo = np.delete(todo, hit)
             if child:
                 yield pa.RecordBatch.from_arrays([pa.array(child, pa.binary()), pa.array(root, pa.binary())], ["u", "v"])
+        release()
     return run
 
 
@@ -298,6 +299,7 @@ def _group_links(threshold: float):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([nodes[i] for i in some], pa.binary()), pa.array([nodes[root[i]] for i in some], pa.binary()),
                      pa.array(linked @ weight), pa.array(linked.sum(1))], ["node", "root", "links", "sets"])
+        release()
     return run
 
 
@@ -335,6 +337,7 @@ def _classes(documents: DataFrame, threshold: float, tolerance: float = 1e-4, ch
             same = pa.array([digest(s) == n for s, n in zip(sets, b.column(b.schema.get_field_index("node")).to_pylist())], pa.bool_())
             kept = b.select(["node", "root", "n", "size"]).append_column("grams", pa.array([s.tobytes() for s in sets], pa.binary()))
             yield kept.filter(same)
+        release()
 
     found = found.select("text", "node", "root", "n", "size").mapInArrow(
         with_grams, "node binary, root binary, n long, size long, grams binary")

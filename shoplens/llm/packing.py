@@ -35,7 +35,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored, texts, utf8
+from shoplens.llm.common import release, stored, texts, utf8
 
 CACHE_STRINGS = 400_000
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -157,6 +157,8 @@ def pieces(documents: DataFrame, capacity: int, tokenizer: str, end_id: int = 0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(out)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+            del b, out
+            release()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECE)
 

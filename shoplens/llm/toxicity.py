@@ -239,7 +239,8 @@ def reject(documents: DataFrame, lexicon: Lexicon, threshold: float = 0.3) -> Da
 
     def keep(batch: list[str | None]) -> list[bool]:
         lex = model.value
-        auto = made.setdefault("auto", lex.automaton())
-        return [probability(lex, auto, t) < threshold for t in batch]
+        if "auto" not in made:
+            made["auto"] = lex.automaton()
+        return [probability(lex, made["auto"], t) < threshold for t in batch]
 
     return keep_rows(documents, keep)

@@ -141,3 +141,31 @@ def test_pipeline_stages_keep_columns(spark):
             assert by[7]["text"] == "mail <EMAIL> or <PHONE>, <CARD> at <IP>\u0001\U0001F600 <EMAIL>"
             assert by[7]["n_chars"] == len(by[7]["text"]) and by[1]["text"] is None and by[2]["text"] == ""
     assert table(spark, "documents").columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_pipeline_workers_hold_few_texts_at_a_time(spark):
+    import corpus_pipeline as P
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows, found = documents(spark, [(i, f"text {i}", None, None, None) for i in range(2500)]).coalesce(1), []
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+    try:
+        for setting, most in (("10000", 1000), ("0", 1000), ("300", 300)):
+            spark.conf.set(key, setting)
+            P.drop_contaminated(spark, rows, "/root/testdata/sf0.001")
+            found.append((max(r["n"] for r in rows.mapInArrow(sizes, "n long").collect()), most))
+    finally:
+        spark.conf.set(key, before)
+    assert all(a == b for a, b in found), found
+
+
+def test_rejecting_builds_its_automaton_once_a_task(spark, monkeypatch):
+    made, inner = [], toxicity.Lexicon.automaton
+    monkeypatch.setattr(toxicity.Lexicon, "automaton", lambda self: made.append(1) or inner(self))
+    monkeypatch.setattr(toxicity, "keep_rows", lambda rows, keep: keep)
+    keep = toxicity.reject(documents(spark), toxicity.Lexicon({"vile": 9.0}, [], (10.0, 0.0, -5.0)))
+    assert [keep(["vile", None]), keep(["kind"])] == [[False, True], [True]] and len(made) == 1
