@@ -111,14 +111,23 @@ class Network:
         self.vocab = vocab
 
         def table(rows: int) -> np.ndarray:
-            w = rng.standard_normal((rows, s.hidden + 1), "f4") * np.float32(0.1)
+            w = rng.standard_normal((rows, s.hidden + 1), "f4")
+            w *= np.float32(0.1)
             w[:, -1] = 0
             return w
-        self.inputs = rng.standard_normal((vocab.symbols, 3 * s.hidden), "f4") * np.float32(0.1)
+        self.inputs = rng.standard_normal((vocab.symbols, 3 * s.hidden), "f4")
+        self.inputs *= np.float32(0.1)
         self.recur = rng.normal(0, 1 / math.sqrt(s.hidden), (s.hidden, 3 * s.hidden)).astype("f4")
         self.group_w, self.class_w, self.word_w = table(len(vocab.groups) - 1), table(vocab.classes), table(s.head_words)
         self.start = np.zeros(s.hidden, "f4")
 
+    @classmethod
+    def of(cls, vocab: Vocabulary, weights) -> "Network":
+        """A network of given weights, none drawn."""
+        net = cls.__new__(cls)
+        net.vocab = vocab
+        return net.set_weights(weights)
+
     def weights(self) -> list[np.ndarray]:
         return [getattr(self, n) for n in self.NAMES]
 
@@ -470,14 +479,14 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
     """(weights, tokens learned from): a model for each of at most ``models`` partitions, begun at the given weights.
 
     What the models change is averaged row by row, weighted by the tokens that used the row; rows that no model has
-    used stay. Weights come back in blocks of rows, ``fan`` models first added up to one, and the given arrays are
-    changed in place.
+    used stay. Weights come back in blocks of rows, ``fan`` models first added up to one; the driver takes the blocks
+    from the shared storage a part of them at a time and changes the given arrays in place.
     """
     shared = broadcast(rows.sparkSession, (vocab, weights))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = shared.value
-        net = Network(v).set_weights([w.copy() for w in start])
+        net = Network.of(v, [w.copy() for w in start])
         seen, uses = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate, slots)
         model = TaskContext.get().partitionId() // fan
         for i, (name, old) in enumerate(zip(net.NAMES, start)):
@@ -512,7 +521,7 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
         if models <= 1:
             break
     seen = 0
-    for r in made.collect():
+    for r in stored(made, "lm_model").coalesce(8).toLocalIterator():
         uses = np.frombuffer(r["uses"], "f8")
         step = np.frombuffer(r["sums"], "f4").reshape(len(uses), -1) / np.maximum(uses, 1)[:, None]
         part = weights[r["part"]][r["at"]:r["at"] + len(uses)]
@@ -520,6 +529,7 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
         if Network.NAMES[r["part"]] == "start":
             seen = int(uses[0])
     shared.destroy()
+    release()
     return weights, seen
 
 
@@ -543,12 +553,16 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     stats = statistics(counts, ends, vocab, head, cached)
 
     network = Network(vocab)
+    release()
     if ends:
         _start_biases(network, vocab, head, stats)
         weights = _warm(bounded_sample(training, "doc_id", warm_rows), vocab, network.weights(), rate)
         network.set_weights(_train_everywhere(training, vocab, weights, rate / 10, 1 + size // shard_bytes)[0])
 
-    shared = broadcast(spark, (vocab, network.weights(), stats))
+    shared, total = broadcast(spark, (vocab, network.weights(), stats)), stats.total
+    del cached, head, vocab, stats, network
+    weights = None
+    release()
     scored = docs.withColumn("held_out", rest == held).mapInArrow(
         _scorer(shared), "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
         "rare array<binary>").withColumn("row", F.struct(F.spark_partition_id().alias("p"), "row"))
@@ -560,7 +574,7 @@ def score(documents: DataFrame, modulus: int = 7, held: int = 2, shape: Shape =
     gain = F.coalesce("gain", F.lit(0.0))
     return scored.drop("rare").join(late, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(stats.total).cast("long").alias("train_tokens"), (F.col("base") + gain).alias("base_score"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + gain).alias("base_score"),
         (F.col("model") + gain).alias("score"))
 
 
@@ -620,7 +634,7 @@ class Lookup:
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, weights, stats = shared.value
-        net = Network(vocab).set_weights(weights)
+        net = Network.of(vocab, weights)
         s = vocab.shape
         base = math.log10(stats.total + stats.distinct + 1)
         inside = [math.log10(n + v + 1) for n, v in zip(stats.tail_total, stats.tail_distinct)]

@@ -215,6 +215,27 @@ def test_lm_models_are_added_up_in_a_tree(spark):
     assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(made[0][0], made[1][0]))
 
 
+def test_models_come_to_the_driver_a_part_at_a_time(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"w{i % 5} w{i % 3}",) for i in range(40)], "text string").repartition(3)
+    vocab = lm_scoring.Vocabulary(lm_scoring.Shape(hidden=4, head_classes=2, head_words=5, tail_classes=2),
+                                  {b"w%d" % i: i for i in range(5)})
+    start = lm_scoring.Network(vocab).weights()
+
+    def collect(self):
+        raise AssertionError("the whole model is collected at once")
+    monkeypatch.setattr(type(rows), "collect", collect)
+    weights, seen = lm_scoring._train(rows, vocab, [w.copy() for w in start], 0.02, 16, 3)
+    assert seen == 120 and not np.array_equal(weights[0], start[0])
+
+
+def test_a_network_of_given_weights_draws_none(monkeypatch):
+    vocab = lm_scoring.Vocabulary(lm_scoring.Shape(hidden=4, head_classes=2, head_words=5, tail_classes=2),
+                                  {b"w%d" % i: i for i in range(5)})
+    weights = lm_scoring.Network(vocab).weights()
+    monkeypatch.setattr(np.random, "default_rng", None)
+    assert all(a is b for a, b in zip(lm_scoring.Network.of(vocab, weights).weights(), weights))
+
+
 def test_lm_row_sums():
     rng = np.random.default_rng(7)
     ids = np.concatenate([rng.integers(0, 300, 900), np.full(500, 7), np.full(16, 400), np.full(17, 401)])
