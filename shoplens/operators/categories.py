@@ -84,6 +84,10 @@ def session_rows(actions: DataFrame) -> DataFrame:
     ), "categories")
 
 
+#: The former name, still in use.
+session_cells = session_rows
+
+
 def session_category_counts(rows: DataFrame) -> DataFrame:
     """``session_id, category_id, click_count, order_count, pay_count`` of ``session_rows`` (J2: those that are left)."""
     return rows.select("session_id", F.inline("categories"))
