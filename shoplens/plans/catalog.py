@@ -396,14 +396,19 @@ def q_area_top3_product_sql(spark, sf_dir):
     """The area job through the SQL surface: base and intermediate views (K8), SQL functions (G1-G3), bound arguments."""
     t = Tables(spark, sf_dir)
     register_sql_functions(spark)
-    register_views({"user_visit_action": t.actions(), "product_info": t.products(), "city_info": t.cities()})
+    views = {"user_visit_action": t.actions(), "product_info": t.products(), "city_info": t.cities()}
     args = {"first_day": P.start_date, "last_day": P.end_date, "k": P.top_products, "task": P.task_id,
             "other_level": X.DEFAULT_AREA_LEVEL,
             "levels": F.create_map(*[F.lit(x) for level, areas in TESTDATA_AREA_LEVELS.items()
                                      for area in areas for x in (area, level)])}
-    for name, text in AREA_SQL_VIEWS.items():
-        register_views({name: spark.sql(text, args={k: v for k, v in args.items() if f":{k}" in text})})
-    return spark.sql(AREA_TOP_SQL, args={k: v for k, v in args.items() if f":{k}" in AREA_TOP_SQL})
+    register_views(views)
+    try:
+        for name, text in AREA_SQL_VIEWS.items():
+            register_views({name: spark.sql(text, args={k: v for k, v in args.items() if f":{k}" in text})})
+        return spark.sql(AREA_TOP_SQL, args={k: v for k, v in args.items() if f":{k}" in AREA_TOP_SQL})
+    finally:        # the result is resolved; a view left behind would hide the catalog's table of its name
+        for name in (*views, *AREA_SQL_VIEWS):
+            spark.catalog.dropTempView(name)
 
 
 @register("sink_roundtrip")

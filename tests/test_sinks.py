@@ -105,3 +105,28 @@ def test_catalog_input_is_checked_and_its_partitions_pruned(spark, tmp_dir):
             jobs.main(["page", "--catalog", "--output", f"{tmp_dir}/o", "--params", '{"startDate": "2019-06-10", "endDate": "2019-06-12"}'])
     finally:
         spark.sql("DROP TABLE IF EXISTS user_visit_action")
+
+
+def test_sql_query_leaves_no_view_behind(spark, monkeypatch):
+    # a view of this name hid the catalog's table from the jobs of the same session
+    from helpers import actions_df
+    from shoplens import schemas as S
+    from shoplens.plans import catalog
+
+    class Own:
+        def __init__(self, spark, sf_dir):
+            pass
+
+        def actions(self):
+            return actions_df(spark, [dict(date=catalog.P.start_date, click_product_id=p, city_id=1) for p in (1, 1, 2)])
+
+        def products(self):
+            return spark.createDataFrame([(1, "a", '{"product_status": "0"}'), (2, "b", None)], S.PRODUCT_INFO)
+
+        def cities(self):
+            return spark.createDataFrame([(1, "c", "x")], S.CITY_INFO)
+    monkeypatch.setattr(catalog, "Tables", Own)
+    before = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    rows = catalog.QUERIES["area_top3_product_sql"](spark, "").orderBy("productid").collect()
+    assert [(r["productid"], r["clickCount"], r["productStatus"]) for r in rows] == [(1, 2, "Self"), (2, 1, "Third Party")]
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} == before
