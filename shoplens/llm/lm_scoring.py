@@ -32,18 +32,18 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import bounded_sample, broadcast, release, remainder, stored, texts, utf8, word_hashes
+from shoplens.llm.common import bounded_sample, broadcast, release, remainder, stored, utf8
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -51,6 +51,18 @@ def tokens(text: str | None) -> list[bytes]:
     return utf8(text).lower().split() if text else []
 
 
+def word_lists(column: pa.Array, chunk: int = 1 << 20) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The same of a column of texts, about ``chunk`` bytes at a time: (words of some texts, where each text's begin and end)."""
+    column = pc.fill_null(column, "")
+    size = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype="i8")
+    cuts = [0, *(np.flatnonzero(np.diff(size // chunk)) + 1).tolist(), len(column)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(column.slice(lo, hi - lo)))
+        words, ends = lists.values.cast(pa.binary()), lists.offsets.to_numpy()
+        full = pc.not_equal(pc.binary_length(words), 0)         # white space around a text leaves empty ones
+        yield words.filter(full), np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[ends]
+
+
 @dataclass(frozen=True)
 class Shape:
     hidden: int = 24
@@ -89,6 +101,11 @@ class Vocabulary:
     def tail(self, word: bytes) -> int:
         return zlib.crc32(word[-4:]) % self.shape.tail_classes
 
+    def tails(self, words: pa.Array) -> np.ndarray:
+        """``tail`` of each word."""
+        ends = pc.binary_slice(words, -4).dictionary_encode()
+        return np.array([self.tail(w) for w in ends.dictionary.to_pylist()], "i4")[ends.indices.to_numpy()]
+
     def symbol(self, word: bytes) -> int:
         k = self.head.get(word)
         return self.shape.head_words + self.tail(word) if k is None else k
@@ -144,22 +161,26 @@ class Network:
         n = h.shape[1]
         before = np.empty((len(symbols), *h.shape), "f4")
         saved, h = [], h.copy()
+        # a plane for each of z, r and n, so that all but the sum of both parts runs over whole arrays
+        recur, inputs = self.recur.reshape(n, 3, n).transpose(1, 0, 2), self.inputs.reshape(-1, 3, n)
         for t, m in enumerate(active(lengths, *symbols.shape)):
             before[t] = h
-            x, p = self.inputs[symbols[t, :m]], h[:m]
-            g = p @ self.recur
-            zr = x[:, :2 * n] + g[:, :2 * n]
+            x, p = inputs[symbols[t, :m]].transpose(1, 0, 2), h[:m]
+            g = p @ recur
+            zr, c = g[:2], g[2]
+            zr += x[:2]
             np.negative(zr, zr)
             np.exp(zr, zr)
             zr += 1
             np.reciprocal(zr, zr)
-            c = zr[:, n:] * g[:, 2 * n:]
-            c += x[:, 2 * n:]
-            np.tanh(c, c)
             if keep:
-                saved.append((zr, g[:, 2 * n:], c))
+                saved.append((zr, c, c := zr[1] * c))
+            else:
+                c *= zr[1]
+            c += x[2]
+            np.tanh(c, c)
             p -= c
-            p *= zr[:, :n]
+            p *= zr[0]
             p += c
         return before, h, saved
 
@@ -179,17 +200,17 @@ class Network:
             if hi - lo > 1:
                 yield "word_w", lo, hi, a, b, goal[a:b] - lo
 
-    def by_class(self, states: np.ndarray, symbols: np.ndarray):
-        """(order, states with a one for the bias, symbols), sorted by class."""
+    def by_class(self, states: np.ndarray, symbols: np.ndarray, at: np.ndarray | None = None):
+        """(order, states with a one for the bias, symbols), sorted by class; ``at`` has the symbols' rows of states."""
         order = np.argsort(self.vocab.class_of(symbols), kind="stable")
-        sorted_states = np.ones((len(states), states.shape[1] + 1), "f4")
-        np.take(states, order, axis=0, out=sorted_states[:, :-1])
+        sorted_states = np.ones((len(order), states.shape[1] + 1), "f4")
+        np.take(states, order if at is None else at[order], axis=0, out=sorted_states[:, :-1], mode="clip")
         return order, sorted_states, symbols[order]
 
-    def predict(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
-        """Natural log of P(class) and, for head words, of P(word | class) as well."""
-        out = np.zeros(len(states))
-        order, states, goal = self.by_class(np.asarray(states, "f4"), symbols)
+    def predict(self, states: np.ndarray, symbols: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+        """Natural log of P(class) and, for head words, of P(word | class) as well; ``at`` as in ``by_class``."""
+        out = np.zeros(len(symbols))
+        order, states, goal = self.by_class(np.asarray(states, "f4"), symbols, at)
         got, ones, row = np.zeros(len(order)), np.ones(len(self.vocab.class_table) + 1, "f4"), np.arange(len(order))
         for name, lo, hi, a, b, want in self.softmaxes(goal):
             z = states[a:b] @ getattr(self, name)[lo:hi].T
@@ -208,21 +229,26 @@ class Network:
             grads[name][some] = g
         return grads, last
 
-    def row_gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray):
+    def row_gradients(self, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray, real: np.ndarray,
+                      sums: np.ndarray | None = None):
         """The same, of the tables only the rows that are not zero: (name, rows, gradients, tokens that used them).
 
-        ``real`` marks the first steps of each slot. Tokens are held step by step, the longest slots first.
+        ``real`` marks the first steps of each slot. Tokens are held step by step, the longest slots first. Gradients of
+        word_w are written to ``sums``, if given; classes that follow each other come as one run of rows.
         """
         n, lengths = self.vocab.shape.hidden, real.sum(0)
         slots = np.argsort(-lengths, kind="stable")
         lengths, real, inputs, targets = lengths[slots], real[:, slots], inputs[:, slots], targets[:, slots]
         before, last, saved = self.states(h[slots], inputs, lengths, keep=True)
-        order, states, goal = self.by_class(np.concatenate([before[1:], last[None]]).astype("f4")[real], targets[real])
+        used = np.flatnonzero(real)
+        after = np.concatenate([before[1:], last[None]]).astype("f4", copy=False)
+        order, states, goal = self.by_class(after.reshape(-1, n), targets[real], used)
         count, row = len(order), np.arange(len(order))
         weight, ones = np.float32(1 / max(1, count)), np.ones(len(self.vocab.class_table) + 1, "f4")
         grads = {"group_w": None, "class_w": np.zeros_like(self.class_w), "start": np.zeros_like(self.start)}
-        table_rows = []
-        push = np.zeros((count, n), "f4")
+        runs, times = [], []
+        sums = np.empty_like(self.word_w) if sums is None else sums
+        push = np.empty((count, n), "f4")
         for name, lo, hi, a, b, want in self.softmaxes(goal):
             w, state = getattr(self, name)[lo:hi], states[a:b]
             z = state @ w.T
@@ -230,20 +256,30 @@ class Network:
             z *= (weight / (z @ ones[:hi - lo]))[:, None]
             z[row[:b - a], want] -= weight
             if name == "word_w":
-                table_rows.append((name, slice(lo, hi), z.T @ state, b - a))
+                np.matmul(z.T, state, out=sums[lo:hi])
+                if not runs or runs[-1][1] != lo:
+                    runs.append([lo, hi])
+                    times.append([])
+                runs[-1][1] = hi
+                times[-1].append((hi - lo, b - a))
             elif name == "class_w":
                 grads[name][lo:hi] = z.T @ state
             else:
                 grads[name] = z.T @ state
-            push[a:b] += z @ w[:, :-1]
+            if name == "group_w":
+                np.matmul(z, w[:, :-1], out=push[a:b])
+            else:
+                push[a:b] += z @ w[:, :-1]
+        table_rows = [("word_w", slice(lo, hi), sums[lo:hi], np.repeat(*reversed(np.array(of).T)))
+                      for (lo, hi), of in zip(runs, times)]
         back = np.empty_like(push)
         back[order] = push
         carry = np.zeros(h.shape, "f4")
-        gates, via = np.empty((count, 3 * n), "f4"), np.empty((count, n), "f4")
+        # columns: what n passes to the state before it, then z, r and n themselves; both triples are read as they lie
+        gates, turned = np.empty((count, 4 * n), "f4"), np.roll(self.recur, n, axis=1)
         at = count
         for t, m in reversed(list(enumerate(active(lengths, *inputs.shape)))):
-            zr, g, c = saved[t]
-            z, r = zr[:, :n], zr[:, n:]
+            (z, r), g, c = saved[t]
             at -= m
             d, gate = back[at:at + m], gates[at:at + m]
             d += carry[:m]
@@ -252,17 +288,16 @@ class Network:
             dc *= d
             dc *= leave
             leave *= keep
-            np.multiply(before[t, :m] - c, leave, out=gate[:, :n])
-            pull = dc * r
-            np.multiply(dc * g, r - r * r, out=gate[:, n:2 * n])
-            gate[:, 2 * n:], via[at:at + m] = dc, pull
-            keep += gate[:, :2 * n] @ self.recur[:, :2 * n].T
-            keep += pull @ self.recur[:, 2 * n:].T
+            np.multiply(dc, r, out=gate[:, :n])
+            np.multiply(before[t, :m] - c, leave, out=gate[:, n:2 * n])
+            gate[:, 3 * n:] = dc
+            dc *= g
+            dc *= r - r * r
+            gate[:, 2 * n:3 * n] = dc
+            keep += gate[:, :3 * n] @ turned.T
             carry[:m] = keep
-        prior = before[real].T
-        grads["recur"] = np.concatenate([prior @ gates[:, :2 * n], prior @ via], 1)
-        ids, sums, times = row_sums(inputs[real], gates)
-        table_rows.append(("inputs", ids, sums, times))
+        grads["recur"] = np.roll(before.reshape(-1, n)[used].T @ gates[:, :3 * n], -n, axis=1)
+        table_rows.append(("inputs", *row_sums(inputs[real], gates[:, n:])))
         left = np.empty_like(last)
         left[slots] = last
         return grads, table_rows, left
@@ -275,7 +310,7 @@ def active(lengths: np.ndarray | None, steps: int, slots: int) -> list[int]:
 
 def row_sums(ids: np.ndarray, values: np.ndarray, few: int = 16):
     """(distinct ids, sums of their rows, number of rows): whole passes for the first rows of all ids, then the longer ones."""
-    order = np.argsort(ids, kind="stable")
+    order = np.argsort(ids)
     ids = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, "i8")
     times = np.diff(np.append(first, len(ids)))
@@ -344,20 +379,23 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
     moments = {n: [np.zeros_like(getattr(network, n)), np.zeros_like(getattr(network, n))]
                for n in network.NAMES if n not in network.TABLES}
     uses = {n: np.zeros(len(getattr(network, n))) for n in network.NAMES}
-    squares = {n: np.zeros((len(getattr(network, n)), 2), "f4") for n in network.TABLES}
+    # column by column: its passes run over many rows at once, not over one short row after the other
+    network.word_w = np.asfortranarray(network.word_w)
+    sums = np.empty_like(network.word_w)
+    squares = {n: np.zeros((len(getattr(network, n)), 2), "f4", "F") for n in network.TABLES}
     width = {"inputs": 3 * shape.hidden, "word_w": shape.hidden}        # columns but for the bias
     h = np.zeros((slots, shape.hidden), "f4")
     seen, step = 0, 0
     for fresh, inputs, targets, real, _ in streams(((None, d) for d in documents), v, slots, shape.train_window):
         h[fresh] = network.start
         live = np.flatnonzero(real.any(0))      # the last documents of a stream leave slots empty
-        grads, rows, h[live] = network.row_gradients(h[live], inputs[:, live], targets[:, live], real[:, live])
+        grads, rows, h[live] = network.row_gradients(h[live], inputs[:, live], targets[:, live], real[:, live], sums)
         step += 1
         seen += int(real.sum())
         parts = []
         for name, _, g, _ in rows:
             n = width[name]
-            own = np.zeros((len(g), 2), "f4")
+            own = np.zeros((len(g), 2), "f4", "F")
             np.einsum("ij,ij->i", g[:, :n], g[:, :n], out=own[:, 0])
             if g.shape[1] > n:
                 np.square(g[:, n], own[:, 1])
@@ -388,29 +426,40 @@ def train_network(network: Network, documents: Iterator[np.ndarray], rate: float
     return seen, uses
 
 
-def symbols_of(vocab: Vocabulary, words: list[bytes]) -> np.ndarray:
-    get, head, tail = vocab.head.get, vocab.shape.head_words, vocab.tail
-    out = [get(w) for w in words]
-    out = [head + tail(w) if k is None else k for k, w in zip(out, words)]
-    out.append(vocab.end)
-    return np.array(out, "i4")
+def places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Position of each word in ``known``, -1 if it isn't there."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy()
+
 
+def symbols_of(vocab: Vocabulary, columns: Iterator[pa.Array]) -> Iterator[np.ndarray]:
+    """The symbols of each text of some columns."""
+    head = pa.array(sorted(vocab.head, key=vocab.head.get), pa.binary())
+    for column in columns:
+        for words, cuts in word_lists(column):
+            ids = places(words, head)
+            late = np.flatnonzero(ids < 0)
+            ids = ids.copy()
+            ids[late] = vocab.shape.head_words + vocab.tails(words.take(pa.array(late)))
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield np.append(ids[lo:hi], np.int32(vocab.end))
 
-def word_counts(training: DataFrame, flush: int = 200_000) -> DataFrame:
-    """(word, n) over all training texts: counted per task, then summed."""
+
+def word_counts(training: DataFrame, flush: int = 1_500_000) -> DataFrame:
+    """(word, n) over all training texts: counted per task and about ``flush`` words, then summed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(c):
-            return pa.RecordBatch.from_arrays([pa.array(list(c.keys()), pa.binary()), pa.array(list(c.values()), pa.int64())],
-                                              ["word", "n"])
-        c: Counter = Counter()
+        def out(held):
+            found = pc.value_counts(pa.chunked_array(held, pa.binary()))
+            return pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
+        held, size = [], 0
         for b in batches:
-            for t in texts(b):
-                c.update(tokens(t))
-                if len(c) > flush:
-                    yield out(c)
-                    c = Counter()
-        if c:
-            yield out(c)
+            for words, _ in word_lists(b.column("text")):
+                held.append(words)
+                size += len(words)
+                if size > flush:
+                    yield out(held)
+                    held, size = [], 0
+        if size:
+            yield out(held)
     return training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -487,7 +536,7 @@ def _train(rows: DataFrame, vocab: Vocabulary, weights, rate: float, slots: int,
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, start = shared.value
         net = Network.of(v, [w.copy() for w in start])
-        seen, uses = train_network(net, (symbols_of(v, tokens(t)) for b in batches for t in texts(b)), rate, slots)
+        seen, uses = train_network(net, symbols_of(v, (b.column("text") for b in batches)), rate, slots)
         model = TaskContext.get().partitionId() // fan
         for i, (name, old) in enumerate(zip(net.NAMES, start)):
             for at in range(0, len(old) if seen else 0, block_rows):
@@ -592,43 +641,29 @@ def _start_biases(network: Network, vocab: Vocabulary, head: dict[bytes, int], s
 
 
 class Lookup:
-    """Symbols and gains of the cached words, found by 64-bit hashes of all words of some texts at once."""
+    """Symbols and gains of all words of some texts at once."""
 
-    def __init__(self, vocab: Vocabulary, stats: Statistics, inside: list[float]):
+    def __init__(self, vocab: Vocabulary, stats: Statistics, inside: np.ndarray):
         words = list(stats.cached)
-        known = word_hashes([b" ".join(words)])[0]
-        order = np.argsort(known)
+        self.vocab, self.inside, self.words = vocab, inside, pa.array(words, pa.binary())
         gain = np.log10(np.array(list(stats.cached.values()), "f8") + 1)
-        tail = np.array([0.0 if w in vocab.head else -inside[vocab.tail(w)] for w in words])
-        symbol = np.array([vocab.symbol(w) for w in words], "i4")
-        self.keys = np.append(known[order], np.uint64(2 ** 64 - 1))
-        self.gain, self.symbol = np.append(gain[order], 0.0), np.append(symbol[order], np.int32(0))
         # what a cached tail word adds to the model's score beside the network's part
-        self.tail = np.append(np.where(tail < 0, gain + tail, 0.0)[order], 0.0)
-
-    def read(self, batch: list[str | None], chunk: int = 1 << 20):
-        """(words, found, gains, tail gains, symbols) of each text."""
-        some: list[bytes] = []
-        size = 0
-        for t in batch:
-            some.append(utf8(t).lower() if t else b"")
-            size += len(some[-1])
-            if size >= chunk:
-                yield from self._read(some)
-                some, size = [], 0
-        yield from self._read(some)
-
-    def _read(self, some: list[bytes]):
-        if not some:
-            return
-        hashes, cuts = word_hashes(some)
-        at = np.searchsorted(self.keys[:-1], hashes)
-        found = self.keys[at] == hashes
-        gain, tail, symbol = np.where(found, self.gain[at], 0.0), np.where(found, self.tail[at], 0.0), self.symbol[at]
-        lo = 0
-        for t, hi in zip(some, cuts):
-            yield t.split(), found[lo:hi], gain[lo:hi], tail[lo:hi], symbol[lo:hi].copy()
-            lo = hi
+        tail = [0.0 if w in vocab.head else g - inside[vocab.tail(w)] for w, g in zip(words, gain.tolist())]
+        # the last ones are those of the words that are not cached
+        self.gain, self.tail = np.append(gain, 0.0), np.append(tail, 0.0)
+        self.symbol = np.array([*map(vocab.symbol, words), 0], "i4")
+
+    def read(self, column: pa.Array) -> Iterator[tuple]:
+        """(rare words, where each text's begin and end, gains, tail gains, symbols, where each text's words begin and end)."""
+        for words, cuts in word_lists(column):
+            at = places(words, self.words)
+            gain, tail, symbol = self.gain[at], self.tail[at], self.symbol[at]
+            late = np.flatnonzero(at < 0)
+            rare = words.take(pa.array(late))
+            of = self.vocab.tails(rare)
+            tail[late] = -self.inside[of]
+            symbol[late] = self.vocab.shape.head_words + of
+            yield rare, np.searchsorted(late, cuts), gain, tail, symbol, cuts
 
 
 def _scorer(shared):
@@ -637,7 +672,7 @@ def _scorer(shared):
         net = Network.of(vocab, weights)
         s = vocab.shape
         base = math.log10(stats.total + stats.distinct + 1)
-        inside = [math.log10(n + v + 1) for n, v in zip(stats.tail_total, stats.tail_distinct)]
+        inside = np.log10(np.array(stats.tail_total, "f8") + stats.tail_distinct + 1)
         cached = Lookup(vocab, stats, inside)
         end_gain, end_known = math.log10(stats.ends + 1), int(stats.ends > 0)
         at = 0
@@ -647,17 +682,14 @@ def _scorer(shared):
             rare_words, rare_cuts = [], [0]
 
             def read():
-                for i, (words, found, gain, tail, ids) in enumerate(cached.read(texts(b))):
-                    late = np.flatnonzero(~found)
-                    some = [words[j] for j in late.tolist()]
-                    of = [vocab.tail(w) for w in some]
-                    ids[late] = np.array(of, "i4") + s.head_words
-                    rare_words.extend(some)
-                    rare_cuts.append(len(rare_words))
-                    base_score = end_gain + float(gain.sum()) - (len(words) + 1) * base
-                    rows.append((len(words) + 1, end_known + len(words) - len(some), base_score,
-                                 float(tail.sum()) - sum(map(inside.__getitem__, of))))
-                    yield i, np.append(ids, np.int32(vocab.end))
+                for rare, beyond, gain, tail, ids, cuts in cached.read(b.column("text")):
+                    rare_words.append(rare)
+                    rare_cuts.extend((rare_cuts[-1] + beyond[1:]).tolist())
+                    for lo, hi, late in zip(cuts[:-1].tolist(), cuts[1:].tolist(), np.diff(beyond).tolist()):
+                        n = hi - lo
+                        rows.append((n + 1, end_known + n - late, end_gain + float(gain[lo:hi].sum()) - (n + 1) * base,
+                                     float(tail[lo:hi].sum())))
+                        yield len(rows) - 1, np.append(ids[lo:hi], np.int32(vocab.end))
 
             slots = min(s.slots, size)
             h = np.zeros((slots, s.hidden), "f4")
@@ -668,7 +700,7 @@ def _scorer(shared):
                 before, last, _ = net.states(h[live], inputs[:, live], lengths[live])
                 after = np.concatenate([before[1:], last[None]])
                 some = real[:, live]
-                got = net.predict(after[some], targets[:, live][some])
+                got = net.predict(after.reshape(-1, s.hidden), targets[:, live][some], np.flatnonzero(some))
                 model += np.bincount(np.broadcast_to([who[i] for i in live], some.shape)[some], got, minlength=size)
                 h[live] = last
             yield pa.RecordBatch.from_arrays(
@@ -676,7 +708,7 @@ def _scorer(shared):
                  pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.float64()),
                  pa.array(model / math.log(10) + np.array([r[3] for r in rows])),
-                 pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), pa.array(rare_words, pa.binary()))],
+                 pa.ListArray.from_arrays(pa.array(rare_cuts, pa.int32()), pa.concat_arrays(rare_words))],
                 ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
             at += size
     return run

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +237,42 @@ def test_a_network_of_given_weights_draws_none(monkeypatch):
     assert all(a is b for a, b in zip(lm_scoring.Network.of(vocab, weights).weights(), weights))
 
 
+def test_lm_words_of_a_column():
+    # read as Arrow arrays: the same words and symbols as text by text
+    rng = random.Random(8)
+    signs = [" ", "\t", "\x0b", "\x0c", "\x1c", "\x85", "\u3000", "A", "b", "Zz", "\u0130", "\u00c9", "longer", "\U0001f600"]
+    some = [None, "", "  ", " a", "a "] + ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(300)]
+    want = [lm_scoring.tokens(t) for t in some]
+    column = pa.array([None, *some, "cut off"]).slice(1, len(some))
+    for chunk in (1, 100, 1 << 20):
+        got = [words.to_pylist()[lo:hi] for words, cuts in lm_scoring.word_lists(column, chunk) for lo, hi in zip(cuts, cuts[1:])]
+        assert got == want
+    head = {w: i for i, w in enumerate(sorted({w for words in want[:60] for w in words}))}
+    vocab = lm_scoring.Vocabulary(lm_scoring.Shape(hidden=4, head_classes=3, head_words=len(head), tail_classes=7), head)
+    symbols = list(lm_scoring.symbols_of(vocab, iter([column, column.slice(0, 0)])))
+    assert [s.tolist() for s in symbols] == [[*map(vocab.symbol, words), vocab.end] for words in want]
+    assert any(vocab.symbol(w) >= len(head) for words in want for w in words)
+
+
+def test_lm_gradients_of_classes_side_by_side_come_as_one_run():
+    shape = lm_scoring.Shape(hidden=4, head_classes=5, head_words=60, tail_classes=2)
+    vocab = lm_scoring.Vocabulary(shape, {b"w%d" % i: i for i in range(60)})
+    net, rng = lm_scoring.Network(vocab), np.random.default_rng(9)
+    t = rng.integers(vocab.bounds[1], 60, (40, 6))
+    t[(t >= vocab.bounds[2]) & (t < vocab.bounds[3])] = vocab.end       # class 2 is not used
+    i, real, h = np.roll(t, 1, 0), np.ones(t.shape, bool), np.zeros((6, 4), "f4")
+    sums = np.empty_like(np.asfortranarray(net.word_w))
+    _, rows, _ = net.row_gradients(h, i, t, real, sums)
+    found = [(r.start, r.stop) for name, r, _, _ in rows if name == "word_w"]
+    assert found == [(vocab.bounds[1], vocab.bounds[2]), (vocab.bounds[3], 60)]
+    whole = net.gradients(h, i, t, real)[0]["word_w"]
+    for name, r, g, times in rows:
+        if name == "word_w":
+            assert np.shares_memory(g, sums) and np.allclose(g, whole[r], atol=1e-7)
+            of = vocab.class_of(np.arange(r.start, r.stop))
+            assert times.tolist() == np.bincount(vocab.class_of(t.reshape(-1)), minlength=vocab.classes)[of].tolist()
+
+
 def test_lm_row_sums():
     rng = np.random.default_rng(7)
     ids = np.concatenate([rng.integers(0, 300, 900), np.full(500, 7), np.full(16, 400), np.full(17, 401)])
